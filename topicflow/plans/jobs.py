@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from topicflow.functions import slots as slot_fn
 from topicflow.operators import locations, parse, ranking, summary, topics
-from topicflow.schema import COUNTS_TTL, GRAIN_SLOT, LEVELS, TOP_K, counts_name, locations_name, top_name, trends_name
+from topicflow.schema import GRAIN_SLOT, LEVELS, TOP_K, counts_name, locations_name, top_name, trends_name
 from topicflow.session import run_dir
 from topicflow.sinks import files
 from topicflow.sinks.store import Store
@@ -28,7 +28,7 @@ def run_slots(
     store: Store, lines: DataFrame, grain: str, landing: str, slots: Iterable[int] | None = None,
     zone: str = slot_fn.UTC, k: int = TOP_K,
 ) -> list[int]:
-    """Trends, top lists and the summary of every slot in `lines`.
+    """Trends, top lists and the summary of every hour or day slot in `lines`.
 
     The lines are parsed and shuffled once, into a table of base counts in the
     shared folder.  Each coarser level is summed from the table just written for
@@ -50,18 +50,20 @@ def run_slots(
     try:
         base.write.partitionBy("kind").parquet(base_path)
         staged = spark.read.schema(base.schema).parquet(base_path)
-        # One number per slot of this run.
-        found = sorted(r[0] for r in staged.where(F.col("kind") == "total").select(slot).distinct().collect())
-        stale = [] if wanted is None else sorted(set(wanted) - set(found))
+        # At most three rows per slot of this run.
+        kinds = staged.select("kind", slot).distinct().collect()
+        found = sorted({r[slot] for r in kinds})
+        covered = set(found if wanted is None else wanted)
+        without_lines = sorted(covered - set(found))
+        without_topics = sorted(covered - {r[slot] for r in kinds if r["kind"] == "topic"})
         counts = staged.where(F.col("kind") == "topic")
         for level in ("city", "country", "world"):
             if level in COARSER:
                 counts = topics.coarser_counts(store.stored(trends_name(COARSER[level], grain), found), level, grain)
-            _replace(store, trends_name(level, grain), counts, stale)
+            _replace(store, trends_name(level, grain), counts, without_topics)
             written = store.stored(trends_name(level, grain), found)
-            _replace(store, top_name(level, grain), ranking.top_topics(written, level, grain, k), stale)
-        if grain in COUNTS_TTL:
-            _replace(store, counts_name(grain), summary.summary_of_base(staged, grain), stale)
+            _replace(store, top_name(level, grain), ranking.top_topics(written, level, grain, k), without_topics)
+        _replace(store, counts_name(grain), summary.summary_of_base(staged, grain), without_lines)
     finally:
         files.delete(spark, base_path)
     return found
@@ -81,14 +83,16 @@ def day_job(store: Store, daily: str, day: int, zone: str = slot_fn.UTC, k: int
     return run_slots(store, lines, "day", "landing_day", [day], zone, k)
 
 
-def roll_up_day(store: Store, day: int, k: int = TOP_K) -> None:
-    """One day's trends and top lists from its stored hour trends, without the lines."""
-    hours = [day * 100 + h for h in range(24)]
+def roll_up_days(store: Store, days: Iterable[int], into: Store | None = None, k: int = TOP_K) -> None:
+    """Day trends and top lists from the stored hour trends, without the lines."""
+    days = sorted(set(days))
+    out = store if into is None else into
+    hours = [day * 100 + h for day in days for h in range(24)]
     for level in LEVELS:
         hour_counts = store.stored(trends_name(level, "hour"), hours)
-        _replace(store, trends_name(level, "day"), topics.hours_to_days(hour_counts, level), [])
-        written = store.stored(trends_name(level, "day"), [day])
-        _replace(store, top_name(level, "day"), ranking.top_topics(written, level, "day", k), [])
+        out.replace(trends_name(level, "day"), topics.hours_to_days(hour_counts, level))
+        written = out.stored(trends_name(level, "day"), days)
+        out.replace(top_name(level, "day"), ranking.top_topics(written, level, "day", k))
 
 
 def location_job(store: Store, lines: DataFrame, zone: str = slot_fn.UTC) -> None:
@@ -99,5 +103,5 @@ def location_job(store: Store, lines: DataFrame, zone: str = slot_fn.UTC) -> Non
         store.replace(locations_name(level), rows.withColumn("dayslot", slot_fn.slot(F.col("time_ms"), "day", zone)))
 
 
-def expire_all(store: Store, names: Iterable[str], as_of: datetime | None = None) -> dict[str, list[int]]:
+def expire_all(store: Store, names: Iterable[str], as_of: datetime | None = None) -> dict[str, list[str]]:
     return {name: store.expire(name, as_of) for name in names}

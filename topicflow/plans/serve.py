@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from topicflow.functions import slots
 from topicflow.operators import ranking, summary
+from topicflow.operators import topics as topic_ops
 from topicflow.schema import (
     GRAIN_SLOT, LEVEL_KEYS, TOP_K, counts_name, live_locations_name, live_messages_name, top_name, trends_name,
 )
@@ -86,32 +87,50 @@ def topics(store: Store, grain: str, slot: int | None = None, country: str | Non
 
 def minute_topics(store: Store, now: datetime, country: str | None = None, city: str | None = None,
                   zone: str = slots.UTC) -> DataFrame:
-    """The top list of the minute two minutes ago."""
+    """The top list of the minute two minutes ago.
+
+    Counts of one minute add up over the stream's batches: a tick stream may close
+    a minute in two of them.
+    """
     slot = slots.now_slot(now, "minute", MINUTE_DELAY, zone)
-    return ranking.first_by_count(_slot_rows(store, trends_name, "minute", slot, country, city, now))
+    rows = _slot_rows(store, trends_name, "minute", slot, country, city, now)
+    summed = topic_ops.coarser_counts(rows, resolve_level(country, city), "minute")
+    return ranking.first_by_count(summed)
 
 
-def _live_rows(store: Store, name_of, now: datetime, country, city, zone: str) -> DataFrame:
-    level = resolve_level(country, city)
+def pick_messages(rows: DataFrame, second: int, topic: str | None = None, country: str | None = None,
+                  city: str | None = None, limit: int = LIVE_LIMIT) -> DataFrame:
+    """The first messages of one ingest second, of a topic and place if given."""
+    picked = _in_place(rows.where(F.col("secslot") == second), resolve_level(country, city), country, city)
+    if topic:
+        picked = picked.where(F.col("topic") == topic)
+    return picked.drop("secslot").orderBy("time_ms", "topic", "user", "tweet").limit(limit)
+
+
+def pick_locations(rows: DataFrame, second: int, country: str | None = None, city: str | None = None) -> DataFrame:
+    """The positions of one ingest second, of a place if given."""
+    picked = _in_place(rows.where(F.col("secslot") == second), resolve_level(country, city), country, city)
+    return picked.drop("secslot").withColumnsRenamed({"lat": "latitude", "long": "longitude"})
+
+
+def _live_rows(store: Store, name_of, now: datetime, country, city, zone: str) -> tuple[DataFrame, int]:
     second = int((now - LIVE_DELAY).timestamp())
-    rows = store.read(name_of(level), [slots.minute_of_second(second, zone)], now)
-    return _in_place(rows.where(F.col("secslot") == second), level, country, city).drop("secslot")
+    name = name_of(resolve_level(country, city))
+    return store.read(name, [slots.minute_of_second(second, zone)], now), second
 
 
 def live_messages(store: Store, now: datetime, topic: str | None = None, country: str | None = None,
                   city: str | None = None, limit: int = LIVE_LIMIT, zone: str = slots.UTC) -> DataFrame:
-    """Messages that came in one minute ago, of a topic and place if given."""
-    rows = _live_rows(store, live_messages_name, now, country, city, zone)
-    if topic:
-        rows = rows.where(F.col("topic") == topic)
-    return rows.orderBy("time_ms", "topic", "user").limit(limit)
+    """Messages that came in one minute ago."""
+    rows, second = _live_rows(store, live_messages_name, now, country, city, zone)
+    return pick_messages(rows, second, topic, country, city, limit)
 
 
 def live_locations(store: Store, now: datetime, country: str | None = None, city: str | None = None,
                    zone: str = slots.UTC) -> DataFrame:
     """Positions that came in one minute ago."""
-    rows = _live_rows(store, live_locations_name, now, country, city, zone)
-    return rows.withColumnsRenamed({"lat": "latitude", "long": "longitude"})
+    rows, second = _live_rows(store, live_locations_name, now, country, city, zone)
+    return pick_locations(rows, second, country, city)
 
 
 def timeslots(store: Store, grain: str = "day", as_of: datetime | None = None) -> DataFrame:

@@ -41,7 +41,8 @@ class Table:
     """One serving table: a parquet folder partitioned by `partitions`.
 
     `columns` is the table's public layout.  A table with a `ttl` (seconds) also
-    stores `written_at`, which reads use to hide expired rows.
+    stores `written_at`, which reads use to hide expired rows.  Streams write the
+    tables partitioned by `batch`: a batch that is run again replaces its own rows.
     """
 
     name: str
@@ -50,6 +51,12 @@ class Table:
     sort: tuple[str, ...] = ()
     ttl: int | None = None
 
+    def folder(self, slot: int) -> str:
+        """The partition folder of a slot; minute trends share their day's."""
+        first = self.partitions[0]
+        shared = first == "dayslot" and "minuteslot" in self.columns
+        return f"{first}={slot // 10_000 if shared else slot}"
+
     @property
     def ddl(self) -> str:
         stored = dict(self.columns)
@@ -99,10 +106,13 @@ def locations_name(level: str) -> str:
 def _registry() -> dict[str, Table]:
     tables = []
     for grain, slot in GRAIN_SLOT.items():
+        # A folder per minute would be thousands of tiny folders after a backlog.
+        parts = ("dayslot", "batch") if grain == "minute" else (slot,)
         for level, keys in LEVEL_KEYS.items():
             columns = {slot: SLOT_TYPE[slot], **_geo(level), "topic": "string", "count": "bigint"}
-            tables.append(Table(trends_name(level, grain), columns, (slot,), (*keys, "topic"), TREND_TTL[grain]))
-            tables.append(Table(top_name(level, grain), columns, (slot,), (*keys, "topic"), TOP_TTL[grain]))
+            sort = (*keys, "topic") if grain != "minute" else (slot, *keys, "topic")
+            tables.append(Table(trends_name(level, grain), columns, parts, sort, TREND_TTL[grain]))
+            tables.append(Table(top_name(level, grain), columns, parts, sort, TOP_TTL[grain]))
         if grain in COUNTS_TTL:
             columns = {slot: SLOT_TYPE[slot], "count_type": "string", "count": "bigint"}
             tables.append(Table(counts_name(grain), columns, (slot,), ("count_type",), COUNTS_TTL[grain]))

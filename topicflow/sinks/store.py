@@ -34,7 +34,7 @@ class Store:
         """The folders to read: the given slots' own, so that a lookup in a table of
         many slots lists only those; or the whole table."""
         path = self.path(table.name)
-        wanted = [path] if slots is None else [f"{path}/{table.partitions[0]}={s}" for s in slots]
+        wanted = [path] if slots is None else sorted({f"{path}/{table.folder(s)}" for s in slots})
         return [f for f in wanted if files.exists(self.spark, f)]
 
     def stored(self, name: str, slots: Iterable[int] | None = None) -> DataFrame:
@@ -76,23 +76,21 @@ class Store:
          .partitionBy(*table.partitions).parquet(self.path(name)))
 
     def drop_slots(self, name: str, slots: Iterable[int]) -> None:
-        first = TABLES[name].partitions[0]
         for slot in slots:
-            files.delete(self.spark, f"{self.path(name)}/{first}={slot}")
+            files.delete(self.spark, f"{self.path(name)}/{TABLES[name].folder(slot)}")
 
-    def expire(self, name: str, as_of: datetime | None = None) -> list[int]:
-        """Drop the slots in which every row is past its retention; returns them.
+    def expire(self, name: str, as_of: datetime | None = None) -> list[str]:
+        """Drop the partition folders in which every row is past its retention.
 
-        The list of slots comes to the driver: one number per partition folder.
+        Returns the folders.  The list comes to the driver: one entry per folder.
         """
         table = TABLES[name]
         if table.ttl is None:
             return []
         limit = (F.current_timestamp() if as_of is None else _timestamp(as_of)) - F.expr(f"interval {table.ttl} seconds")
-        slot = table.partitions[0]
-        newest = self.stored(name).groupBy(slot).agg(F.max("written_at").alias("newest"))
-        expired = sorted(r[0] for r in newest.where(F.col("newest") <= limit).select(slot).collect())
-        self.drop_slots(name, expired)
-        return expired
-
-
+        newest = self.stored(name).groupBy(*table.partitions).agg(F.max("written_at").alias("newest"))
+        expired = newest.where(F.col("newest") <= limit).select(*table.partitions).collect()
+        folders = sorted("/".join(f"{p}={row[p]}" for p in table.partitions) for row in expired)
+        for folder in folders:
+            files.delete(self.spark, f"{self.path(name)}/{folder}")
+        return folders

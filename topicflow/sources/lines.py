@@ -30,7 +30,8 @@ def stamped(lines: DataFrame, slot: int, landing: str) -> DataFrame:
 
 
 def landed_lines(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.schema(LANDED).format(fmt).load(root)
+    """All landed lines, from hour folders or from compacted days."""
+    return spark.read.schema(LANDED).format(fmt).load(root).select("value", "landing_day", "landing_hour", "batch")
 
 
 def landed_hours(spark: SparkSession, root: str, hours: Iterable[int], fmt: str = "parquet") -> DataFrame:
