@@ -21,16 +21,9 @@ def summary_of_base(base: DataFrame, grain: str) -> DataFrame:
     """The summary from base counts.  Topics are first reduced to one row per slot
     and topic, which makes the topic count exact and keeps a hot slot spread out."""
     slot = GRAIN_SLOT[grain]
-    per_topic = base.groupBy(slot, "kind", "topic").agg(F.sum("count").alias("count"))
-
-    def lines_of(kind: str):
-        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("count"))), F.lit(0)).cast("bigint")
-
+    per_topic = base.groupBy(slot, "topic").agg(F.sum("lines").alias("lines"), F.sum("tagged").alias("tagged"))
     wide = per_topic.groupBy(slot).agg(
-        lines_of("total").alias("total"),
-        lines_of("tagged").alias("tagged"),
-        F.count_if(F.col("kind") == "topic").alias("trends"),
-    )
+        F.sum("lines").alias("total"), F.sum("tagged").alias("tagged"), F.count("topic").alias("trends"))
     return _long(wide, slot)
 
 

@@ -88,35 +88,24 @@ def topics_per_key(trends: DataFrame, level: str, grain: str) -> DataFrame:
 def base_counts(parsed: DataFrame, grain: str, landing: str, zone: str = slots.UTC) -> DataFrame:
     """Everything a batch run needs from its lines, in one parse and one shuffle.
 
-    Each line yields a `total` row, a `tagged` row if it is an accepted message with
-    topics, and a `topic` row per occurrence.  The rows are counted by
-    (kind, slot, country, city, topic): the `topic` rows are the city trends, and
-    coarser trends, top lists and the slot summary follow from them without
-    touching the lines again.  A line without a usable event time counts in the
-    slot it landed in.
+    Rows are counted by (slot, country, city, topic).  `count` holds the occurrences
+    of the topic; `lines` and `tagged` hold the lines and tagged messages whose first
+    topic it is.  A line without topics, refused or not, counts under a null topic
+    in the slot of its event time or, lacking that, the one it landed in.  Rows with
+    a topic are the city trends; coarser trends, top lists and the slot summary
+    follow without touching the lines again.
     """
     slot = GRAIN_SLOT[grain]
     ok = F.col("verdict") == OK
-    tagged = ok & (F.size("tags") > 0)
-    event_slot = slots.slot(F.col("time_ms"), grain, zone)
-
-    def mark(kind: str, topic: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), topic.alias("topic"))
-
-    nothing = F.lit(None).cast("string")
-    marks = F.when(tagged, F.concat(
-        F.array(mark("total", nothing), mark("tagged", nothing)),
-        F.transform("tags", lambda t: mark("topic", t)),
-    )).otherwise(F.array(mark("total", nothing)))
     rows = parsed.select(
-        F.when(ok, event_slot).otherwise(F.col(landing)).alias(slot),
-        "country", "city", F.explode(marks).alias("_mark"),
+        F.when(ok, slots.slot(F.col("time_ms"), grain, zone)).otherwise(F.col(landing)).alias(slot),
+        F.when(ok, F.col("country")).alias("country"),
+        F.when(ok, F.col("city")).alias("city"),
+        F.posexplode_outer(F.when(ok, F.col("tags"))).alias("_position", "topic"),
     )
-    is_topic = F.col("_mark.kind") == "topic"
-    keyed = rows.select(
-        F.col("_mark.kind").alias("kind"), slot,
-        F.when(is_topic, F.col("country")).alias("country"),
-        F.when(is_topic, F.col("city")).alias("city"),
-        F.col("_mark.topic").alias("topic"),
+    first = F.coalesce(F.col("_position") == 0, F.lit(True))
+    return rows.groupBy(slot, "country", "city", "topic").agg(
+        F.count("topic").alias("count"),
+        F.count_if(first).alias("lines"),
+        F.count_if(F.col("_position") == 0).alias("tagged"),
     )
-    return _counted(keyed, ["kind", slot, "country", "city", "topic"], F.count(F.lit(1)))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,12 +18,11 @@ from topicflow.sinks import files
 from topicflow.sinks.store import Store
 from topicflow.sources import lines as line_sources
 
-COARSER = {"country": "city", "world": "country"}
-
-
-def _replace(store: Store, name: str, rows: DataFrame, stale: Iterable[int]) -> None:
-    store.replace(name, rows)
-    store.drop_slots(name, stale)
+def _together(*steps: Callable[[], None]) -> None:
+    """Run independent writes side by side: the tail of one leaves executors free."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(inheritable_thread_target(step)) for step in steps]:
+            done.result()
 
 
 def run_slots(
@@ -31,39 +32,55 @@ def run_slots(
     """Trends, top lists and the summary of every hour or day slot in `lines`.
 
     The lines are parsed and shuffled once, into a table of base counts in the
-    shared folder.  Each coarser level is summed from the table just written for
-    the finer one, and the top lists are cut from the written trends.  A lost
-    executor costs only tasks of the step that runs; nothing is held in memory
-    between steps.
+    shared folder.  World trends are summed from the country trends just written,
+    and the top lists are cut from the written trends.  A lost executor costs only
+    tasks of the step that runs; nothing is held in memory between steps.
 
     `slots` names the slots the lines cover in full.  Only those are replaced, and
     a slot that has no rows any more is emptied.  Without it, the slots found in
     the lines are replaced.  Returns the slots found.
     """
-    spark = store.spark
-    slot = GRAIN_SLOT[grain]
+    spark, slot = store.spark, GRAIN_SLOT[grain]
     base_path = run_dir(spark, f"base-{grain}")
     base = topics.base_counts(parse.parse_lines(lines), grain, landing, zone)
-    wanted = None if slots is None else sorted(set(slots))
-    if wanted is not None:
-        base = base.where(F.col(slot).isin(wanted))
+    if slots is not None:
+        base = base.where(F.col(slot).isin(sorted(set(slots))))
     try:
-        base.write.partitionBy("kind").parquet(base_path)
+        base.write.parquet(base_path)
         staged = spark.read.schema(base.schema).parquet(base_path)
-        # At most three rows per slot of this run.
-        kinds = staged.select("kind", slot).distinct().collect()
-        found = sorted({r[slot] for r in kinds})
-        covered = set(found if wanted is None else wanted)
-        without_lines = sorted(covered - set(found))
-        without_topics = sorted(covered - {r[slot] for r in kinds if r["kind"] == "topic"})
-        counts = staged.where(F.col("kind") == "topic")
-        for level in ("city", "country", "world"):
-            if level in COARSER:
-                counts = topics.coarser_counts(store.stored(trends_name(COARSER[level], grain), found), level, grain)
-            _replace(store, trends_name(level, grain), counts, without_topics)
-            written = store.stored(trends_name(level, grain), found)
-            _replace(store, top_name(level, grain), ranking.top_topics(written, level, grain, k), without_topics)
-        _replace(store, counts_name(grain), summary.summary_of_base(staged, grain), without_lines)
+        # One row per slot of this run.
+        seen = staged.groupBy(slot).agg(F.bool_or(F.col("topic").isNotNull()).alias("topics")).collect()
+        found = sorted(r[slot] for r in seen)
+        covered = set(found if slots is None else slots)
+        no_lines = covered - set(found)
+        no_topics = covered - {r[slot] for r in seen if r["topics"]}
+        counts = staged.where(F.col("topic").isNotNull()).drop("lines", "tagged")
+
+        def write(name: str, rows: DataFrame, emptied: set[int]) -> Callable[[], None]:
+            def step() -> None:
+                store.replace(name, rows)
+                store.drop_slots(name, emptied)
+            return step
+
+        def trends(level: str, rows: DataFrame) -> Callable[[], None]:
+            return write(trends_name(level, grain), rows, no_topics)
+
+        def written(level: str) -> DataFrame:
+            return store.stored(trends_name(level, grain), found)
+
+        def top(level: str) -> Callable[[], None]:
+            return write(top_name(level, grain), ranking.top_topics(written(level), level, grain, k), no_topics)
+
+        _together(
+            trends("city", counts),
+            trends("country", topics.coarser_counts(counts, "country", grain)),
+            write(counts_name(grain), summary.summary_of_base(staged, grain), no_lines),
+        )
+        _together(
+            trends("world", topics.coarser_counts(written("country"), "world", grain)),
+            top("city"), top("country"),
+        )
+        top("world")()
     finally:
         files.delete(spark, base_path)
     return found

@@ -171,7 +171,7 @@ def rt_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- lookups over stored tables ------------------------------------------------
 
-_stores: dict[tuple[str, str], Store] = {}
+_stores: dict[tuple[str, ...], Store] = {}
 
 
 def store_of(spark: SparkSession, sf_dir: str) -> Store:
@@ -190,16 +190,6 @@ def _served(lookup: Callable[[Store], DataFrame]) -> Query:
     return lambda spark, sf_dir: lookup(store_of(spark, sf_dir))
 
 
-def _stored(grain: str) -> Query:
-    """Run the job over all lines into a new set of tables; give the city top lists."""
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        store = Store(spark, run_dir(spark, f"job-{grain}"))
-        jobs.run_slots(store, adapter.envelope_lines(spark, sf_dir), grain, LANDING[grain])
-        return store.read(top_name("city", grain))
-
-    return run
-
-
 def job_roll_up_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days' city trends rolled up from the stored hours."""
     hours = store_of(spark, sf_dir)
@@ -232,36 +222,44 @@ def _live(pick, rows: Callable[[str], Query], country: str | None = None, city:
 
 # -- streams, landing, compaction ------------------------------------------------
 
-_THIRDS = ((1, 10), (11, 20), (21, 31))
+_HALVES = ((1, 15), (16, 31))
 
 
 def _flush_line(lines: DataFrame) -> DataFrame:
-    """A message far ahead that closes the last window; without topics, it never counts."""
+    """A message far ahead that closes the last window; its own never closes."""
     ahead = F.unix_millis(F.to_timestamp(F.max("landing_day").cast("string"), "yyyyMMdd")) + 10 * 86_400_000
     return lines.agg(ahead.cast("string").alias("timestamp_ms")).select(F.to_json(F.struct(
         F.lit("flush").alias("id_str"), "timestamp_ms", F.lit("").alias("text"),
+        F.struct(F.array(F.lit("flush")).alias("hashtags")).alias("entities"),
         F.struct(F.lit("0").alias("id_str")).alias("user"),
         F.struct(F.lit("-").alias("name"), F.lit("-").alias("country_code")).alias("place"),
     )).alias("value"))
 
 
 def _arrive(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, str], DataStreamWriter], flush: bool = False) -> None:
-    """Feed all lines to a query in time order, a third of the month at a time.  The
-    query is stopped and started again from its checkpoint for each part."""
+    """Feed all lines to a query in time order, half a month at a time.  The query is
+    stopped and started again from its checkpoint for each part.  The first flush
+    line moves the watermark, the second lets the next batch act on it."""
     folder, checkpoint = run_dir(spark, "stream"), run_dir(spark, "checkpoint")
     lines = adapter.envelope_lines(spark, sf_dir)
     day = F.col("landing_day") % 100
-    parts = [lines.where(day.between(first, last)).select("value") for first, last in _THIRDS]
-    for part in [*parts, _flush_line(lines)] if flush else parts:
+    parts = [lines.where(day.between(first, last)).select("value") for first, last in _HALVES]
+    if flush:
+        parts += [_flush_line(lines)] * 2
+    for part in parts:
         part.write.mode("append").parquet(folder)
         run_available(start(line_sources.file_stream(spark, folder, "parquet"), checkpoint))
 
 
 def _minute_store(spark: SparkSession, sf_dir: str, world_k: int | None) -> Store:
-    store = Store(spark, run_dir(spark, "minutes"))
-    _arrive(spark, sf_dir, lambda lines, checkpoint: minutes.minute_writer(
-        parse.parse_messages(lines), store, checkpoint, world_k=world_k), flush=True)
-    return store
+    """The minute tables as a stream of all lines leaves them, run on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir, f"minutes-{world_k}")
+    if key not in _stores:
+        store = Store(spark, run_dir(spark, "minutes"))
+        _arrive(spark, sf_dir, lambda lines, checkpoint: minutes.minute_writer(
+            parse.parse_messages(lines), store, checkpoint, world_k=world_k), flush=True)
+        _stores[key] = store
+    return _stores[key]
 
 
 def _stream_minutes(level: str, top: bool = False) -> Query:
@@ -291,7 +289,7 @@ def serve_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def timeslots_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.timeslots(_minute_store(spark, sf_dir, TOP_K), "minute", NOW)
+    return serve.timeslots(_minute_store(spark, sf_dir, None), "minute", NOW)
 
 
 def stream_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,7 +376,7 @@ def registry() -> dict[str, Query]:
     for grain in ("day", "hour"):
         found[f"trends_all_levels_{grain}"] = _all_levels(grain)
         found[f"slot_summary_{grain}"] = _slot_summary(grain)
-        found[f"job_{grain}"] = _stored(grain)
+        found[f"job_{grain}"] = _served(lambda s, name=top_name("city", grain): s.read(name))
     for level in ("country", "city"):
         found[f"locations_{level}"] = _locations(level)
     for level in LEVELS:

@@ -51,6 +51,11 @@ class Table:
     sort: tuple[str, ...] = ()
     ttl: int | None = None
 
+    @property
+    def slot(self) -> str:
+        """The column lookups select a slot by."""
+        return "minuteslot" if "minuteslot" in self.columns else self.partitions[0]
+
     def folder(self, slot: int) -> str:
         """The partition folder of a slot; minute trends share their day's."""
         first = self.partitions[0]

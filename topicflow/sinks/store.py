@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.schema import TABLES, Table
+from topicflow.schema import TABLES
 from topicflow.sinks import files
 
 
@@ -22,6 +22,10 @@ def _timestamp(at: datetime):
     return F.timestamp_micros(F.lit(int(at.timestamp() * 1_000_000)))
 
 
+# Up to here Spark lists the given folders without a job of its own.
+_FEW = 32
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -30,21 +34,22 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root}/{TABLES[name].name}"
 
-    def _folders(self, table: Table, slots: Iterable[int] | None) -> list[str]:
-        """The folders to read: the given slots' own, so that a lookup in a table of
-        many slots lists only those; or the whole table."""
-        path = self.path(table.name)
-        wanted = [path] if slots is None else sorted({f"{path}/{table.folder(s)}" for s in slots})
-        return [f for f in wanted if files.exists(self.spark, f)]
-
     def stored(self, name: str, slots: Iterable[int] | None = None) -> DataFrame:
-        """All stored rows and columns, expired ones too."""
-        table = TABLES[name]
-        folders = self._folders(table, slots)
+        """All stored rows and columns, expired ones too.
+
+        A few slots are read from their own folders, so that a lookup in a table of
+        many slots lists only those.  More are a filter on the partitions.
+        """
+        table, path = TABLES[name], self.path(name)
+        wanted = None if slots is None else sorted(set(slots))
+        folders = [path]
+        if wanted is not None and len(wanted) <= _FEW:
+            folders = sorted({f"{path}/{table.folder(s)}" for s in wanted})
+        folders = [f for f in folders if files.exists(self.spark, f)]
         if not folders:
             return self.spark.createDataFrame([], table.ddl)
-        reader = self.spark.read.schema(table.ddl).option("basePath", self.path(name))
-        return reader.parquet(*folders)
+        rows = self.spark.read.schema(table.ddl).option("basePath", path).parquet(*folders)
+        return rows if wanted is None else rows.where(F.col(table.slot).isin(wanted))
 
     def read(self, name: str, slots: Iterable[int] | None = None, as_of: datetime | None = None) -> DataFrame:
         """The visible rows: those younger than the table's retention at `as_of` (now)."""

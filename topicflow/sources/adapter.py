@@ -24,15 +24,29 @@ def _strings(*items: Column) -> Column:
     return F.array(*items).cast("array<string>") if items else F.array().cast("array<string>")
 
 
+# Stated, so that opening the tables reads no file footers.
+_EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string"
+_NATION = "n_nationkey int, n_name string, n_regionkey int"
+_REGION = "r_regionkey int, r_name string"
+
+
+def _spread(frame: DataFrame) -> DataFrame:
+    """Give every core a share of an input that comes in fewer partitions than there
+    are cores; parsing is the costly step.  A large input has more and is left alone."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def _placed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with their place.  Catalyst broadcasts the two dimension tables as
     long as their files are below its size threshold."""
-    read = spark.read.parquet
-    events = read(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "props")
-    places = read(f"{sf_dir}/nation.parquet").join(
-        read(f"{sf_dir}/region.parquet"), F.col("n_regionkey") == F.col("r_regionkey")
+    def table(name: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+
+    places = table("nation", _NATION).join(
+        table("region", _REGION), F.col("n_regionkey") == F.col("r_regionkey")
     ).select("n_nationkey", "n_name", "r_name")
-    return events.join(
+    return _spread(table("events", _EVENTS)).join(
         places, F.pmod(F.col("user_id"), F.lit(25)) == F.col("n_nationkey"), "left"
     ).select(
         "event_id", "user_id", "event_type", "props", "n_name", "r_name",
@@ -85,17 +99,15 @@ def _head() -> list[Column]:
     ]
 
 
-def _cut_off(line: Column) -> Column:
-    """Some lines lose their closing brace, as when a connection drops."""
-    return F.when(_nth("event_id", 23), F.regexp_replace(line, r"\}$", "")).otherwise(line)
-
-
 def _landed(events: DataFrame, line: Column) -> DataFrame:
-    wall = slots.wall_clock(F.col("time_ms"))
-    return events.select(
+    """Lines with the slots they landed in.  Some lines lose their closing brace, as
+    when a connection drops."""
+    wall, value = slots.wall_clock(F.col("time_ms")), F.col("value")
+    cut = F.when(_nth("event_id", 23), 1).otherwise(0)
+    return events.withColumn("value", line).select(
         slots.slot_of(wall, "day").alias("landing_day"),
         slots.slot_of(wall, "hour").alias("landing_hour"),
-        _cut_off(line).alias("value"),
+        F.substr(value, F.lit(1), F.length(value) - cut).alias("value"),
     )
 
 

@@ -31,9 +31,7 @@ def split(messages: DataFrame, now_ms=None, within_ms: int | None = RECENT_MS) -
 
 
 def _windowed(messages: DataFrame, lateness: str) -> DataFrame:
-    # The watermark sits before the topic filter: messages without topics move it too.
-    late_bound = messages.withWatermark("ts", lateness)
-    return topics.explode_topics(late_bound, "ts").select(
+    return topics.explode_topics(messages.withWatermark("ts", lateness), "ts").select(
         F.window("ts", "1 minute").alias("window"), "country", "city", "topic")
 
 
