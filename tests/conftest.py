@@ -10,7 +10,7 @@ from topicflow.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session("4", 4, **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
+    session = local_session("4", 4, **{"spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

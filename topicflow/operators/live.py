@@ -24,11 +24,12 @@ def ingest_second(ingest: Column | None = None) -> Column:
     return slots.second_slot(F.current_timestamp() if ingest is None else ingest)
 
 
-def live_locations(messages: DataFrame, level: str, secslot: Column | None = None) -> DataFrame:
+def live_locations(messages: DataFrame, level: str, secslot: Column | None = None, *extra: str) -> DataFrame:
     second = ingest_second() if secslot is None else secslot
     return with_position(messages).select(
         second.alias("secslot"), *LEVEL_KEYS[level], "time_ms",
         F.col("lat").cast("float").alias("lat"), F.col("long").cast("float").alias("long"),
+        *extra,
     )
 
 

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.functions import slots as slot_fn
@@ -18,10 +18,10 @@ from topicflow.sinks import files
 from topicflow.sinks.store import Store
 from topicflow.sources import lines as line_sources
 
-def _together(*steps: Callable[[], None]) -> None:
+def _together(spark: SparkSession, *steps: Callable[[], None]) -> None:
     """Run independent writes side by side: the tail of one leaves executors free."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        for done in [pool.submit(inheritable_thread_target(step)) for step in steps]:
+        for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
             done.result()
 
 
@@ -72,11 +72,13 @@ def run_slots(
             return write(top_name(level, grain), ranking.top_topics(written(level), level, grain, k), no_topics)
 
         _together(
+            spark,
             trends("city", counts),
             trends("country", topics.coarser_counts(counts, "country", grain)),
             write(counts_name(grain), summary.summary_of_base(staged, grain), no_lines),
         )
         _together(
+            spark,
             trends("world", topics.coarser_counts(written("country"), "world", grain)),
             top("city"), top("country"),
         )

@@ -174,26 +174,24 @@ def rt_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
 _stores: dict[tuple[str, ...], Store] = {}
 
 
-def store_of(spark: SparkSession, sf_dir: str) -> Store:
-    """The serving tables of a data set, written by the jobs on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def store_of(spark: SparkSession, sf_dir: str, grain: str) -> Store:
+    """The serving tables of a grain, written by its job over all lines on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir, grain)
     if key not in _stores:
-        store = Store(spark, run_dir(spark, "store"))
-        lines = adapter.envelope_lines(spark, sf_dir)
-        for grain in ("day", "hour"):
-            jobs.run_slots(store, lines, grain, LANDING[grain])
+        store = Store(spark, run_dir(spark, f"store-{grain}"))
+        jobs.run_slots(store, adapter.envelope_lines(spark, sf_dir), grain, LANDING[grain])
         _stores[key] = store
     return _stores[key]
 
 
-def _served(lookup: Callable[[Store], DataFrame]) -> Query:
-    return lambda spark, sf_dir: lookup(store_of(spark, sf_dir))
+def _served(grain: str, lookup: Callable[[Store], DataFrame]) -> Query:
+    return lambda spark, sf_dir: lookup(store_of(spark, sf_dir, grain))
 
 
 def job_roll_up_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days' city trends rolled up from the stored hours."""
-    hours = store_of(spark, sf_dir)
-    days = [r["dayslot"] for r in serve.timeslots(hours, "day").collect()]
+    hours = store_of(spark, sf_dir, "hour")
+    days = sorted({r["hourslot"] // 100 for r in serve.timeslots(hours, "hour").collect()})
     out = Store(spark, run_dir(spark, "rollup"))
     jobs.roll_up_days(hours, days, out)
     return out.read(trends_name("city", "day"))
@@ -376,7 +374,7 @@ def registry() -> dict[str, Query]:
     for grain in ("day", "hour"):
         found[f"trends_all_levels_{grain}"] = _all_levels(grain)
         found[f"slot_summary_{grain}"] = _slot_summary(grain)
-        found[f"job_{grain}"] = _served(lambda s, name=top_name("city", grain): s.read(name))
+        found[f"job_{grain}"] = _served(grain, lambda s, name=top_name("city", grain): s.read(name))
     for level in ("country", "city"):
         found[f"locations_{level}"] = _locations(level)
     for level in LEVELS:
@@ -385,27 +383,27 @@ def registry() -> dict[str, Query]:
 
     day, hour = slots.yesterday(NOW), slots.previous_hours(NOW, 1)[0]
     found |= {
-        "serve_daily": _served(lambda s: serve.daily_page(s, NOW)[0]),
-        "serve_daily_totals": _served(lambda s: serve.daily_page(s, NOW)[1]),
-        "serve_daily_country": _served(lambda s: serve.top_topics(s, "day", day, COUNTRY)),
-        "serve_daily_city": _served(lambda s: serve.top_topics(s, "day", day, COUNTRY, CITY)),
-        "serve_daily_trend_count": _served(lambda s: serve.trend_count(s, "day", day, COUNTRY, CITY)),
-        "serve_hourly": _served(lambda s: serve.hourly_page(s, NOW)[0]),
-        "serve_hourly_totals": _served(lambda s: serve.hourly_page(s, NOW)[1]),
-        "serve_hourly_country": _served(lambda s: serve.top_topics(s, "hour", hour, COUNTRY)),
-        "serve_hourly_trend_count": _served(lambda s: serve.trend_count(s, "hour", hour, COUNTRY)),
-        "serve_topics_day": _served(lambda s: serve.topics(s, "day", day, COUNTRY)),
-        "serve_topics_day_first": _served(lambda s: serve.topics(s, "day")),
-        "serve_topics_hour": _served(lambda s: serve.topics(s, "hour", hour)),
+        "serve_daily": _served("day", lambda s: serve.daily_page(s, NOW)[0]),
+        "serve_daily_totals": _served("day", lambda s: serve.daily_page(s, NOW)[1]),
+        "serve_daily_country": _served("day", lambda s: serve.top_topics(s, "day", day, COUNTRY)),
+        "serve_daily_city": _served("day", lambda s: serve.top_topics(s, "day", day, COUNTRY, CITY)),
+        "serve_daily_trend_count": _served("day", lambda s: serve.trend_count(s, "day", day, COUNTRY, CITY)),
+        "serve_hourly": _served("hour", lambda s: serve.hourly_page(s, NOW)[0]),
+        "serve_hourly_totals": _served("hour", lambda s: serve.hourly_page(s, NOW)[1]),
+        "serve_hourly_country": _served("hour", lambda s: serve.top_topics(s, "hour", hour, COUNTRY)),
+        "serve_hourly_trend_count": _served("hour", lambda s: serve.trend_count(s, "hour", hour, COUNTRY)),
+        "serve_topics_day": _served("day", lambda s: serve.topics(s, "day", day, COUNTRY)),
+        "serve_topics_day_first": _served("day", lambda s: serve.topics(s, "day")),
+        "serve_topics_hour": _served("hour", lambda s: serve.topics(s, "hour", hour)),
         "serve_minute": serve_minute,
         "serve_live_tweets": _live(serve.pick_messages, _rt_messages),
         "serve_live_tweets_topic": _live(serve.pick_messages, _rt_messages, COUNTRY, topic="click"),
         "serve_live_locations": _live(serve.pick_locations, _rt_locations),
         "serve_live_locations_city": _live(serve.pick_locations, _rt_locations, COUNTRY, CITY),
-        "timeslots_day": _served(lambda s: serve.timeslots(s, "day")),
-        "timeslots_hour": _served(lambda s: serve.timeslots(s, "hour")),
-        "stats_day": _served(lambda s: serve.stats(s, "day")),
-        "stats_hour": _served(lambda s: serve.stats(s, "hour")),
+        "timeslots_day": _served("day", lambda s: serve.timeslots(s, "day")),
+        "timeslots_hour": _served("hour", lambda s: serve.timeslots(s, "hour")),
+        "stats_day": _served("day", lambda s: serve.stats(s, "day")),
+        "stats_hour": _served("hour", lambda s: serve.stats(s, "hour")),
         "job_rollup_days": job_roll_up_days,
         "job_locations": job_locations,
         "stream_minute_all_levels": stream_minute_all_levels,

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from topicflow.functions import slots
 from topicflow.operators import live
-from topicflow.schema import LEVEL_KEYS, LEVELS, live_locations_name, live_messages_name
+from topicflow.schema import LEVELS, live_locations_name, live_messages_name
 from topicflow.sinks.store import Store
 from topicflow.streaming.batches import batch_label, each_batch, kept
 
@@ -41,10 +41,10 @@ def live_writer(
                 "batch": F.lit(label),
             }
             for level in levels:
-                locations = live.live_locations(batch, level, second)
+                locations = live.live_locations(batch, level, second, "t_id")
                 texts = live.live_messages(batch, level, second, "t_id")
                 if last_write_wins:
-                    locations = live.last_write_wins(locations, [*LEVEL_KEYS[level], "lat", "long"])
+                    locations = live.last_write_wins(locations, ["t_id"])
                     texts = live.last_write_wins(texts, ["t_id", "position"])
                 store.replace(live_locations_name(level), locations.withColumns(places))
                 store.replace(live_messages_name(level), texts.withColumns(places))
