@@ -1,47 +1,49 @@
-"""One JSON object per line, read strictly."""
+"""One JSON object per line, read strictly.
+
+The functions take column names: each expression is one piece of SQL.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# NaN and Infinity are accepted, single-quoted strings are not.
-_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"}
-
 
-def read_object(line: Column, schema: str) -> Column:
-    """Parse `line` as an element of the array `[line,null]`.
+def read_objects(lines: DataFrame, line: str, schema: str) -> DataFrame:
+    """Add `_parsed`, the line read as an element of the array `[line,null]`, and `obj`.
 
     A bare parse stops at the closing brace and accepts whatever follows.  Inside
     an array the parser must meet a comma next, and the array must have exactly
     two elements (see `is_whole`), so trailing text is caught by the same, single
-    parse.
+    parse.  NaN and Infinity are accepted, single-quoted strings are not.
+
+    The result passes through a one-element explode.  Filters cannot be pushed
+    below a generator, so the JSON is read once per line however many predicates
+    and columns are taken from it.
     """
-    return F.from_json(F.concat(F.lit("["), line, F.lit(",null]")), f"array<{schema}>", _STRICT)
+    parsed = F.expr(
+        f"explode_outer(array(from_json(concat('[', {line}, ',null]'), 'array<{schema}>', "
+        "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'true'))))")
+    return lines.select("*", parsed.alias("_parsed")).withColumn("obj", F.expr("get(_parsed, 0)"))
 
 
-def is_whole(line: Column, parsed: Column) -> Column:
+def is_whole(line: str) -> Column:
     """True if the line is one JSON object and nothing else."""
-    return F.coalesce(
-        (F.size(parsed) == 2) & F.get(parsed, F.lit(0)).isNotNull() & F.rtrim(line).endswith("}"),
-        F.lit(False),
-    )
+    return F.expr(f"coalesce(size(_parsed) = 2 and obj is not null and endswith(rtrim({line}), '}}'), false)")
 
 
-def has_keys(line: Column, obj: Column, keys: Sequence[str]) -> Column:
+def has_keys(line: str, keys: Sequence[str]) -> Column:
     """True if every key is present, also with a null value.
 
     A non-null field proves its key; the key list of the line is only built for
     lines where some field is null.
     """
-    proved = F.lit(True)
-    for key in keys:
-        proved = proved & obj[key].isNotNull()
-    wanted = F.array(*[F.lit(k) for k in keys])
-    listed = F.size(F.array_intersect(F.json_object_keys(line), wanted)) == len(keys)
-    return F.when(proved, F.lit(True)).otherwise(F.coalesce(listed, F.lit(False)))
+    proved = " and ".join(f"obj.{key} is not null" for key in keys)
+    wanted = ", ".join(f"'{key}'" for key in keys)
+    listed = f"size(array_intersect(json_object_keys({line}), array({wanted}))) = {len(keys)}"
+    return F.expr(f"case when {proved} then true else coalesce({listed}, false) end")
 
 
 def list_or_empty(items: Column, element: str = "string") -> Column:

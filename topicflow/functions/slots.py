@@ -13,7 +13,7 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from topicflow.schema import GRAIN_SLOT, SLOT_TYPE
+from topicflow.schema import GRAIN_SLOT
 
 UTC = "UTC"
 _EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
@@ -28,13 +28,12 @@ def wall_clock(time_ms: Column, zone: str = UTC) -> Column:
     return utc if zone == UTC else F.convert_timezone(F.lit(UTC), F.lit(zone), utc)
 
 
-def epoch_ms(wall: Column) -> Column:
-    """A UTC wall-clock time (timestamp_ntz) as epoch milliseconds, rounded down.
-
-    Built from its fields, because a timestamp difference would first convert to
-    the session zone."""
-    seconds = F.unix_date(wall.cast("date")).cast("bigint") * 86400 + F.hour(wall) * 3600 + F.minute(wall) * 60
-    return seconds * 1000 + F.floor(F.date_part(F.lit("SECOND"), wall) * 1000)
+def epoch_ms(wall: str) -> Column:
+    """A column of UTC wall-clock times (timestamp_ntz) as epoch milliseconds, rounded
+    down.  Built from the fields, because a timestamp difference would first convert
+    to the session zone."""
+    return F.expr(f"(unix_date(cast({wall} as date)) * 86400L + hour({wall}) * 3600 + minute({wall}) * 60) * 1000 "
+                  f"+ floor(extract(second from {wall}) * 1000)")
 
 
 def instant(time_ms: Column) -> Column:
@@ -42,14 +41,15 @@ def instant(time_ms: Column) -> Column:
     return F.timestamp_millis(time_ms)
 
 
+def _slots_of(wall: Column) -> dict[str, Column]:
+    day = F.year(wall) * 10000 + F.month(wall) * 100 + F.dayofmonth(wall)
+    hour = day * 100 + F.hour(wall)
+    return {"day": day, "hour": hour, "minute": hour.cast("bigint") * 100 + F.minute(wall)}
+
+
 def slot_of(wall: Column, grain: str) -> Column:
     """The calendar integer of a wall-clock time."""
-    slot = F.year(wall) * 10000 + F.month(wall) * 100 + F.dayofmonth(wall)
-    if grain != "day":
-        slot = slot * 100 + F.hour(wall)
-    if grain == "minute":
-        slot = slot.cast("bigint") * 100 + F.minute(wall)
-    return slot.cast(SLOT_TYPE[GRAIN_SLOT[grain]])
+    return _slots_of(wall)[grain]
 
 
 def slot(time_ms: Column, grain: str, zone: str = UTC) -> Column:
@@ -58,8 +58,8 @@ def slot(time_ms: Column, grain: str, zone: str = UTC) -> Column:
 
 def slot_columns(time_ms: Column, zone: str = UTC) -> list[Column]:
     """All three slot columns, named as in the tables."""
-    wall = wall_clock(time_ms, zone)
-    return [slot_of(wall, grain).alias(name) for grain, name in GRAIN_SLOT.items()]
+    found = _slots_of(wall_clock(time_ms, zone))
+    return [found[grain].alias(name) for grain, name in GRAIN_SLOT.items()]
 
 
 def bucket_slot(time_ms: Column, minutes: int, zone: str = UTC) -> Column:

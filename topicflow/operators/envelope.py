@@ -14,11 +14,9 @@ TSV_COLUMNS = ("t_id", "time_ms", "coords", "hashtags", "u_ment", "u_id", "u_loc
 
 def read_statuses(lines: DataFrame, line: str = "value") -> DataFrame:
     """Parse raw lines once; lines that are no status are dropped."""
-    value = F.col(line)
-    read = lines.select("*", F.explode_outer(F.array(jsonline.read_object(value, RAW_STATUS))).alias("_parsed"))
-    obj = F.get(F.col("_parsed"), F.lit(0))
-    keep = jsonline.is_whole(value, F.col("_parsed")) & jsonline.has_keys(value, obj, REQUIRED_KEYS)
-    return read.where(keep).select(*[F.col(c) for c in lines.columns], obj.alias("status"))
+    read = jsonline.read_objects(lines, line, RAW_STATUS)
+    keep = jsonline.is_whole(line) & jsonline.has_keys(line, REQUIRED_KEYS)
+    return read.where(keep).withColumnRenamed("obj", "status").drop("_parsed")
 
 
 def _names(elements: Column, key: str) -> Column:

@@ -15,48 +15,38 @@ VERDICTS = ("malformed", "missing_key", "no_user", "no_place", "bad_timestamp",
 # Event times whose slots fit their columns: years 1000 to 2146.
 FIRST_TIME_MS, END_TIME_MS = -30_610_224_000_000, 5_585_587_200_000
 
-MESSAGE_COLUMNS = ("t_id", "u_id", "user_name", "coords", "tags", "city", "country", "time_ms", "text")
+_EMPTY = "cast(array() as array<string>)"
+_TIME = "try_cast(obj.timestamp_ms as bigint)"
+
+# The message columns, from the envelope `obj`.
+_COLUMNS = {
+    "t_id": "obj.id_str",
+    "u_id": "obj.user.id_str",
+    "user_name": "coalesce(obj.user.screen_name, obj.user.id_str, 'Anonymous')",
+    "coords": "coalesce(obj.coordinates, cast(array() as array<double>))",
+    "tags": f"filter(concat(coalesce(obj.entities.hashtags, {_EMPTY}), "
+            f"coalesce(obj.entities.user_mentions, {_EMPTY})), tag -> tag is not null)",
+    "city": "obj.place.name",
+    "country": "obj.place.country_code",
+    "time_ms": f"case when {_TIME} >= {FIRST_TIME_MS} and {_TIME} < {END_TIME_MS} then {_TIME} end",
+    "text": "obj.text",
+}
+MESSAGE_COLUMNS = tuple(_COLUMNS)
 
 
 def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Add the message columns and a `verdict` to every line; no line is dropped.
-
-    The parsed object passes through a one-element explode.  Filters cannot be
-    pushed below a generator, so the JSON is read once per line however many
-    predicates and columns are taken from it.
-    """
-    value = F.col(line)
-    read = lines.select("*", F.explode_outer(F.array(jsonline.read_object(value, ENVELOPE))).alias("_parsed"))
-    obj = F.get(F.col("_parsed"), F.lit(0))
-    tags = F.concat(
-        jsonline.list_or_empty(obj["entities"]["hashtags"]),
-        jsonline.list_or_empty(obj["entities"]["user_mentions"]),
-    )
-    time_ms = obj["timestamp_ms"].try_cast("bigint")
-    columns = {
-        "t_id": obj["id_str"],
-        "u_id": obj["user"]["id_str"],
-        "user_name": F.coalesce(obj["user"]["screen_name"], obj["user"]["id_str"], F.lit("Anonymous")),
-        "coords": jsonline.list_or_empty(obj["coordinates"], "double"),
-        "tags": jsonline.without_nulls(tags),
-        "city": obj["place"]["name"],
-        "country": obj["place"]["country_code"],
-        "time_ms": F.when((time_ms >= FIRST_TIME_MS) & (time_ms < END_TIME_MS), time_ms),
-        "text": obj["text"],
-    }
+    """Add the message columns and a `verdict` to every line; no line is dropped."""
+    read = jsonline.read_objects(lines, line, ENVELOPE)
     verdict = (
-        F.when(~jsonline.is_whole(value, F.col("_parsed")), "malformed")
-        .when(~jsonline.has_keys(value, obj, REQUIRED_KEYS), "missing_key")
-        .when(columns["u_id"].isNull(), "no_user")
-        .when(columns["city"].isNull() | columns["country"].isNull(), "no_place")
-        .when(columns["time_ms"].isNull(), "bad_timestamp")
+        F.when(~jsonline.is_whole(line), "malformed")
+        .when(~jsonline.has_keys(line, REQUIRED_KEYS), "missing_key")
+        .when(F.expr("obj.user.id_str is null"), "no_user")
+        .when(F.expr("obj.place.name is null or obj.place.country_code is null"), "no_place")
+        .when(F.expr(f"({_COLUMNS['time_ms']}) is null"), "bad_timestamp")
         .otherwise(OK)
     )
-    return read.select(
-        *[F.col(c) for c in lines.columns],
-        *[c.alias(name) for name, c in columns.items()],
-        verdict.alias("verdict"),
-    )
+    columns = [F.expr(f"{c} as {name}") for name, c in _COLUMNS.items()]
+    return read.select(*lines.columns, *columns, verdict.alias("verdict"))
 
 
 def messages(parsed: DataFrame, zone: str = slots.UTC) -> DataFrame:

@@ -8,27 +8,34 @@ The country is the region, the city is the nation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.functions import slots
 
-_KEEP_NULLS = {"ignoreNullFields": "false"}
-
-
-def _nth(column: str, n: int) -> Column:
-    return F.pmod(F.col(column), F.lit(n)) == 0
-
-
-def _strings(*items: Column) -> Column:
-    return F.array(*items).cast("array<string>") if items else F.array().cast("array<string>")
-
-
 # Stated, so that opening the tables reads no file footers.
 _EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string"
 _NATION = "n_nationkey int, n_name string, n_regionkey int"
 _REGION = "r_regionkey int, r_name string"
 
+_NO_STRINGS = "cast(array() as array<string>)"
+_SHAPES = {
+    "id_str": "cast(event_id as string)",
+    "timestamp_ms": "cast(time_ms as string)",
+    "text": "concat_ws(' ', event_type, props)",
+    "point": "case when event_id % 3 = 0 then "
+             "array(user_id % 360 - 180 + double(0.5), user_id % 180 - 90 + double(0.25)) end",
+    "hashtags": f"case when event_id % 7 = 0 then {_NO_STRINGS} "
+                "when event_id % 11 = 0 then array(event_type, event_type, k) else array(event_type, k) end",
+    "mentions": f"case when event_id % 2 = 0 then {_NO_STRINGS} "
+                "when event_id % 13 = 0 then array(event_type) else array(concat('u', user_id % 40)) end",
+    "user": "case when event_id % 17 <> 0 then named_struct('id_str', cast(user_id as string), "
+            "'screen_name', concat('user_', user_id), 'location', n_name) end",
+    "place": "case when event_id % 10 <> 0 then named_struct('place_type', 'city', 'name', n_name, "
+             "'country_code', r_name, 'full_name', concat_ws(', ', n_name, r_name)) end",
+}
+_KEEP_NULLS = "map('ignoreNullFields', 'false')"
+
 
 def _spread(frame: DataFrame) -> DataFrame:
     """Give every core a share of an input that comes in fewer partitions than there
@@ -37,115 +44,49 @@ def _spread(frame: DataFrame) -> DataFrame:
     return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
 
 
-def _placed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with their place.  Catalyst broadcasts the two dimension tables as
-    long as their files are below its size threshold."""
+def _shaped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their place and the parts of their message.  Catalyst broadcasts
+    the two dimension tables as long as their files are below its size threshold."""
     def table(name: str, schema: str) -> DataFrame:
         return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
 
-    places = table("nation", _NATION).join(
-        table("region", _REGION), F.col("n_regionkey") == F.col("r_regionkey")
-    ).select("n_nationkey", "n_name", "r_name")
-    return _spread(table("events", _EVENTS)).join(
-        places, F.pmod(F.col("user_id"), F.lit(25)) == F.col("n_nationkey"), "left"
-    ).select(
+    places = table("nation", _NATION).join(table("region", _REGION), F.expr("n_regionkey = r_regionkey"))
+    placed = _spread(table("events", _EVENTS)).join(places, F.expr("user_id % 25 = n_nationkey"), "left")
+    timed = placed.select(
         "event_id", "user_id", "event_type", "props", "n_name", "r_name",
-        slots.epoch_ms(F.col("ts")).alias("time_ms"),
-        F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("k"),
-    )
-
-
-def _hashtags() -> Column:
-    kind, k = F.col("event_type"), F.col("k")
-    return (F.when(_nth("event_id", 7), _strings())
-            .when(_nth("event_id", 11), _strings(kind, kind, k))
-            .otherwise(_strings(kind, k)))
-
+        slots.epoch_ms("ts").alias("time_ms"), F.expr("concat('k', get_json_object(props, '$.k')) as k"))
+    return timed.selectExpr("event_id", "time_ms", *[f"{shape} as {name}" for name, shape in _SHAPES.items()])
 
-def _mentions() -> Column:
-    return (F.when(_nth("event_id", 2), _strings())
-            .when(_nth("event_id", 13), _strings(F.col("event_type")))
-            .otherwise(_strings(F.concat(F.lit("u"), F.pmod(F.col("user_id"), F.lit(40))))))
 
-
-def _lon_lat() -> Column:
-    lon = F.pmod(F.col("user_id"), F.lit(360)) - 180 + F.lit(0.5)
-    lat = F.pmod(F.col("user_id"), F.lit(180)) - 90 + F.lit(0.25)
-    return F.when(_nth("event_id", 3), F.array(lon, lat))
-
-
-def _user() -> Column:
-    return F.when(~_nth("event_id", 17), F.struct(
-        F.col("user_id").cast("string").alias("id_str"),
-        F.concat(F.lit("user_"), F.col("user_id")).alias("screen_name"),
-        F.col("n_name").alias("location"),
-    ))
-
-
-def _place() -> Column:
-    return F.when(~_nth("event_id", 10), F.struct(
-        F.lit("city").alias("place_type"),
-        F.col("n_name").alias("name"),
-        F.col("r_name").alias("country_code"),
-        F.concat_ws(", ", "n_name", "r_name").alias("full_name"),
-    ))
-
-
-def _head() -> list[Column]:
-    return [
-        F.col("event_id").cast("string").alias("id_str"),
-        F.col("time_ms").cast("string").alias("timestamp_ms"),
-        F.concat_ws(" ", "event_type", "props").alias("text"),
-    ]
-
-
-def _landed(events: DataFrame, line: Column) -> DataFrame:
+def _landed(shaped: DataFrame, line: str) -> DataFrame:
     """Lines with the slots they landed in.  Some lines lose their closing brace, as
     when a connection drops."""
-    wall, value = slots.wall_clock(F.col("time_ms")), F.col("value")
-    cut = F.when(_nth("event_id", 23), 1).otherwise(0)
-    return events.withColumn("value", line).select(
+    wall = slots.wall_clock(F.col("time_ms"))
+    return shaped.withColumn("line", F.expr(line)).select(
         slots.slot_of(wall, "day").alias("landing_day"),
         slots.slot_of(wall, "hour").alias("landing_hour"),
-        F.substr(value, F.lit(1), F.length(value) - cut).alias("value"),
+        F.expr("substr(line, 1, length(line) - if(event_id % 23 = 0, 1, 0)) as value"),
     )
 
 
 def envelope_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One slim message line per event, with the slots it landed in."""
-    message = F.struct(
-        *_head(),
-        F.coalesce(_lon_lat(), F.array().cast("array<double>")).alias("coordinates"),
-        F.struct(_hashtags().alias("hashtags"), _mentions().alias("user_mentions")).alias("entities"),
-        _user().alias("user"),
-        _place().alias("place"),
-    )
-    return _landed(_placed_events(spark, sf_dir), F.to_json(message, _KEEP_NULLS))
+    return _landed(_shaped_events(spark, sf_dir), f"""
+        to_json(struct(id_str, timestamp_ms, text, coalesce(point, cast(array() as array<double>)) as coordinates,
+                       struct(hashtags, mentions as user_mentions) as entities, user, place), {_KEEP_NULLS})""")
 
 
 def raw_status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw API status per event: tags and mentions are objects, and some tag
     lists also hold a bare string."""
-    tag_objects = F.transform(_hashtags(), lambda t: F.to_json(F.struct(t.alias("text"))))
-    tags = F.when(_nth("event_id", 19), F.concat(tag_objects, F.array(F.lit('"bare"')))).otherwise(tag_objects)
-    mentions = F.transform(_mentions(), lambda u: F.to_json(F.struct(u.alias("screen_name"), u.alias("name"))))
-
-    def member(name: str, json: Column) -> Column:
-        return F.concat(F.lit(f'"{name}":'), json)
-
-    def json_list(items: Column) -> Column:
-        return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
-
-    def json_or_null(value: Column) -> Column:
-        return F.coalesce(F.to_json(value, _KEEP_NULLS), F.lit("null"))
-
-    head = F.regexp_replace(F.to_json(F.struct(*_head()), _KEEP_NULLS), r"\}$", "")
-    point = F.when(_lon_lat().isNotNull(), F.struct(_lon_lat().alias("coordinates")))
-    entities = F.concat(
-        F.lit("{"), member("hashtags", json_list(tags)), F.lit(","),
-        member("user_mentions", json_list(mentions)), F.lit("}"))
-    line = F.concat(F.concat_ws(
-        ",", head, member("coordinates", json_or_null(point)), member("entities", entities),
-        member("user", json_or_null(_user())), member("place", json_or_null(_place())),
-    ), F.lit("}"))
-    return _landed(_placed_events(spark, sf_dir), line)
+    return _landed(_shaped_events(spark, sf_dir), f"""
+        concat('{{', concat_ws(',',
+          regexp_replace(to_json(struct(id_str, timestamp_ms, text)), '^[{{]|[}}]$', ''),
+          concat('"coordinates":', coalesce(to_json(if(point is null, null, struct(point as coordinates))), 'null')),
+          concat('"entities":{{"hashtags":[',
+            array_join(concat(transform(hashtags, t -> to_json(named_struct('text', t))),
+                              if(event_id % 19 = 0, array('"bare"'), {_NO_STRINGS})), ','),
+            '],"user_mentions":[',
+            array_join(transform(mentions, u -> to_json(named_struct('screen_name', u, 'name', u))), ','), ']}}'),
+          concat('"user":', coalesce(to_json(user, {_KEEP_NULLS}), 'null')),
+          concat('"place":', coalesce(to_json(place, {_KEEP_NULLS}), 'null'))), '}}')""")

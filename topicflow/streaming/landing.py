@@ -34,16 +34,15 @@ def with_landing_slots(
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error is one of {ON_ERROR}")
     now = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
-    value = F.col("value")
-    read = lines.select("value", F.explode_outer(F.array(jsonline.read_object(value, _EVENT_TIME))).alias("_parsed"))
-    whole = jsonline.is_whole(value, F.col("_parsed"))
-    time_ms = F.get(F.col("_parsed"), F.lit(0))["timestamp_ms"].try_cast("bigint")
+    read = jsonline.read_objects(lines.select("value"), "value", _EVENT_TIME)
+    whole = jsonline.is_whole("value")
+    time_ms = F.expr("try_cast(obj.timestamp_ms as bigint)")
     usable = whole & (time_ms >= FIRST_TIME_MS) & (time_ms < END_TIME_MS)
     timed = read.select("value", (~whole).alias("malformed"), F.when(usable, time_ms).alias("_time_ms"))
     if oldest_days is not None:
         timed = timed.where(F.coalesce(F.col("_time_ms") >= now - oldest_days * _DAY_MS, F.lit(True)))
     if on_error == "fail":
-        message = F.concat(F.lit("malformed message line: "), F.coalesce(value, F.lit("null")))
+        message = F.concat(F.lit("malformed message line: "), F.coalesce("value", F.lit("null")))
         timed = timed.withColumn("malformed", F.when(F.col("malformed"), F.raise_error(message).cast("boolean")).otherwise(F.lit(False)))
     wall = slots.wall_clock(F.coalesce(F.col("_time_ms"), now), zone)
     return timed.select(
