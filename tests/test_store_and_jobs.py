@@ -47,6 +47,21 @@ def test_replacing_a_slot_leaves_the_others_and_nothing_stale(spark, store):
     assert [c for c, _ in store.read(name).dtypes] == list(TABLES[name].columns)
 
 
+def test_a_hot_slot_is_written_by_several_tasks(spark, store):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64KB")
+    try:
+        rows = spark.range(0, 60_000, 1, 8).selectExpr(
+            "cast(if(id % 10 = 0, 2, 1) as int) as dayslot", "uuid() as topic", "1L as count")
+        store.replace(trends_name("world", "day"), rows)
+    finally:
+        spark.conf.set(key, before)
+    written = store.stored(trends_name("world", "day")).where("dayslot = 1")
+    assert written.count() == 54_000
+    assert len(written.inputFiles()) > 2
+
+
 def test_lookup_prunes_folders_and_pushes_the_place(spark, store):
     rows = spark.createDataFrame([(d, c, "t", 1) for d in (1, 2) for c in ("US", "DE")],
                                  "dayslot int, country string, topic string, count bigint")

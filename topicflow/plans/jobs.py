@@ -115,11 +115,18 @@ def roll_up_days(store: Store, days: Iterable[int], into: Store | None = None, k
 
 
 def location_job(store: Store, lines: DataFrame, zone: str = slot_fn.UTC) -> None:
-    """Positions by country and by city."""
-    messages = parse.parse_messages(lines, zone)
-    for level in ("country", "city"):
-        rows = locations.locations(messages, level)
-        store.replace(locations_name(level), rows.withColumn("dayslot", slot_fn.slot(F.col("time_ms"), "day", zone)))
+    """Positions by country and by city.  The lines are parsed once, into a staged
+    table that both tables are written from."""
+    spark, staged_path = store.spark, run_dir(store.spark, "positions")
+    rows = locations.locations(parse.parse_messages(lines, zone), "city").withColumn(
+        "dayslot", slot_fn.slot(F.col("time_ms"), "day", zone))
+    try:
+        rows.write.parquet(staged_path)
+        staged = spark.read.schema(rows.schema).parquet(staged_path)
+        _together(spark, *[
+            lambda name=locations_name(level): store.replace(name, staged) for level in ("country", "city")])
+    finally:
+        files.delete(spark, staged_path)
 
 
 def expire_all(store: Store, names: Iterable[str], as_of: datetime | None = None) -> dict[str, list[str]]:

@@ -322,7 +322,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
     root = run_dir(spark, "landed")
     now_ms = F.lit(int(NOW.timestamp() * 1000))
     _arrive(spark, sf_dir, lambda lines, checkpoint: landing.landing_writer(
-        lines, root, checkpoint, oldest_days=None, now_ms=now_ms))
+        lines, root, checkpoint, oldest_days=None, now_ms=now_ms, backlog=True))
     return root
 
 

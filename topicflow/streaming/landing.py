@@ -52,23 +52,26 @@ def with_landing_slots(
     )
 
 
-def write_landed(lines: DataFrame, root: str, label: str, fmt: str = "parquet") -> None:
+def write_landed(lines: DataFrame, root: str, label: str, fmt: str = "parquet", backlog: bool = False) -> None:
     """Write one batch of lines under its own label; writing it again replaces it.
 
-    Rebalancing spreads a full hour over several files and keeps a sparse one in a
-    single file.  `text` writes gzip lines, which readers cannot split.
+    A usual pull covers an hour or two, so every task adds a file or two and the
+    lines are not shuffled.  A `backlog` of many hours is first rebalanced by hour:
+    a full hour is spread over several files, a sparse one gets a single file.
+    `text` writes gzip lines, which readers cannot split.
     """
     codec = {"parquet": "zstd", "text": "gzip"}[fmt]
-    (lines.select("value", "landing_day", "landing_hour", F.lit(label).alias("batch"))
-     .hint("rebalance", F.col("landing_day"), F.col("landing_hour"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows = lines.select("value", "landing_day", "landing_hour", F.lit(label).alias("batch"))
+    if backlog:
+        rows = rows.hint("rebalance", F.col("landing_day"), F.col("landing_hour"))
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("compression", codec).partitionBy(*_PARTITIONS).format(fmt).save(root))
 
 
 def landing_writer(
     lines: DataFrame, root: str, checkpoint: str, fmt: str = "parquet", zone: str = slots.UTC,
     on_error: str = "keep", rejects: str | None = None, oldest_days: int | None = OLDEST_DAYS,
-    now_ms: Column | None = None,
+    now_ms: Column | None = None, backlog: bool = False,
 ) -> DataStreamWriter:
     """Land a stream.  Start it with `run_available` for a pull of what is new; the
     source's `maxOffsetsPerTrigger` bounds one batch.
@@ -83,10 +86,10 @@ def landing_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         label = batch_label(batch, batch_id)
         if on_error != "reject":
-            write_landed(batch.where(~F.col("malformed")) if on_error == "fail" else batch, root, label, fmt)
+            write_landed(batch.where(~F.col("malformed")) if on_error == "fail" else batch, root, label, fmt, backlog)
             return
-        write_landed(batch.where(~F.col("malformed")), root, label, fmt)
-        write_landed(batch.where(F.col("malformed")), rejects, label, fmt)
+        write_landed(batch.where(~F.col("malformed")), root, label, fmt, backlog)
+        write_landed(batch.where(F.col("malformed")), rejects, label, fmt, backlog)
 
     return each_batch(slotted, write, checkpoint)
 
@@ -119,9 +122,12 @@ def compact_days(spark: SparkSession, hourly: str, daily: str, days: Iterable[in
         if noted:
             folder = F.concat_ws("/", *keys)
             lines = lines.where(~folder.isin(["/".join(map(str, n)) for n in sorted(noted)]))
-        (lines.select("value", "landing_hour", "landing_day", move.alias("move"))
-         .hint("rebalance", F.col("landing_day"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rows = lines.select("value", "landing_hour", "landing_day", move.alias("move"))
+        # The scan already packs small files into full tasks, and a task of one day
+        # writes one file.  Only several days at once need a shuffle to keep it so.
+        if len(days) > 1:
+            rows = rows.hint("rebalance", F.col("landing_day"))
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("compression", "zstd").partitionBy("landing_day", "move").parquet(daily))
         note = spark.createDataFrame([(d, h, b, moves[d]) for d, h, b in todo], _MOVED)
         note.coalesce(1).write.mode("append").partitionBy("landing_day").parquet(log)
