@@ -84,7 +84,7 @@ def test_null_fields_are_not_counted(spark):
 
 def test_hot_group_is_cut_before_the_shuffle(spark):
     counts = spark.range(5000).selectExpr(
-        "20240101 as dayslot", "concat('t', id) as topic", "cast(id % 7 as bigint) as count")
+        "cast(20240101 + id div 100000 as int) as dayslot", "concat('t', id) as topic", "cast(id % 7 as bigint) as count")
     top = ranking.top_topics(counts, "world", "day")
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
