@@ -13,7 +13,7 @@ from topicflow.functions import slots
 from topicflow.operators import envelope, live, locations, parse, ranking, summary, topics
 from topicflow.plans import jobs, serve
 from topicflow.schema import (
-    GRAIN_SLOT, GRAINS, LEVEL_KEYS, LEVELS, TABLES, TOP_K, live_locations_name, live_messages_name, locations_name,
+    GRAIN_SLOT, GRAINS, LEVEL_KEYS, LEVELS, TABLES, live_locations_name, live_messages_name, locations_name,
     top_name, trends_name,
 )
 from topicflow.session import run_dir
@@ -249,20 +249,20 @@ def _arrive(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, str],
         run_available(start(line_sources.file_stream(spark, folder, "parquet"), checkpoint))
 
 
-def _minute_store(spark: SparkSession, sf_dir: str, world_k: int | None) -> Store:
+def _minute_store(spark: SparkSession, sf_dir: str) -> Store:
     """The minute tables as a stream of all lines leaves them, run on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir, f"minutes-{world_k}")
+    key = (spark.sparkContext.applicationId, sf_dir, "minute")
     if key not in _stores:
-        store = Store(spark, run_dir(spark, "minutes"))
+        store = Store(spark, run_dir(spark, "store-minute"))
         _arrive(spark, sf_dir, lambda lines, checkpoint: minutes.minute_writer(
-            parse.parse_messages(lines), store, checkpoint, world_k=world_k), flush=True)
+            parse.parse_messages(lines), store, checkpoint, world_k=None), flush=True)
         _stores[key] = store
     return _stores[key]
 
 
 def _stream_minutes(level: str, top: bool = False) -> Query:
     name = (top_name if top else trends_name)(level, "minute")
-    return lambda spark, sf_dir: _minute_store(spark, sf_dir, None).stored(name).select(*TABLES[name].columns)
+    return lambda spark, sf_dir: _minute_store(spark, sf_dir).stored(name).select(*TABLES[name].columns)
 
 
 def stream_minute_all_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,14 +280,14 @@ def stream_minute_all_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def serve_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minute page, asked two minutes after the newest minute there is."""
-    store = _minute_store(spark, sf_dir, TOP_K)
+    store = _minute_store(spark, sf_dir)
     newest = store.stored(trends_name("world", "minute")).agg(F.max("minuteslot")).first()[0]
     asked = datetime.strptime(str(newest), slots.SLOT_FORMAT["minute"]).replace(tzinfo=timezone.utc)
     return serve.minute_topics(store, asked + serve.MINUTE_DELAY)
 
 
 def timeslots_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serve.timeslots(_minute_store(spark, sf_dir, None), "minute", NOW)
+    return serve.timeslots(_minute_store(spark, sf_dir), "minute", NOW)
 
 
 def stream_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
