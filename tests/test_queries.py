@@ -2,8 +2,11 @@ import __spark_entry__ as driver
 import compare
 import pytest
 
+from topicflow.plans import oracles
+from topicflow.plans import queries as registered
+
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = registered.registry(), oracles.sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +23,11 @@ def test_query_equals_sql(spark, con, name):
     assert compare.differences(QUERIES[name](spark, SF_DIR), con, SQL[name]) == []
 
 
+def test_the_driver_sees_every_query():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(SQL) <= set(driver.oracle_sql()) <= set(driver.queries())
+
+
 def test_entry(spark):
     top = driver.entry(spark)
     assert top.columns == ["dayslot", "country", "topic", "count"]
