@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.llm import decontaminate
+from topicflow.llm import bytebpe, decontaminate, tokenfile
+from topicflow.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = Scratch(spark, "tokens")
+    manifest = tokenfile.write(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), folder)
+    crc = {"ids_crc32": ("long", pa.int64(), lambda ids: zlib.crc32(ids.astype("<u4").tobytes()))}
+    return tokenfile.read(manifest, crc)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -28,5 +39,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = bytebpe.encode(docs, ranks, pattern, keep=["doc_id"])
+    back = bytebpe.decode(tokens, ranks, pattern)
+    return back.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_decontaminate,)}
+    return {f.__name__: f for f in (op2_token_files, op3_decontaminate, op6_byte_bpe)}
