@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.llm import bytebpe, decontaminate, tokenfile
+from topicflow.llm import bytebpe, decontaminate, lshforest, tokenfile
 from topicflow.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,5 +50,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lshforest.link(docs, Scratch(spark, "near"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_token_files, op3_decontaminate, op6_byte_bpe)}
+    return {f.__name__: f for f in (op2_token_files, op3_decontaminate, op6_byte_bpe, op10_near_dedup)}
