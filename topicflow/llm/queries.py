@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.llm import bytebpe, decontaminate, lshforest, tokenfile
+from topicflow.llm import bytebpe, decontaminate, lshforest, passages, tokenfile
 from topicflow.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = passages.remove_repeats(docs, Scratch(spark, "passages"), keep=["doc_id"])
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,4 +63,4 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_token_files, op3_decontaminate, op6_byte_bpe, op10_near_dedup)}
+    return {f.__name__: f for f in (op2_token_files, op3_decontaminate, op5_substring_dedup, op6_byte_bpe, op10_near_dedup)}

@@ -115,22 +115,33 @@ _powers = np.ones(1, U64)
 _inverse = np.ones(1, U64)
 
 
-def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of every n consecutive entries of h, rows not looked at; shorter by n - 1."""
+def _sums(h: np.ndarray) -> np.ndarray:
+    """Prefix sums of the entries times the powers of a fixed odd number."""
     global _powers, _inverse
     m = len(h)
-    if m < n:
-        return np.empty(0, U64)
-    if len(_powers) < m:
-        size = max(m, 1 << 18)
-        r = np.full(size, U64(_R))
+    if len(_powers) < m + 1:
+        r = np.full(max(m + 1, 1 << 18), U64(_R))
         r[0] = 1
         _powers = np.cumprod(r, dtype=U64)
         r[1:] = U64(pow(_R, -1, 1 << 64))
         _inverse = np.cumprod(r, dtype=U64)
     sums = np.zeros(m + 1, U64)
     np.cumsum(h * _powers[:m], dtype=U64, out=sums[1:])
-    return mix((sums[n:] - sums[:-n]) * _inverse[:m - n + 1] + U64(n))
+    return sums
+
+
+def gram_hashes(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of every n consecutive entries of h, rows not looked at; shorter by n - 1."""
+    if len(h) < n:
+        return np.empty(0, U64)
+    sums = _sums(h)
+    return mix((sums[n:] - sums[:-n]) * _inverse[:len(h) - n + 1] + U64(n))
+
+
+def range_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the runs h[start:end]; equal to those of `gram_hashes`."""
+    sums = _sums(h)
+    return mix((sums[end] - sums[start]) * _inverse[start] + (end - start).astype(U64))
 
 
 def ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
