@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.llm import bytebpe, decontaminate, lshforest, passages, tokenfile
+from topicflow.llm import bytebpe, decontaminate, lshforest, passages, quality, tokenfile
 from topicflow.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,12 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return done.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = lshforest.link(docs, Scratch(spark, "near"))
@@ -63,4 +69,4 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_token_files, op3_decontaminate, op5_substring_dedup, op6_byte_bpe, op10_near_dedup)}
+    return {f.__name__: f for f in (op2_token_files, op3_decontaminate, op5_substring_dedup, op6_byte_bpe, op8_quality, op10_near_dedup)}
