@@ -3,5 +3,110 @@
 from __future__ import annotations
 
 
+OP1 = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), turns AS (
+    SELECT *, lag(role) OVER w AS before, lead(role) OVER w AS after,
+        length(regexp_replace(text, '([\[<])(\\*(?:SYS\]|/SYS\]|INST\]|/INST\]|ANS\]|/s>|ROLE\]|IS\]))', '\1\\\2', 'g')) AS chars,
+        CASE role WHEN 'system' THEN 11 WHEN 'user' THEN 13 WHEN 'assistant' THEN 9 ELSE 14 + length(role) END AS marks
+    FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(chars + marks) AS BIGINT) AS formatted_chars,
+    bool_and(coalesce(before, 'start') || '>' || role
+             IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user'))
+        AND bool_or(after IS NULL AND role = 'assistant') AS valid
+FROM turns GROUP BY conv_id
+"""
+
+OP9 = """
+WITH payloads AS (
+    SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), keepers AS (
+    SELECT payload_digest, max(page_id) AS keeper FROM payloads WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, p.payload_digest AS payload_digest,
+    CASE WHEN keeper <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN keeper <> page_id THEN keeper END AS refers_to
+FROM payloads p LEFT JOIN keepers k ON p.payload_digest = k.payload_digest
+"""
+
+OP3 = r"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), item AS (
+    SELECT CAST(item_id AS VARCHAR) AS item_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), gram AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
+        SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM item WHERE len(w) > 0)
+), hit AS (
+    SELECT DISTINCT doc_id, i, d.n, item_id FROM (
+        SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
+            SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM gram) WHERE len(w) >= n)) d
+    JOIN gram USING (n, g)
+), words AS (
+    SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM hit) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+OP5 = r"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+    SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM doc WHERE len(w) >= 50)
+), low AS (
+    SELECT g, min(doc_id) AS first_id FROM win GROUP BY g
+), gone AS (
+    SELECT doc_id, list(DISTINCT place) AS places FROM (
+        SELECT doc_id, unnest(range(i, i + 50)) AS place FROM win JOIN low USING (g) WHERE first_id < doc_id) GROUP BY doc_id
+), word AS (
+    SELECT doc_id, generate_subscripts(w, 1) AS place, unnest(w) AS word FROM doc
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text FROM word
+    ANTI JOIN (SELECT doc_id, unnest(places) AS place FROM gone) USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM doc LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+OP10 = r"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, g FROM (
+        SELECT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g FROM (
+            SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM doc WHERE len(w) > 0))
+), size AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), pair AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+), link AS (
+    SELECT a, b FROM pair p JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * p.n >= 75 * (x.n + y.n - p.n)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM doc UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), component AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM component LEFT JOIN size USING (doc_id)
+"""
+
+
 def sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_chat": OP1, "op3_decontaminate": OP3, "op5_substring_dedup": OP5, "op9_warc": OP9, "op10_near_dedup": OP10,
+    }
