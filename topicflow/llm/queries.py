@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.llm import bytebpe, chat, decontaminate, lshforest, passages, quality, tokenfile, warc
+from topicflow.llm import bytebpe, chat, decontaminate, lshforest, passages, quality, syncmers, tokenfile, warc
 from topicflow.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,17 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = syncmers.with_edits(table(spark, sf_dir, "documents"))
+    own = F.col("anchors")
+    return done.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        syncmers.fingerprint(own).alias("fingerprint"), syncmers.fingerprint(F.col("edited_anchors")).alias("edited_fingerprint"),
+        syncmers.likeness(own, F.col("edited_anchors")).alias("near_edited"),
+        syncmers.likeness(own, F.col("next_anchors")).alias("near_next"),
+    )
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = passages.remove_repeats(docs, Scratch(spark, "passages"), keep=["doc_id"])
@@ -90,4 +101,4 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_chat, op2_token_files, op3_decontaminate, op5_substring_dedup, op6_byte_bpe, op8_quality, op9_warc, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_chat, op2_token_files, op3_decontaminate, op4_syncmers, op5_substring_dedup, op6_byte_bpe, op8_quality, op9_warc, op10_near_dedup)}
