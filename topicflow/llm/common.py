@@ -16,7 +16,7 @@ from topicflow.session import run_dir
 from topicflow.sinks import files
 
 # Bytes of text that one numpy step works on; a longer row is a step of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 _shipped: set[str] = set()
 
