@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.llm import bytebpe, chat, decontaminate, lshforest, passages, quality, syncmers, tokenfile, warc
+from topicflow.llm import bytebpe, chat, decontaminate, lm, lshforest, passages, quality, syncmers, tokenfile, warc
 from topicflow.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,13 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = Scratch(spark, "lm")
+    model, counts, totals = lm.fit(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, folder)
+    return lm.score(docs, model, counts, totals, folder)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
@@ -101,4 +108,4 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_chat, op2_token_files, op3_decontaminate, op4_syncmers, op5_substring_dedup, op6_byte_bpe, op8_quality, op9_warc, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_chat, op2_token_files, op3_decontaminate, op4_syncmers, op5_substring_dedup, op6_byte_bpe, op7_lm_score, op8_quality, op9_warc, op10_near_dedup)}

@@ -92,8 +92,14 @@ class PieceEncoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of a `texts` column, one after another, and the number of ids of each row."""
         own = self.spans(column)
+        ids, counts = self.pieces(own)
+        sums = np.concatenate([[0], np.cumsum(counts)])
+        return ids, sums[own.first[1:]] - sums[own.first[:-1]]
+
+    def pieces(self, own: words.Words) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, one after another, and the number of ids of each piece."""
         if not len(own.start):
-            return np.empty(0, np.uint32), np.zeros(len(column), np.int64)
+            return np.empty(0, np.uint32), np.empty(0, np.int64)
         distinct, sample, which = np.unique(own.hashes(), return_index=True, return_inverse=True)
         if len(self.ids) > CACHE_IDS:
             self._forget()
@@ -109,8 +115,7 @@ class PieceEncoder:
             at = np.searchsorted(self.keys, distinct)
         place = self.place[at][which]
         counts = self.begin[place + 1] - self.begin[place]
-        sums = np.concatenate([[0], np.cumsum(counts)])
-        return self.ids[words.ragged(self.begin[place], counts)], sums[own.first[1:]] - sums[own.first[:-1]]
+        return self.ids[words.ragged(self.begin[place], counts)], counts
 
 
 _encoders: dict[tuple[str, str], PieceEncoder] = {}
