@@ -19,6 +19,8 @@ VERDICTS = {
     f"{FULL}]": "malformed",
     f"{FULL}],[{FULL}": "malformed",
     f"{FULL},null]": "malformed",
+    f"{FULL},null],[{FULL}": "malformed",
+    f'{FULL},{{"timestamp_ms":"1"}}],[{FULL}': "malformed",
     FULL.replace('"', "'"): "malformed",
     f"  {FULL} ": "ok",
     "{}": "missing_key",
@@ -86,6 +88,11 @@ def test_errors_can_fail_the_run(spark):
     assert parse.messages(parse.refuse_errors(parse.parse_lines(frame(spark, [FULL])))).count() == 1
 
 
+def test_only_fields_of_messages_are_decoded(spark):
+    plan = parse.parse_messages(frame(spark, [FULL]))._jdf.queryExecution().executedPlan().toString()
+    assert "screen_name" in plan and "full_name" not in plan and "location" not in plan
+
+
 def test_the_json_is_read_once_and_without_python(spark, tmp_path):
     path = str(tmp_path / "lines")
     frame(spark, [FULL]).write.text(path)

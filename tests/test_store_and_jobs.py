@@ -122,12 +122,47 @@ def test_day_job_equals_the_roll_up_of_hours(spark, store):
     assert landing.compact_day(spark, hourly, daily, DAY) == 12
     assert jobs.day_job(store, daily, DAY) == [DAY]
     rolled = Store(spark, run_dir(spark, "rolled"))
-    jobs.roll_up_days(store, [DAY], rolled)
+    quiet = jobs.missing_hours(store, [DAY])
+    assert len(quiet) == 12
+    jobs.roll_up_days(store, [DAY], rolled, quiet=quiet)
     for level in ("world", "country", "city"):
         for name in (trends_name(level, "day"), top_name(level, "day")):
             assert counts(rolled.read(name)) == counts(store.read(name)) != {}
 
 
+def test_a_day_whose_hours_expired_is_not_rolled_up(spark, store):
+    lines = [at(T0 - 5 * HOUR + h * HOUR, "a") for h in range(24)]
+    rows = frame(spark, lines).selectExpr("value", "0 as landing_hour")
+    jobs.run_slots(store, rows, "hour", "landing_hour")
+    jobs.roll_up_days(store, [DAY])
+    whole = counts(store.read(trends_name("world", "day")))
+    assert whole == {(DAY, "a"): 24}
+    # Rows of the first three hours, as if written when these closed, are past their day at 05:15.
+    morning = datetime(2015, 9, 18, 5, 15, tzinfo=timezone.utc)
+    names = [trends_name(level, "hour") for level in ("world", "country", "city")] + [counts_name("hour")]
+    for name in names:
+        early = store.stored(name, [DAY * 100 + h for h in range(3)]).drop("written_at")
+        copy = spark.createDataFrame(early.collect(), early.schema)
+        store.replace(name, copy, written_at=morning - timedelta(days=1, hours=1))
+    assert all(len(found) == 3 for found in jobs.expire_all(store, names, morning).values())
+    with pytest.raises(ValueError, match="3 hours are not stored"):
+        jobs.roll_up_days(store, [DAY])
+    assert counts(store.read(trends_name("world", "day"))) == whole
+    for name in names[:3]:
+        store.drop_slots(name, [DAY * 100 + h for h in range(24)])
+    jobs.roll_up_days(store, [DAY], quiet=range(DAY * 100, DAY * 100 + 24))
+    assert counts(store.read(trends_name("world", "day"))) == {}
+
+
+def test_the_first_topics_need_no_scan_of_all_slots(spark, store):
+    name = trends_name("world", "day")
+    store.replace(name, trends(spark, [(d, t, 1) for d in (1, 2, 3) for t in "ab"]))
+    found = serve.topics(store, "day", limit=3)
+    assert [(r.dayslot, r.topic) for r in found.collect()] == [(1, "a"), (1, "b"), (2, "a")]
+    assert {f.split("dayslot=")[1][0] for f in found.inputFiles()} == {"1", "2"}
+    assert store.slots(name) == [1, 2, 3]
+
+
 def test_compaction_can_break_off_and_run_again(spark):
     hourly, daily = run_dir(spark, "hourly"), run_dir(spark, "daily")
     land(spark, hourly, [at(T0, "a"), at(T0 + HOUR, "b")], "b0")

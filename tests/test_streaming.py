@@ -6,7 +6,7 @@ from lines import T0, at, frame
 from pyspark.sql import functions as F
 
 from topicflow.operators import live, parse, topics
-from topicflow.plans import serve
+from topicflow.plans import queries, serve
 from topicflow.schema import top_name, trends_name
 from topicflow.session import run_dir
 from topicflow.sinks import publish
@@ -105,6 +105,54 @@ def test_late_rows_are_dropped_and_world_is_cut(spark, feed, store):
     assert {r.topic for r in world.where(~F.col("topic").startswith("w")).collect()} == {"b", "c"}
 
 
+def test_a_message_of_the_future_holds_nothing_up(spark, feed, store):
+    checkpoint, lines = run_dir(spark, "checkpoint"), sample()
+    clock = M0 + 30 * MINUTE
+
+    def run(now):
+        run_available(minutes.minute_writer(feed.messages(), store, checkpoint, world_k=None, clock=F.timestamp_millis(F.lit(now))))
+
+    feed.put(*lines[:10], at(4_102_444_800_000, "future"))
+    run(M0 + 2 * MINUTE)
+    feed.put(*lines[10:20])
+    feed.put(*lines[20:], at(clock - 5 * MINUTE, "x"))
+    run(clock)
+    for _ in range(2):
+        feed.put(at(4_102_444_800_000, "end"))
+        run(clock + 60 * MINUTE)
+    found = counted(store.stored(trends_name("world", "minute")), "topic")
+    batch = topics.explode_topics(parse.parse_messages(frame(spark, lines)))
+    assert {k: n for k, n in found.items() if k[0] not in ("future", "x", "end")} == counted(topics.trend_counts(batch, "world", "day"), "topic")
+    future = store.stored(trends_name("world", "minute")).where(F.col("topic") == "future").collect()
+    assert [r.minuteslot for r in future] == [201509170552]
+
+
+def test_a_feed_over_two_months_loses_nothing(spark, tmp_path, monkeypatch):
+    source = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    for name in ("nation", "region"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    moved = F.when(F.col("event_id") % 2 == 0, F.col("ts") + F.expr("interval 31 days")).otherwise(F.col("ts"))
+    source.withColumn("ts", moved.cast("timestamp_ntz")).write.parquet(str(tmp_path / "events.parquet"))
+    got = counted(queries.stream_minute_all_levels(spark, str(tmp_path)).where("topic <> 'flush'"), "level", "minuteslot", "country", "city", "topic")
+    want = Counter()
+    for level in ("world", "country", "city"):
+        for r in queries.registry()[f"trends_{level}_minute"](spark, str(tmp_path)).collect():
+            d = r.asDict()
+            want[(level, d["minuteslot"], d.get("country"), d.get("city"), d["topic"])] += d["count"]
+    assert got == want
+
+
+def test_ticks_of_one_minute_add_up_before_the_cut(spark, feed, store):
+    checkpoint, clock = run_dir(spark, "checkpoint"), F.timestamp_millis(F.lit(M0))
+    for part in ("aaabb", "cccbb"):
+        feed.put(*[at(M0, t) for t in part])
+        run_available(minutes.tick_writer(feed.messages(), store, checkpoint, k=1, world_k=1, within_ms=None, clock=clock))
+    assert counted(store.stored(trends_name("world", "minute")), "topic") == {("b",): 4}
+    assert counted(store.stored(top_name("country", "minute")), "country", "topic") == {("US", "b"): 4}
+    assert counted(store.stored(trends_name("city", "minute")), "topic") == {("a",): 3, ("b",): 4, ("c",): 3}
+    assert store.stored(trends_name("city", "minute")).count() == 3
+
+
 def test_ticks_count_what_arrived(spark, feed, store):
     for part in (["a", "b"], ["a"], ["c"]):
         feed.put(*[at(M0, t) for t in part])
@@ -151,6 +199,12 @@ def test_last_write_wins(spark, feed, store):
     assert store.stored("rt_tweet_locations_world").count() == 1
 
 
+def test_the_last_write_is_that_of_the_largest_number(spark):
+    rows = spark.createDataFrame([(1, 5, "a", "9"), (1, 5, "b", "10"), (1, 5, "c", "2"), (1, 6, "d", "x"), (1, 6, "e", "7"), (1, 7, "f", "y"), (1, 7, "g", "z")],
+                                 "secslot long, time_ms long, topic string, id string")
+    assert {r.time_ms: r.topic for r in live.last_write_wins(rows, ["id"]).collect()} == {5: "b", 6: "e", 7: "g"}
+
+
 def test_landing_by_event_hour(spark, feed):
     root, checkpoint = run_dir(spark, "landed"), run_dir(spark, "checkpoint")
     now = F.lit(M0 + 2 * 3_600_000)

@@ -12,26 +12,30 @@ from pyspark.sql import functions as F
 
 
 def read_objects(lines: DataFrame, line: str, schema: str) -> DataFrame:
-    """Add `_parsed`, the line read as an element of the array `[line,null]`, and `obj`.
+    """Add `_parsed`, the line read as the first element of an array, and `obj`.
 
     A bare parse stops at the closing brace and accepts whatever follows.  Inside
-    an array the parser must meet a comma next, and the array must have exactly
-    two elements (see `is_whole`), so trailing text is caught by the same, single
-    parse.  NaN and Infinity are accepted, single-quoted strings are not.
+    an array the parser must meet a comma next, and the array must end with one
+    more element, whose `timestamp_ms` is the line's own hash (see `is_whole`).  A
+    line cannot spell that, so trailing or glued text is caught by the same, single
+    parse.  `schema` needs a string field `timestamp_ms`.  NaN and Infinity are
+    accepted, single-quoted strings are not.
 
     The result passes through a one-element explode.  Filters cannot be pushed
     below a generator, so the JSON is read once per line however many predicates
     and columns are taken from it.
     """
     parsed = F.expr(
-        f"explode_outer(array(from_json(concat('[', {line}, ',null]'), 'array<{schema}>', "
+        f"explode_outer(array(from_json(concat('[', {line}, ',{{\"timestamp_ms\":\"', xxhash64({line}), '\"}}]'), "
+        f"'array<{schema}>', "
         "map('allowSingleQuotes', 'false', 'allowNonNumericNumbers', 'true'))))")
     return lines.select("*", parsed.alias("_parsed")).withColumn("obj", F.expr("get(_parsed, 0)"))
 
 
 def is_whole(line: str) -> Column:
     """True if the line is one JSON object and nothing else."""
-    return F.expr(f"coalesce(size(_parsed) = 2 and obj is not null and endswith(rtrim({line}), '}}'), false)")
+    return F.expr("coalesce(size(_parsed) = 2 and obj is not null "
+                  f"and get(_parsed, 1).timestamp_ms = cast(xxhash64({line}) as string) and endswith(rtrim({line}), '}}'), false)")
 
 
 def has_keys(line: str, keys: Sequence[str]) -> Column:

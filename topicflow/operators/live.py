@@ -45,10 +45,14 @@ def live_messages(messages: DataFrame, level: str, secslot: Column | None = None
 def last_write_wins(rows: DataFrame, arrival: list[str]) -> DataFrame:
     """One row per (secslot, time_ms): the one that arrived last.
 
+    `arrival` names the columns that tell the order.  Ids are numbers written as text and
+    grow as messages arrive: they count as numbers, and as text only where they are none.
     `max_by` combines inside each task, so many rows of one second and
     millisecond are never gathered in one place.
     """
     keys = ["secslot", "time_ms"]
     rest = [c for c in rows.columns if c not in keys and c not in arrival]
-    newest = F.max_by(F.struct(*rest), F.struct(*arrival)).alias("_row")
+    text = {name for name, kind in rows.dtypes if kind == "string"}
+    order = [part for c in arrival for part in ([F.expr(f"try_cast({c} as bigint)"), F.col(c)] if c in text else [F.col(c)])]
+    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
     return rows.groupBy(*keys).agg(newest).select(*keys, "_row.*")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicflow.functions import jsonline, slots
-from topicflow.schema import ENVELOPE, REQUIRED_KEYS
+from topicflow.schema import MESSAGE_FIELDS, REQUIRED_KEYS
 
 OK = "ok"
 # In the order they are tested; the first that applies wins.
@@ -36,7 +36,7 @@ MESSAGE_COLUMNS = tuple(_COLUMNS)
 
 def parse_lines(lines: DataFrame, line: str = "value") -> DataFrame:
     """Add the message columns and a `verdict` to every line; no line is dropped."""
-    read = jsonline.read_objects(lines, line, ENVELOPE)
+    read = jsonline.read_objects(lines, line, MESSAGE_FIELDS)
     verdict = (
         F.when(~jsonline.is_whole(line), "malformed")
         .when(~jsonline.has_keys(line, REQUIRED_KEYS), "missing_key")

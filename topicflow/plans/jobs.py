@@ -102,16 +102,35 @@ def day_job(store: Store, daily: str, day: int, zone: str = slot_fn.UTC, k: int
     return run_slots(store, lines, "day", "landing_day", [day], zone, k)
 
 
-def roll_up_days(store: Store, days: Iterable[int], into: Store | None = None, k: int = TOP_K) -> None:
-    """Day trends and top lists from the stored hour trends, without the lines."""
+def missing_hours(store: Store, days: Iterable[int]) -> list[int]:
+    """The hours of these days without a summary: never counted, without lines, or already expired."""
+    hours = [day * 100 + h for day in sorted(set(days)) for h in range(24)]
+    there = {r.hourslot for r in store.stored(counts_name("hour"), hours).select("hourslot").distinct().collect()}
+    return [h for h in hours if h not in there]
+
+
+def roll_up_days(store: Store, days: Iterable[int], into: Store | None = None, k: int = TOP_K,
+                 quiet: Iterable[int] = ()) -> None:
+    """Day trends and top lists from the stored hour trends, without the lines.
+
+    Hour tables expire, and a day of which hours are gone would be replaced by a part of
+    itself: every hour must have its summary, but for those named `quiet`, which had no
+    lines.  A day that has no topics any more is emptied.
+    """
     days = sorted(set(days))
+    gone = sorted(set(missing_hours(store, days)) - set(quiet))
+    if gone:
+        raise ValueError(f"{len(gone)} hours are not stored, {gone[0]} the first: count the days from their lines")
     out = store if into is None else into
     hours = [day * 100 + h for day in days for h in range(24)]
     for level in LEVELS:
         hour_counts = store.stored(trends_name(level, "hour"), hours)
         out.replace(trends_name(level, "day"), topics.hours_to_days(hour_counts, level))
-        written = out.stored(trends_name(level, "day"), days)
+        full = {r.hourslot // 100 for r in hour_counts.select("hourslot").distinct().collect()}
+        out.drop_slots(trends_name(level, "day"), set(days) - full)
+        written = out.stored(trends_name(level, "day"), sorted(full))
         out.replace(top_name(level, "day"), ranking.top_topics(written, level, "day", k))
+        out.drop_slots(top_name(level, "day"), set(days) - full)
 
 
 def location_job(store: Store, lines: DataFrame, zone: str = slot_fn.UTC) -> None:

@@ -5,7 +5,7 @@ The SQL states each line's shape directly; it neither writes nor reads JSON line
 
 from __future__ import annotations
 
-from topicflow.plans.queries import CITY, COUNTRY, NOW
+from topicflow.plans.queries import CITY, CLOCK_DAYS, COUNTRY, MINUTE_K, NOW
 from topicflow.schema import GRAIN_SLOT, GRAINS, LEVEL_KEYS, LEVELS
 
 _NOW_MS = int(NOW.timestamp() * 1000)
@@ -111,6 +111,17 @@ def _newest(rows: str, place: str) -> str:
     return f"SELECT * FROM ({rows}) WHERE {place} AND secslot = (SELECT max(secslot) FROM ({rows}) WHERE {place})"
 
 
+def _live_page(where: str, level: str, limit: int) -> str:
+    geo = "".join(f"{k}, " for k in LEVEL_KEYS[level])
+    return (f'SELECT {geo}topic, "user", time_ms, tweet FROM ({_live_messages("city")}) WHERE {where} '
+            f'ORDER BY time_ms, topic, "user", tweet LIMIT {limit}')
+
+
+def _live_positions(where: str, level: str) -> str:
+    geo = "".join(f"{k}, " for k in LEVEL_KEYS[level])
+    return f'SELECT {geo}time_ms, lat AS latitude, long AS longitude FROM ({_live_locations("city")}) WHERE {where}'
+
+
 def _landed(where: str = "TRUE") -> str:
     """Lines without an event time land at the clock's hour."""
     return f"""
@@ -143,6 +154,7 @@ FROM shaped WHERE verdict <> 'malformed'
 
 def _bodies() -> dict[str, str]:
     day, hour = "20240115", "2024011607"
+    malformed, not_malformed = "verdict = 'malformed'", "verdict <> 'malformed'"
     slots = "dayslot, hourslot, minuteslot"
     found = {
         "parse_tweets": f"""SELECT t_id, u_id, user_name, city, country, time_ms, {slots}, text,
@@ -170,7 +182,7 @@ def _bodies() -> dict[str, str]:
             FROM occurrences GROUP BY ALL""",
         "rt_last_write_wins": """SELECT secslot, time_ms, topic, "user", tweet FROM (
             SELECT time_ms // 1000 AS secslot, time_ms, topic, user_name AS "user", text AS tweet, row_number() OVER (
-              PARTITION BY time_ms ORDER BY t_id DESC, position DESC) AS rn FROM occurrences) WHERE rn = 1""",
+              PARTITION BY time_ms ORDER BY event_id DESC, position DESC) AS rn FROM occurrences) WHERE rn = 1""",
         "stream_recent": f"""SELECT time_ms, country, city, topic FROM occurrences
             WHERE time_ms + 60000 >= {_NOW_MS}""",
     }
@@ -192,6 +204,9 @@ def _bodies() -> dict[str, str]:
         found[f"rt_locations_{level}"] = _live_locations(level)
         found[f"rt_tweets_{level}"] = _live_messages(level)
         found[f"stream_minute_{level}"] = _trends(level, "minute")
+        found[f"stream_top3_{level}"] = _top(level, "minute", MINUTE_K)
+        found[f"top3_{level}_minute"] = _top(level, "minute", 3)
+        found[f"top3_{level}_hour"] = _top(level, "hour", 3)
 
     def served_top(grain: str, slot: str, country: str | None = None, city: str | None = None) -> str:
         level = "city" if city else "country" if country else "world"
@@ -233,11 +248,43 @@ def _bodies() -> dict[str, str]:
         "job_rollup_days": _trends("city", "day"),
         "job_locations": "SELECT country, city, time_ms, lat, lon AS long FROM messages WHERE lat IS NOT NULL",
         "stream_minute_all_levels": _all_levels("minute"),
-        "stream_top_world_minute": _top("world", "minute"),
+        "stream_top_world_minute": _top("world", "minute", MINUTE_K),
         "stream_tick": 'SELECT country, city, topic, CAST(count(*) AS BIGINT) AS "count" FROM occurrences GROUP BY ALL',
         "stream_live_tweets": 'SELECT country, city, topic, user_name AS "user", time_ms, text AS tweet FROM occurrences',
         "stream_live_locations": f'SELECT country, time_ms, lat, long FROM ({_live_locations("country")})',
         "landing": _landed(),
+        "stream_late": f"""{_trends("city", "minute")} UNION ALL
+            SELECT CAST(strftime(date_trunc('day', max(ts)) + INTERVAL {CLOCK_DAYS // 2} DAY, '%Y%m%d%H%M') AS BIGINT), '-', '-', 'flush', 2 FROM shaped
+            UNION ALL
+            SELECT CAST(strftime(date_trunc('day', max(ts)) + INTERVAL {CLOCK_DAYS} DAY, '%Y%m%d%H%M') AS BIGINT), '-', '-', 'future', 1 FROM shaped""",
+        "stream_tick_top": f"""SELECT minuteslot, country, topic, "count" FROM (
+            SELECT *, row_number() OVER (PARTITION BY country ORDER BY "count" DESC, topic) AS rn FROM (
+                SELECT (SELECT CAST(strftime(date_trunc('day', max(ts)) + INTERVAL {CLOCK_DAYS} DAY, '%Y%m%d%H%M') AS BIGINT) FROM shaped) AS minuteslot,
+                       country, topic, CAST(count(*) AS BIGINT) AS "count" FROM occurrences GROUP BY ALL)) WHERE rn <= 3""",
+        "rejects_all_reasons": """SELECT dayslot AS landing_day, reason, CAST(count(*) AS BIGINT) AS "count" FROM (
+            SELECT dayslot, CASE WHEN event_id % 23 = 0 THEN 'malformed' WHEN event_id % 29 = 0 THEN 'missing_key'
+                WHEN event_id % 17 = 0 THEN 'no_user' WHEN event_id % 10 = 0 THEN 'no_place'
+                WHEN event_id % 31 = 0 THEN 'bad_timestamp' END AS reason FROM shaped) WHERE reason IS NOT NULL GROUP BY ALL""",
+        "landing_rejects": f"SELECT *, TRUE AS kept FROM ({_landed(not_malformed)}) UNION ALL "
+                           f"SELECT *, FALSE AS kept FROM ({_landed(malformed)})",
+        "landed_hour_job": f"SELECT * FROM ({_trends('country', 'hour')}) WHERE hourslot BETWEEN 2024011605 AND {hour}",
+        "landed_day_job": served_top("day", day),
+        "expired_hours": f"""SELECT * FROM ({_trends("world", "hour")}) WHERE hourslot > (
+            SELECT CAST(strftime(min(h) + (max(h) - min(h)) / 2, '%Y%m%d%H') AS INTEGER)
+            FROM (SELECT date_trunc('hour', ts) AS h FROM shaped))""",
+        "dump_and_publish": _trends("country", "day"),
+        "allowed_lines": """SELECT r_name AS topic, verdict, CAST(count(*) AS BIGINT) AS "count" FROM shaped
+            WHERE event_id % 10 <> 0 AND event_id % 23 <> 0 AND r_name IN ('ASIA', 'EUROPE') GROUP BY ALL""",
+        "live_page": _live_page("TRUE", "world", 10),
+        "live_page_topic": _live_page(f"country = '{COUNTRY}' AND topic = 'click'", "country", 10),
+        "live_page_city": _live_page(_place(COUNTRY, CITY), "city", 5),
+        "live_positions": _live_positions("TRUE", "world"),
+        "live_positions_city": _live_positions(_place(COUNTRY, CITY), "city"),
+        "rt_last_location_wins": """SELECT secslot, country, time_ms, lat, long FROM (
+            SELECT time_ms // 60000 * 60 AS secslot, country, time_ms // 60000 * 60000 AS time_ms, CAST(lat AS FLOAT) AS lat,
+                   CAST(lon AS FLOAT) AS long, row_number() OVER (PARTITION BY time_ms // 60000 ORDER BY event_id DESC) AS rn
+            FROM messages WHERE lat IS NOT NULL) WHERE rn = 1""",
+        "serve_topics_hour_cut": served_topics("hour", 5, f"hourslot = {hour}", "world", "topic"),
         "landing_recent": _landed(f"verdict = 'malformed' OR time_ms >= {_NOW_MS} - 3 * 86400000"),
         "compact_day": _landed(),
     }

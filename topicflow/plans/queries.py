@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -13,10 +13,11 @@ from topicflow.functions import slots
 from topicflow.operators import envelope, live, locations, parse, ranking, summary, topics
 from topicflow.plans import jobs, serve
 from topicflow.schema import (
-    GRAIN_SLOT, GRAINS, LEVEL_KEYS, LEVELS, TABLES, live_locations_name, live_messages_name, locations_name,
+    GRAIN_SLOT, GRAINS, LEVEL_KEYS, LEVELS, TABLES, TOP_K, live_locations_name, live_messages_name, locations_name,
     top_name, trends_name,
 )
 from topicflow.session import run_dir
+from topicflow.sinks import dump, files, publish
 from topicflow.sinks.store import Store
 from topicflow.sources import adapter
 from topicflow.sources import lines as line_sources
@@ -102,8 +103,8 @@ def _trends(level: str, grain: str) -> Query:
     return lambda spark, sf_dir: topics.trend_counts(_occurrences(spark, sf_dir), level, grain)
 
 
-def _top(level: str, grain: str) -> Query:
-    return lambda spark, sf_dir: ranking.top_topics(_trends(level, grain)(spark, sf_dir), level, grain)
+def _top(level: str, grain: str, k: int = TOP_K) -> Query:
+    return lambda spark, sf_dir: ranking.top_topics(_trends(level, grain)(spark, sf_dir), level, grain, k)
 
 
 def _all_levels(grain: str) -> Query:
@@ -164,6 +165,13 @@ def rt_last_write_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.last_write_wins(rows, ["t_id", "position"])
 
 
+def rt_last_location_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions by minute instead of second, so that many collide."""
+    minute = F.floor(F.col("time_ms") / 60_000).cast("bigint")
+    rows = live.live_locations(_messages(spark, sf_dir).withColumn("time_ms", minute * 60_000), "country", minute * 60, "t_id")
+    return live.last_write_wins(rows, ["t_id"])
+
+
 def rt_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Occurrences of the messages that were recent at the lookup clock."""
     return minutes.split(_messages(spark, sf_dir), int(NOW.timestamp() * 1000))
@@ -193,7 +201,8 @@ def job_roll_up_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = store_of(spark, sf_dir, "hour")
     days = sorted({r["hourslot"] // 100 for r in serve.timeslots(hours, "hour").collect()})
     out = Store(spark, run_dir(spark, "rollup"))
-    jobs.roll_up_days(hours, days, out)
+    # Hours without a line have no summary.
+    jobs.roll_up_days(hours, days, out, quiet=jobs.missing_hours(hours, days))
     return out.read(trends_name("city", "day"))
 
 
@@ -220,33 +229,62 @@ def _live(pick, rows: Callable[[str], Query], country: str | None = None, city:
 
 # -- streams, landing, compaction ------------------------------------------------
 
-_HALVES = ((1, 15), (16, 31))
+# Short enough to cut the lists of a minute.
+MINUTE_K = 3
+# The clock of a stream that reads past events: so many days after the last of them.
+CLOCK_DAYS = 20
+FUTURE_MS = 4_102_444_800_000  # the year 2100
+
 
+def _span(lines: DataFrame) -> tuple[int, datetime]:
+    """The middle one of the hours there are lines of, and the stream's clock."""
+    first, last, day = lines.agg(F.min("landing_hour"), F.max("landing_hour"), F.max("landing_day")).first()
+    hours = [datetime.strptime(str(h), "%Y%m%d%H") for h in (first, last)]
+    middle = hours[0] + (hours[1] - hours[0]) / 2
+    return int(middle.strftime("%Y%m%d%H")), datetime.strptime(str(day), "%Y%m%d").replace(tzinfo=timezone.utc) + timedelta(CLOCK_DAYS)
 
-def _flush_line(lines: DataFrame) -> DataFrame:
-    """A message far ahead that closes the last window; its own never closes."""
-    ahead = F.unix_millis(F.to_timestamp(F.max("landing_day").cast("string"), "yyyyMMdd")) + 10 * 86_400_000
-    return lines.agg(ahead.cast("string").alias("timestamp_ms")).select(F.to_json(F.struct(
-        F.lit("flush").alias("id_str"), "timestamp_ms", F.lit("").alias("text"),
-        F.struct(F.array(F.lit("flush")).alias("hashtags")).alias("entities"),
+
+def _message(spark: SparkSession, time_ms: int, topic: str) -> DataFrame:
+    return spark.range(1).select(F.to_json(F.struct(
+        F.lit(topic).alias("id_str"), F.lit(str(time_ms)).alias("timestamp_ms"), F.lit("").alias("text"),
+        F.struct(F.array(F.lit(topic)).alias("hashtags")).alias("entities"),
         F.struct(F.lit("0").alias("id_str")).alias("user"),
         F.struct(F.lit("-").alias("name"), F.lit("-").alias("country_code")).alias("place"),
     )).alias("value"))
 
 
-def _arrive(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, str], DataStreamWriter], flush: bool = False) -> None:
-    """Feed all lines to a query in time order, half a month at a time.  The query is
-    stopped and started again from its checkpoint for each part.  The first flush
-    line moves the watermark, the second lets the next batch act on it."""
+def _at(clock: datetime) -> Column:
+    return F.timestamp_micros(F.lit(int(clock.timestamp() * 1_000_000)))
+
+
+def _arrive(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, str, Column], DataStreamWriter],
+            flush: bool = False, late: bool = False) -> None:
+    """Feed all lines to a query in two parts, the first wholly before the second.  The
+    query is stopped and started again from its checkpoint for each part.
+
+    `flush` adds messages half way to the clock: the first moves the watermark, the
+    second lets the next batch act on it.  `late` then sends the first part once more,
+    which is too late, with a message of the year 2100, and two more such messages an
+    hour later.
+    """
     folder, checkpoint = run_dir(spark, "stream"), run_dir(spark, "checkpoint")
     lines = adapter.envelope_lines(spark, sf_dir)
-    day = F.col("landing_day") % 100
-    parts = [lines.where(day.between(first, last)).select("value") for first, last in _HALVES]
+    middle, clock = _span(lines)
+    first = lines.where(F.col("landing_hour") <= middle).select("value")
+    parts = [(first, clock), (lines.where(F.col("landing_hour") > middle).select("value"), clock)]
     if flush:
-        parts += [_flush_line(lines)] * 2
-    for part in parts:
-        part.write.mode("append").parquet(folder)
-        run_available(start(line_sources.file_stream(spark, folder, "parquet"), checkpoint))
+        ahead = int((clock - timedelta(CLOCK_DAYS // 2)).timestamp() * 1000)
+        parts += [(_message(spark, ahead, "flush"), clock)] * 2
+    if late:
+        future = _message(spark, FUTURE_MS, "future")
+        parts += [(first.union(future), clock)] + [(future, clock + timedelta(hours=1))] * 2
+    try:
+        for part, now in parts:
+            part.write.mode("append").parquet(folder)
+            run_available(start(line_sources.file_stream(spark, folder, "parquet"), checkpoint, _at(now)))
+    finally:
+        files.delete(spark, folder)
+        files.delete(spark, checkpoint)
 
 
 def _minute_store(spark: SparkSession, sf_dir: str) -> Store:
@@ -254,8 +292,8 @@ def _minute_store(spark: SparkSession, sf_dir: str) -> Store:
     key = (spark.sparkContext.applicationId, sf_dir, "minute")
     if key not in _stores:
         store = Store(spark, run_dir(spark, "store-minute"))
-        _arrive(spark, sf_dir, lambda lines, checkpoint: minutes.minute_writer(
-            parse.parse_messages(lines), store, checkpoint, world_k=None), flush=True)
+        _arrive(spark, sf_dir, lambda lines, checkpoint, now: minutes.minute_writer(
+            parse.parse_messages(lines), store, checkpoint, k=MINUTE_K, world_k=None, clock=now), flush=True)
         _stores[key] = store
     return _stores[key]
 
@@ -269,8 +307,8 @@ def stream_minute_all_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one-operator form, through a plain file sink."""
     out = run_dir(spark, "levels")
 
-    def start(lines: DataFrame, checkpoint: str) -> DataStreamWriter:
-        counts = minutes.minute_counts_all_levels(parse.parse_messages(lines))
+    def start(lines: DataFrame, checkpoint: str, now: Column) -> DataStreamWriter:
+        counts = minutes.minute_counts_all_levels(parse.parse_messages(lines), clock=now)
         return (counts.writeStream.outputMode("append").format("parquet")
                 .option("path", out).option("checkpointLocation", checkpoint))
 
@@ -278,6 +316,28 @@ def stream_minute_all_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minutes of a feed with late rows, which count nowhere, and rows of the year 2100, which
+    count in the minute they came in and hold nothing up."""
+    out = run_dir(spark, "late")
+
+    def start(lines: DataFrame, checkpoint: str, now: Column) -> DataStreamWriter:
+        counts = minutes.minute_counts(parse.parse_messages(lines), clock=now)
+        return (counts.writeStream.outputMode("append").format("parquet")
+                .option("path", out).option("checkpointLocation", checkpoint))
+
+    _arrive(spark, sf_dir, start, flush=True, late=True)
+    return spark.read.parquet(out)
+
+
+def stream_tick_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top lists in tick mode, where two batches fall into one minute; the minute is the clock's."""
+    store = Store(spark, run_dir(spark, "ticks"))
+    _arrive(spark, sf_dir, lambda lines, checkpoint, now: minutes.tick_writer(
+        parse.parse_messages(lines), store, checkpoint, k=3, world_k=3, within_ms=None, clock=now))
+    return store.stored(top_name("country", "minute")).select(*TABLES[top_name("country", "minute")].columns)
+
+
 def serve_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The minute page, asked two minutes after the newest minute there is."""
     store = _minute_store(spark, sf_dir)
@@ -294,17 +354,27 @@ def stream_tick(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tick mode counts what arrives, whatever its event time: the minutes depend on
     the clock, the sums over them do not."""
     store = Store(spark, run_dir(spark, "ticks"))
-    _arrive(spark, sf_dir, lambda lines, checkpoint: minutes.tick_writer(
-        parse.parse_messages(lines), store, checkpoint, world_k=None, within_ms=None))
+    _arrive(spark, sf_dir, lambda lines, checkpoint, now: minutes.tick_writer(
+        parse.parse_messages(lines), store, checkpoint, world_k=None, within_ms=None, clock=now))
     rows = store.stored(trends_name("city", "minute"))
     return rows.groupBy("country", "city", "topic").agg(F.sum("count").alias("count"))
 
 
-def _live_store(spark: SparkSession, sf_dir: str, last_write_wins: bool = False) -> Store:
-    store = Store(spark, run_dir(spark, "live"))
-    _arrive(spark, sf_dir, lambda lines, checkpoint: live_stream.live_writer(
-        parse.parse_messages(lines), store, checkpoint, within_ms=None, last_write_wins=last_write_wins))
-    return store
+def _live_store(spark: SparkSession, sf_dir: str) -> Store:
+    """The live tables of a stream whose messages all came in at the lookup clock."""
+    key = (spark.sparkContext.applicationId, sf_dir, "live")
+    if key not in _stores:
+        store = Store(spark, run_dir(spark, "live"))
+        _arrive(spark, sf_dir, lambda lines, checkpoint, now: live_stream.live_writer(
+            parse.parse_messages(lines), store, checkpoint, within_ms=None, now_ms=F.lit(int(NOW.timestamp() * 1000))))
+        _stores[key] = store
+    return _stores[key]
+
+
+def _live_page(lookup: Callable[..., DataFrame], *place: str, **options) -> Query:
+    """A lookup in the live tables, one minute after the messages came in."""
+    return lambda spark, sf_dir: lookup(
+        _live_store(spark, sf_dir), NOW + serve.LIVE_DELAY, **dict(zip(("country", "city"), place)), **options)
 
 
 def stream_live_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,11 +391,79 @@ def stream_live_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     root = run_dir(spark, "landed")
     now_ms = F.lit(int(NOW.timestamp() * 1000))
-    _arrive(spark, sf_dir, lambda lines, checkpoint: landing.landing_writer(
+    _arrive(spark, sf_dir, lambda lines, checkpoint, _: landing.landing_writer(
         lines, root, checkpoint, oldest_days=None, now_ms=now_ms, backlog=True))
     return root
 
 
+def _damaged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines; the remainder of the id takes the text from some and the time from others."""
+    number = F.regexp_extract("value", '"id_str":"([0-9]+)"', 1).cast("long")
+    value = F.when(number % 29 == 0, F.regexp_replace("value", '"text":', '"body":')).when(
+        number % 31 == 0, F.regexp_replace("value", '"timestamp_ms":"-?[0-9]+"', '"timestamp_ms":"soon"')).otherwise(F.col("value"))
+    return adapter.envelope_lines(spark, sf_dir).withColumn("value", value)
+
+
+def rejects_all_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    refused = parse.rejects(parse.parse_lines(_damaged_lines(spark, sf_dir)))
+    return refused.groupBy("landing_day", "reason").agg(F.count(F.lit(1)).alias("count"))
+
+
+def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing that sets malformed lines aside: lines per folder, kept and refused."""
+    root, refused = run_dir(spark, "landed"), run_dir(spark, "refused")
+    now_ms = F.lit(int(NOW.timestamp() * 1000))
+    _arrive(spark, sf_dir, lambda lines, checkpoint, _: landing.landing_writer(
+        lines, root, checkpoint, on_error="reject", rejects=refused, oldest_days=None, now_ms=now_ms, backlog=True))
+    return _lines_per_hour(line_sources.landed_lines(spark, root)).withColumn("kept", F.lit(True)).union(
+        _lines_per_hour(line_sources.landed_lines(spark, refused)).withColumn("kept", F.lit(False)))
+
+
+def landed_hour_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines landed by a stream, the last three closed hours counted, the hour page looked up."""
+    store = Store(spark, run_dir(spark, "landed-hours"))
+    jobs.hour_job(store, _landed(spark, sf_dir), NOW)
+    return store.read(trends_name("country", "hour"))
+
+
+def landed_day_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines landed by a stream, one day compacted and counted, its page looked up."""
+    hourly, daily, day = _landed(spark, sf_dir), run_dir(spark, "daily"), slots.yesterday(NOW)
+    store = Store(spark, run_dir(spark, "landed-days"))
+    landing.compact_day(spark, hourly, daily, day)
+    jobs.day_job(store, daily, day)
+    return serve.top_topics(store, "day", day)
+
+
+def expired_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hour tables written in two halves a day apart, then dropped by age: the later half is left."""
+    store = Store(spark, run_dir(spark, "expiry"))
+    name = trends_name("world", "hour")
+    counts = _trends("world", "hour")(spark, sf_dir)
+    middle, _ = _span(adapter.envelope_lines(spark, sf_dir))
+    store.replace(name, counts.where(F.col("hourslot") <= middle), written_at=NOW - timedelta(days=2))
+    store.replace(name, counts.where(F.col("hourslot") > middle), written_at=NOW)
+    store.expire(name, NOW + timedelta(minutes=1))
+    return store.stored(name).select(*TABLES[name].columns)
+
+
+def dump_and_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines published to text files, read back, counted, dumped and read back once more."""
+    sent, dumped = run_dir(spark, "published"), run_dir(spark, "dump")
+    publish.publish(adapter.envelope_lines(spark, sf_dir), {"path": sent}, "text")
+    messages = parse.parse_messages(line_sources.text_lines(spark, sent))
+    dump.dump(topics.trend_counts(topics.explode_topics(messages), "country", "day"), dumped, "json")
+    return spark.read.schema("dayslot int, country string, topic string, count long").json(dumped)
+
+
+def allowed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the allowed broker topics: the topic is the place a message comes from."""
+    records = adapter.envelope_lines(spark, sf_dir).select(
+        "value", F.coalesce(F.get_json_object("value", "$.place.country_code"), F.lit("none")).alias("topic"))
+    allowed = line_sources.allowed_topics(records, ["ASIA", "EUROPE"])
+    return parse.parse_lines(allowed).groupBy("topic", "verdict").agg(F.count(F.lit(1)).alias("count"))
+
+
 def _lines_per_hour(landed: DataFrame) -> DataFrame:
     return landed.groupBy("landing_day", "landing_hour").agg(F.count(F.lit(1)).alias("count"))
 
@@ -414,8 +552,27 @@ def registry() -> dict[str, Query]:
         "landing": landing_hours,
         "landing_recent": landing_recent,
         "compact_day": compact_days,
+        "stream_late": stream_late,
+        "stream_tick_top": stream_tick_top,
+        "rejects_all_reasons": rejects_all_reasons,
+        "landing_rejects": landing_rejects,
+        "landed_hour_job": landed_hour_job,
+        "landed_day_job": landed_day_job,
+        "expired_hours": expired_hours,
+        "dump_and_publish": dump_and_publish,
+        "allowed_lines": allowed_lines,
+        "live_page": _live_page(serve.live_messages),
+        "live_page_topic": _live_page(serve.live_messages, COUNTRY, topic="click"),
+        "live_page_city": _live_page(serve.live_messages, COUNTRY, CITY, limit=5),
+        "live_positions": _live_page(serve.live_locations),
+        "live_positions_city": _live_page(serve.live_locations, COUNTRY, CITY),
+        "rt_last_location_wins": rt_last_location_wins,
+        "serve_topics_hour_cut": _served("hour", lambda s: serve.topics(s, "hour", hour, limit=5)),
         "timeslots_minute": timeslots_minute,
     }
     for level in LEVELS:
         found[f"stream_minute_{level}"] = _stream_minutes(level)
+        found[f"stream_top3_{level}"] = _stream_minutes(level, top=True)
+        found[f"top3_{level}_minute"] = _top(level, "minute", 3)
+        found[f"top3_{level}_hour"] = _top(level, "hour", 3)
     return found

@@ -80,7 +80,14 @@ def topics(store: Store, grain: str, slot: int | None = None, country: str | Non
     """Topics of a slot and place in topic order; without a slot, the first of the world table."""
     limit = TOPIC_LIMIT[grain] if limit is None else limit
     if slot is None:
-        rows = store.read(trends_name("world", grain), as_of=as_of)
+        name, first, n = trends_name("world", grain), [], 0
+        # Slots are folders: the earliest are read, until there are enough rows.
+        for early in store.slots(name):
+            n += store.read(name, [early], as_of).limit(limit).count()
+            first.append(early)
+            if n >= limit:
+                break
+        rows = store.read(name, first, as_of)
         return rows.orderBy(GRAIN_SLOT[grain], "topic").limit(limit)
     return _slot_rows(store, trends_name, grain, slot, country, city, as_of).orderBy("topic").limit(limit)
 

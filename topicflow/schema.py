@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-# Slim message envelope, one JSON object per line.  `coordinates` is [lon, lat].
-ENVELOPE = (
+# Slim message envelope, one JSON object per line; `coordinates` is [lon, lat].  These fields become
+# message columns; the parser skips all others.
+MESSAGE_FIELDS = (
     "struct<id_str:string,timestamp_ms:string,text:string,coordinates:array<double>,"
     "entities:struct<hashtags:array<string>,user_mentions:array<string>>,"
-    "user:struct<id_str:string,screen_name:string,location:string>,"
-    "place:struct<place_type:string,name:string,country_code:string,full_name:string>>"
+    "user:struct<id_str:string,screen_name:string>,place:struct<name:string,country_code:string>>"
 )
 
 # Raw status as the API sends it.  List elements stay variants: one malformed
@@ -57,10 +57,10 @@ class Table:
         return "minuteslot" if "minuteslot" in self.columns else self.partitions[0]
 
     def folder(self, slot: int) -> str:
-        """The partition folder of a slot; minute trends share their day's."""
+        """The partition folder of a slot; minute trends share their hour's."""
         first = self.partitions[0]
-        shared = first == "dayslot" and "minuteslot" in self.columns
-        return f"{first}={slot // 10_000 if shared else slot}"
+        shared = first == "hourslot" and "minuteslot" in self.columns
+        return f"{first}={slot // 100 if shared else slot}"
 
     @property
     def ddl(self) -> str:
@@ -111,8 +111,8 @@ def locations_name(level: str) -> str:
 def _registry() -> dict[str, Table]:
     tables = []
     for grain, slot in GRAIN_SLOT.items():
-        # A folder per minute would be thousands of tiny folders after a backlog.
-        parts = ("dayslot", "batch") if grain == "minute" else (slot,)
+        # A folder per minute would be thousands of tiny folders after a backlog; a lookup lists one hour.
+        parts = ("hourslot", "batch") if grain == "minute" else (slot,)
         for level, keys in LEVEL_KEYS.items():
             columns = {slot: SLOT_TYPE[slot], **_geo(level), "topic": "string", "count": "bigint"}
             sort = (*keys, "topic") if grain != "minute" else (slot, *keys, "topic")

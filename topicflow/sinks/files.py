@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder, sorted; none if there is no such folder."""
+    fs, p = _open(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Delete a folder; False if there was none."""
     fs, p = _open(spark, path)

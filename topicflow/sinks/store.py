@@ -51,6 +51,11 @@ class Store:
         rows = self.spark.read.schema(table.ddl).option("basePath", path).parquet(*folders)
         return rows if wanted is None else rows.where(F.col(table.slot).isin(wanted))
 
+    def slots(self, name: str) -> list[int]:
+        """The slots that have a folder, from their names alone, in order."""
+        mark = f"{TABLES[name].partitions[0]}="
+        return sorted(int(f.removeprefix(mark)) for f in files.children(self.spark, self.path(name)) if f.startswith(mark))
+
     def read(self, name: str, slots: Iterable[int] | None = None, as_of: datetime | None = None) -> DataFrame:
         """The visible rows: those younger than the table's retention at `as_of` (now)."""
         table = TABLES[name]

@@ -110,7 +110,9 @@ def compact_days(spark: SparkSession, hourly: str, daily: str, days: Iterable[in
     keys = ["landing_day", "landing_hour", "batch"]
     # One listing of the folders serves both the list below and the copy.
     lines = landed_lines(spark, hourly, fmt).where(F.col("landing_day").isin(days))
-    landed = {tuple(r) for r in lines.select(*keys).distinct().collect()}
+    landed = {(d, int(hour.partition("=")[2]), batch.partition("=")[2]) for d in days
+              for hour in files.children(spark, f"{hourly}/landing_day={d}") if hour.startswith("landing_hour=")
+              for batch in files.children(spark, f"{hourly}/landing_day={d}/{hour}") if batch.startswith("batch=")}
     notes = []
     if files.exists(spark, log):
         notes = spark.read.schema(_MOVED).parquet(log).where(F.col("landing_day").isin(days)).collect()
