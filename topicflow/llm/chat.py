@@ -100,16 +100,16 @@ def format_chats(rows: DataFrame, template: Template = INSTRUCT) -> DataFrame:
 
     def step(state: Column, t: Column) -> Column:
         # The state is the last role; none is left after a wrong turn.
-        to = F.try_element_at(moves, F.concat(state["at"], F.lit(">"), t["role"]))
-        bad = F.when(state["bad"].isNotNull(), state["bad"]).when(to.isNull(), state["n"])
+        to = F.coalesce(F.try_element_at(moves, F.concat(state["at"], F.lit(">"), t["role"])), F.lit(""))
+        bad = F.when((state["bad"] < 0) & (to == ""), state["n"]).otherwise(state["bad"])
         return F.struct(to.alias("at"), (state["n"] + 1).alias("n"), bad.alias("bad"))
 
-    start = F.struct(F.lit("start").alias("at"), F.lit(0).alias("n"), F.lit(None).cast("int").alias("bad"))
+    start = F.struct(F.lit("start").alias("at"), F.lit(0).alias("n"), F.lit(-1).alias("bad"))
     done = chats.select("conv_id", F.flatten(F.transform("turns", segments)).alias("segments"), F.aggregate("turns", start, step).alias("s"))
     return done.select(
         "conv_id", "segments", F.concat_ws("", F.transform("segments", lambda s: s["text"])).alias("formatted"),
-        (F.col("s.bad").isNull() & F.coalesce(F.col("s.at").isin(*template.ends), F.lit(False))).alias("valid"),
-        F.col("s.bad").alias("first_bad"),
+        ((F.col("s.bad") < 0) & F.col("s.at").isin(*template.ends)).alias("valid"),
+        F.when(F.col("s.bad") >= 0, F.col("s.bad")).alias("first_bad"),
     )
 
 
