@@ -203,7 +203,7 @@ def _groups(vectors: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
 
 def _layout(ids: np.ndarray, n: np.ndarray, vocabulary: int, opens: np.ndarray, end_id: int) -> np.ndarray:
     """The symbol of each id: frequent ones their own, the others in bins of like frequency, opening ones apart."""
-    count = np.bincount(ids, n, vocabulary)
+    count = np.bincount(ids, n, vocabulary).astype(float)
     count[end_id] = np.inf
     order = np.argsort(-count, kind="stable")
     symbol = np.empty(vocabulary, np.int64)
@@ -368,8 +368,8 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, totals: dict, folder
     shared = spark.sparkContext.broadcast(model)
     rows = docs.select(F.col("doc_id"), F.xxhash64("doc_id", "text").alias("key"), "text")
     base = math.log10(totals["tokens"] + 0.1 * (totals["distinct"] + 1))
-    log_end = math.log10(totals["ends"] + 0.1)
     known_end = int(totals["ends"] > 0)
+    log_end = math.log10(totals["ends"] + 0.1) if known_end else 0.0
 
     def run(batches):
         encoder = units.encoder(source.value, units.spaced_words)
