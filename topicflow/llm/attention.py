@@ -35,7 +35,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def forward(weights: dict, embedding: np.ndarray, skip: np.ndarray, symbols: np.ndarray) -> tuple:
-    """Class probabilities after every symbol of the windows (n, CONTEXT), and what the gradient needs."""
+    """Class scores (logits) after every symbol of the windows (n, CONTEXT), and what the gradient needs."""
     e = embedding[symbols]
     q, k, v = e @ weights["q"], e @ weights["k"], e @ weights["v"]
     scores = q @ k.transpose(0, 2, 1)
@@ -43,7 +43,9 @@ def forward(weights: dict, embedding: np.ndarray, skip: np.ndarray, symbols: np.
     scores += weights["near"][np.maximum(_DISTANCE, 0)] + _AHEAD
     a = _softmax(scores)
     mixed = a @ v
-    return _softmax(mixed @ weights["out"] + skip[symbols]), (e, q, k, v, a, mixed)
+    logits = mixed @ weights["out"]
+    logits += skip[symbols]
+    return logits, (e, q, k, v, a, mixed)
 
 
 def train(weights: dict, embedding: np.ndarray, skip: np.ndarray, symbols: np.ndarray, targets: np.ndarray, batch: int = 32) -> dict:
@@ -53,9 +55,9 @@ def train(weights: dict, embedding: np.ndarray, skip: np.ndarray, symbols: np.nd
     second = {n: np.zeros_like(w) for n, w in weights.items()}
     for step, lo in enumerate(range(0, len(symbols), batch), 1):
         x, y = symbols[lo:lo + batch], targets[lo:lo + batch]
-        p, (e, q, k, v, a, mixed) = forward(weights, embedding, skip, x)
+        logits, (e, q, k, v, a, mixed) = forward(weights, embedding, skip, x)
         known = y >= 0
-        g = p
+        g = _softmax(logits)
         rows, places = np.nonzero(known)
         g[rows, places, y[rows, places]] -= 1
         g *= known[:, :, None] / np.float32(max(1, known.sum()))

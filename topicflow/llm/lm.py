@@ -37,12 +37,12 @@ from topicflow.llm.common import Scratch, ship, slices, texts
 HEAD_WORDS = 100_000  # 16 bytes each on every worker
 HEAD_IDS = 1024
 TAIL = 64
-CLASSES = 64
+CLASSES = 32
 SHARE = 16
 ROUNDS = 2
 _END = 0  # the hash that stands for the end of a text
 _GRID = np.linspace(0.05, 0.95, 19)
-_AT_ONCE = 256  # windows
+_AT_ONCE = 32  # windows, few enough for a processor's cache
 
 
 def held_out(doc_id: str) -> Column:
@@ -135,7 +135,6 @@ class Model:
     skip: np.ndarray  # log P(class | last symbol)
     inner: np.ndarray  # log P(symbol | class, last symbol)
     rest: np.ndarray  # log P(id | symbol)
-    opening: np.ndarray  # whether a class begins words
     embedding: np.ndarray
     weights: dict
     head: np.ndarray  # hashes of the most frequent words, sorted
@@ -151,16 +150,20 @@ class Model:
         begin, scored = attention.windows(np.diff(first) - 1)
         chance, opens = np.zeros(len(x)), np.zeros(len(x))
         stop = np.repeat(first[1:] - 1, _many(np.diff(first) - 1))
-        padded = np.concatenate([x, np.zeros(attention.CONTEXT, x.dtype)])
+        padded = np.concatenate([x, np.zeros(attention.CONTEXT + 1, x.dtype)])
         for lo in range(0, len(begin), _AT_ONCE):
             at = begin[lo:lo + _AT_ONCE, None] + np.arange(attention.CONTEXT)
-            p, _ = attention.forward(self.weights, self.embedding, self.skip, padded[at])
+            logits, _ = attention.forward(self.weights, self.embedding, self.skip, padded[at])
+            wanted = np.take_along_axis(logits, self.of_class[padded[at + 1]][:, :, None], axis=2)[:, :, 0]
+            # The first half of the classes are those that begin words.
+            np.exp(logits, out=logits)
+            opening = logits[:, :, :CLASSES // 2].sum(axis=2)
+            total = np.log(opening + logits[:, :, CLASSES // 2:].sum(axis=2))
             use = (np.arange(attention.CONTEXT) >= scored[lo:lo + _AT_ONCE, None]) & (at < stop[lo:lo + _AT_ONCE, None])
             here = at[use]
-            p = p[use]
             to = x[here + 1]
-            chance[here] = np.log(p[np.arange(len(here)), self.of_class[to]]) + self.inner[x[here], to] + self.rest[ids[here + 1]]
-            opens[here] = np.log(p[:, self.opening].sum(axis=1))
+            chance[here] = (wanted - total)[use] + self.inner[x[here], to] + self.rest[ids[here + 1]]
+            opens[here] = (np.log(opening) - total)[use]
         return chance, opens
 
     def tokens(self, part: pa.Array, encoder, end_id: int):
@@ -277,8 +280,6 @@ def _counted(m: np.ndarray, count: np.ndarray, symbol: np.ndarray, opens: np.nda
     starts = np.zeros(size, bool)
     starts[symbol[opens]] = True
     of_class = np.empty(size, np.int64)
-    opening = np.zeros(CLASSES, bool)
-    opening[:CLASSES // 2] = True
     for half, kind in enumerate((True, False)):
         own = np.flatnonzero(starts == kind)
         of_class[own] = half * CLASSES // 2 + _groups(embedding[own].astype(float), unigram[own], CLASSES // 2)
@@ -289,7 +290,7 @@ def _counted(m: np.ndarray, count: np.ndarray, symbol: np.ndarray, opens: np.nda
     of_symbol = np.bincount(symbol, count, size)
     rest = np.log((count + 0.1) / (of_symbol + 0.1 * inside)[symbol])
     return Model(symbol, of_class, np.log(np.maximum(by_class, 1e-30)).astype(np.float32), np.log(follows / by_class[:, of_class]).astype(np.float32), rest,
-                 opening, embedding, attention.initial(CLASSES), np.empty(0, np.uint64), np.empty(0), -math.inf)
+                 embedding, attention.initial(CLASSES), np.empty(0, np.uint64), np.empty(0), -math.inf)
 
 
 def _averaged(docs: DataFrame, model, source, end_id: int) -> dict | None:
