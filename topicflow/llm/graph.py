@@ -29,19 +29,20 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[rest], nodes[root[rest]]
 
 
-def _contract(links: DataFrame) -> DataFrame:
+def _contract(links: DataFrame, tasks: int) -> DataFrame:
     def run(batches):
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             waiting.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
             if sum(len(a) for a, _ in waiting) >= _AT_ONCE:
                 waiting = [_stars(*map(np.concatenate, zip(*waiting)))]
-                if len(waiting[0][0]) >= _AT_ONCE // 2:
+                # Stars that do not shrink further go out; only a task beside others may have so many.
+                if len(waiting[0][0]) >= 2 * _AT_ONCE:
                     yield _batch(*waiting.pop())
         if waiting:
             yield _batch(*_stars(*map(np.concatenate, zip(*waiting))))
 
-    return links.mapInArrow(run, "a long, b long")
+    return links.coalesce(tasks).mapInArrow(run, "a long, b long")
 
 
 def _batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -51,15 +52,17 @@ def _batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
 def components(links: DataFrame, folder: Scratch, name: str) -> DataFrame:
     """(id, component) of every node with a link to a smaller one; component is the smallest node reached.
 
-    Each task first contracts its own links to stars.  Then large-star and small-star rounds
-    (every node links its larger neighbours, then its smaller ones, to the smallest) until
-    nothing changes.  Minima are pre-aggregated and joined back, so that a node with very many
-    links is no single task's group.
+    Tasks contract about _AT_ONCE links each to stars; the stars of one task are components.
+    While there are more tasks, large-star and small-star rounds follow (every node links its
+    larger neighbours, then its smaller ones, to the smallest) until nothing changes.  Minima are
+    pre-aggregated and joined back, so that a node with very many links is no single task's group.
     """
     ship(links.sparkSession)
-    stars = folder.save(f"{name}-0", _contract(links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")))
+    links = links.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
+    tasks = -(-links.count() // _AT_ONCE) or 1
+    stars = folder.save(f"{name}-0", _contract(links, tasks))
     turn = 0
-    while True:
+    while tasks > 1:
         # Once every node has one link and no smallest node has a smaller one, all is done.
         nodes = stars.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"))
         now = nodes.agg(F.count(F.lit(1)), F.sum(F.when(F.col("low") < F.col("high"), 1).otherwise(0))).first()
@@ -70,10 +73,12 @@ def components(links: DataFrame, folder: Scratch, name: str) -> DataFrame:
         both = stars.union(stars.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).where("a <> b")
-        large = folder.save(f"{name}-{turn}l", _contract(large))
+        large = folder.save(f"{name}-{turn}l", _contract(large, tasks))
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").where("b <> low").select(F.greatest("b", "low").alias("a"), F.least("b", "low").alias("b"))
         small = small.union(low.select("a", F.col("low").alias("b")))
-        stars = folder.save(f"{name}-{turn}", _contract(small))
+        stars = folder.save(f"{name}-{turn}", _contract(small, tasks))
         folder.drop(f"{name}-{turn}l", f"{name}-{turn - 1}")
-    return stars.select(F.col("a").alias("id"), F.col("b").alias("component")).distinct()
+    # The last turn left one row for each node, though some tasks may have written it twice.
+    return stars.select(F.col("a").alias("id"), F.col("b").alias("component")).distinct() if tasks > 1 else (
+        stars.select(F.col("a").alias("id"), F.col("b").alias("component")))

@@ -7,12 +7,13 @@ that share the first DEPTH minima there form a region, and neighbours in its ord
 share the longest prefixes, are candidates.  The depth adapts: a region of more than
 REGION classes is split by the next minima, as deep as the order goes.
 
-Round 1 pairs each class with the next one of its region.  Later rounds pair it with the
+Round 1 pairs each class with the NEXT ones that are next to it in most trees.  Later rounds pair it with the
 next WINDOW ones, but only across components found so far, so a group of many copies costs
-its size and not its square.  Rounds go on, each by another order of crowded regions, until
-no link is new.  Candidates whose signatures cannot belong to a link (agreement under FLOOR;
-a link of 0.75 falls below by chance once in ten million) are dropped, all others are
-confirmed on full sets.
+its size and not its square.  From round 3 on the order within a region is another one each
+time, which brings other neighbours together where a region has more than WINDOW classes;
+rounds go on until no link is new.  Candidates that cannot be a link are dropped by their sizes, by the two lowest bits of
+their minima (over BITS of 128 differ) and by whole signatures (agreement under FLOOR); a link of
+0.75 fails that by chance less than once in a million.  All others are confirmed on full sets.
 
 Two documents of similarity 0.75 share a region in at least one tree with probability
 1 - (1 - 0.75 ** 4) ** 32, that is all but 5 in a million.
@@ -24,9 +25,11 @@ document.  Other columns are not read, or pass through `drop_copies`.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicflow.llm import words
@@ -38,8 +41,13 @@ SIMILARITY = 75  # percent
 TREES = 32
 DEPTH = 4
 REGION = 20_000  # classes in a region before it is split
-WINDOW = 32
+WINDOW = 8
+NEXT = 3
 FLOOR = 0.55
+BITS = 44
+
+# Two lowest bits of each minimum, 64 minima in a number.
+_SKETCH = ("low1", "low2", "high1", "high2")
 
 _rng = np.random.RandomState(20)
 _MULTIPLY = _rng.randint(0, 1 << 62, TREES * DEPTH, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -107,11 +115,14 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             for row, part in slices(texts(batch.column("text"))):
                 grams, counts = shingles(part, n)
-                ends = np.concatenate([[0], np.cumsum(counts)]) * 8
-                own = pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(grams)])
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(part)).cast(pa.int64()), own.cast(pa.binary())], ["id", "shingles"])
+                ends = np.concatenate([[0], np.cumsum(counts)])
+                own = pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(ends * 8), pa.py_buffer(grams)])
+                # Only documents with a set are asked for.
+                signature = _fixed(_signatures(grams, ends[:-1])) if counts.all() else pa.nulls(len(part), pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(row, len(part)).cast(pa.int64()), own.cast(pa.binary()), signature],
+                                                 ["id", "shingles", "signature"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, shingles binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "id long, shingles binary, signature binary")
 
 
 def _forest(classes: DataFrame) -> DataFrame:
@@ -119,11 +130,12 @@ def _forest(classes: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            ids = batch.column("id").to_numpy()
+            ids, sizes = batch.column("id").to_numpy(), batch.column("n_shingles").to_numpy()
             for lo in range(0, len(ids), 4096):
                 some = batch.slice(lo, 4096)
                 s = np.frombuffer(b"".join(some.column("signature").to_pylist()), np.uint32).reshape(len(some), -1).astype(np.uint64)
-                own = ids[lo:lo + len(some)]
+                low, high = (np.packbits(((s >> words.U64(j)) & words.U64(1)).astype(np.uint8), axis=1).view(np.int64) for j in (0, 1))
+                own = [pa.array(x) for x in (ids[lo:lo + len(some)], sizes[lo:lo + len(some)], *low.T, *high.T)]
                 turned = np.concatenate([s, s], axis=1)
                 for t in range(TREES):
                     at = t * DEPTH
@@ -132,10 +144,10 @@ def _forest(classes: DataFrame) -> DataFrame:
                         key = words.mix(key * words.U64(0x9E3779B97F4A7C15) + turned[:, at + j])
                     next1 = (turned[:, at + DEPTH] << words.U64(32)) | turned[:, at + DEPTH + 1]
                     next2 = (turned[:, at + DEPTH + 2] << words.U64(32)) | turned[:, at + DEPTH + 3]
-                    yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (key, next1, next2)] + [pa.array(own)],
-                                                     ["region", "next1", "next2", "id"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (key, next1, next2)] + own,
+                                                     ["region", "next1", "next2", "id", "n", *_SKETCH])
 
-    return classes.select("id", "signature").mapInArrow(run, "region long, next1 long, next2 long, id long")
+    return classes.select("id", "n_shingles", "signature").mapInArrow(run, "region long, next1 long, next2 long, id long, n long" + "".join(f", {c} long" for c in _SKETCH))
 
 
 def _regions(rows: DataFrame, folder: Scratch, limit: int) -> DataFrame:
@@ -151,37 +163,23 @@ def _regions(rows: DataFrame, folder: Scratch, limit: int) -> DataFrame:
     return forest
 
 
-def _agreeing(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
-    """Pairs whose sizes and signatures allow a link."""
-    one = classes.select(F.col("id").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
-    two = classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
-    fits = 100 * F.least("na", "nb") >= similarity * F.greatest("na", "nb")
-
-    def run(batches):
-        for batch in batches:
-            s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(len(batch), -1) for c in ("sa", "sb"))
-            agree = (s == t).mean(axis=1) >= FLOOR if len(batch) else np.empty(0, bool)
-            yield batch.select(["a", "b"]).filter(pa.array(agree))
-
-    return pairs.join(one, "a").join(two, "b").where(fits).select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long").distinct()
-
-
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Pairs whose full sets are similar enough."""
-    one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
-    two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
+    """Pairs whose full sets are similar enough; signatures that cannot belong to a link go first."""
+    one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"), F.col("signature").alias("sx"))
+    two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"), F.col("signature").alias("sy"))
 
     def run(batches):
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(len(batch), -1) for c in ("sx", "sy"))
+            linked = (s == t).mean(axis=1) >= FLOOR if len(batch) else np.empty(0, bool)
+            for i in np.flatnonzero(linked).tolist():
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("x", "y"))
                 both = np.sort(np.concatenate([x, y]))
                 common = int((both[1:] == both[:-1]).sum())
-                linked.append(100 * common >= similarity * (len(both) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+                linked[i] = 100 * common >= similarity * (len(both) - common)
+            yield batch.select(["a", "b"]).filter(pa.array(linked))
 
-    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long").distinct()
+    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
 
 
 def link(docs: DataFrame, folder: Scratch, similarity: int = SIMILARITY, n: int = SHINGLE, window: int = WINDOW,
@@ -198,35 +196,44 @@ def link(docs: DataFrame, folder: Scratch, similarity: int = SIMILARITY, n: int
     wanted = docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
     sets = folder.save("sets", _sets(wanted.groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")), n))
 
-    order = Window.partitionBy("region").orderBy("next1", "next2", "id")
-    pairs = forest.select(F.col("id").alias("a"), F.lead("id").over(order).alias("b")).where("a <> b")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    tried = folder.save("tried-1", _agreeing(pairs, chosen, similarity))
-    links = folder.save("links-1", _confirmed(tried, sets, similarity))
-    found = components(links, folder, "found-1")
+    def differ(x: Column, name: str) -> Column:
+        return x[name].bitwiseXOR(F.col(name))
+
+    def candidates(rows: DataFrame, reach: int, *order) -> DataFrame:
+        """Pairs of the next `reach` rows of a region, of different components, that sizes and bits allow a link."""
+        ahead = F.collect_list(F.struct("id", "component", "n", *_SKETCH)).over(Window.partitionBy("region").orderBy(*order, "id").rowsBetween(1, reach))
+        fits = F.filter("ahead", lambda x: (x["component"] != F.col("component"))
+                        & (100 * F.least(x["n"], F.col("n")) >= similarity * F.greatest(x["n"], F.col("n")))
+                        & (F.bit_count(differ(x, "low1").bitwiseOR(differ(x, "high1")))
+                           + F.bit_count(differ(x, "low2").bitwiseOR(differ(x, "high2"))) <= BITS))
+        near = rows.select("id", "component", "n", *_SKETCH, ahead.alias("ahead")).select("id", F.explode(fits).alias("other"))
+        return near.select(F.least("id", "other.id").alias("a"), F.greatest("id", "other.id").alias("b"))
 
-    turn, all_tried, all_links = 1, [tried], [links]
+    turn, tried, links, found = 1, [], [], None
     while True:
-        turn += 1
-        # Another order of each region in every later round.
-        order = Window.partitionBy("region").orderBy(*(["next1", "next2"] if turn == 2 else [F.xxhash64("next2", F.lit(turn)), "next1"]), "id")
-        whole = Window.partitionBy("region")
-        now = forest.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = now.withColumn("low", F.min("component").over(whole)).withColumn("high", F.max("component").over(whole)).where("low < high")
-        ahead = F.collect_list(F.struct("id", "component")).over(order.rowsBetween(1, window))
-        pairs = (mixed.select("id", "component", ahead.alias("ahead")).select("id", "component", F.explode("ahead").alias("other"))
-                 .where("component <> other.component")
-                 .select(F.least("id", "other.id").alias("a"), F.greatest("id", "other.id").alias("b")).distinct())
-        for one in all_tried:
-            pairs = pairs.join(one, ["a", "b"], "left_anti")
-        tried = folder.save(f"tried-{turn}", _agreeing(pairs, chosen, similarity))
-        links = folder.save(f"links-{turn}", _confirmed(tried, sets, similarity))
-        if not links.limit(1).count():
+        region = Window.partitionBy("region")
+        now = forest.withColumn("component", F.col("id")) if found is None else (
+            forest.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")))
+        if found is not None:
+            now = now.withColumn("low", F.min("component").over(region)).withColumn("high", F.max("component").over(region)).where("low < high")
+        if turn == 1:
+            # Of the next ones in all trees, at most one in each, those that are next in most of them.
+            times = candidates(now, 1, "next1", "next2").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
+            best = F.slice(F.sort_array(F.collect_list(F.struct("times", "b")), asc=False), 1, NEXT)
+            pairs = times.groupBy("a").agg(best.alias("best")).select("a", F.explode("best.b").alias("b"))
+        elif turn == 2:
+            pairs = candidates(now, window, "next1", "next2").distinct()
+        else:
+            pairs = candidates(now, window, F.xxhash64("next2", F.lit(turn)), "next1").distinct()
+        if tried:
+            pairs = pairs.join(reduce(DataFrame.union, tried), ["a", "b"], "left_anti")
+        tried.append(folder.save(f"pairs-{turn}", pairs))
+        links.append(folder.save(f"links-{turn}", _confirmed(tried[-1], sets, similarity)))
+        if turn > 1 and not links[-1].limit(1).count():
             break
-        all_tried.append(tried)
-        all_links.append(links)
-        edges = found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(links)
+        edges = links[-1] if found is None else links[-1].union(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
         found = components(edges, folder, f"found-{turn}")
+        turn += 1
     folder.drop("sets", "forest", "forest-0", "forest-1", "signed")
     members = sketches.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"], "left")
     return (members.join(found, "id", "left")
