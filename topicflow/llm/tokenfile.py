@@ -201,7 +201,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: Scratch, end_id: int = 1
                     writer, seq = None, seq + 1
                 if writer is None:
                     path = f"{target}/{part:06d}-{seq:04d}-{uuid.uuid4().hex}.tok"
-                    stream = filesystem.open_output_stream(pafs.FileSystem.from_uri(path)[1])
+                    stream = filesystem.open_output_stream(pafs.FileSystem.from_uri(path)[1], compression=None)
                     writer = TokenWriter(stream, bits)
                 own = doc_ids.slice(row, len(column))
                 writer.add(own.fill_null(0).to_numpy(), own.is_null().to_numpy(zero_copy_only=False), ids, counts + 1)
@@ -241,4 +241,6 @@ def read(manifest: DataFrame, extra: dict) -> DataFrame:
                     ], ["doc_id", "start", "n_tokens", *extra])
 
     schema = "doc_id long, start long, n_tokens long" + "".join(f", {n} {kind}" for n, (kind, _, _) in extra.items())
-    return manifest.select("path", "before").repartition(F.col("path")).mapInArrow(run, schema)
+    # A task for each file, whatever the size of the manifest.
+    files = manifest.select("path", "before").repartitionByRange(max(1, manifest.count()), "path")
+    return files.mapInArrow(run, schema)
