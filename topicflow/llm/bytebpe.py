@@ -91,11 +91,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", o
     added = [T.StructField("ids", T.BinaryType())] + [T.StructField("starts", T.BinaryType())] * offsets
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("ids", "starts")]
     chosen = docs.select(*keep, F.col(text).alias("__text"))
-    source = spark.sparkContext.broadcast(tokenizer_json(read_ranks(ranks_path), pattern))
+    json_text = tokenizer_json(read_ranks(ranks_path), pattern)
+    source = spark.sparkContext.broadcast(json_text)
+    shared = spark.sparkContext.broadcast(ByteTable(json_text) if offsets else None)
 
     def run(batches):
-        encoder = units.encoder(source.value, units.spaced_words)
-        table = ByteTable(source.value) if offsets else None
+        encoder, table = units.encoder(source.value, units.spaced_words), shared.value
         for batch in batches:
             whole = texts(batch.column("__text"))
             for row, part in slices(whole):
@@ -123,10 +124,10 @@ def decode(docs: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", kee
     ship(spark)
     keep = [c for c in (docs.columns if keep is None else keep) if c != "decoded"]
     chosen = docs.select(*keep, F.coalesce(F.col(ids), F.lit(b"")).alias("__ids"))
-    source = spark.sparkContext.broadcast(tokenizer_json(read_ranks(ranks_path), pattern))
+    shared = spark.sparkContext.broadcast(ByteTable(tokenizer_json(read_ranks(ranks_path), pattern)))
 
     def run(batches):
-        table = ByteTable(source.value)
+        table = shared.value
         for batch in batches:
             whole = batch.column("__ids").cast(pa.large_binary())
             for row, part in slices(whole):

@@ -8,6 +8,7 @@ the pieces it knows up to a bounded number; the bound has no effect on results.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 import numpy as np
@@ -16,8 +17,8 @@ from tokenizers import Tokenizer
 
 from topicflow.llm import words
 
-CACHE_IDS = 6_000_000  # ids of known pieces that a worker keeps
-_AT_ONCE = 20_000  # pieces given to the library in one call
+CACHE_IDS = 4_000_000  # ids of known pieces that a worker keeps
+_AT_ONCE = 4_000  # pieces given to the library in one call
 
 Spans = Callable[[pa.Array], words.Words]
 
@@ -125,6 +126,8 @@ def encoder(source: str, spans: Spans) -> PieceEncoder:
     """This worker's encoder for a tokenizer's JSON; it outlives the task."""
     key = (source, spans.__name__)
     if key not in _encoders:
+        # Spark runs a task on each core; threads of the library's own would only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _encoders.clear()
         _encoders[key] = PieceEncoder(Tokenizer.from_str(source), spans)
     return _encoders[key]
