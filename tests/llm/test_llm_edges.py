@@ -390,5 +390,25 @@ def test_a_crowd_of_near_copies(spark):
     assert sum(split[i] == want[i] for i in want) >= 0.95 * len(want)
 
 
+def few_links(n=150):
+    """Edited copies of one text that share regions, of which many have few links or one."""
+    own = random.Random(11)
+    base, pairs = [f"b{i}" for i in range(120)], []
+    for i in range(n):
+        w = list(base)
+        for k in own.sample(range(len(w)), own.randrange(2, 6)):
+            w[k] = f"n{own.randrange(3)}_{k}"
+        pairs.append((i, " ".join(w)))
+    return pairs
+
+
+def test_a_crowd_is_compared_beyond_the_window(spark):
+    pairs = few_links()
+    want = brute.components(pairs)
+    assert 2 < len(set(want.values())) < len(pairs)
+    got = lshforest.link(frame(spark, pairs), Scratch(spark, "window"), window=1).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_json_is_plain(spark):
     assert json.loads(bytebpe.tokenizer_json({bytes([b]): b for b in range(256)}, public.PATTERN))["model"]["merges"] == []

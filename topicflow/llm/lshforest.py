@@ -11,7 +11,9 @@ Round 1 pairs each class with the NEXT ones that are next to it in most trees.
 next WINDOW ones, but only across components found so far, so a group of many copies costs
 its size and not its square.  From round 3 on the order within a region is another one each
 time, which brings other neighbours together where a region has more than WINDOW classes;
-rounds go on until no link is new.  Candidates that cannot be a link are dropped by their sizes, by the two lowest bits of
+rounds go on until no link is new.  The classes of larger regions that then still hold several
+components are compared across components without any order or chance: two sets of a link share
+one of their rarest shingles, and all pairs that do are confirmed.  Candidates of the rounds that cannot be a link are dropped by their sizes, by the two lowest bits of
 their minima (over BITS of 128 differ) and by whole signatures (agreement under FLOOR); a link of
 0.75 fails that by chance less than once in a million.  All others are confirmed on full sets.
 
@@ -45,6 +47,8 @@ WINDOW = 8
 NEXT = 3
 FLOOR = 0.55
 BITS = 44
+BUCKET_BITS = 18  # buckets that order shingles by rarity, 8 bytes each on every worker
+SALT = 16_384  # sets of a shingle in a task
 
 # Two lowest bits of each minimum, 64 minima in a number.
 _SKETCH = ("low1", "low2", "high1", "high2")
@@ -150,28 +154,28 @@ def _forest(classes: DataFrame) -> DataFrame:
     return classes.select("id", "n_shingles", "signature").mapInArrow(run, "region long, next1 long, next2 long, id long, n long" + "".join(f", {c} long" for c in _SKETCH))
 
 
-def _regions(rows: DataFrame, folder: Scratch, limit: int) -> DataFrame:
-    """Rows of regions of two and more classes; a crowded region is split by its next minima."""
+def _regions(rows: DataFrame, folder: Scratch, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of regions of two and more classes, whole, and with crowded regions split by their next minima."""
     size = F.count(F.lit(1)).over(Window.partitionBy("region"))
-    forest = folder.save("forest", rows.withColumn("size", size).where("size > 1"))
+    whole = forest = folder.save("forest", rows.withColumn("size", size).where("size > 1"))
     for turn, by in enumerate(("next1", "next2")):
         if not forest.where(F.col("size") > limit).limit(1).count():
             break
         crowded = forest.where(F.col("size") > limit).withColumn("region", F.xxhash64("region", by))
         crowded = crowded.withColumn("size", size).where("size > 1")
         forest = folder.save(f"forest-{turn}", forest.where(F.col("size") <= limit).unionByName(crowded))
-    return forest
+    return whole, forest
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """Pairs whose full sets are similar enough; signatures that cannot belong to a link go first."""
+def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int, floor: float = FLOOR) -> DataFrame:
+    """Pairs whose full sets are similar enough; signatures that cannot belong to a link (agreement under floor) go first."""
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"), F.col("signature").alias("sx"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"), F.col("signature").alias("sy"))
 
     def run(batches):
         for batch in batches:
             s, t = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(len(batch), -1) for c in ("sx", "sy"))
-            linked = (s == t).mean(axis=1) >= FLOOR if len(batch) else np.empty(0, bool)
+            linked = (s == t).mean(axis=1) >= floor if len(batch) else np.empty(0, bool)
             for i in np.flatnonzero(linked).tolist():
                 x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("x", "y"))
                 both = np.sort(np.concatenate([x, y]))
@@ -182,6 +186,67 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long")
 
 
+def _grams(part: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of a large binary column of sets, and their number by row."""
+    offsets = np.frombuffer(part.buffers()[1], np.int64, len(part) + 1, part.offset * 8)
+    return np.frombuffer(part.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(np.uint64), np.diff(offsets) // 8
+
+
+def _bucket(grams: np.ndarray) -> np.ndarray:
+    return (words.mix(grams) >> words.U64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def _prefixes(crowd: DataFrame, similarity: int) -> DataFrame:
+    """The rarest shingles of each set (id, component, shingles), so many that two sets of a link share one.
+
+    Rare is what falls in a bucket of few; whatever the buckets say, all sets are in the same order."""
+
+    def count(batches):
+        n = np.zeros(1 << BUCKET_BITS, np.int64)
+        for batch in batches:
+            for _, part in slices(batch.column("shingles").cast(pa.large_binary())):
+                n += np.bincount(_bucket(_grams(part)[0]), minlength=len(n))
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["bucket", "n"])
+
+    counted = crowd.select("shingles").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(1 << BUCKET_BITS, np.int64)
+    often[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
+    shared = crowd.sparkSession.sparkContext.broadcast(often)
+
+    def run(batches):
+        for batch in batches:
+            ids, component = batch.column("id").to_numpy(), batch.column("component").to_numpy()
+            for row, part in slices(batch.column("shingles").cast(pa.large_binary())):
+                grams, counts = _grams(part)
+                owner = np.repeat(np.arange(len(part)), counts)
+                grams = grams[np.lexsort((grams, shared.value[_bucket(grams)], owner))]
+                place = np.arange(len(grams)) - np.repeat(np.cumsum(counts) - counts, counts)
+                keep = place <= (counts - (similarity * counts + 99) // 100)[owner]
+                grams, place, owner = grams[keep], place[keep], owner[keep]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (ids[row + owner], component[row + owner], counts[owner], place, grams.view(np.int64))],
+                    ["id", "component", "n", "place", "shingle"])
+
+    return crowd.select("id", "component", "shingles").mapInArrow(run, "id long, component long, n long, place long, shingle long")
+
+
+def _across(crowd: DataFrame, folder: Scratch, similarity: int) -> DataFrame:
+    """All pairs (a, b) of sets of different components that can be a link; none that is one is left out."""
+    rows = folder.save("prefixes", _prefixes(crowd, similarity))
+    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    rows = rows.join(shared.select("shingle", F.ceil(F.col("m") / SALT).alias("salts")), "shingle")
+    # A shingle of very many sets is dealt to several tasks: one side is cut, the other copied.
+    one = rows.withColumn("salt", F.pmod(F.xxhash64("id"), "salts")).alias("x")
+    two = rows.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).alias("y")
+    fits = F.col("x.component") < F.col("y.component")
+    fits &= 100 * F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n")
+    # At the first shingle they share, what follows in both is all they can share besides.
+    fits &= (100 + similarity) * F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= similarity * (F.col("x.n") + F.col("y.n"))
+    same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.salt") == F.col("y.salt"))
+    return one.join(two, same & fits).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
 def link(docs: DataFrame, folder: Scratch, similarity: int = SIMILARITY, n: int = SHINGLE, window: int = WINDOW,
          region: int = REGION) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs (doc_id, text)."""
@@ -191,8 +256,8 @@ def link(docs: DataFrame, folder: Scratch, similarity: int = SIMILARITY, n: int
     classes = folder.save("classes", classes)
     chosen = sketches.join(classes.withColumnRenamed("id", "doc_id"), ["d1", "d2", "doc_id"], "left_semi")
     chosen = folder.save("signed", chosen.dropDuplicates(["d1", "d2", "doc_id"]).select(F.col("doc_id").alias("id"), "n_shingles", "signature"))
-    forest = _regions(_forest(chosen), folder, region)
-    ids = forest.select("id").distinct()
+    whole, forest = _regions(_forest(chosen), folder, region)
+    ids = whole.select("id").distinct()
     wanted = docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
     sets = folder.save("sets", _sets(wanted.groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")), n))
 
@@ -211,11 +276,11 @@ def link(docs: DataFrame, folder: Scratch, similarity: int = SIMILARITY, n: int
 
     turn, tried, links, found = 1, [], [], None
     while True:
-        region = Window.partitionBy("region")
+        same = Window.partitionBy("region")
         now = forest.withColumn("component", F.col("id")) if found is None else (
             forest.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")))
         if found is not None:
-            now = now.withColumn("low", F.min("component").over(region)).withColumn("high", F.max("component").over(region)).where("low < high")
+            now = now.withColumn("low", F.min("component").over(same)).withColumn("high", F.max("component").over(same)).where("low < high")
         if turn == 1:
             # Of the next ones in all trees, at most one in each, those that are next in most of them.
             times = candidates(now, 1, "next1", "next2").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
@@ -234,7 +299,17 @@ def link(docs: DataFrame, folder: Scratch, similarity: int = SIMILARITY, n: int
         edges = links[-1] if found is None else links[-1].union(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
         found = components(edges, folder, f"found-{turn}")
         turn += 1
-    folder.drop("sets", "forest", "forest-0", "forest-1", "signed")
+    # Regions in which the rounds did not compare everything.
+    crowd = forest.where(F.col("size") > window + 1).join(found, "id", "left").select("region", "id", F.coalesce("component", "id").alias("component"))
+    mixed = crowd.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    crowd = folder.save("crowd", crowd.join(mixed.select("region"), "region", "left_semi").select("id", "component").distinct())
+    if crowd.limit(1).count():
+        pairs = folder.save("pairs-across", _across(sets.join(crowd, "id"), folder, similarity))
+        # No signature decides here.
+        last = folder.save("links-across", _confirmed(pairs, sets, similarity, 0.0))
+        found = components(last.union(found.select(F.col("id").alias("a"), F.col("component").alias("b"))), folder, "found-across")
+        folder.drop("prefixes", "pairs-across")
+    folder.drop("crowd", "sets", "forest", "forest-0", "forest-1", "signed")
     members = sketches.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"], "left")
     return (members.join(found, "id", "left")
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.coalesce("component", "id")).alias("component_id")))
