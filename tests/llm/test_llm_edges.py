@@ -410,5 +410,18 @@ def test_a_crowd_is_compared_beyond_the_window(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_split_regions_lose_no_link(spark):
+    # Couples of similarity 0.75, all of whose regions are split.
+    pairs = []
+    for i in range(0, 600, 2):
+        w = [f"c{i}_{k}" for k in range(109)]
+        pairs.append((i, " ".join(w)))
+        for k in (20, 50, 80):
+            w[k] = f"n{i}_{k}"
+        pairs.append((i + 1, " ".join(w)))
+    got = lshforest.link(frame(spark, pairs), Scratch(spark, "cut"), region=1).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in pairs}
+
+
 def test_json_is_plain(spark):
     assert json.loads(bytebpe.tokenizer_json({bytes([b]): b for b in range(256)}, public.PATTERN))["model"]["merges"] == []

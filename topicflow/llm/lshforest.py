@@ -4,15 +4,15 @@ A document is the set of its distinct word shingles; documents with equal sets f
 class, represented by its smallest doc_id.  Every class has a signature of TREES * DEPTH
 minima.  Tree t sorts the classes by the signature read from position t * DEPTH on; those
 that share the first DEPTH minima there form a region, and neighbours in its order, which
-share the longest prefixes, are candidates.  The depth adapts: a region of more than
-REGION classes is split by the next minima, as deep as the order goes.
+share the longest prefixes, are candidates.  The depth adapts: for the rounds below a region of
+more than REGION classes is split by the next minima, as deep as the order goes.
 
 Round 1 pairs each class with the NEXT ones that are next to it in most trees.  Later rounds pair it with the
 next WINDOW ones, but only across components found so far, so a group of many copies costs
 its size and not its square.  From round 3 on the order within a region is another one each
 time, which brings other neighbours together where a region has more than WINDOW classes;
-rounds go on until no link is new.  The classes of larger regions that then still hold several
-components are compared across components without any order or chance: two sets of a link share
+rounds go on until no link is new.  The classes of larger regions (as they were before any split)
+that then still hold several components are compared across components without any order or chance: two sets of a link share
 one of their rarest shingles, and all pairs that do are confirmed.  Candidates of the rounds that cannot be a link are dropped by their sizes, by the two lowest bits of
 their minima (over BITS of 128 differ) and by whole signatures (agreement under FLOOR); a link of
 0.75 fails that by chance less than once in a million.  All others are confirmed on full sets.
@@ -299,8 +299,8 @@ def link(docs: DataFrame, folder: Scratch, similarity: int = SIMILARITY, n: int
         edges = links[-1] if found is None else links[-1].union(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
         found = components(edges, folder, f"found-{turn}")
         turn += 1
-    # Regions in which the rounds did not compare everything.
-    crowd = forest.where(F.col("size") > window + 1).join(found, "id", "left").select("region", "id", F.coalesce("component", "id").alias("component"))
+    # Regions in which the rounds did not compare everything; those that were split count as a whole.
+    crowd = whole.where(F.col("size") > min(window + 1, region)).join(found, "id", "left").select("region", "id", F.coalesce("component", "id").alias("component"))
     mixed = crowd.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     crowd = folder.save("crowd", crowd.join(mixed.select("region"), "region", "left_semi").select("id", "component").distinct())
     if crowd.limit(1).count():
