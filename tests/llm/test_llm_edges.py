@@ -193,6 +193,12 @@ def test_anchors_are_context_free(spark):
     assert len(shifts) == 1
 
 
+def test_short_texts_have_an_anchor(spark):
+    pairs = [(i, " ".join(f"t{i}_{k}" for k in range(6 + i % 3))) for i in range(60)]
+    done = syncmers.with_edits(frame(spark, pairs)).withColumn("near", syncmers.likeness(F.col("anchors"), F.col("next_anchors"))).collect()
+    assert len(done) == 60 and all(r.anchors and r.near == 0 for r in done)
+
+
 # -- passages -------------------------------------------------------------------------------
 
 def test_fm_index_against_plain_search():

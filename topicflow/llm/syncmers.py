@@ -7,8 +7,8 @@ depends on these units alone, so a passage keeps its anchors wherever it stands.
 
 The fingerprint is the anchors' 32-bit hashes in text order, eight hex digits each, so that
 two fingerprints can also be matched by position.  Their likeness is the Jaccard similarity
-of the sets.  A text with fewer than K units has one anchor, the hash of the whole; the empty
-text, as null, has none, and two such texts are alike.
+of the sets.  A text without any such anchor (fewer than K units, or few more) has one, the hash
+of the whole; the empty text, as null, has none, and two such texts are alike.
 
 `with_edits` pairs each document with the next one in descending doc_id (null ids last, equal
 ids by a hash of their text).  Documents are dealt to buckets of neighbouring ids by
@@ -45,7 +45,9 @@ def anchors(rows: DataFrame, text: str, out: str) -> DataFrame:
     starts = F.filter(F.sequence(F.lit(0), F.size(units) - K), closed)
     whole = F.when(F.length(text) > 0, F.array(F.hash(text))).otherwise(F.array().cast("array<int>"))
     found = F.transform(starts, lambda i: F.hash(*(F.get(pairs, i + j) for j in range(0, K - 1, S))))
-    return rows.withColumn(out, F.when(F.size(units) >= K, found).otherwise(whole)).drop(units, pairs)
+    rows = rows.withColumn(out, F.when(F.size(units) >= K, found).otherwise(F.array().cast("array<int>")))
+    # Fewer than K + 3 units may hold no closed syncmer.
+    return rows.withColumn(out, F.when(F.size(out) > 0, F.col(out)).otherwise(whole)).drop(units, pairs)
 
 
 def fingerprint(found: Column) -> Column:
