@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import json
+import math
 import random
 
 import brute
@@ -429,5 +430,12 @@ def test_split_regions_lose_no_link(spark):
     assert {r.doc_id: r.component_id for r in got} == {i: i - i % 2 for i, _ in pairs}
 
 
+def test_sketches_drop_less_than_a_link_in_a_million():
+    bits = lshforest.TREES * lshforest.DEPTH
+    differ = 0.25 * (1 - 1 / 4)  # an unequal minimum has two equal low bits by chance
+    lost = sum(math.comb(bits, k) * differ ** k * (1 - differ) ** (bits - k) for k in range(lshforest.BITS + 1, bits + 1))
+    assert lost < 1e-7
+
+
 def test_json_is_plain(spark):
     assert json.loads(bytebpe.tokenizer_json({bytes([b]): b for b in range(256)}, public.PATTERN))["model"]["merges"] == []

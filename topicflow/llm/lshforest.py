@@ -15,7 +15,7 @@ rounds go on until no link is new.  The classes of larger regions (as they were
 that then still hold several components are compared across components without any order or chance: two sets of a link share
 one of their rarest shingles, and all pairs that do are confirmed.  Candidates of the rounds that cannot be a link are dropped by their sizes, by the two lowest bits of
 their minima (over BITS of 128 differ) and by whole signatures (agreement under FLOOR); a link of
-0.75 fails that by chance less than once in a million.  All others are confirmed on full sets.
+0.75 fails the first by chance 2.5 times in a hundred million, the second 5 times in ten million.  All others are confirmed on full sets.
 
 Two documents of similarity 0.75 share a region in at least one tree with probability
 1 - (1 - 0.75 ** 4) ** 32, that is all but 5 in a million.
@@ -46,7 +46,7 @@ REGION = 20_000  # classes in a region before it is split
 WINDOW = 8
 NEXT = 3
 FLOOR = 0.55
-BITS = 44
+BITS = 50
 BUCKET_BITS = 18  # buckets that order shingles by rarity, 8 bytes each on every worker
 SALT = 16_384  # sets of a shingle in a task
 
