@@ -324,6 +324,12 @@ def test_scores_of_odd_rows(spark, odd, empty, folder):
     assert all(r.base_score == pytest.approx(0) and r.n_known == 0 and r.train_tokens == 0 for r in lone)
 
 
+def test_the_model_has_64_classes():
+    m = np.random.RandomState(3).poisson(0.05, (lm.HEAD_IDS + lm.TAIL,) * 2).astype(float)
+    model = lm._counted(m, m.sum(axis=0), np.arange(len(m)), np.arange(len(m)) % 2 == 0, 0)
+    assert model.skip.shape == (len(m), 64) and model.weights["out"].shape[1] == 64
+
+
 # -- quality ----------------------------------------------------------------------------------------
 
 def test_quality_of_odd_rows(spark, odd, empty):

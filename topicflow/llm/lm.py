@@ -37,7 +37,7 @@ from topicflow.llm.common import Scratch, ship, slices, texts
 HEAD_WORDS = 100_000  # 16 bytes each on every worker
 HEAD_IDS = 1024
 TAIL = 64
-CLASSES = 32
+CLASSES = 64
 SHARE = 16
 ROUNDS = 2
 _END = 0  # the hash that stands for the end of a text
