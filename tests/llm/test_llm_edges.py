@@ -330,6 +330,15 @@ def test_the_model_has_64_classes():
     assert model.skip.shape == (len(m), 64) and model.weights["out"].shape[1] == 64
 
 
+def test_every_training_document_trains(spark, monkeypatch):
+    docs, seen = frame(spark, [(i, f"text {i} of some") for i in range(60)]), {"_averaged": [], "_tuned": []}
+    for name, ids in seen.items():
+        monkeypatch.setattr(lm, name, lambda part, *a, f=getattr(lm, name), ids=ids: ids.extend(r.doc_id for r in part.collect()) or f(part, *a))
+    lm.fit(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN, Scratch(spark, "all"))
+    training = sorted(r.doc_id for r in docs.where(~lm.held_out("doc_id")).collect())
+    assert sorted(seen["_averaged"]) == sorted(seen["_tuned"]) == training
+
+
 # -- quality ----------------------------------------------------------------------------------------
 
 def test_quality_of_odd_rows(spark, odd, empty):

@@ -13,9 +13,9 @@ which sums to 1 over ids, and the chance that a word ends is a sum over classes.
 a probability of whole words, which is mixed with the unigram of the HEAD_WORDS most frequent
 words; the weight is tuned on training text.
 
-All counts cover every training document.  The attention weights are fitted on the whole text
-of every SHARE-th training document: each task trains on its own, then weights are averaged,
-ROUNDS times.  What the driver holds is of fixed size, or one small row for some tasks.
+All counts cover every training document, and so do the attention weights and the weight of the
+unigram.  Each training document belongs to one of ROUNDS rounds: in a round each task trains on
+its own, then weights are averaged.  What the driver holds is of fixed size, or one small row for some tasks.
 
 Null texts are empty: only the end.  Rows without a doc_id are scored, not learned from, and
 their held_out is null.  Equal rows get equal scores; other columns are not read.
@@ -38,7 +38,6 @@ HEAD_WORDS = 100_000  # 16 bytes each on every worker
 HEAD_IDS = 1024
 TAIL = 64
 CLASSES = 64
-SHARE = 16
 ROUNDS = 2
 _END = 0  # the hash that stands for the end of a text
 _GRID = np.linspace(0.05, 0.95, 19)
@@ -258,11 +257,10 @@ def fit(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> tupl
     model.mass = float(max(1, mass))
     model.unigram = np.log(np.array([r.n for r in in_head], float)[order] / model.mass)
     model.end_unigram = math.log(ends.n / mass) if ends else -math.inf
-    chosen = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(SHARE)) == 0)
     for turn in range(ROUNDS):
-        part = chosen.where(F.pmod(F.shiftright(F.xxhash64("doc_id"), 32), F.lit(ROUNDS)) == turn)
+        part = training.where(F.pmod(F.shiftright(F.xxhash64("doc_id"), 32), F.lit(ROUNDS)) == turn)
         model.weights = _averaged(part, spark.sparkContext.broadcast(model), source, end_id) or model.weights
-    model.weight = _tuned(chosen, spark.sparkContext.broadcast(model), source, end_id)
+    model.weight = _tuned(training, spark.sparkContext.broadcast(model), source, end_id)
     folder.drop("pairs")
     return model, counts, {"tokens": int(total or 0), "distinct": int(distinct), "ends": int(ends.n) if ends else 0, "source": source, "end_id": end_id}
 
