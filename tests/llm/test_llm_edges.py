@@ -330,6 +330,22 @@ def test_the_model_has_64_classes():
     assert model.skip.shape == (len(m), 64) and model.weights["out"].shape[1] == 64
 
 
+def test_chances_do_not_depend_on_the_rows_around():
+    r = np.random.RandomState(3)
+    size = lm.HEAD_IDS + lm.TAIL
+    m = r.poisson(0.05, (size, size)).astype(float)
+    model = lm._counted(m, m.sum(axis=0), np.arange(size), np.arange(size) % 2 == 0, 0)
+    model.weights["out"] = r.randn(*model.weights["out"].shape).astype(np.float32)
+    rows = [r.randint(0, size, n) for n in (77, 500, 2, 65, 300)]
+    chance, opens = model.log_probabilities(np.concatenate(rows), np.cumsum([0, *map(len, rows)]))
+    assert np.isfinite(chance).all() and np.isfinite(opens).all()
+    at = 0
+    for row in rows:
+        alone, _ = model.log_probabilities(row, np.array([0, len(row)]))
+        assert np.allclose(chance[at:at + len(row) - 1], alone[:-1], atol=1e-4) and (alone[:-1] < 0).all()
+        at += len(row)
+
+
 def test_every_training_document_trains(spark, monkeypatch):
     docs, seen = frame(spark, [(i, f"text {i} of some") for i in range(60)]), {"_averaged": [], "_tuned": []}
     for name, ids in seen.items():

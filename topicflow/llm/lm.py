@@ -146,13 +146,14 @@ class Model:
         """Natural log P of the id after each place, and of a word's end there (rows as of `_sequences`;
         the last place of a row means nothing)."""
         x = self.symbol[ids]
-        begin, scored = attention.windows(np.diff(first) - 1)
+        begin, scored = _windows(first)
         chance, opens = np.zeros(len(x)), np.zeros(len(x))
         stop = np.repeat(first[1:] - 1, _many(np.diff(first) - 1))
         padded = np.concatenate([x, np.zeros(attention.CONTEXT + 1, x.dtype)])
         for lo in range(0, len(begin), _AT_ONCE):
             at = begin[lo:lo + _AT_ONCE, None] + np.arange(attention.CONTEXT)
             logits, _ = attention.forward(self.weights, self.embedding, self.skip, padded[at])
+            logits -= logits.max(axis=2, keepdims=True)
             wanted = np.take_along_axis(logits, self.of_class[padded[at + 1]][:, :, None], axis=2)[:, :, 0]
             # The first half of the classes are those that begin words.
             np.exp(logits, out=logits)
@@ -191,6 +192,12 @@ def _many(lengths: np.ndarray) -> np.ndarray:
     return np.where(lengths > 0, 1 + -(-np.maximum(0, lengths - attention.CONTEXT) // step), 0)
 
 
+def _windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`attention.windows` over rows that all have one more place, the last, which predicts nothing."""
+    begin, scored = attention.windows(np.diff(first) - 1)
+    return begin + np.repeat(np.arange(len(first) - 1), _many(np.diff(first) - 1)), scored
+
+
 def _groups(vectors: np.ndarray, weight: np.ndarray, k: int) -> np.ndarray:
     """k-means, begun from points spread over the order of the first coordinate."""
     k = min(k, len(vectors))
@@ -303,7 +310,7 @@ def _averaged(docs: DataFrame, model, source, end_id: int) -> dict | None:
             for _, part in slices(texts(batch.column("text"))):
                 ids, _, first = _sequences(part, encoder, end_id)
                 x = own.symbol[ids]
-                begin, scored = attention.windows(np.diff(first) - 1)
+                begin, scored = _windows(first)
                 stop = np.repeat(first[1:] - 1, _many(np.diff(first) - 1))
                 at = begin[:, None] + np.arange(attention.CONTEXT)
                 padded = np.concatenate([x, np.zeros(attention.CONTEXT + 1, x.dtype)])
