@@ -355,6 +355,19 @@ def test_every_training_document_trains(spark, monkeypatch):
     assert sorted(seen["_averaged"]) == sorted(seen["_tuned"]) == training
 
 
+def test_scores_do_not_depend_on_the_words_that_workers_hold(spark, odd, monkeypatch):
+    got = []
+    for most in (lm.HEAD_WORDS, 7):
+        monkeypatch.setattr(lm, "HEAD_WORDS", most)
+        folder = Scratch(spark, f"head-{most}")
+        model, counts, totals = lm.fit(odd, public.path("byte_bpe_50k.tiktoken"), public.PATTERN, folder)
+        rows = lm.score(odd, model, counts, totals, folder).collect()
+        got.append((model.weight, sorted((str(r.doc_id), r.n_known, r.base_score, r.score) for r in rows)))
+    assert got[0][0] == got[1][0]
+    for x, y in zip(got[0][1], got[1][1]):
+        assert x[:2] == y[:2] and x[2:] == pytest.approx(y[2:])
+
+
 # -- quality ----------------------------------------------------------------------------------------
 
 def test_quality_of_odd_rows(spark, odd, empty):

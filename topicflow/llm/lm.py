@@ -10,8 +10,9 @@ the id within its class comes from counts after the last symbol.  So
     P(id) = P(class | all ids before, by attention) * P(id | class, last symbol)
 
 which sums to 1 over ids, and the chance that a word ends is a sum over classes.  That makes
-a probability of whole words, which is mixed with the unigram of the HEAD_WORDS most frequent
-words; the weight is tuned on training text.
+a probability of whole words, which is mixed with the unigram of all counted words; the weight is
+tuned on training text.  Workers hold the counts of the HEAD_WORDS most frequent words, those of
+the others come by a join.
 
 All counts cover every training document, and so do the attention weights and the weight of the
 unigram.  Each training document belongs to one of ROUNDS rounds: in a round each task trains on
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from topicflow.llm import attention, bytebpe, units, words
 from topicflow.llm.common import Scratch, ship, slices, texts
 
-HEAD_WORDS = 100_000  # 16 bytes each on every worker
+HEAD_WORDS = 100_000  # 16 bytes each on every worker; the counts of all others are joined
 HEAD_IDS = 1024
 TAIL = 64
 CLASSES = 64
@@ -257,7 +258,7 @@ def fit(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> tupl
         m[r.x, r.y] = r.n
     model = _counted(m, np.bincount(ids, n, vocabulary), symbol, opens, end_id)
     in_head = [r for r in head if r.word != _END]
-    mass = sum(r.n for r in in_head) + (ends.n if ends else 0)
+    mass = int(total or 0)
     keys = np.array([r.word for r in in_head], np.int64).view(np.uint64)
     order = np.argsort(keys)
     model.head = keys[order]
@@ -267,8 +268,8 @@ def fit(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> tupl
     for turn in range(ROUNDS):
         part = training.where(F.pmod(F.shiftright(F.xxhash64("doc_id"), 32), F.lit(ROUNDS)) == turn)
         model.weights = _averaged(part, spark.sparkContext.broadcast(model), source, end_id) or model.weights
-    model.weight = _tuned(training, spark.sparkContext.broadcast(model), source, end_id)
-    folder.drop("pairs")
+    model.weight = _tuned(training, spark.sparkContext.broadcast(model), source, end_id, counts, folder)
+    folder.drop("pairs", "tuning")
     return model, counts, {"tokens": int(total or 0), "distinct": int(distinct), "ends": int(ends.n) if ends else 0, "source": source, "end_id": end_id}
 
 
@@ -345,7 +346,13 @@ def _averaged(docs: DataFrame, model, source, end_id: int) -> dict | None:
     return out
 
 
-def _tuned(docs: DataFrame, model, source, end_id: int) -> float:
+def _mixed(by_ids: Column, n: Column, mass: float, weight: float) -> Column:
+    """`Model.mixed` for words whose counts have been joined; n is null or 0 without any."""
+    a, b = math.log(weight) + F.log(n / mass), math.log(1 - weight) + by_ids
+    return F.when(n > 0, F.greatest(a, b) + F.log1p(F.exp(-F.abs(a - b)))).otherwise(b)
+
+
+def _tuned(docs: DataFrame, model, source, end_id: int, counts: DataFrame, folder: Scratch) -> float:
     """The weight of the unigram that makes these documents likeliest."""
 
     def run(batches):
@@ -353,17 +360,26 @@ def _tuned(docs: DataFrame, model, source, end_id: int) -> float:
         own, sums = model.value, np.zeros(len(_GRID))
         for batch in batches:
             for _, part in slices(texts(batch.column("text"))):
-                _, _, by_ids, by_word, by_ids_end = own.tokens(part, encoder, end_id)
+                spelled, _, by_ids, by_word, by_ids_end = own.tokens(part, encoder, end_id)
                 # Without the word itself among the counts, as it would be for a text not learned from.
+                head = np.isfinite(by_word)
+                for lo in range(0, int((~head).sum()), 100_000):
+                    words_of, ids_of = (x[~head][lo:lo + 100_000] for x in (spelled.hashes().view(np.int64), by_ids))
+                    yield pa.RecordBatch.from_arrays([pa.array(words_of), pa.array(ids_of), pa.nulls(len(ids_of), pa.list_(pa.float64()))], names)
+                by_ids, by_word = by_ids[head], by_word[head]
                 seen = np.exp(by_word) * own.mass
                 with np.errstate(divide="ignore"):
                     by_word = np.log(np.maximum(np.rint(seen) - 1, 0) / own.mass)
                 a, b = np.append(by_ids, by_ids_end), np.append(by_word, np.full(len(by_ids_end), own.end_unigram))
                 sums += [own.mixed(a, b, w).sum() for w in _GRID]
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(_GRID))), pa.array(sums)], ["place", "total"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()), pa.array([sums.tolist()])], names)
 
-    rows = docs.select("text").mapInArrow(run, "place long, total double").groupBy("place").agg(F.sum("total").alias("total")).collect()
-    return float(_GRID[max(rows, key=lambda r: (r.total, -r.place)).place]) if rows else 0.5
+    names, mass = ["word", "by_ids", "sums"], model.value.mass
+    rows = folder.save("tuning", docs.select("text").mapInArrow(run, "word long, by_ids double, sums array<double>"))
+    head = rows.where("sums is not null").agg(*(F.sum(F.col("sums")[k]) for k in range(len(_GRID)))).first()
+    rest = rows.where("word is not null").join(counts, "word").agg(*(F.sum(_mixed(F.col("by_ids"), F.col("n") - 1, mass, float(w))) for w in _GRID)).first()
+    totals = [(x or 0.0) + (y or 0.0) for x, y in zip(head, rest)]
+    return float(_GRID[int(np.argmax(totals))]) if any(totals) else 0.5
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, totals: dict, folder: Scratch) -> DataFrame:
@@ -386,34 +402,21 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, totals: dict, folder
                 n = len(part)
                 found = own_model.mixed(by_ids, by_word, own_model.weight)
                 ended = own_model.mixed(by_ids_end, np.full(n, own_model.end_unigram), own_model.weight)
-                chance = (np.bincount(rows, found, n) + ended) / math.log(10)
                 head = np.isfinite(by_word)
+                chance = (np.bincount(rows[head], found[head], n) + ended) / math.log(10)
+                at = pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows[~head], minlength=n))]), pa.int32())
+                rest = [pa.ListArray.from_arrays(at, pa.array(x[~head])) for x in (own.hashes().view(np.int64), by_ids)]
                 seen = np.log10(np.rint(np.exp(by_word[head]) * own_model.mass) + 0.1)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("doc_id").slice(row, n), batch.column("key").slice(row, n), pa.array(own.counts + 1),
-                    pa.array(np.bincount(rows[head], minlength=n) + known_end), pa.array(np.bincount(rows[head], seen, n) + log_end), pa.array(chance),
-                ], ["doc_id", "key", "n_tokens", "known", "logs", "score"])
-
-    def tail(batches):
-        head = shared.value.head
-        for batch in batches:
-            key = batch.column("key").to_numpy()
-            for row, part in slices(texts(batch.column("text"))):
-                own = words.split(part, words.NOT_SPACE, lower=True)
-                hashes, rows = own.hashes(), own.rows()
-                if len(head):
-                    rest = head[np.minimum(np.searchsorted(head, hashes), len(head) - 1)] != hashes
-                    hashes, rows = hashes[rest], rows[rest]
-                order = np.lexsort((hashes, rows))
-                hashes, rows = hashes[order], rows[order]
-                begin = np.flatnonzero(np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])])) if len(rows) else np.empty(0, np.int64)
-                times = np.diff(np.append(begin, len(rows)))
-                yield pa.RecordBatch.from_arrays([pa.array(key[rows[begin] + row]), pa.array(hashes[begin].view(np.int64)), pa.array(times)], ["key", "word", "times"])
+                    pa.array(np.bincount(rows[head], minlength=n) + known_end), pa.array(np.bincount(rows[head], seen, n) + log_end), pa.array(chance), *rest,
+                ], ["doc_id", "key", "n_tokens", "known", "logs", "score", "words", "by_ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = folder.save("scored", rows.mapInArrow(run, f"doc_id {kind}, key long, n_tokens long, known long, logs double, score double"))
-    rare = rows.select("key", "text").mapInArrow(tail, "key long, word long, times long").join(counts, "word")
-    rare = rare.groupBy("key").agg(F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("n") + 0.1)).alias("rare_logs"))
+    scored = folder.save("scored", rows.mapInArrow(run, f"doc_id {kind}, key long, n_tokens long, known long, logs double, score double, words array<long>, by_ids array<double>"))
+    rare = scored.select("key", F.explode(F.arrays_zip("words", "by_ids")).alias("rest")).select("key", F.col("rest.words").alias("word"), F.col("rest.by_ids").alias("by_ids"))
+    rare = rare.join(counts, "word", "left").groupBy("key").agg(
+        F.count("n").alias("rare_known"), F.sum(F.log10(F.col("n") + 0.1)).alias("rare_logs"), F.sum(_mixed(F.col("by_ids"), F.col("n"), model.mass, model.weight)).alias("rare_score"))
     # Rows that are repeated have been summed up together.
     copies = scored.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).join(rare, "key", "left")
     unknown = math.log10(0.1)
@@ -421,4 +424,5 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, totals: dict, folder
     logs = F.col("logs") + F.coalesce(F.col("rare_logs") / F.col("copies"), F.lit(0.0))
     return scored.join(copies, "key").select(
         "doc_id", held_out("doc_id").alias("held_out"), "n_tokens", n_known.alias("n_known"), F.lit(totals["tokens"]).cast("long").alias("train_tokens"),
-        (logs + (F.col("n_tokens") - n_known) * unknown - F.col("n_tokens") * base).alias("base_score"), "score")
+        (logs + (F.col("n_tokens") - n_known) * unknown - F.col("n_tokens") * base).alias("base_score"),
+        (F.col("score") + F.coalesce(F.col("rare_score") / F.col("copies"), F.lit(0.0)) / math.log(10)).alias("score"))
