@@ -105,8 +105,81 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 FROM component LEFT JOIN size USING (doc_id)
 """
 
+OP11 = r"""
+WITH RECURSIVE bits AS (
+    SELECT i, 0 AS k, i::UBIGINT AS c FROM range(256) t(i)
+    UNION ALL SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END FROM bits WHERE k < 8
+), steps AS (
+    SELECT list(c ORDER BY i) AS step FROM bits WHERE k = 8
+), run AS (
+    SELECT doc_id, r, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS r
+        FROM documents) GROUP BY doc_id, r
+), hashed AS (
+    SELECT r, n, xor(list_reduce(list_prepend(4294967295::UBIGINT, flatten(list_transform(string_split(doc_id::VARCHAR || ':' || r, ''),
+            lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::UBIGINT] ELSE [195::UBIGINT, (unicode(c) - 64)::UBIGINT] END))),
+        lambda h, b: xor(h // 256, step[(xor(h % 256, b) + 1)::BIGINT])), 4294967295::UBIGINT) AS h FROM run, steps
+), word AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT n, CASE WHEN h % 199 = 0 THEN r[:(h % length(r))::BIGINT] || r[(h % length(r))::BIGINT + 2:] ELSE r END AS word FROM hashed)
+    WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), shorter AS (
+    SELECT word, n, i, word[:i - 1] || word[i + 1:] AS s FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)
+), near AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b ON a.s = b.s AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM shorter a JOIN word b ON a.s = b.word
+    UNION SELECT b.word, a.word, a.n FROM shorter a JOIN word b ON a.s = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word
+), form AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * n THEN other END AS form, CASE WHEN other_n >= 5 * n THEN other_n END AS form_n
+    FROM word LEFT JOIN best USING (word)
+), way AS (
+    SELECT word, word AS here, 0 AS steps FROM form
+    UNION ALL SELECT way.word, form.form, steps + 1 FROM way JOIN form ON form.word = way.here WHERE form.form IS NOT NULL
+), root AS (
+    SELECT word, arg_max(here, steps) AS root FROM way GROUP BY word
+)
+SELECT word, form, root, n, n_near, form_n FROM form JOIN root USING (word)
+"""
+
+OP12 = r"""
+WITH doc AS (
+    SELECT doc_id, len(t) AS n, t FROM (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t FROM documents) WHERE len(t) > 0
+), total AS (
+    SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM doc
+), item AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), posting AS (
+    SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM doc) WHERE term IN (SELECT term FROM item) GROUP BY ALL
+), weight AS (
+    SELECT term, floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM posting, total GROUP BY term, nn
+), scored AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * nn) // ll)))))::BIGINT AS score
+    FROM item JOIN posting USING (term) JOIN weight USING (term), total GROUP BY item_id, doc_id
+)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0) WHERE rank <= 10
+"""
+
+OP13 = r"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pair AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
+    FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pair) WHERE rank <= 5
+"""
+
 
 def sql() -> dict[str, str]:
     return {
         "op1_chat": OP1, "op3_decontaminate": OP3, "op5_substring_dedup": OP5, "op9_warc": OP9, "op10_near_dedup": OP10,
+        "op11_variants": OP11, "op12_ranked": OP12, "op13_topk": OP13,
     }

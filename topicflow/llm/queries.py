@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.llm import bytebpe, chat, decontaminate, lm, lshforest, passages, quality, syncmers, tokenfile, warc
+from topicflow.llm import bytebpe, chat, decontaminate, lm, lshforest, passages, quality, ranked, syncmers, tokenfile, topk, variants, warc
 from topicflow.llm.common import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,5 +107,19 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(table(spark, sf_dir, "documents"), Scratch(spark, "variants"))
+
+
+def op12_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10, Scratch(spark, "ranked"))
+
+
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, 5, Scratch(spark, "topk"))
+
+
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_chat, op2_token_files, op3_decontaminate, op4_syncmers, op5_substring_dedup, op6_byte_bpe, op7_lm_score, op8_quality, op9_warc, op10_near_dedup)}
+    found = (op1_chat, op2_token_files, op3_decontaminate, op4_syncmers, op5_substring_dedup, op6_byte_bpe, op7_lm_score, op8_quality,
+             op9_warc, op10_near_dedup, op11_variants, op12_ranked, op13_topk)
+    return {f.__name__: f for f in found}
