@@ -199,6 +199,83 @@ def test_last_write_wins(spark, feed, store):
     assert store.stored("rt_tweet_locations_world").count() == 1
 
 
+def test_the_last_write_wins_across_batches_and_restarts(spark, feed, store):
+    checkpoint = run_dir(spark, "checkpoint")
+
+    def run(now=M0):
+        run_available(live_stream.last_write_writer(feed.messages(), store, checkpoint, within_ms=None, now_ms=F.lit(now)))
+
+    def rows(name, *columns):
+        return sorted(tuple(r) for r in store.stored(name).select("time_ms", *columns).collect())
+
+    feed.put(at(M0, "a", "b", id_str="9", coordinates=[1, 2]), at(M0 + 1, "x", id_str="3"))
+    run()
+    feed.put(at(M0, "c", id_str="10", coordinates=[3, 4]), at(M0, "old", id_str="8", coordinates=[9, 9]), at(M0 + 2, "y", id_str="4", country="DE"))
+    feed.put(at(M0 + 1, "w", "z", id_str="30", country="FR"), at(M0 + 1, "v", id_str="20"))
+    run()
+    for level, place in (("world", ()), ("country", ("country",)), ("city", ("country", "city"))):
+        wheres = {(): [(), (), ()], ("country",): [("US",), ("FR",), ("DE",)], ("country", "city"): [("US", "X"), ("FR", "X"), ("DE", "X")]}[place]
+        assert rows(f"rt_tweet_{level}", "topic", *place) == [(M0, "c", *wheres[0]), (M0 + 1, "z", *wheres[1]), (M0 + 2, "y", *wheres[2])]
+        assert rows(f"rt_tweet_locations_{level}", "lat", "long")[0] == (M0, 4.0, 3.0)
+    run()  # nothing new
+    assert len(rows("rt_tweet_world")) == 3
+    # Another second is another key; the watermark lets go of the first one.
+    feed.put(at(M0, "later", id_str="1"))
+    run(M0 + 3_600_000)
+    feed.put(at(M0 + 7, "last", id_str="2"))
+    run(M0 + 3_600_000)
+    assert [r.topic for r in store.stored("rt_tweet_world").where(f"secslot = {(M0 + 3_600_000) // 1000}").orderBy("time_ms").collect()] == ["later", "last"]
+
+
+def test_one_pass_gives_the_rows_of_both_kinds(spark):
+    messages = parse.parse_messages(frame(spark, [
+        at(M0, "a", "b", coordinates=[1, 2]), at(M0 + 1, coordinates=[1, 2]), at(M0 + 2, "c", coordinates=[]), at(M0 + 3, coordinates=[1])]))
+    second = F.lit(5).cast("long")
+    both = live.entries(messages, second, "t_id")
+    for kind, wanted in (("location", live.live_locations(messages, "city", second)), ("message", live.live_messages(messages, "city", second))):
+        got = both.where(F.col("kind") == kind).select(*wanted.columns)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect())) != []
+
+
+@pytest.mark.parametrize("once", [True, False])
+def test_a_replayed_part_counts_once_if_asked(spark, feed, store, once):
+    checkpoint, lines = run_dir(spark, "checkpoint"), [at(M0 + i * 1000, f"t{i % 3}", id_str=str(i)) for i in range(30)]
+    for part in (lines[:20], lines[:20], lines[10:], [at(M0 + 100 * MINUTE, "f", id_str="f1")], [at(M0 + 200 * MINUTE, "f", id_str="f2")], [at(M0 + 300 * MINUTE, "f", id_str="f3")]):
+        feed.put(*part)
+        run_available(minutes.minute_writer(feed.messages(), store, checkpoint, lateness="5 minutes", world_k=None, once=once))
+    times = 1 if once else 2
+    found = counted(store.stored(trends_name("city", "minute")).where("topic <> 'f'"), "topic")
+    assert sum(found.values()) == (30 if once else 60)
+    assert not once or found == {("t0",): 10 * times, ("t1",): 10 * times, ("t2",): 10 * times}
+
+
+def test_landing_counts_its_lines_and_refuses_too_many_malformed(spark, feed):
+    told, root, checkpoint = [], run_dir(spark, "landed"), run_dir(spark, "checkpoint")
+
+    def pull(**options):
+        run_available(landing.landing_writer(feed.lines(), root, checkpoint, oldest_days=None, on_counts=lambda *x: told.append(x), **options))
+
+    feed.put(at(M0, "a"), "junk", at(M0, "b"), at(M0, "c"))
+    feed.put(at(M0, "d"))
+    pull(max_rejects=0.25)
+    assert told == [(0, 4, 1), (1, 1, 0)]
+    feed.put("junk", at(M0, "e"))
+    with pytest.raises(Exception, match="1 of 2 lines of batch 2 are malformed"):
+        pull(max_rejects=0.25)
+    assert sources.landed_lines(spark, root).count() == 5
+    pull(max_rejects=0.5)  # the same batch again
+    assert told[2:] == [(2, 2, 1)] * 2 and sources.landed_lines(spark, root).count() == 7
+
+
+def test_a_capped_backlog_lands_in_several_batches(spark, feed):
+    root = run_dir(spark, "landed")
+    for i in range(5):
+        feed.put(at(M0, f"t{i}"))
+    run_available(landing.landing_writer(feed.lines(2), root, run_dir(spark, "checkpoint"), oldest_days=None))
+    rows = sources.landed_lines(spark, root)
+    assert rows.count() == 5 and rows.select("batch").distinct().count() == 3
+
+
 def test_the_last_write_is_that_of_the_largest_number(spark):
     rows = spark.createDataFrame([(1, 5, "a", "9"), (1, 5, "b", "10"), (1, 5, "c", "2"), (1, 6, "d", "x"), (1, 6, "e", "7"), (1, 7, "f", "y"), (1, 7, "g", "z")],
                                  "secslot long, time_ms long, topic string, id string")

@@ -108,6 +108,10 @@ def yesterday(now: datetime, zone: str = UTC) -> int:
     return int((now.astimezone(ZoneInfo(zone)).date() - timedelta(days=1)).strftime(SLOT_FORMAT["day"]))
 
 
+def next_day(dayslot: int) -> int:
+    return int((datetime.strptime(str(dayslot), SLOT_FORMAT["day"]) + timedelta(days=1)).strftime(SLOT_FORMAT["day"]))
+
+
 def previous_hours(now: datetime, hours: int = 3, zone: str = UTC) -> list[int]:
     """The `hours` closed hour slots before `now`, newest first."""
     return [now_slot(now, "hour", timedelta(hours=h), zone) for h in range(1, hours + 1)]

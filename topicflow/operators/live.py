@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicflow.functions import slots
-from topicflow.operators.locations import with_position
+from topicflow.operators.locations import has_position, position, with_position
 from topicflow.operators.topics import with_topics
-from topicflow.schema import LEVEL_KEYS
+from topicflow.schema import LEVEL_KEYS, LIVE_KEY
 
 RECENT_MS = 60_000
 
@@ -42,7 +44,21 @@ def live_messages(messages: DataFrame, level: str, secslot: Column | None = None
     )
 
 
-def last_write_wins(rows: DataFrame, arrival: list[str]) -> DataFrame:
+def entries(messages: DataFrame, secslot: Column, *extra: str) -> DataFrame:
+    """The live rows of both kinds in one pass: a `kind` of `location` once for each message with a
+    position, of `message` for each topic occurrence.  `position` is the topic's place in its message."""
+    lon, lat = position()
+    here = F.when(has_position(), F.array(F.struct(F.lit("location").alias("kind"), F.lit(0).alias("position"), F.lit(None).cast("string").alias("topic"))))
+    each = F.transform("tags", lambda tag, i: F.struct(F.lit("message").alias("kind"), i.alias("position"), tag.alias("topic")))
+    nothing = F.filter(each, lambda e: F.lit(False))
+    return messages.select(
+        secslot.alias("secslot"), "country", "city", "time_ms", lat.cast("float").alias("lat"), lon.cast("float").alias("long"),
+        F.col("user_name").alias("user"), F.col("text").alias("tweet"), *extra,
+        F.explode(F.concat(F.coalesce(here, nothing), each)).alias("_entry"),
+    ).select("_entry.*", "*").drop("_entry")
+
+
+def last_write_wins(rows: DataFrame, arrival: list[str], keys: Sequence[str] = LIVE_KEY) -> DataFrame:
     """One row per (secslot, time_ms): the one that arrived last.
 
     `arrival` names the columns that tell the order.  Ids are numbers written as text and
@@ -50,7 +66,6 @@ def last_write_wins(rows: DataFrame, arrival: list[str]) -> DataFrame:
     `max_by` combines inside each task, so many rows of one second and
     millisecond are never gathered in one place.
     """
-    keys = ["secslot", "time_ms"]
     rest = [c for c in rows.columns if c not in keys and c not in arrival]
     text = {name for name, kind in rows.dtypes if kind == "string"}
     order = [part for c in arrival for part in ([F.expr(f"try_cast({c} as bigint)"), F.col(c)] if c in text else [F.col(c)])]

@@ -27,6 +27,30 @@ def summary_of_base(base: DataFrame, grain: str) -> DataFrame:
     return _long(wide, slot)
 
 
+def topic_sketches(base: DataFrame, grain: str) -> DataFrame:
+    """A mergeable sketch of each slot's distinct topics, of fixed size (12 bits, about 1.6 % error)."""
+    slot = GRAIN_SLOT[grain]
+    return base.where(F.col("topic").isNotNull()).groupBy(slot).agg(F.hll_sketch_agg("topic").alias("topics"))
+
+
+def day_summary(hour_summary: DataFrame, day_trends: DataFrame) -> DataFrame:
+    """Day summaries without the lines: totals add up over hours, and a day's world trends have one row per topic."""
+    sums = hour_summary.where(F.col("count_type") != "trends").groupBy(
+        slots.day_of_hour(F.col("hourslot")).alias("dayslot"), "count_type").agg(F.sum("count").alias("count"))
+    topics = day_trends.groupBy("dayslot").agg(F.count(F.lit(1)).alias("topics"))
+    trends = sums.where(F.col("count_type") == "total").join(topics, "dayslot", "left").select(
+        "dayslot", F.lit("trends").alias("count_type"), F.coalesce("topics", F.lit(0)).alias("count"))
+    return sums.unionByName(trends)
+
+
+def early_summary(hour_summary: DataFrame, hour_sketches: DataFrame) -> DataFrame:
+    """Day summaries so far, of the hours there are; the number of topics is an estimate."""
+    day = slots.day_of_hour(F.col("hourslot")).alias("dayslot")
+    sums = hour_summary.where(F.col("count_type") != "trends").groupBy(day, "count_type").agg(F.sum("count").alias("count"))
+    merged = hour_sketches.groupBy(day).agg(F.hll_sketch_estimate(F.hll_union_agg("topics")).alias("topics"))
+    return sums.unionByName(merged.select("dayslot", F.lit("trends").alias("count_type"), F.col("topics").cast("long").alias("count")))
+
+
 def slot_summary(parsed: DataFrame, grain: str, landing: str, zone: str = slots.UTC) -> DataFrame:
     return summary_of_base(base_counts(parsed, grain, landing, zone), grain)
 

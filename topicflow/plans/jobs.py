@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from topicflow.functions import slots as slot_fn
 from topicflow.operators import locations, parse, ranking, summary, topics
-from topicflow.schema import GRAIN_SLOT, LEVELS, TOP_K, counts_name, locations_name, top_name, trends_name
+from topicflow.schema import GRAIN_SLOT, LEVELS, TOP_K, counts_name, locations_name, sketches_name, top_name, trends_name
 from topicflow.session import run_dir
 from topicflow.sinks import files
 from topicflow.sinks.store import Store
@@ -71,11 +71,13 @@ def run_slots(
         def top(level: str) -> Callable[[], None]:
             return write(top_name(level, grain), ranking.top_topics(written(level), level, grain, k), no_topics)
 
+        sketches = [write(sketches_name(grain), summary.topic_sketches(staged, grain), no_topics)] if grain == "hour" else []
         _together(
             spark,
             trends("city", counts),
             trends("country", topics.coarser_counts(counts, "country", grain)),
             write(counts_name(grain), summary.summary_of_base(staged, grain), no_lines),
+            *sketches,
         )
         _together(
             spark,
@@ -102,6 +104,10 @@ def day_job(store: Store, daily: str, day: int, zone: str = slot_fn.UTC, k: int
     return run_slots(store, lines, "day", "landing_day", [day], zone, k)
 
 
+class IncompleteDays(ValueError):
+    """Hours of a day are not stored."""
+
+
 def missing_hours(store: Store, days: Iterable[int]) -> list[int]:
     """The hours of these days without a summary: never counted, without lines, or already expired."""
     hours = [day * 100 + h for day in sorted(set(days)) for h in range(24)]
@@ -111,16 +117,16 @@ def missing_hours(store: Store, days: Iterable[int]) -> list[int]:
 
 def roll_up_days(store: Store, days: Iterable[int], into: Store | None = None, k: int = TOP_K,
                  quiet: Iterable[int] = ()) -> None:
-    """Day trends and top lists from the stored hour trends, without the lines.
+    """Day trends, top lists and summaries from the stored hours, without the lines.
 
     Hour tables expire, and a day of which hours are gone would be replaced by a part of
     itself: every hour must have its summary, but for those named `quiet`, which had no
-    lines.  A day that has no topics any more is emptied.
+    lines.  A day that has no topics any more is emptied, one without lines has no summary.
     """
     days = sorted(set(days))
     gone = sorted(set(missing_hours(store, days)) - set(quiet))
     if gone:
-        raise ValueError(f"{len(gone)} hours are not stored, {gone[0]} the first: count the days from their lines")
+        raise IncompleteDays(f"{len(gone)} hours are not stored, {gone[0]} the first: count the days from their lines")
     out = store if into is None else into
     hours = [day * 100 + h for day in days for h in range(24)]
     for level in LEVELS:
@@ -131,6 +137,16 @@ def roll_up_days(store: Store, days: Iterable[int], into: Store | None = None, k
         written = out.stored(trends_name(level, "day"), sorted(full))
         out.replace(top_name(level, "day"), ranking.top_topics(written, level, "day", k))
         out.drop_slots(top_name(level, "day"), set(days) - full)
+    hour_summary = store.stored(counts_name("hour"), hours)
+    out.replace(counts_name("day"), summary.day_summary(hour_summary, out.stored(trends_name("world", "day"), days)))
+    with_lines = {r.hourslot // 100 for r in hour_summary.select("hourslot").distinct().collect()}
+    out.drop_slots(counts_name("day"), set(days) - with_lines)
+
+
+def early_day_summary(store: Store, days: Iterable[int]) -> DataFrame:
+    """The summary of days that are not over, from the hours stored so far; `trends` is estimated from their sketches."""
+    hours = [day * 100 + h for day in sorted(set(days)) for h in range(24)]
+    return summary.early_summary(store.stored(counts_name("hour"), hours), store.stored(sketches_name("hour"), hours))
 
 
 def location_job(store: Store, lines: DataFrame, zone: str = slot_fn.UTC) -> None:

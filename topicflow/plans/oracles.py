@@ -239,7 +239,7 @@ def _bodies() -> dict[str, str]:
         "serve_live_tweets": f'SELECT topic, "user", time_ms, tweet FROM ({_newest(_live_messages("world"), "TRUE")}) '
                              'ORDER BY time_ms, topic, "user", tweet LIMIT 10',
         "serve_live_tweets_topic": f'SELECT country, topic, "user", time_ms, tweet FROM ({asia_tweets}) '
-                                   "WHERE topic = 'click' ORDER BY time_ms, topic, \"user\", tweet LIMIT 10",
+                                   f"WHERE topic = (SELECT min(topic) FROM ({asia_tweets})) ORDER BY time_ms, topic, \"user\", tweet LIMIT 10",
         "serve_live_locations": 'SELECT time_ms, lat AS latitude, long AS longitude '
                                 f'FROM ({_newest(_live_locations("world"), "TRUE")})',
         "serve_live_locations_city": 'SELECT country, city, time_ms, lat AS latitude, long AS longitude '
@@ -287,6 +287,22 @@ def _bodies() -> dict[str, str]:
         "serve_topics_hour_cut": served_topics("hour", 5, f"hourslot = {hour}", "world", "topic"),
         "landing_recent": _landed(f"verdict = 'malformed' OR time_ms >= {_NOW_MS} - 3 * 86400000"),
         "compact_day": _landed(),
+        "rollup_summary": f"SELECT *, {_LABEL['day']} AS label FROM ({_totals('day')})",
+        "rollup_incomplete": f"""SELECT * FROM ({_summary("day")}) WHERE dayslot = (
+            SELECT CAST(strftime(date_trunc('day', min(ts)) + INTERVAL 1 DAY, '%Y%m%d') AS INTEGER) FROM shaped WHERE date_trunc('hour', ts) >= (
+                SELECT date_trunc('hour', min(h) + (max(h) - min(h)) / 2) FROM (SELECT date_trunc('hour', ts) AS h FROM shaped)))""",
+        "stream_replayed": _trends("city", "minute"),
+        "stream_last_write": f"""SELECT {_NOW_MS // 1000} AS secslot, country, city, topic, "user", time_ms // 60000 * 60000 AS time_ms, tweet FROM (
+            SELECT *, user_name AS "user", text AS tweet, row_number() OVER (
+                PARTITION BY time_ms // 60000 ORDER BY event_id DESC, position DESC) AS rn FROM occurrences) WHERE rn = 1""",
+        "stream_last_location": f"""SELECT {_NOW_MS // 1000} AS secslot, country, time_ms // 60000 * 60000 AS time_ms,
+            CAST(lat AS FLOAT) AS lat, CAST(lon AS FLOAT) AS long FROM (
+            SELECT *, row_number() OVER (PARTITION BY time_ms // 60000 ORDER BY event_id DESC) AS rn FROM messages WHERE lat IS NOT NULL) WHERE rn = 1""",
+        "landing_counts": """SELECT CAST(count(*) AS BIGINT) AS lines, CAST(count(*) FILTER (verdict = 'malformed') AS BIGINT) AS malformed FROM shaped""",
+        "landing_capped": f"SELECT *, CAST(3 AS BIGINT) AS batches FROM ({_landed()})",
+        "upserted_days": _trends("country", "day"),
+        "complete_topics": """SELECT time_ms, country, city, unnest(list_concat(hashtags, mentions)) AS topic FROM shaped
+            WHERE event_id % 23 <> 0 AND event_id % 10 <> 0""",
     }
     return found
 

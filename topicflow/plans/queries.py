@@ -13,7 +13,7 @@ from topicflow.functions import slots
 from topicflow.operators import envelope, live, locations, parse, ranking, summary, topics
 from topicflow.plans import jobs, serve
 from topicflow.schema import (
-    GRAIN_SLOT, GRAINS, LEVEL_KEYS, LEVELS, TABLES, TOP_K, live_locations_name, live_messages_name, locations_name,
+    GRAIN_SLOT, GRAINS, LEVEL_KEYS, LEVELS, TABLES, TOP_K, counts_name, live_locations_name, live_messages_name, locations_name,
     top_name, trends_name,
 )
 from topicflow.session import run_dir
@@ -196,14 +196,45 @@ def _served(grain: str, lookup: Callable[[Store], DataFrame]) -> Query:
     return lambda spark, sf_dir: lookup(store_of(spark, sf_dir, grain))
 
 
+def _rolled_store(spark: SparkSession, sf_dir: str) -> Store:
+    """All days rolled up from the stored hours, on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir, "rolled")
+    if key not in _stores:
+        hours = store_of(spark, sf_dir, "hour")
+        days = sorted({h // 100 for h in hours.slots(top_name("world", "hour"))})
+        out = Store(spark, run_dir(spark, "rollup"))
+        # Hours without a line have no summary.
+        jobs.roll_up_days(hours, days, out, quiet=jobs.missing_hours(hours, days))
+        _stores[key] = out
+    return _stores[key]
+
+
 def job_roll_up_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days' city trends rolled up from the stored hours."""
-    hours = store_of(spark, sf_dir, "hour")
-    days = sorted({r["hourslot"] // 100 for r in serve.timeslots(hours, "hour").collect()})
-    out = Store(spark, run_dir(spark, "rollup"))
-    # Hours without a line have no summary.
-    jobs.roll_up_days(hours, days, out, quiet=jobs.missing_hours(hours, days))
-    return out.read(trends_name("city", "day"))
+    return _rolled_store(spark, sf_dir).read(trends_name("city", "day"))
+
+
+def rollup_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day page's totals after a roll-up."""
+    return serve.stats(_rolled_store(spark, sf_dir), "day")
+
+
+def rollup_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of which the first has lost an hour: it is refused, the second is rolled up."""
+    hours, part = store_of(spark, sf_dir, "hour"), Store(spark, run_dir(spark, "incomplete"))
+    middle, _ = _span(adapter.envelope_lines(spark, sf_dir))
+    lost = min(h for h in hours.slots(counts_name("hour")) if h >= middle)
+    days = [lost // 100, slots.next_day(lost // 100)]
+    quiet = set(jobs.missing_hours(hours, days))
+    for name in [counts_name("hour"), *(trends_name(level, "hour") for level in LEVELS)]:
+        there = [h for day in days for h in range(day * 100, day * 100 + 24)]
+        part.replace(name, hours.stored(name, there).where(F.col("hourslot") != lost).drop("written_at"))
+    for day in days:
+        try:
+            jobs.roll_up_days(part, [day], quiet=quiet)
+        except jobs.IncompleteDays:
+            continue
+    return part.read(counts_name("day"))
 
 
 def job_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,8 +244,9 @@ def job_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _live(pick, rows: Callable[[str], Query], country: str | None = None, city: str | None = None, **options) -> Query:
-    """A live lookup of the newest second the place has."""
+    """A live lookup of the newest second the place has; `of_newest` asks for the first topic of that second."""
     level = serve.resolve_level(country, city)
+    of_newest = options.pop("of_newest", False)
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = rows(level)(spark, sf_dir)
@@ -222,7 +254,8 @@ def _live(pick, rows: Callable[[str], Query], country: str | None = None, city:
         for key, wanted in zip(LEVEL_KEYS[level], (country, city)):
             here = here.where(F.col(key) == wanted)
         newest = here.agg(F.max("secslot")).first()[0]
-        return pick(found, newest, country=country, city=city, **options)
+        topic = {"topic": here.where(F.col("secslot") == newest).agg(F.min("topic")).first()[0]} if of_newest else {}
+        return pick(found, newest, country=country, city=city, **options, **topic)
 
     return run
 
@@ -233,6 +266,7 @@ def _live(pick, rows: Callable[[str], Query], country: str | None = None, city:
 MINUTE_K = 3
 # The clock of a stream that reads past events: so many days after the last of them.
 CLOCK_DAYS = 20
+REPLAY_DAYS = 100
 FUTURE_MS = 4_102_444_800_000  # the year 2100
 
 
@@ -257,6 +291,18 @@ def _at(clock: datetime) -> Column:
     return F.timestamp_micros(F.lit(int(clock.timestamp() * 1_000_000)))
 
 
+def _feed(spark: SparkSession, start: Callable[[DataFrame, str, Column], DataStreamWriter], parts: list[tuple[DataFrame, datetime]]) -> None:
+    """Feed parts (lines, clock) to a query one after another; it starts again from its checkpoint for each."""
+    folder, checkpoint = run_dir(spark, "stream"), run_dir(spark, "checkpoint")
+    try:
+        for part, now in parts:
+            part.write.mode("append").parquet(folder)
+            run_available(start(line_sources.file_stream(spark, folder, "parquet"), checkpoint, _at(now)))
+    finally:
+        files.delete(spark, folder)
+        files.delete(spark, checkpoint)
+
+
 def _arrive(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, str, Column], DataStreamWriter],
             flush: bool = False, late: bool = False) -> None:
     """Feed all lines to a query in two parts, the first wholly before the second.  The
@@ -267,7 +313,6 @@ def _arrive(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, str, C
     which is too late, with a message of the year 2100, and two more such messages an
     hour later.
     """
-    folder, checkpoint = run_dir(spark, "stream"), run_dir(spark, "checkpoint")
     lines = adapter.envelope_lines(spark, sf_dir)
     middle, clock = _span(lines)
     first = lines.where(F.col("landing_hour") <= middle).select("value")
@@ -278,13 +323,7 @@ def _arrive(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, str, C
     if late:
         future = _message(spark, FUTURE_MS, "future")
         parts += [(first.union(future), clock)] + [(future, clock + timedelta(hours=1))] * 2
-    try:
-        for part, now in parts:
-            part.write.mode("append").parquet(folder)
-            run_available(start(line_sources.file_stream(spark, folder, "parquet"), checkpoint, _at(now)))
-    finally:
-        files.delete(spark, folder)
-        files.delete(spark, checkpoint)
+    _feed(spark, start, parts)
 
 
 def _minute_store(spark: SparkSession, sf_dir: str) -> Store:
@@ -330,6 +369,50 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City minutes of a feed that sends each of its halves twice, well inside the lateness: every message counts once."""
+    out = run_dir(spark, "replayed")
+    lines = adapter.envelope_lines(spark, sf_dir)
+    middle, clock = _span(lines)
+    far = clock + timedelta(REPLAY_DAYS)
+    halves = [lines.where(F.col("landing_hour") <= middle).select("value"), lines.where(F.col("landing_hour") > middle).select("value")]
+    flushes = [_message(spark, int((far - timedelta(days=3 - i)).timestamp() * 1000), f"flush{i}") for i in range(3)]
+
+    def start(feed: DataFrame, checkpoint: str, now: Column) -> DataStreamWriter:
+        counts = minutes.minute_counts(parse.parse_messages(feed), f"{REPLAY_DAYS // 2} days", clock=now, once=True)
+        return (counts.writeStream.outputMode("append").format("parquet")
+                .option("path", out).option("checkpointLocation", checkpoint))
+
+    _feed(spark, start, [(part, far) for part in (*[h for half in halves for h in (half, half)], *flushes)])
+    return spark.read.parquet(out).where(~F.col("topic").startswith("flush"))
+
+
+def _last_write_store(spark: SparkSession, sf_dir: str) -> Store:
+    """Live tables of a stream whose messages all came in in one second, the newer ids first, with times cut to minutes so that
+    many rows share their key across batches."""
+    key = (spark.sparkContext.applicationId, sf_dir, "last-write")
+    if key not in _stores:
+        store, lines = Store(spark, run_dir(spark, "last-write")), adapter.envelope_lines(spark, sf_dir).select("value")
+        number = F.regexp_extract("value", '"id_str":"([0-9]+)"', 1).cast("long")
+
+        def start(feed: DataFrame, checkpoint: str, now: Column) -> DataStreamWriter:
+            messages = parse.parse_messages(feed).withColumn("time_ms", F.floor(F.col("time_ms") / 60_000) * 60_000)
+            return live_stream.last_write_writer(messages, store, checkpoint, within_ms=None, now_ms=F.unix_millis(now))
+
+        odd = number % 2 == 1
+        _feed(spark, start, [(lines.where(odd), NOW), (lines.where(~odd), NOW)])
+        _stores[key] = store
+    return _stores[key]
+
+
+def stream_last_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _last_write_store(spark, sf_dir).stored(live_messages_name("city")).select(*TABLES[live_messages_name("city")].columns)
+
+
+def stream_last_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _last_write_store(spark, sf_dir).stored(live_locations_name("country")).select(*TABLES[live_locations_name("country")].columns)
+
+
 def stream_tick_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top lists in tick mode, where two batches fall into one minute; the minute is the clock's."""
     store = Store(spark, run_dir(spark, "ticks"))
@@ -419,6 +502,49 @@ def landing_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         _lines_per_hour(line_sources.landed_lines(spark, refused)).withColumn("kept", F.lit(False)))
 
 
+def landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What landing tells of its batches: lines and malformed ones, added up."""
+    told: list[tuple[int, int]] = []
+    now_ms = F.lit(int(NOW.timestamp() * 1000))
+    _arrive(spark, sf_dir, lambda lines, checkpoint, _: landing.landing_writer(
+        lines, run_dir(spark, "landed"), checkpoint, on_error="reject", rejects=run_dir(spark, "refused"), oldest_days=None, now_ms=now_ms,
+        backlog=True, max_rejects=0.5, on_counts=lambda batch, n, malformed: told.append((n, malformed))))
+    return spark.createDataFrame(told, "lines long, malformed long").agg(F.sum("lines").alias("lines"), F.sum("malformed").alias("malformed"))
+
+
+def landing_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog of several files landed under a cap of one file a batch: lines per hour, and how many batches it took."""
+    root, folder = run_dir(spark, "landed"), run_dir(spark, "backlog")
+    adapter.envelope_lines(spark, sf_dir).select("value").repartition(3).write.parquet(folder)
+    capped = line_sources.file_stream(spark, folder, "parquet", files_per_batch=1)
+    now_ms = F.lit(int(NOW.timestamp() * 1000))
+    run_available(landing.landing_writer(capped, root, run_dir(spark, "checkpoint"), oldest_days=None, now_ms=now_ms, backlog=True))
+    files.delete(spark, folder)
+    landed = line_sources.landed_lines(spark, root)
+    batches = landed.agg(F.countDistinct("batch").alias("batches"))
+    return _lines_per_hour(landed).join(F.broadcast(batches))  # one row
+
+
+def upserted_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day trends of the first half of the hours, corrected by the whole counts of the topics that the second half touches."""
+    store, name = Store(spark, run_dir(spark, "upsert")), trends_name("country", "day")
+    occurrences = _occurrences(spark, sf_dir)
+    middle, _ = _span(adapter.envelope_lines(spark, sf_dir))
+    store.replace(name, topics.trend_counts(occurrences.where(F.col("hourslot") <= middle), "country", "day"))
+    keys = topics.trend_keys("country", "day")
+    touched = occurrences.where(F.col("hourslot") > middle).select(*keys).distinct()
+    whole = topics.trend_counts(occurrences, "country", "day").join(touched, keys, "left_semi")
+    for _ in range(2):  # again changes nothing
+        store.upsert(name, whole)
+    return store.read(name)
+
+
+def complete_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrences of all lines, refused ones too, without those that lack a time or a place."""
+    timed = _parsed(spark, sf_dir).select("*", *slots.slot_columns(F.col("time_ms")))
+    return topics.complete_occurrences(topics.explode_topics(timed)).select("time_ms", "country", "city", "topic")
+
+
 def landed_hour_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines landed by a stream, the last three closed hours counted, the hour page looked up."""
     store = Store(spark, run_dir(spark, "landed-hours"))
@@ -535,7 +661,7 @@ def registry() -> dict[str, Query]:
         "serve_topics_hour": _served("hour", lambda s: serve.topics(s, "hour", hour)),
         "serve_minute": serve_minute,
         "serve_live_tweets": _live(serve.pick_messages, _rt_messages),
-        "serve_live_tweets_topic": _live(serve.pick_messages, _rt_messages, COUNTRY, topic="click"),
+        "serve_live_tweets_topic": _live(serve.pick_messages, _rt_messages, COUNTRY, of_newest=True),
         "serve_live_locations": _live(serve.pick_locations, _rt_locations),
         "serve_live_locations_city": _live(serve.pick_locations, _rt_locations, COUNTRY, CITY),
         "timeslots_day": _served("day", lambda s: serve.timeslots(s, "day")),
@@ -569,6 +695,15 @@ def registry() -> dict[str, Query]:
         "rt_last_location_wins": rt_last_location_wins,
         "serve_topics_hour_cut": _served("hour", lambda s: serve.topics(s, "hour", hour, limit=5)),
         "timeslots_minute": timeslots_minute,
+        "rollup_summary": rollup_summary,
+        "rollup_incomplete": rollup_incomplete,
+        "stream_replayed": stream_replayed,
+        "stream_last_write": stream_last_write,
+        "stream_last_location": stream_last_location,
+        "landing_counts": landing_counts,
+        "landing_capped": landing_capped,
+        "upserted_days": upserted_days,
+        "complete_topics": complete_topics,
     }
     for level in LEVELS:
         found[f"stream_minute_{level}"] = _stream_minutes(level)

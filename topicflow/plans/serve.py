@@ -141,9 +141,16 @@ def live_locations(store: Store, now: datetime, country: str | None = None, city
 
 
 def timeslots(store: Store, grain: str = "day", as_of: datetime | None = None) -> DataFrame:
-    """The slots there are, with labels.  Only the slot column is read."""
-    slot = GRAIN_SLOT[grain]
-    found = store.read(top_name("world", grain), as_of=as_of).select(slot).distinct()
+    """The slots there are, with labels.
+
+    Days and hours are folders: their names and footers tell, no row is read.  Of the minutes,
+    which share their hour's folder, only the slot column is read.
+    """
+    slot, name = GRAIN_SLOT[grain], top_name("world", grain)
+    if grain == "minute":
+        found = store.read(name, as_of=as_of).select(slot).distinct()
+    else:
+        found = store.spark.createDataFrame([(s,) for s in store.visible_slots(name, as_of)], f"{slot} int")
     return found.withColumn("label", slots.slot_label(F.col(slot), grain)).orderBy(slot)
 
 

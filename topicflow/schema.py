@@ -41,8 +41,12 @@ class Table:
     """One serving table: a parquet folder partitioned by `partitions`.
 
     `columns` is the table's public layout.  A table with a `ttl` (seconds) also
-    stores `written_at`, which reads use to hide expired rows.  Streams write the
+    stores `written_at` (microseconds), which reads use to hide expired rows.  It is a
+    number, as Parquet footers hold the greatest of a file only for numbers.  Streams write the
     tables partitioned by `batch`: a batch that is run again replaces its own rows.
+
+    `key` names the columns that tell rows apart where single rows are replaced.
+    Files hold a Bloom filter of each `lookup` column.
     """
 
     name: str
@@ -50,6 +54,12 @@ class Table:
     partitions: tuple[str, ...]
     sort: tuple[str, ...] = ()
     ttl: int | None = None
+    key: tuple[str, ...] = ()
+    lookup: tuple[str, ...] = ()
+
+    @property
+    def in_batches(self) -> bool:
+        return "batch" in self.partitions
 
     @property
     def slot(self) -> str:
@@ -66,7 +76,7 @@ class Table:
     def ddl(self) -> str:
         stored = dict(self.columns)
         if self.ttl is not None:
-            stored["written_at"] = "timestamp"
+            stored["written_at"] = "bigint"
         for p in self.partitions:
             stored.setdefault(p, SLOT_TYPE.get(p, "string"))
         return ", ".join(f"`{c}` {t}" for c, t in stored.items())
@@ -81,6 +91,8 @@ TREND_TTL = {"day": None, "hour": 86400, "minute": 300}
 TOP_TTL = {"day": None, "hour": 86400, "minute": 1200}
 COUNTS_TTL = {"day": None, "hour": 86400}
 LIVE_LOCATION_TTL = {"world": 120, "country": 120, "city": 120}
+# Of live rows the last one of a second and message time counts, whatever its place.
+LIVE_KEY = ("secslot", "time_ms")
 LIVE_MESSAGE_TTL = {"world": 180, "country": 120, "city": 120}
 
 
@@ -92,6 +104,10 @@ def top_name(level: str, grain: str) -> str:
     return f"{level}_{grain}_top_trends"
 
 
+def sketches_name(grain: str) -> str:
+    return f"world_{grain}_sketches"
+
+
 def counts_name(grain: str) -> str:
     return f"world_{grain}_counts"
 
@@ -116,22 +132,26 @@ def _registry() -> dict[str, Table]:
         for level, keys in LEVEL_KEYS.items():
             columns = {slot: SLOT_TYPE[slot], **_geo(level), "topic": "string", "count": "bigint"}
             sort = (*keys, "topic") if grain != "minute" else (slot, *keys, "topic")
-            tables.append(Table(trends_name(level, grain), columns, parts, sort, TREND_TTL[grain]))
-            tables.append(Table(top_name(level, grain), columns, parts, sort, TOP_TTL[grain]))
+            key = (slot, *keys, "topic")
+            tables.append(Table(trends_name(level, grain), columns, parts, sort, TREND_TTL[grain], key, ("topic",)))
+            tables.append(Table(top_name(level, grain), columns, parts, sort, TOP_TTL[grain], key))
         if grain in COUNTS_TTL:
             columns = {slot: SLOT_TYPE[slot], "count_type": "string", "count": "bigint"}
-            tables.append(Table(counts_name(grain), columns, (slot,), ("count_type",), COUNTS_TTL[grain]))
+            tables.append(Table(counts_name(grain), columns, (slot,), ("count_type",), COUNTS_TTL[grain], (slot, "count_type")))
+    # A sketch of each hour's topics: those of several hours merge without the topics.
+    columns = {"hourslot": "int", "topics": "binary"}
+    tables.append(Table(sketches_name("hour"), columns, ("hourslot",), (), COUNTS_TTL["hour"], ("hourslot",)))
     for level, keys in LEVEL_KEYS.items():
         live = ("minuteslot", "batch")
         tables.append(Table(
             live_locations_name(level),
             {"secslot": "bigint", **_geo(level), "time_ms": "bigint", "lat": "float", "long": "float"},
-            live, ("secslot", *keys), LIVE_LOCATION_TTL[level]))
+            live, ("secslot", *keys), LIVE_LOCATION_TTL[level], LIVE_KEY))
         tables.append(Table(
             live_messages_name(level),
             {"secslot": "bigint", **_geo(level), "topic": "string", "user": "string",
              "time_ms": "bigint", "tweet": "string"},
-            live, ("secslot", *keys, "topic"), LIVE_MESSAGE_TTL[level]))
+            live, ("secslot", *keys, "topic"), LIVE_MESSAGE_TTL[level], LIVE_KEY, ("topic",)))
     for level in ("country", "city"):
         tables.append(Table(
             locations_name(level),

@@ -1,7 +1,7 @@
 """The serving tables: parquet folders partitioned by slot.
 
-A write replaces whole slots.  Running a slot again leaves the same rows, and no
-row of an earlier run survives beside them.
+`replace` writes whole slots: running a slot again leaves the same rows, and no
+row of an earlier run survives beside them.  `upsert` replaces single rows by key.
 """
 
 from __future__ import annotations
@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.schema import TABLES
+from topicflow.session import run_dir
 from topicflow.sinks import files
 
 
@@ -61,34 +62,109 @@ class Store:
         table = TABLES[name]
         rows = self.stored(name, slots)
         if table.ttl is not None:
-            now = F.current_timestamp() if as_of is None else _timestamp(as_of)
-            rows = rows.where(F.col("written_at") > now - F.expr(f"interval {table.ttl} seconds"))
+            rows = rows.where(F.col("written_at") > self._limit(name, as_of))
         return rows.select(*table.columns)
 
     def replace(self, name: str, rows: DataFrame, written_at: datetime | None = None) -> None:
-        """Write rows, replacing every partition they fall into.
+        """Write rows, replacing every partition they fall into."""
+        self._write(name, self._stamped(name, rows, written_at))
 
-        Rebalancing by slot gives each slot few files; an oversized slot is split
-        over several tasks at run time.  Rows are sorted by place inside the files,
-        so a lookup skips row groups of other places.
+    def upsert(self, name: str, rows: DataFrame, written_at: datetime | None = None, label: str | None = None) -> None:
+        """Write rows by key: a stored row of the same key goes, the others of its slot stay.
+
+        Copy on write: the folders the rows fall into are read, merged and written once,
+        no others are looked at.  Of several rows of one key the greatest counts, so writing
+        the same rows again changes nothing.  The incoming rows are staged first, as they
+        are read twice.  Keys combine inside each task, so a crowded slot or key is spread out.
+
+        In a table that streams write, `label` names the batch; the merged slot is one batch
+        folder of that name, and older ones are dropped after it is there.  A run that broke off between
+        the two is mended by the next one: copies of a row merge into one.
         """
+        table = TABLES[name]
+        if not table.key:
+            raise ValueError(f"{name} has no key")
+        if table.in_batches != (label is not None):
+            raise ValueError("a label goes with the tables that streams write")
+        if table.in_batches:
+            rows = rows.withColumn("batch", F.lit(label))
+        first, staged = table.partitions[0], run_dir(self.spark, "upsert")
+        incoming = self._stamped(name, rows, written_at)
+        try:
+            incoming.write.parquet(staged)
+            new = self.spark.read.schema(table.ddl).parquet(staged)
+            # One row per folder.
+            touched = sorted(r[0] for r in new.select(first).distinct().collect())
+            if not touched:
+                return
+            before = {f: files.children(self.spark, f"{self.path(name)}/{first}={f}") for f in touched}
+            rest = [c for c in new.columns if c not in table.key]
+            both = self._in_folders(name, touched).withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+            merged = both.groupBy(*table.key).agg(F.max_by(F.struct(*rest), F.struct("_new", *rest)).alias("_row"))
+            merged = merged.select(*table.key, "_row.*")
+            self._write(name, merged.withColumn("batch", F.lit(label)) if table.in_batches else merged)
+            if table.in_batches:
+                for folder, labels in before.items():
+                    for old in labels:
+                        if old.startswith("batch=") and old != f"batch={label}":
+                            files.delete(self.spark, f"{self.path(name)}/{first}={folder}/{old}")
+        finally:
+            files.delete(self.spark, staged)
+
+    def _in_folders(self, name: str, values: Iterable) -> DataFrame:
+        """The stored rows of some folders, each listed by itself."""
+        table, path = TABLES[name], self.path(name)
+        folders = [f for f in (f"{path}/{table.partitions[0]}={v}" for v in values) if files.exists(self.spark, f)]
+        if not folders:
+            return self.spark.createDataFrame([], table.ddl)
+        return self.spark.read.schema(table.ddl).option("basePath", path).parquet(*folders)
+
+    def _stamped(self, name: str, rows: DataFrame, written_at: datetime | None) -> DataFrame:
         table = TABLES[name]
         stored = list(table.columns)
         if table.ttl is not None:
             now = F.current_timestamp() if written_at is None else _timestamp(written_at)
-            rows = rows.withColumn("written_at", now)
+            rows = rows.withColumn("written_at", F.unix_micros(now))
             stored.append("written_at")
-        stored += [p for p in table.partitions if p not in stored]
-        (rows.select(*stored)
-         .hint("rebalance", *[F.col(p) for p in table.partitions])
-         .sortWithinPartitions(*table.partitions, *table.sort)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*table.partitions).parquet(self.path(name)))
+        return rows.select(*stored, *[p for p in table.partitions if p not in stored])
+
+    def _write(self, name: str, rows: DataFrame) -> None:
+        """Rebalancing by slot gives each slot few files; an oversized slot is split
+        over several tasks at run time.  Rows are sorted by place inside the files,
+        so a lookup skips row groups of other places, and by a Bloom filter those without its topic.
+        """
+        table = TABLES[name]
+        writer = (rows.hint("rebalance", *[F.col(p) for p in table.partitions])
+                  .sortWithinPartitions(*table.partitions, *table.sort)
+                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*table.partitions))
+        for column in table.lookup:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer.parquet(self.path(name))
 
     def drop_slots(self, name: str, slots: Iterable[int]) -> None:
         for slot in slots:
             files.delete(self.spark, f"{self.path(name)}/{TABLES[name].folder(slot)}")
 
+    def newest_writes(self, name: str) -> DataFrame:
+        """The partition columns and `newest`, the latest `written_at` of each folder.
+
+        Spark takes it from the Parquet footers: the aggregate is pushed down, and no row group
+        is read.  The settings that need be belong to a session of their own.
+        """
+        table, path = TABLES[name], self.path(name)
+        if not files.exists(self.spark, path):
+            return self.spark.createDataFrame([], table.ddl).select(*table.partitions, F.col("written_at").alias("newest"))
+        footers = self.spark.newSession()
+        footers.conf.set("spark.sql.sources.useV1SourceList", "")
+        footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        rows = footers.read.schema(table.ddl).parquet(path)
+        return rows.groupBy(*table.partitions).agg(F.max("written_at").alias("newest"))
+
+    def _limit(self, name: str, as_of: datetime | None) -> Column:
+        """Rows written up to here are past their retention."""
+        now = F.current_timestamp() if as_of is None else _timestamp(as_of)
+        return F.unix_micros(now - F.expr(f"interval {TABLES[name].ttl} seconds"))
+
     def expire(self, name: str, as_of: datetime | None = None) -> list[str]:
         """Drop the partition folders in which every row is past its retention.
 
@@ -97,10 +173,21 @@ class Store:
         table = TABLES[name]
         if table.ttl is None:
             return []
-        limit = (F.current_timestamp() if as_of is None else _timestamp(as_of)) - F.expr(f"interval {table.ttl} seconds")
-        newest = self.stored(name).groupBy(*table.partitions).agg(F.max("written_at").alias("newest"))
-        expired = newest.where(F.col("newest") <= limit).select(*table.partitions).collect()
+        found = self.newest_writes(name)
+        limit = found.sparkSession.range(1).select(self._limit(name, as_of)).first()[0]
+        expired = found.where(F.col("newest") <= limit).collect()
         folders = sorted("/".join(f"{p}={row[p]}" for p in table.partitions) for row in expired)
         for folder in folders:
             files.delete(self.spark, f"{self.path(name)}/{folder}")
         return folders
+
+    def visible_slots(self, name: str, as_of: datetime | None = None) -> list[int]:
+        """The slots that have a visible row, from folder names and footers; for tables with a folder per slot."""
+        table = TABLES[name]
+        if table.partitions != (table.slot,):
+            raise ValueError(f"{name} has no folder per slot")
+        if table.ttl is None:
+            return self.slots(name)
+        found = self.newest_writes(name)
+        limit = found.sparkSession.range(1).select(self._limit(name, as_of)).first()[0]
+        return sorted(r[0] for r in found.where(F.col("newest") > limit).select(table.slot).collect())

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from topicflow.functions import jsonline, slots
 from topicflow.operators.parse import END_TIME_MS, FIRST_TIME_MS
 from topicflow.sinks import files
 from topicflow.sources.lines import landed_lines
-from topicflow.streaming.batches import batch_label, each_batch
+from topicflow.streaming.batches import batch_label, each_batch, kept
 
+Counts = Callable[[int, int, int], None]
 ON_ERROR = ("keep", "reject", "fail")
 OLDEST_DAYS = 3
 _DAY_MS = 86_400_000
@@ -71,25 +73,37 @@ def write_landed(lines: DataFrame, root: str, label: str, fmt: str = "parquet",
 def landing_writer(
     lines: DataFrame, root: str, checkpoint: str, fmt: str = "parquet", zone: str = slots.UTC,
     on_error: str = "keep", rejects: str | None = None, oldest_days: int | None = OLDEST_DAYS,
-    now_ms: Column | None = None, backlog: bool = False,
+    now_ms: Column | None = None, backlog: bool = False, max_rejects: float | None = None, on_counts: Counts | None = None,
 ) -> DataStreamWriter:
     """Land a stream.  Start it with `run_available` for a pull of what is new; the
-    source's `maxOffsetsPerTrigger` bounds one batch.
+    source's `maxOffsetsPerTrigger` or `maxFilesPerTrigger` bounds one batch, and a backlog lands in several.
 
     Malformed lines are kept with the others, set aside under `rejects`, or fail
-    the run.
+    the run.  A run also fails, before it writes anything of the batch, if more than the share
+    `max_rejects` of a batch is malformed.  `on_counts` is told (batch, lines, malformed) of every batch.
+    A batch that is written twice or counted is read once and kept meanwhile.
     """
     if on_error == "reject" and rejects is None:
         raise ValueError("name a folder for the rejected lines")
     slotted = with_landing_slots(lines, zone, on_error, oldest_days, now_ms)
+    counted = max_rejects is not None or on_counts is not None
+
+    def count(rows: DataFrame, batch_id: int) -> None:
+        n, malformed = rows.agg(F.count(F.lit(1)), F.count_if("malformed")).first()
+        if on_counts is not None:
+            on_counts(batch_id, n, malformed)
+        if max_rejects is not None and malformed > max_rejects * n:
+            raise ValueError(f"{malformed} of {n} lines of batch {batch_id} are malformed")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         label = batch_label(batch, batch_id)
-        if on_error != "reject":
-            write_landed(batch.where(~F.col("malformed")) if on_error == "fail" else batch, root, label, fmt, backlog)
-            return
-        write_landed(batch.where(~F.col("malformed")), root, label, fmt, backlog)
-        write_landed(batch.where(F.col("malformed")), rejects, label, fmt, backlog)
+        with kept(batch) if counted or on_error == "reject" else nullcontext(batch) as rows:
+            if counted:
+                count(rows, batch_id)
+            whole = rows if on_error == "keep" else rows.where(~F.col("malformed"))
+            write_landed(whole, root, label, fmt, backlog)
+            if on_error == "reject":
+                write_landed(rows.where(F.col("malformed")), rejects, label, fmt, backlog)
 
     return each_batch(slotted, write, checkpoint)
 

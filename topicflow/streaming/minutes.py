@@ -33,9 +33,11 @@ def split(messages: DataFrame, now_ms=None, within_ms: int | None = RECENT_MS) -
     return topics.complete_occurrences(topics.explode_topics(messages)).select("time_ms", "country", "city", "topic")
 
 
-def _windowed(messages: DataFrame, lateness: str, clock: Column | None) -> DataFrame:
+def _windowed(messages: DataFrame, lateness: str, clock: Column | None, once: bool) -> DataFrame:
     now = F.current_timestamp() if clock is None else clock
     timed = messages.withColumn("ts", F.least("ts", now)).withWatermark("ts", lateness)
+    if once:
+        timed = timed.dropDuplicatesWithinWatermark(["t_id"])
     return topics.explode_topics(timed, "ts").select(
         F.window("ts", "1 minute").alias("window"), "country", "city", "topic")
 
@@ -45,19 +47,23 @@ def _minute_of_window(zone: str):
 
 
 def minute_counts(messages: DataFrame, lateness: str = LATENESS, zone: str = slots.UTC,
-                  clock: Column | None = None) -> DataFrame:
+                  clock: Column | None = None, once: bool = False) -> DataFrame:
     """City counts per minute, emitted once when the minute is closed.  `clock` replaces the batch's time.
 
     State is held for the finest level only.  All rows of a minute close in the same
     batch, so the coarser levels are sums inside that batch (see `minute_writer`).
+
+    `once` counts a message once however often a source that delivers at least once sends it:
+    its id is held for the lateness, and a later copy is late by itself, unless the id comes
+    with another time.  That costs one small state row per message instead of per topic.
     """
-    counted = _windowed(messages, lateness, clock).groupBy("window", "country", "city", "topic").agg(
+    counted = _windowed(messages, lateness, clock, once).groupBy("window", "country", "city", "topic").agg(
         F.count(F.lit(1)).alias("count"))
     return counted.select(_minute_of_window(zone), "country", "city", "topic", "count")
 
 
 def minute_counts_all_levels(messages: DataFrame, lateness: str = LATENESS, zone: str = slots.UTC,
-                             clock: Column | None = None) -> DataFrame:
+                             clock: Column | None = None, once: bool = False) -> DataFrame:
     """The three levels from one stateful operator, for sinks that take a plain
     stream.  Each occurrence is repeated per level, so this holds three times the
     keys of `minute_counts`."""
@@ -68,7 +74,7 @@ def minute_counts_all_levels(messages: DataFrame, lateness: str = LATENESS, zone
         F.struct(F.lit("world").alias("level"), nothing.alias("country"), nothing.alias("city")),
     )).alias("place")
     counted = (
-        _windowed(messages, lateness, clock).select("window", "topic", place).select("window", "place.*", "topic")
+        _windowed(messages, lateness, clock, once).select("window", "topic", place).select("window", "place.*", "topic")
         .groupBy("window", "level", "country", "city", "topic").agg(F.count(F.lit(1)).alias("count")))
     return counted.select("level", _minute_of_window(zone), "country", "city", "topic", "count")
 
@@ -87,7 +93,7 @@ def _write_levels(store: Store, city_counts: DataFrame, label: str, k: int, worl
 
 def minute_writer(
     messages: DataFrame, store: Store, checkpoint: str, lateness: str = LATENESS, zone: str = slots.UTC,
-    k: int = TOP_K, world_k: int | None = TOP_K, clock: Column | None = None,
+    k: int = TOP_K, world_k: int | None = TOP_K, clock: Column | None = None, once: bool = False,
 ) -> DataStreamWriter:
     """Minute trends and top lists of all levels, by event time.  `world_k` cuts the
     world trends to a top list as well; None keeps them whole."""
@@ -96,7 +102,7 @@ def minute_writer(
             if not city.isEmpty():
                 _write_levels(store, city, batch_label(city, batch_id), k, world_k)
 
-    return each_batch(minute_counts(messages, lateness, zone, clock), write, checkpoint)
+    return each_batch(minute_counts(messages, lateness, zone, clock, once), write, checkpoint)
 
 
 def tick_writer(
