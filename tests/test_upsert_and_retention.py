@@ -182,3 +182,48 @@ def test_every_table_with_a_key_has_its_columns():
         assert set(table.key) | set(table.lookup) <= set(table.columns)
         assert not table.key or table.partitions[0] in table.key or table.in_batches
     assert topics.trend_keys("city", "day") == list(TABLES[trends_name("city", "day")].key)
+
+
+def test_compaction_switches_at_once_and_drops_later(spark, store, monkeypatch):
+    name = live_messages_name("world")
+    def write(label, minute, *times):
+        rows = spark.createDataFrame([(60, f"t{t}", "u", t, "x", minute, label) for t in times], "secslot long, topic string, user string, time_ms long, tweet string, minuteslot long, batch string")
+        store.replace(name, rows, n_rows=len(times))
+    def rows():
+        return sorted((r.minuteslot, r.time_ms) for r in store.stored(name).collect())
+    for i in range(4):
+        write(f"q-{i}", 5, 2 * i, 2 * i + 1)
+    write("q-4", 6, 99)
+    want = [(5, t) for t in range(8)] + [(6, 99)]
+    folder = f"{store.path(name)}/minuteslot=5"
+    assert rows() == want and len(files.children(spark, folder)) == 4
+
+    # The run breaks off before the switch: nobody reads what it wrote.
+    with monkeypatch.context() as broken:
+        broken.setattr(files, "write_text", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError):
+            store.compact(name, [5, 6, 7])
+    assert len(files.children(spark, folder)) == 5 and rows() == want
+    under_way = store.stored(name)
+    assert store.compact(name, [5, 6, 7]) == 1
+    # Old folders are still there for lookups under way, and count no more.
+    assert len(files.children(spark, folder)) == 5 and rows() == want
+    assert under_way.count() == len(want)
+    assert store.stored(name).where("minuteslot = 5").select(F.input_file_name()).distinct().count() == 1
+    assert store.compact(name, [5, 6, 7]) == 0
+    assert len(files.children(spark, folder)) == 1 and rows() == want
+    # A late batch of the slot counts beside the merged folder, and merges with it.
+    write("q-9", 5, 100)
+    want = sorted(want + [(5, 100)])
+    assert rows() == want and store.compact(name, [5]) == 1 and rows() == want
+    store.upsert(name, spark.createDataFrame([(60, "new", "u", 0, "y", 5)], "secslot long, topic string, user string, time_ms long, tweet string, minuteslot long"), label="q-10")
+    assert rows() == want and files.children(spark, folder) == ["batch=q-10"]
+    with pytest.raises(ValueError, match="batches"):
+        store.compact(trends_name("world", "day"), [1])
+
+
+def test_a_stream_batch_is_few_files(spark, store):
+    name = trends_name("world", "minute")
+    rows = spark.range(0, 2000, 1, 8).selectExpr("202401150000 + id % 3 as minuteslot", "concat('t', id) as topic", "id as count", "2024011500 as hourslot", "'b' as batch")
+    store.replace(name, rows, n_rows=2000)
+    assert len(store.stored(name).inputFiles()) == 1

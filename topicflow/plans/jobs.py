@@ -3,27 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.functions import slots as slot_fn
 from topicflow.operators import locations, parse, ranking, summary, topics
 from topicflow.schema import GRAIN_SLOT, LEVELS, TOP_K, counts_name, locations_name, sketches_name, top_name, trends_name
-from topicflow.session import run_dir
+from topicflow.session import run_dir, together
 from topicflow.sinks import files
 from topicflow.sinks.store import Store
 from topicflow.sources import lines as line_sources
 
-def _together(spark: SparkSession, *steps: Callable[[], None]) -> None:
-    """Run independent writes side by side: the tail of one leaves executors free."""
-    with ThreadPoolExecutor(len(steps)) as pool:
-        for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
-            done.result()
-
 
 def run_slots(
     store: Store, lines: DataFrame, grain: str, landing: str, slots: Iterable[int] | None = None,
@@ -72,14 +64,14 @@ def run_slots(
             return write(top_name(level, grain), ranking.top_topics(written(level), level, grain, k), no_topics)
 
         sketches = [write(sketches_name(grain), summary.topic_sketches(staged, grain), no_topics)] if grain == "hour" else []
-        _together(
+        together(
             spark,
             trends("city", counts),
             trends("country", topics.coarser_counts(counts, "country", grain)),
             write(counts_name(grain), summary.summary_of_base(staged, grain), no_lines),
             *sketches,
         )
-        _together(
+        together(
             spark,
             trends("world", topics.coarser_counts(written("country"), "world", grain)),
             top("city"), top("country"),
@@ -158,7 +150,7 @@ def location_job(store: Store, lines: DataFrame, zone: str = slot_fn.UTC) -> Non
     try:
         rows.write.parquet(staged_path)
         staged = spark.read.schema(rows.schema).parquet(staged_path)
-        _together(spark, *[
+        together(spark, *[
             lambda name=locations_name(level): store.replace(name, staged) for level in ("country", "city")])
     finally:
         files.delete(spark, staged_path)

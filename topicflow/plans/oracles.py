@@ -287,6 +287,7 @@ def _bodies() -> dict[str, str]:
         "serve_topics_hour_cut": served_topics("hour", 5, f"hourslot = {hour}", "world", "topic"),
         "landing_recent": _landed(f"verdict = 'malformed' OR time_ms >= {_NOW_MS} - 3 * 86400000"),
         "compact_day": _landed(),
+        "live_compacted": f"""SELECT {_NOW_MS // 1000} AS secslot, country, topic, user_name AS "user", time_ms, text AS tweet FROM occurrences""",
         "rollup_summary": f"SELECT *, {_LABEL['day']} AS label FROM ({_totals('day')})",
         "rollup_incomplete": f"""SELECT * FROM ({_summary("day")}) WHERE dayslot = (
             SELECT CAST(strftime(date_trunc('day', min(ts)) + INTERVAL 1 DAY, '%Y%m%d') AS INTEGER) FROM shaped WHERE date_trunc('hour', ts) >= (

@@ -471,6 +471,13 @@ def stream_live_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("country", "time_ms", "lat", "long")
 
 
+def live_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live rows after the batches of their minute were merged into one folder."""
+    store, name = _live_store(spark, sf_dir), live_messages_name("country")
+    store.compact(name, store.slots(name))
+    return store.stored(name).select(*TABLES[name].columns)
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     root = run_dir(spark, "landed")
     now_ms = F.lit(int(NOW.timestamp() * 1000))
@@ -695,6 +702,7 @@ def registry() -> dict[str, Query]:
         "rt_last_location_wins": rt_last_location_wins,
         "serve_topics_hour_cut": _served("hour", lambda s: serve.topics(s, "hour", hour, limit=5)),
         "timeslots_minute": timeslots_minute,
+        "live_compacted": live_compacted,
         "rollup_summary": rollup_summary,
         "rollup_incomplete": rollup_incomplete,
         "stream_replayed": stream_replayed,

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -45,3 +48,10 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A new, unique folder below the shared one."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def together(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Run independent writes side by side: the tail of one leaves executors free."""
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
+            done.result()

@@ -25,3 +25,24 @@ def delete(spark: SparkSession, path: str) -> bool:
     """Delete a folder; False if there was none."""
     fs, p = _open(spark, path)
     return fs.delete(p, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file.  It appears as a whole: it is written beside and renamed, which stores without a rename do as one put."""
+    fs, p = _open(spark, f"{path}.tmp")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    _, final = _open(spark, path)
+    fs.rename(p, final)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _open(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

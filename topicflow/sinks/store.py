@@ -6,6 +6,7 @@ row of an earlier run survives beside them.  `upsert` replaces single rows by ke
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import datetime
 
@@ -23,6 +24,10 @@ def _timestamp(at: datetime):
     return F.timestamp_micros(F.lit(int(at.timestamp() * 1_000_000)))
 
 
+# Labels of folders that hold the rows of several batches.
+_MERGED = "merged-"
+# Rows of a file where a stream writes: Spark does not re-plan its batches by size.
+_FILE_ROWS = 1_000_000
 # Up to here Spark lists the given folders without a job of its own.
 _FEW = 32
 
@@ -49,7 +54,7 @@ class Store:
         folders = [f for f in folders if files.exists(self.spark, f)]
         if not folders:
             return self.spark.createDataFrame([], table.ddl)
-        rows = self.spark.read.schema(table.ddl).option("basePath", path).parquet(*folders)
+        rows = self._listed(name, self.spark.read.schema(table.ddl).option("basePath", path).parquet(*folders))
         return rows if wanted is None else rows.where(F.col(table.slot).isin(wanted))
 
     def slots(self, name: str) -> list[int]:
@@ -65,9 +70,9 @@ class Store:
             rows = rows.where(F.col("written_at") > self._limit(name, as_of))
         return rows.select(*table.columns)
 
-    def replace(self, name: str, rows: DataFrame, written_at: datetime | None = None) -> None:
-        """Write rows, replacing every partition they fall into."""
-        self._write(name, self._stamped(name, rows, written_at))
+    def replace(self, name: str, rows: DataFrame, written_at: datetime | None = None, n_rows: int | None = None) -> None:
+        """Write rows, replacing every partition they fall into.  `n_rows`, if known, sets the number of files."""
+        self._write(name, self._stamped(name, rows, written_at), n_rows)
 
     def upsert(self, name: str, rows: DataFrame, written_at: datetime | None = None, label: str | None = None) -> None:
         """Write rows by key: a stored row of the same key goes, the others of its slot stay.
@@ -117,7 +122,57 @@ class Store:
         folders = [f for f in (f"{path}/{table.partitions[0]}={v}" for v in values) if files.exists(self.spark, f)]
         if not folders:
             return self.spark.createDataFrame([], table.ddl)
-        return self.spark.read.schema(table.ddl).option("basePath", path).parquet(*folders)
+        return self._listed(name, self.spark.read.schema(table.ddl).option("basePath", path).parquet(*folders))
+
+    def _switches(self, name: str) -> dict[str, list[str]]:
+        """Of each merged label that counts: the folders it stands for.  One small file for each merged slot."""
+        root = f"{self.path(name)}_merged"
+        return {label: files.read_text(self.spark, f"{root}/{label}").split("\n")
+                for label in files.children(self.spark, root) if label.startswith(_MERGED) and not label.endswith(".tmp")}
+
+    def _listed(self, name: str, rows: DataFrame) -> DataFrame:
+        """Without the folders that a merged one stands for, and without merged ones that are not switched to yet."""
+        table = TABLES[name]
+        if not table.in_batches:
+            return rows
+        switches = self._switches(name)
+        rows = rows.where(~F.col("batch").startswith(_MERGED) | F.col("batch").isin(list(switches)))
+        gone = sorted({folder for folders in switches.values() for folder in folders})
+        return rows.where(~F.concat_ws("/", *table.partitions).isin(gone)) if gone else rows
+
+    def compact(self, name: str, values: Iterable[int]) -> int:
+        """Merge the batch folders of closed slots (values of the first partition column) into one each.
+
+        Readers follow a list: a merged folder counts from the moment its switch, one small file, is there,
+        and the folders that it names do not count from then on.  So a lookup sees the same rows before,
+        during and after.  The replaced folders are dropped by the next call, which leaves
+        lookups under way their files.  A run that broke off leaves a folder without a switch, which
+        nobody reads and the next run drops.  Returns how many slots were merged.
+        """
+        table, path = TABLES[name], self.path(name)
+        if not table.in_batches:
+            raise ValueError(f"{name} is not written in batches")
+        first, switches = table.partitions[0], self._switches(name)
+        for folders in switches.values():
+            for folder in folders:
+                value, label = folder.split("/")
+                files.delete(self.spark, f"{path}/{first}={value}/batch={label}")
+        todo: dict[int, list[str]] = {}
+        for value in sorted(set(values)):
+            labels = [c.removeprefix("batch=") for c in files.children(self.spark, f"{path}/{first}={value}") if c.startswith("batch=")]
+            for stale in (label for label in labels if label.startswith(_MERGED) and label not in switches):
+                files.delete(self.spark, f"{path}/{first}={value}/batch={stale}")
+            labels = [label for label in labels if not label.startswith(_MERGED) or label in switches]
+            if len(labels) > 1:
+                todo[value] = labels
+        if not todo:
+            return 0
+        run = uuid.uuid4().hex
+        label = F.concat(F.lit(f"{_MERGED}{run}-"), F.col(first).cast("string"))
+        self._write(name, self._in_folders(name, todo).withColumn("batch", label))
+        for value, labels in todo.items():
+            files.write_text(self.spark, f"{path}_merged/{_MERGED}{run}-{value}", "\n".join(f"{value}/{old}" for old in labels))
+        return len(todo)
 
     def _stamped(self, name: str, rows: DataFrame, written_at: datetime | None) -> DataFrame:
         table = TABLES[name]
@@ -128,14 +183,20 @@ class Store:
             stored.append("written_at")
         return rows.select(*stored, *[p for p in table.partitions if p not in stored])
 
-    def _write(self, name: str, rows: DataFrame) -> None:
+    def _write(self, name: str, rows: DataFrame, n_rows: int | None = None) -> None:
         """Rebalancing by slot gives each slot few files; an oversized slot is split
-        over several tasks at run time.  Rows are sorted by place inside the files,
-        so a lookup skips row groups of other places, and by a Bloom filter those without its topic.
+        over several tasks at run time.  Streams have no such re-planning: they give the number of
+        rows, and ranges of slot and place are dealt to as many tasks as files are due.  Rows are sorted by place
+        inside the files, so a lookup skips row groups of other places, and by a Bloom filter those without its topic.
         """
         table = TABLES[name]
-        writer = (rows.hint("rebalance", *[F.col(p) for p in table.partitions])
-                  .sortWithinPartitions(*table.partitions, *table.sort)
+        if n_rows is None:
+            rows = rows.hint("rebalance", *[F.col(p) for p in table.partitions])
+        elif n_rows <= _FILE_ROWS:
+            rows = rows.repartition(1)
+        else:
+            rows = rows.repartitionByRange(-(-n_rows // _FILE_ROWS), *table.partitions, *table.sort)
+        writer = (rows.sortWithinPartitions(*table.partitions, *table.sort)
                   .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*table.partitions))
         for column in table.lookup:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
@@ -179,6 +240,7 @@ class Store:
         folders = sorted("/".join(f"{p}={row[p]}" for p in table.partitions) for row in expired)
         for folder in folders:
             files.delete(self.spark, f"{self.path(name)}/{folder}")
+            files.delete(self.spark, f"{self.path(name)}_merged/{folder.rsplit('=', 1)[1]}")
         return folders
 
     def visible_slots(self, name: str, as_of: datetime | None = None) -> list[int]:

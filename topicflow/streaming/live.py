@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from topicflow.functions import slots
 from topicflow.operators import live
 from topicflow.schema import LEVELS, LIVE_KEY, live_locations_name, live_messages_name
+from topicflow.session import together
 from topicflow.sinks.store import Store
 from topicflow.streaming.batches import batch_label, each_batch, kept
 
@@ -49,9 +50,9 @@ def last_write_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         label = batch_label(batch, batch_id)
         with kept(batch.withColumn("minuteslot", slots.slot(F.col("secslot") * 1000, "minute", zone))) as rows:
-            for kind, name_of in (("location", live_locations_name), ("message", live_messages_name)):
-                for level in levels:
-                    store.upsert(name_of(level), rows.where(F.col("kind") == kind), label=label)
+            together(batch.sparkSession, *[
+                lambda name=name_of(level), own=rows.where(F.col("kind") == kind): store.upsert(name, own, label=label)
+                for kind, name_of in (("location", live_locations_name), ("message", live_messages_name)) for level in levels])
 
     return each_batch(last_writes(messages, second, lateness), write, checkpoint, "update")
 
@@ -81,13 +82,16 @@ def live_writer(
                 "minuteslot": slots.slot(F.col("secslot") * 1000, "minute", zone),
                 "batch": F.lit(label),
             }
+            n, tags = batch.agg(F.count(F.lit(1)), F.sum(F.size("tags"))).first()
+            steps = []
             for level in levels:
                 locations = live.live_locations(batch, level, second, "t_id")
                 texts = live.live_messages(batch, level, second, "t_id")
                 if last_write_wins:
                     locations = live.last_write_wins(locations, ["t_id"])
                     texts = live.last_write_wins(texts, ["t_id", "position"])
-                store.replace(live_locations_name(level), locations.withColumns(places))
-                store.replace(live_messages_name(level), texts.withColumns(places))
+                for name, rows, most in ((live_locations_name(level), locations, n), (live_messages_name(level), texts, tags or 0)):
+                    steps.append(lambda name=name, rows=rows.withColumns(places), most=most: store.replace(name, rows, n_rows=most))
+            together(batch.sparkSession, *steps)
 
     return each_batch(stamped, write, checkpoint)

@@ -17,6 +17,7 @@ from topicflow.functions import slots
 from topicflow.operators import ranking, topics
 from topicflow.operators.live import RECENT_MS, recent
 from topicflow.schema import TOP_K, top_name, trends_name
+from topicflow.session import together
 from topicflow.sinks import files
 from topicflow.sinks.store import Store
 from topicflow.streaming.batches import batch_label, each_batch, kept
@@ -80,15 +81,22 @@ def minute_counts_all_levels(messages: DataFrame, lateness: str = LATENESS, zone
 
 
 def _write_levels(store: Store, city_counts: DataFrame, label: str, k: int, world_k: int | None) -> None:
+    """All six tables of some minutes, side by side.  `city_counts` is kept; coarser levels have no more rows than it."""
+    n = city_counts.count()
     counts = {"city": city_counts}
     for level, finer in _COARSER.items():
         counts[level] = topics.coarser_counts(counts[finer], level, "minute")
+    folder = {"hourslot": F.floor(F.col("minuteslot") / 100).cast("int"), "batch": F.lit(label)}
+
+    def step(name: str, rows: DataFrame):
+        return lambda: store.replace(name, rows.withColumns(folder), n_rows=n)
+
+    steps = []
     for level, rows in counts.items():
-        folder = {"hourslot": F.floor(F.col("minuteslot") / 100).cast("int"), "batch": F.lit(label)}
         cut = level == "world" and world_k is not None
-        trends = ranking.top_topics(rows, level, "minute", world_k) if cut else rows
-        store.replace(trends_name(level, "minute"), trends.withColumns(folder))
-        store.replace(top_name(level, "minute"), ranking.top_topics(rows, level, "minute", k).withColumns(folder))
+        steps.append(step(trends_name(level, "minute"), ranking.top_topics(rows, level, "minute", world_k) if cut else rows))
+        steps.append(step(top_name(level, "minute"), ranking.top_topics(rows, level, "minute", k)))
+    together(city_counts.sparkSession, *steps)
 
 
 def minute_writer(
