@@ -287,6 +287,14 @@ def _bodies() -> dict[str, str]:
         "serve_topics_hour_cut": served_topics("hour", 5, f"hourslot = {hour}", "world", "topic"),
         "landing_recent": _landed(f"verdict = 'malformed' OR time_ms >= {_NOW_MS} - 3 * 86400000"),
         "compact_day": _landed(),
+        "sql_top_country": f"SELECT dayslot AS slot, country, CAST(NULL AS VARCHAR) AS city, topic, \"count\" FROM ({served_top('day', day, COUNTRY)})",
+        "sql_top_hour": f"SELECT hourslot AS slot, topic, \"count\" FROM ({served_top('hour', hour)})",
+        "sql_totals": f"SELECT dayslot AS slot, total, tagged, trends FROM ({_totals('day')}) WHERE dayslot = {day}",
+        "sql_topic_counts": f"""SELECT dayslot AS slot, CAST(count(DISTINCT topic) FILTER ({_place(COUNTRY, CITY)}) AS BIGINT) AS "count"
+            FROM occurrences GROUP BY dayslot""",
+        "sql_shares": f"""SELECT topic, c."count" AS here, w."count" AS everywhere FROM ({_trends("country", "day")}) c JOIN ({_trends("world", "day")}) w USING (dayslot, topic)
+            WHERE dayslot = {day} AND {_place(COUNTRY)}""",
+        "sql_live": f"SELECT country, CAST(NULL AS VARCHAR) AS city, topic, \"user\", time_ms, tweet FROM ({_live_page(_place(COUNTRY), 'country', 10)})",
         "live_compacted": f"""SELECT {_NOW_MS // 1000} AS secslot, country, topic, user_name AS "user", time_ms, text AS tweet FROM occurrences""",
         "rollup_summary": f"SELECT *, {_LABEL['day']} AS label FROM ({_totals('day')})",
         "rollup_incomplete": f"""SELECT * FROM ({_summary("day")}) WHERE dayslot = (

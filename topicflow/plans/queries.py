@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from topicflow.functions import slots
 from topicflow.operators import envelope, live, locations, parse, ranking, summary, topics
-from topicflow.plans import jobs, serve
+from topicflow.plans import catalog, jobs, serve
 from topicflow.schema import (
     GRAIN_SLOT, GRAINS, LEVEL_KEYS, LEVELS, TABLES, TOP_K, counts_name, live_locations_name, live_messages_name, locations_name,
     top_name, trends_name,
@@ -237,6 +237,15 @@ def rollup_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.read(counts_name("day"))
 
 
+def _in_sql(store_of_query: Callable[[SparkSession, str], Store], sql: str) -> Query:
+    """A lookup as a statement over the registered views and functions."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        catalog.register(store_of_query(spark, sf_dir))
+        return spark.sql(sql)
+
+    return run
+
+
 def job_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, run_dir(spark, "locations"))
     jobs.location_job(store, adapter.envelope_lines(spark, sf_dir))
@@ -653,6 +662,7 @@ def registry() -> dict[str, Query]:
         found[f"rt_tweets_{level}"] = _rt_messages(level)
 
     day, hour = slots.yesterday(NOW), slots.previous_hours(NOW, 1)[0]
+    day_store, hour_store = (lambda spark, sf_dir, grain=grain: store_of(spark, sf_dir, grain) for grain in ("day", "hour"))
     found |= {
         "serve_daily": _served("day", lambda s: serve.daily_page(s, NOW)[0]),
         "serve_daily_totals": _served("day", lambda s: serve.daily_page(s, NOW)[1]),
@@ -702,6 +712,14 @@ def registry() -> dict[str, Query]:
         "rt_last_location_wins": rt_last_location_wins,
         "serve_topics_hour_cut": _served("hour", lambda s: serve.topics(s, "hour", hour, limit=5)),
         "timeslots_minute": timeslots_minute,
+        "sql_top_country": _in_sql(day_store, f"SELECT * FROM top_topics('day', {day}, '{COUNTRY}')"),
+        "sql_top_hour": _in_sql(hour_store, f"SELECT slot, topic, count FROM top_topics('hour', {hour})"),
+        "sql_totals": _in_sql(day_store, f"SELECT * FROM slot_totals('day', {day})"),
+        "sql_topic_counts": _in_sql(
+            day_store, f"SELECT t.slot, n.count FROM timeslots('day') t, LATERAL topic_count('day', t.slot, '{COUNTRY}', '{CITY}') n"),
+        "sql_shares": _in_sql(day_store, f"SELECT c.topic, c.count AS here, w.count AS everywhere FROM slot_topics('day', {day}, '{COUNTRY}') c "
+                                         f"JOIN slot_topics('day', {day}) w ON c.topic = w.topic"),
+        "sql_live": _in_sql(_live_store, "SELECT * FROM live_messages({0}, {1}, '', '{2}')".format(*catalog.live_slots(NOW + serve.LIVE_DELAY), COUNTRY)),
         "live_compacted": live_compacted,
         "rollup_summary": rollup_summary,
         "rollup_incomplete": rollup_incomplete,

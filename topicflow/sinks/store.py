@@ -64,11 +64,12 @@ class Store:
 
     def read(self, name: str, slots: Iterable[int] | None = None, as_of: datetime | None = None) -> DataFrame:
         """The visible rows: those younger than the table's retention at `as_of` (now)."""
-        table = TABLES[name]
+        return self.visible(name, as_of, slots).select(*TABLES[name].columns)
+
+    def visible(self, name: str, as_of: datetime | None = None, slots: Iterable[int] | None = None) -> DataFrame:
+        """The rows of `read` with all stored columns."""
         rows = self.stored(name, slots)
-        if table.ttl is not None:
-            rows = rows.where(F.col("written_at") > self._limit(name, as_of))
-        return rows.select(*table.columns)
+        return rows if TABLES[name].ttl is None else rows.where(F.col("written_at") > self._limit(name, as_of))
 
     def replace(self, name: str, rows: DataFrame, written_at: datetime | None = None, n_rows: int | None = None) -> None:
         """Write rows, replacing every partition they fall into.  `n_rows`, if known, sets the number of files."""
