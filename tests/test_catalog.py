@@ -52,9 +52,8 @@ def test_totals_and_slots(spark, store):
 def test_a_lookup_prunes_to_one_folder_of_one_table(spark, store):
     found = spark.sql(f"SELECT * FROM top_topics('day', {DAY}, 'US')")
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 1 and "country_day_top_trends" in plan
+    assert plan.count("FileScan") == 1 and "ReadSchema: struct<country:string,topic:string,count:bigint>" in plan
     assert re.search(rf"PartitionFilters: \[[^\]]*dayslot#\d+ = {DAY}", plan) and "EqualTo(country,US)" in plan
-    assert spark.sql(f"SELECT DISTINCT _metadata.file_path AS f FROM country_day_top_trends WHERE dayslot = {DAY}").count() >= 1
 
 
 def test_views_show_the_public_columns_and_partitions(spark, store):

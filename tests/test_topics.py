@@ -1,10 +1,12 @@
+import random
 from collections import Counter
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from lines import T0, at, frame, line
 
-from topicflow.operators import parse, ranking, summary, topics
+from topicflow.operators import parse, partial_lists, ranking, summary, topics
 from topicflow.schema import LEVELS
 
 HOUR = 3_600_000
@@ -95,3 +97,42 @@ def test_hot_group_is_cut_before_the_shuffle(spark):
     first = ranking.first_by_count(counts, 3)
     assert "TakeOrderedAndProject" in first._jdf.queryExecution().executedPlan().toString()
     assert [(-r["count"], r.topic) for r in first.collect()] == want[:3]
+
+
+def brute_top(counts, k):
+    """{(day, country): first k (topic, count)} from (hour, country, topic, count)."""
+    sums = {}
+    for hour, country, topic, n in counts:
+        place = sums.setdefault((hour // 100, country), {})
+        place[topic] = place.get(topic, 0) + n
+    return {key: sorted(found.items(), key=lambda x: (-x[1], x[0]))[:k] for key, found in sums.items()}
+
+
+@pytest.mark.parametrize("counters", [1, 3, 6, 50])
+def test_top_lists_from_partial_lists_are_exact(spark, counters):
+    rng = random.Random(counters)
+    counts = []
+    for day in (20240115, 20240116):
+        for hour in range(24):
+            for country in ("US", "DE", None):
+                for t in rng.sample(range(40), rng.randrange(1, 30)):
+                    counts.append((day * 100 + hour, country, f"t{t}", max(1, int(200 / (t + 1))) + rng.randrange(3)))
+    counts += [(2024011700, "US", "one", 5), (2024011701, "US", "two", 5)]
+    frame = spark.createDataFrame(counts, "hourslot int, country string, topic string, count long")
+    lists = partial_lists.partial_lists(frame, "country", "day", counters)
+    assert lists.groupBy("hourslot", "country").count().agg({"count": "max"}).first()[0] <= counters
+    found = {}
+    for r in partial_lists.top_from_lists(lists, frame, "country", "day", 5).collect():
+        found.setdefault((r.dayslot, r.country), []).append((r.topic, r["count"]))
+    want = brute_top(counts, 5)
+    assert {key: sorted(x) for key, x in found.items()} == {key: sorted(x) for key, x in want.items()}
+    known = {(r.dayslot, r.country, r.topic): (r.low, r.high, r.unseen) for r in partial_lists.bounds(lists, "country", "day").collect()}
+    whole = {(d, c, t): n for (d, c), x in brute_top(counts, 10 ** 6).items() for t, n in x}
+    for key, n in whole.items():
+        low, high, unseen = known.get(key, (0, max(u for (d, c, _), (_, _, u) in known.items() if (d, c) == key[:2]), 0))
+        assert low <= n <= high
+    may_be = partial_lists.candidates(partial_lists.bounds(lists, "country", "day"), "country", "day", 5).collect()
+    decided = {(r.dayslot, r.country) for r in may_be} - {(r.dayslot, r.country) for r in may_be if r.open}
+    # Short lists leave some days open, long ones none, and those decide by themselves.
+    assert (counters == 1) == any(r.open for r in may_be) or counters == 3
+    assert counters < 50 or (len(decided) == len(want) and all(r.exact for r in may_be))

@@ -295,6 +295,9 @@ def _bodies() -> dict[str, str]:
         "sql_shares": f"""SELECT topic, c."count" AS here, w."count" AS everywhere FROM ({_trends("country", "day")}) c JOIN ({_trends("world", "day")}) w USING (dayslot, topic)
             WHERE dayslot = {day} AND {_place(COUNTRY)}""",
         "sql_live": f"SELECT country, CAST(NULL AS VARCHAR) AS city, topic, \"user\", time_ms, tweet FROM ({_live_page(_place(COUNTRY), 'country', 10)})",
+        "top_from_lists_day": _top("world", "day", 5),
+        "top_from_lists_day_country": _top("country", "day", 3),
+        "top_from_lists_hour_city": _top("city", "hour"),
         "live_compacted": f"""SELECT {_NOW_MS // 1000} AS secslot, country, topic, user_name AS "user", time_ms, text AS tweet FROM occurrences""",
         "rollup_summary": f"SELECT *, {_LABEL['day']} AS label FROM ({_totals('day')})",
         "rollup_incomplete": f"""SELECT * FROM ({_summary("day")}) WHERE dayslot = (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from topicflow.functions import slots
-from topicflow.operators import envelope, live, locations, parse, ranking, summary, topics
+from topicflow.operators import envelope, live, locations, parse, partial_lists, ranking, summary, topics
 from topicflow.plans import catalog, jobs, serve
 from topicflow.schema import (
     GRAIN_SLOT, GRAINS, LEVEL_KEYS, LEVELS, TABLES, TOP_K, counts_name, live_locations_name, live_messages_name, locations_name,
@@ -107,6 +107,18 @@ def _top(level: str, grain: str, k: int = TOP_K) -> Query:
     return lambda spark, sf_dir: ranking.top_topics(_trends(level, grain)(spark, sf_dir), level, grain, k)
 
 
+def _top_from_lists(level: str, grain: str, k: int, counters: int) -> Query:
+    """Top lists put together from short lists of the finer slots, written first as a job would have them."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        finer = _trends(level, partial_lists.FINER[grain])(spark, sf_dir)
+        path = run_dir(spark, "lists")
+        lists = partial_lists.partial_lists(finer, level, grain, counters)
+        lists.write.parquet(path)
+        return partial_lists.top_from_lists(spark.read.schema(lists.schema).parquet(path), finer, level, grain, k)
+
+    return run
+
+
 def _all_levels(grain: str) -> Query:
     return lambda spark, sf_dir: topics.trend_counts_all_levels(_occurrences(spark, sf_dir), grain)
 
@@ -721,6 +733,9 @@ def registry() -> dict[str, Query]:
                                          f"JOIN slot_topics('day', {day}) w ON c.topic = w.topic"),
         "sql_live": _in_sql(_live_store, "SELECT * FROM live_messages({0}, {1}, '', '{2}')".format(*catalog.live_slots(NOW + serve.LIVE_DELAY), COUNTRY)),
         "live_compacted": live_compacted,
+        "top_from_lists_day": _top_from_lists("world", "day", 5, 8),
+        "top_from_lists_day_country": _top_from_lists("country", "day", 3, 3),
+        "top_from_lists_hour_city": _top_from_lists("city", "hour", TOP_K, partial_lists.COUNTERS),
         "rollup_summary": rollup_summary,
         "rollup_incomplete": rollup_incomplete,
         "stream_replayed": stream_replayed,
