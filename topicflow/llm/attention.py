@@ -48,6 +48,34 @@ def forward(weights: dict, embedding: np.ndarray, skip: np.ndarray, symbols: np.
     return logits, (e, q, k, v, a, mixed)
 
 
+class Tables:
+    """The forward step for many windows of few symbols: embeddings are fixed, so what two symbols say to each
+    other, and what a symbol adds to the class scores, is tabulated once.
+
+    Exponents of attention scores lie up to 80 below the greatest of their symbol; what would be less than that counts as that.
+    """
+
+    def __init__(self, weights: dict, embedding: np.ndarray, skip: np.ndarray):
+        q, k = embedding @ weights["q"], embedding @ weights["k"]
+        scores = q @ k.T * np.float32(WIDTH ** -0.5)
+        scores -= scores.max(axis=1, keepdims=True)
+        self.pull = np.exp(np.maximum(scores, np.float32(-80))).astype(np.float32)
+        near = np.exp(weights["near"] - weights["near"].max())
+        self.near = np.where(_DISTANCE >= 0, near[np.maximum(_DISTANCE, 0)], 0).astype(np.float32)
+        self.adds = (embedding @ weights["v"] @ weights["out"]).astype(np.float32)
+        self.skip = skip
+
+    def logits(self, symbols: np.ndarray) -> np.ndarray:
+        """As `forward`."""
+        a = self.pull[symbols[:, :, None], symbols[:, None, :]]
+        a *= self.near
+        total = a.sum(axis=2, keepdims=True)
+        out = a @ self.adds[symbols]
+        out /= total
+        out += self.skip[symbols]
+        return out
+
+
 def train(weights: dict, embedding: np.ndarray, skip: np.ndarray, symbols: np.ndarray, targets: np.ndarray, batch: int = 32) -> dict:
     """One pass of Adam over windows; targets are classes, -1 where there is none."""
     weights = {n: w.copy() for n, w in weights.items()}

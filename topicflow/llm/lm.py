@@ -142,6 +142,7 @@ class Model:
     end_unigram: float
     mass: float = 1.0  # occurrences of all these words, the end among them
     weight: float = 0.5
+    _tables: tuple | None = None
 
     def log_probabilities(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural log P of the id after each place, and of a word's end there (rows as of `_sequences`;
@@ -151,9 +152,10 @@ class Model:
         chance, opens = np.zeros(len(x)), np.zeros(len(x))
         stop = np.repeat(first[1:] - 1, _many(np.diff(first) - 1))
         padded = np.concatenate([x, np.zeros(attention.CONTEXT + 1, x.dtype)])
+        tables = self.tables()
         for lo in range(0, len(begin), _AT_ONCE):
             at = begin[lo:lo + _AT_ONCE, None] + np.arange(attention.CONTEXT)
-            logits, _ = attention.forward(self.weights, self.embedding, self.skip, padded[at])
+            logits = tables.logits(padded[at])
             logits -= logits.max(axis=2, keepdims=True)
             wanted = np.take_along_axis(logits, self.of_class[padded[at + 1]][:, :, None], axis=2)[:, :, 0]
             # The first half of the classes are those that begin words.
@@ -184,6 +186,15 @@ class Model:
             by_word[known] = self.unigram[place[known]]
         return own, rows, by_ids, by_word, by_ids_end
 
+    def tables(self) -> attention.Tables:
+        """Made once in each worker: they are not sent with the model."""
+        if self._tables is None or self._tables[0] is not self.weights:
+            self._tables = (self.weights, attention.Tables(self.weights, self.embedding, self.skip))
+        return self._tables[1]
+
+    def __getstate__(self):
+        return {**self.__dict__, "_tables": None}
+
     def mixed(self, by_ids: np.ndarray, by_word: np.ndarray, weight: float) -> np.ndarray:
         return np.logaddexp(math.log(weight) + by_word, math.log(1 - weight) + by_ids)
 
