@@ -40,6 +40,7 @@ HEAD_IDS = 1024
 TAIL = 64
 CLASSES = 64
 ROUNDS = 2
+GROUP_WORDS = 500_000  # about so many words of training text in a group that trains on its own
 _END = 0  # the hash that stands for the end of a text
 _GRID = np.linspace(0.05, 0.95, 19)
 _AT_ONCE = 32  # windows, few enough for a processor's cache
@@ -276,9 +277,10 @@ def fit(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> tupl
     model.mass = float(max(1, mass))
     model.unigram = np.log(np.array([r.n for r in in_head], float)[order] / model.mass)
     model.end_unigram = math.log(ends.n / mass) if ends else -math.inf
+    groups = max(1, math.ceil(mass / GROUP_WORDS / ROUNDS))
     for turn in range(ROUNDS):
         part = training.where(F.pmod(F.shiftright(F.xxhash64("doc_id"), 32), F.lit(ROUNDS)) == turn)
-        model.weights = _averaged(part, spark.sparkContext.broadcast(model), source, end_id) or model.weights
+        model.weights = _averaged(part, groups, spark.sparkContext.broadcast(model), source, end_id) or model.weights
     model.weight = _tuned(training, spark.sparkContext.broadcast(model), source, end_id, counts, folder)
     folder.drop("pairs", "tuning")
     return model, counts, {"tokens": int(total or 0), "distinct": int(distinct), "ends": int(ends.n) if ends else 0, "source": source, "end_id": end_id}
@@ -310,46 +312,44 @@ def _counted(m: np.ndarray, count: np.ndarray, symbol: np.ndarray, opens: np.nda
                  embedding, attention.initial(CLASSES), np.empty(0, np.uint64), np.empty(0), -math.inf)
 
 
-def _averaged(docs: DataFrame, model, source, end_id: int) -> dict | None:
-    """Train in every task from the same weights; the mean, weighted by windows."""
+def _averaged(docs: DataFrame, groups: int, model, source, end_id: int) -> dict | None:
+    """Train on groups of documents, each from the same weights; the mean, weighted by windows.
+
+    A document's group and its place there follow from its hash, and the mean is a sum of whole
+    numbers: the outcome does not depend on partitions, batches or the order of tasks.
+    """
     shapes = {n: w.shape for n, w in model.value.weights.items()}
 
-    def run(batches):
+    def train(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("key", "ascending"), ("doc_id", "ascending")])
         encoder = units.encoder(source.value, units.spaced_words)
         own = model.value
         weights, seen = own.weights, 0
-        for batch in batches:
-            for _, part in slices(texts(batch.column("text"))):
-                ids, _, first = _sequences(part, encoder, end_id)
-                x = own.symbol[ids]
-                begin, scored = _windows(first)
-                stop = np.repeat(first[1:] - 1, _many(np.diff(first) - 1))
-                at = begin[:, None] + np.arange(attention.CONTEXT)
-                padded = np.concatenate([x, np.zeros(attention.CONTEXT + 1, x.dtype)])
-                targets = np.where((at < stop[:, None]) & (np.arange(attention.CONTEXT) >= scored[:, None]), own.of_class[padded[at + 1]], -1)
-                mixed = np.random.RandomState(len(at)).permutation(len(at))
-                weights = attention.train(weights, own.embedding, own.skip, padded[at][mixed], targets[mixed])
-                seen += len(at)
-        if seen:
-            flat = np.concatenate([w.ravel() for w in weights.values()]).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array([float(seen)]), pa.array([(flat * seen).tolist()])], ["n", "sums"])
-
-    def add(batches):
-        n, sums = 0.0, None
-        for batch in batches:
-            for one, values in zip(batch.column("n").to_pylist(), batch.column("sums")):
-                values = values.values.to_numpy()
-                n, sums = n + one, values if sums is None else sums + values
-        if sums is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([sums.tolist()])], ["n", "sums"])
-
-    schema = "n double, sums array<double>"
-    done = docs.select("text").mapInArrow(run, schema)
-    # Sums of tasks' sums, so that few rows come to the driver.
-    rows = done.repartition(max(1, math.isqrt(done.rdd.getNumPartitions()))).mapInArrow(add, schema).collect()
-    if not rows:
+        for _, part in slices(texts(table.column("text"))):
+            ids, _, first = _sequences(part, encoder, end_id)
+            x = own.symbol[ids]
+            begin, scored = _windows(first)
+            stop = np.repeat(first[1:] - 1, _many(np.diff(first) - 1))
+            at = begin[:, None] + np.arange(attention.CONTEXT)
+            padded = np.concatenate([x, np.zeros(attention.CONTEXT + 1, x.dtype)])
+            targets = np.where((at < stop[:, None]) & (np.arange(attention.CONTEXT) >= scored[:, None]), own.of_class[padded[at + 1]], -1)
+            mixed = np.random.RandomState(len(at)).permutation(len(at))
+            weights = attention.train(weights, own.embedding, own.skip, padded[at][mixed], targets[mixed])
+            seen += len(at)
+        flat = np.concatenate([w.ravel() for w in weights.values()]).astype(np.float64)
+        return pa.table({"n": [seen], "sums": [(np.rint(flat * 2 ** 24).astype(np.int64) * seen).tolist()]}, schema=pa.schema([("n", pa.int64()), ("sums", pa.list_(pa.int64()))]))
+
+    key = F.xxhash64("doc_id", "text")
+    rows = docs.select(F.pmod(F.xxhash64(key), F.lit(groups)).alias("group"), key.alias("key"), "doc_id", "text")
+    done = rows.groupBy("group").applyInArrow(train, "n long, sums array<long>")
+    whole = "decimal(38,0)"
+    sums = done.select(F.col("n").cast(whole).alias("n"), F.posexplode("sums").alias("place", "value")).groupBy("place").agg(
+        F.sum(F.col("value").cast(whole)).alias("value"), F.sum("n").alias("n")).collect()
+    if not sums:
         return None
-    flat = np.sum([r.sums for r in rows], axis=0) / sum(r.n for r in rows)
+    flat = np.zeros(len(sums))
+    for r in sums:
+        flat[r.place] = int(r.value) / int(r.n) / 2 ** 24
     out, at = {}, 0
     for name, shape in shapes.items():
         out[name] = flat[at:at + math.prod(shape)].reshape(shape).astype(np.float32)
