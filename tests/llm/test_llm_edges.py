@@ -346,13 +346,75 @@ def test_chances_do_not_depend_on_the_rows_around():
         at += len(row)
 
 
+def test_tables_give_the_forward_step():
+    r = np.random.RandomState(1)
+    weights = attention.initial(6)
+    weights["out"], weights["near"] = r.randn(attention.WIDTH, 6).astype(np.float32), r.randn(attention.CONTEXT).astype(np.float32)
+    embedding, skip = r.randn(30, attention.WIDTH).astype(np.float32), r.randn(30, 6).astype(np.float32)
+    x = r.randint(0, 30, (5, attention.CONTEXT))
+    assert np.allclose(attention.Tables(weights, embedding, skip).logits(x), attention.forward(weights, embedding, skip, x)[0], atol=1e-3)
+
+
+def plain_scores(text, model, counts, totals):
+    """One text, token by token, in plain Python: each id's class by attention over its window, mixed with the unigram."""
+    encoder = units.encoder(totals["source"].value, units.spaced_words)
+    ids, (own, many, _), _ = lm._sequences(texts(pa.array([text])), encoder, totals["end_id"])
+    w = {n: x.astype(float) for n, x in model.weights.items()}
+    x, e = model.symbol[ids], model.embedding.astype(float)
+    step, n = attention.CONTEXT - attention.OVERLAP, len(ids) - 1
+    last = max(0, -(-max(0, n - attention.CONTEXT) // step))
+    following, opening = [], []
+    for t in range(n):
+        begin = step * min(last, max(0, (t - attention.OVERLAP) // step)) if t >= attention.CONTEXT else 0
+        pulls = [math.exp((e[x[t]] @ w["q"]) @ (e[x[s]] @ w["k"]) / 4 + w["near"][t - s]) for s in range(begin, t + 1)]
+        mixed = sum(p * (e[x[s]] @ w["v"]) for p, s in zip(pulls, range(begin, t + 1))) / sum(pulls)
+        logits = mixed @ w["out"] + model.skip[x[t]]
+        p = np.exp(logits - logits.max())
+        p /= p.sum()
+        following.append(math.log(p[model.of_class[x[t + 1]]]) + model.inner[x[t], x[t + 1]] + model.rest[ids[t + 1]])
+        opening.append(math.log(p[:lm.CLASSES // 2].sum()))
+    score, t = 0.0, 0
+    for h, m in zip(own.hashes().view(np.int64).tolist(), many.tolist()):
+        by_ids = sum(following[t:t + m]) - opening[t] + opening[t + m]
+        score += math.log(model.weight * counts.get(h, 0) / model.mass + (1 - model.weight) * math.exp(by_ids))
+        t += m
+    by_end = following[t] - opening[t]
+    return (score + math.log(model.weight * totals["ends"] / model.mass + (1 - model.weight) * math.exp(by_end))) / math.log(10)
+
+
+def test_scores_equal_a_plain_model_and_do_not_depend_on_partitions(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got = []
+    monkeypatch.setattr(lm, "GROUP_WORDS", 20_000)  # several groups
+    for parts in (1, 4):
+        folder = Scratch(spark, f"parts-{parts}")
+        rows = lm.fit_score(docs.repartition(parts), public.path("byte_bpe_50k.tiktoken"), public.PATTERN, folder).collect()
+        got.append({r.doc_id: r.score for r in rows})
+    assert got[0].keys() == got[1].keys()
+    assert all(got[0][i] == pytest.approx(got[1][i], abs=1e-3, rel=1e-6) for i in got[0])
+    folder = Scratch(spark, "plain")
+    model, counts, totals = lm.fit(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN, folder)
+    n = {r.word: r.n for r in counts.collect()}
+    short = [(r.doc_id, r.text or "") for r in docs.collect() if len(r.text or "") < 1500][:12]
+    assert len(short) == 12
+    for i, text in short:
+        assert got[0][i] == pytest.approx(plain_scores(text, model, n, totals), rel=1e-3, abs=0.01)
+
+
+def test_the_model_beats_its_base_on_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = lm.fit_score(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN, Scratch(spark, "gain")).where("held_out").collect()
+    tokens = sum(r.n_tokens for r in rows)
+    assert sum(r.score for r in rows) / tokens > sum(r.base_score for r in rows) / tokens + 0.03
+
+
 def test_every_training_document_trains(spark, monkeypatch):
-    docs, seen = frame(spark, [(i, f"text {i} of some") for i in range(60)]), {"_averaged": [], "_tuned": []}
+    docs, seen = frame(spark, [(i, f"text {i} of some") for i in range(60)]), {"_averaged": [], "_forward": []}
     for name, ids in seen.items():
         monkeypatch.setattr(lm, name, lambda part, *a, f=getattr(lm, name), ids=ids: ids.extend(r.doc_id for r in part.collect()) or f(part, *a))
     lm.fit(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN, Scratch(spark, "all"))
     training = sorted(r.doc_id for r in docs.where(~lm.held_out("doc_id")).collect())
-    assert sorted(seen["_averaged"]) == sorted(seen["_tuned"]) == training
+    assert sorted(seen["_averaged"]) == sorted(seen["_forward"]) == training
 
 
 def test_scores_do_not_depend_on_the_words_that_workers_hold(spark, odd, monkeypatch):

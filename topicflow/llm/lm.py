@@ -15,8 +15,10 @@ tuned on training text.  Workers hold the counts of the HEAD_WORDS most frequent
 the others come by a join.
 
 All counts cover every training document, and so do the attention weights and the weight of the
-unigram.  Each training document belongs to one of ROUNDS rounds: in a round each task trains on
-its own, then weights are averaged.  What the driver holds is of fixed size, or one small row for some tasks.
+unigram.  Each training document belongs to one of ROUNDS rounds and, by its hash, to a group of about
+GROUP_WORDS words: in a round each group trains on its own, in the order of hashes, then weights are averaged.  So equal
+tables give equal scores, whatever the partitions.  One pass scores all documents, for every weight of the
+unigram; the training rows choose among these.  What the driver holds is of fixed size.
 
 Null texts are empty: only the end.  Rows without a doc_id are scored, not learned from, and
 their held_out is null.  Equal rows get equal scores; other columns are not read.
@@ -196,8 +198,12 @@ class Model:
     def __getstate__(self):
         return {**self.__dict__, "_tables": None}
 
-    def mixed(self, by_ids: np.ndarray, by_word: np.ndarray, weight: float) -> np.ndarray:
-        return np.logaddexp(math.log(weight) + by_word, math.log(1 - weight) + by_ids)
+
+def _on_grid(by_ids: np.ndarray, by_word: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Of every row (of n) the sum of its words' log P, for each weight of the unigram."""
+    more = np.exp(np.minimum(by_word - by_ids, 700))
+    base = np.bincount(rows, by_ids, n)
+    return np.stack([base + np.bincount(rows, np.log(w * more + (1 - w)), n) for w in _GRID], axis=1)
 
 
 def _many(lengths: np.ndarray) -> np.ndarray:
@@ -238,8 +244,8 @@ def _layout(ids: np.ndarray, n: np.ndarray, vocabulary: int, opens: np.ndarray,
     return symbol
 
 
-def fit(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> tuple[Model, DataFrame, dict]:
-    """Learn from documents that are not held out: the model, the word counts, and totals N and V."""
+def _trained(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> tuple[Model, DataFrame, dict]:
+    """The model without the weight of the unigram."""
     spark = docs.sparkSession
     ship(spark)
     training = docs.where(~held_out("doc_id"))
@@ -277,13 +283,36 @@ def fit(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> tupl
     model.mass = float(max(1, mass))
     model.unigram = np.log(np.array([r.n for r in in_head], float)[order] / model.mass)
     model.end_unigram = math.log(ends.n / mass) if ends else -math.inf
+    totals = {"tokens": mass, "distinct": int(distinct), "ends": int(ends.n) if ends else 0, "source": source, "end_id": end_id}
     groups = max(1, math.ceil(mass / GROUP_WORDS / ROUNDS))
     for turn in range(ROUNDS):
         part = training.where(F.pmod(F.shiftright(F.xxhash64("doc_id"), 32), F.lit(ROUNDS)) == turn)
         model.weights = _averaged(part, groups, spark.sparkContext.broadcast(model), source, end_id) or model.weights
-    model.weight = _tuned(training, spark.sparkContext.broadcast(model), source, end_id, counts, folder)
-    folder.drop("pairs", "tuning")
-    return model, counts, {"tokens": int(total or 0), "distinct": int(distinct), "ends": int(ends.n) if ends else 0, "source": source, "end_id": end_id}
+    folder.drop("pairs")
+    return model, counts, totals
+
+
+def fit(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> tuple[Model, DataFrame, dict]:
+    """Learn from documents that are not held out: the model, the word counts, and totals N and V."""
+    model, counts, totals = _trained(docs, ranks_path, pattern, folder)
+    rows = folder.save("tuning", _forward(docs.where(~held_out("doc_id")), model, totals))
+    model.weight = float(_GRID[_best(rows, counts, model.mass)])
+    folder.drop("tuning")
+    return model, counts, totals
+
+
+def score(docs: DataFrame, model: Model, counts: DataFrame, totals: dict, folder: Scratch) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, in log10."""
+    ship(docs.sparkSession)
+    rows = folder.save("scored", _forward(docs, model, totals))
+    return _finished(rows, counts, totals, model.mass, int(np.argmin(np.abs(_GRID - model.weight))))
+
+
+def fit_score(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> DataFrame:
+    """`fit`, then `score` of the same documents: the weight is tuned on what the one scoring pass gives."""
+    model, counts, totals = _trained(docs, ranks_path, pattern, folder)
+    rows = folder.save("scored", _forward(docs, model, totals))
+    return _finished(rows, counts, totals, model.mass, _best(rows, counts, model.mass))
 
 
 def _counted(m: np.ndarray, count: np.ndarray, symbol: np.ndarray, opens: np.ndarray, end_id: int) -> Model:
@@ -357,52 +386,15 @@ def _averaged(docs: DataFrame, groups: int, model, source, end_id: int) -> dict
     return out
 
 
-def _mixed(by_ids: Column, n: Column, mass: float, weight: float) -> Column:
-    """`Model.mixed` for words whose counts have been joined; n is null or 0 without any."""
-    a, b = math.log(weight) + F.log(n / mass), math.log(1 - weight) + by_ids
-    return F.when(n > 0, F.greatest(a, b) + F.log1p(F.exp(-F.abs(a - b)))).otherwise(b)
-
-
-def _tuned(docs: DataFrame, model, source, end_id: int, counts: DataFrame, folder: Scratch) -> float:
-    """The weight of the unigram that makes these documents likeliest."""
-
-    def run(batches):
-        encoder = units.encoder(source.value, units.spaced_words)
-        own, sums = model.value, np.zeros(len(_GRID))
-        for batch in batches:
-            for _, part in slices(texts(batch.column("text"))):
-                spelled, _, by_ids, by_word, by_ids_end = own.tokens(part, encoder, end_id)
-                # Without the word itself among the counts, as it would be for a text not learned from.
-                head = np.isfinite(by_word)
-                for lo in range(0, int((~head).sum()), 100_000):
-                    words_of, ids_of = (x[~head][lo:lo + 100_000] for x in (spelled.hashes().view(np.int64), by_ids))
-                    yield pa.RecordBatch.from_arrays([pa.array(words_of), pa.array(ids_of), pa.nulls(len(ids_of), pa.list_(pa.float64()))], names)
-                by_ids, by_word = by_ids[head], by_word[head]
-                seen = np.exp(by_word) * own.mass
-                with np.errstate(divide="ignore"):
-                    by_word = np.log(np.maximum(np.rint(seen) - 1, 0) / own.mass)
-                a, b = np.append(by_ids, by_ids_end), np.append(by_word, np.full(len(by_ids_end), own.end_unigram))
-                sums += [own.mixed(a, b, w).sum() for w in _GRID]
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64()), pa.array([sums.tolist()])], names)
-
-    names, mass = ["word", "by_ids", "sums"], model.value.mass
-    rows = folder.save("tuning", docs.select("text").mapInArrow(run, "word long, by_ids double, sums array<double>"))
-    head = rows.where("sums is not null").agg(*(F.sum(F.col("sums")[k]) for k in range(len(_GRID)))).first()
-    rest = rows.where("word is not null").join(counts, "word").agg(*(F.sum(_mixed(F.col("by_ids"), F.col("n") - 1, mass, float(w))) for w in _GRID)).first()
-    totals = [(x or 0.0) + (y or 0.0) for x, y in zip(head, rest)]
-    return float(_GRID[int(np.argmax(totals))]) if any(totals) else 0.5
-
-
-def score(docs: DataFrame, model: Model, counts: DataFrame, totals: dict, folder: Scratch) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, in log10."""
-    spark = docs.sparkSession
-    ship(spark)
+def _forward(docs: DataFrame, model: Model, totals: dict) -> DataFrame:
+    """The scoring pass.  Of every row: counts, the sum of the base's logs, and for each weight of the unigram
+    the natural log P of its end and of its words that workers hold; `tune` is the same as if the row had not been
+    counted, for rows that were.  `words` and `by_ids` are the other words, whose counts are to be joined."""
     source, end_id = totals["source"], totals["end_id"]
-    shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(F.col("doc_id"), F.xxhash64("doc_id", "text").alias("key"), "text")
-    base = math.log10(totals["tokens"] + 0.1 * (totals["distinct"] + 1))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     known_end = int(totals["ends"] > 0)
     log_end = math.log10(totals["ends"] + 0.1) if known_end else 0.0
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), held_out("doc_id").alias("held_out"), "text")
 
     def run(batches):
         encoder = units.encoder(source.value, units.spaced_words)
@@ -411,29 +403,59 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, totals: dict, folder
             for row, part in slices(texts(batch.column("text"))):
                 own, rows, by_ids, by_word, by_ids_end = own_model.tokens(part, encoder, end_id)
                 n = len(part)
-                found = own_model.mixed(by_ids, by_word, own_model.weight)
-                ended = own_model.mixed(by_ids_end, np.full(n, own_model.end_unigram), own_model.weight)
                 head = np.isfinite(by_word)
-                chance = (np.bincount(rows[head], found[head], n) + ended) / math.log(10)
+                seen = np.rint(np.exp(by_word[head]) * own_model.mass)
+                at_end, end = np.arange(n), np.full(n, own_model.end_unigram)
+                ended = _on_grid(by_ids_end, end, at_end, n)
+                scores = _on_grid(by_ids[head], by_word[head], rows[head], n) + ended
+                with np.errstate(divide="ignore"):
+                    less = np.log(np.maximum(seen - 1, 0) / own_model.mass)
+                tune = _on_grid(by_ids[head], less, rows[head], n) + ended
                 at = pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows[~head], minlength=n))]), pa.int32())
                 rest = [pa.ListArray.from_arrays(at, pa.array(x[~head])) for x in (own.hashes().view(np.int64), by_ids)]
-                seen = np.log10(np.rint(np.exp(by_word[head]) * own_model.mass) + 0.1)
+                grid = pa.array(np.arange(n + 1) * len(_GRID), pa.int32())
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(row, n), batch.column("key").slice(row, n), pa.array(own.counts + 1),
-                    pa.array(np.bincount(rows[head], minlength=n) + known_end), pa.array(np.bincount(rows[head], seen, n) + log_end), pa.array(chance), *rest,
-                ], ["doc_id", "key", "n_tokens", "known", "logs", "score", "words", "by_ids"])
+                    batch.column("doc_id").slice(row, n), batch.column("key").slice(row, n), batch.column("held_out").slice(row, n), pa.array(own.counts + 1),
+                    pa.array(np.bincount(rows[head], minlength=n) + known_end), pa.array(np.bincount(rows[head], np.log10(seen + 0.1), n) + log_end),
+                    *(pa.ListArray.from_arrays(grid, pa.array(x.ravel())) for x in (scores, tune)), *rest,
+                ], ["doc_id", "key", "held_out", "n_tokens", "known", "logs", "scores", "tune", "words", "by_ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = folder.save("scored", rows.mapInArrow(run, f"doc_id {kind}, key long, n_tokens long, known long, logs double, score double, words array<long>, by_ids array<double>"))
-    rare = scored.select("key", F.explode(F.arrays_zip("words", "by_ids")).alias("rest")).select("key", F.col("rest.words").alias("word"), F.col("rest.by_ids").alias("by_ids"))
-    rare = rare.join(counts, "word", "left").groupBy("key").agg(
-        F.count("n").alias("rare_known"), F.sum(F.log10(F.col("n") + 0.1)).alias("rare_logs"), F.sum(_mixed(F.col("by_ids"), F.col("n"), model.mass, model.weight)).alias("rare_score"))
+    return rows.mapInArrow(run, f"doc_id {kind}, key long, held_out boolean, n_tokens long, known long, logs double, "
+                                "scores array<double>, tune array<double>, words array<long>, by_ids array<double>")
+
+
+def _mixed(by_ids: Column, n: Column, mass: float, weight: float) -> Column:
+    """log P of a word whose count has been joined; n is null or 0 without any."""
+    a, b = math.log(weight) + F.log(n / mass), math.log(1 - weight) + by_ids
+    return F.when(n > 0, F.greatest(a, b) + F.log1p(F.exp(-F.abs(a - b)))).otherwise(b)
+
+
+def _rare(rows: DataFrame) -> DataFrame:
+    rest = rows.select("key", F.explode(F.arrays_zip("words", "by_ids")).alias("rest"))
+    return rest.select("key", F.col("rest.words").alias("word"), F.col("rest.by_ids").alias("by_ids"))
+
+
+def _best(rows: DataFrame, counts: DataFrame, mass: float) -> int:
+    """Which weight of the unigram makes the training rows likeliest."""
+    training = rows.where(~F.col("held_out"))
+    head = training.agg(*(F.sum(F.col("tune")[k]) for k in range(len(_GRID)))).first()
+    rest = _rare(training).join(counts, "word").agg(*(F.sum(_mixed(F.col("by_ids"), F.col("n") - 1, mass, float(w))) for w in _GRID)).first()
+    totals = [(x or 0.0) + (y or 0.0) for x, y in zip(head, rest)]
+    return int(np.argmax(totals)) if any(totals) else len(_GRID) // 2
+
+
+def _finished(scored: DataFrame, counts: DataFrame, totals: dict, mass: float, best: int) -> DataFrame:
+    base = math.log10(totals["tokens"] + 0.1 * (totals["distinct"] + 1))
+    rare = _rare(scored).join(counts, "word", "left").groupBy("key").agg(
+        F.count("n").alias("rare_known"), F.sum(F.log10(F.col("n") + 0.1)).alias("rare_logs"),
+        F.sum(_mixed(F.col("by_ids"), F.col("n"), mass, float(_GRID[best]))).alias("rare_score"))
     # Rows that are repeated have been summed up together.
     copies = scored.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).join(rare, "key", "left")
     unknown = math.log10(0.1)
     n_known = F.col("known") + F.coalesce((F.col("rare_known") / F.col("copies")).cast("long"), F.lit(0))
     logs = F.col("logs") + F.coalesce(F.col("rare_logs") / F.col("copies"), F.lit(0.0))
     return scored.join(copies, "key").select(
-        "doc_id", held_out("doc_id").alias("held_out"), "n_tokens", n_known.alias("n_known"), F.lit(totals["tokens"]).cast("long").alias("train_tokens"),
+        "doc_id", "held_out", "n_tokens", n_known.alias("n_known"), F.lit(totals["tokens"]).cast("long").alias("train_tokens"),
         (logs + (F.col("n_tokens") - n_known) * unknown - F.col("n_tokens") * base).alias("base_score"),
-        (F.col("score") + F.coalesce(F.col("rare_score") / F.col("copies"), F.lit(0.0)) / math.log(10)).alias("score"))
+        ((F.col("scores")[best] + F.coalesce(F.col("rare_score") / F.col("copies"), F.lit(0.0))) / math.log(10)).alias("score"))

@@ -86,9 +86,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    folder = Scratch(spark, "lm")
-    model, counts, totals = lm.fit(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, folder)
-    return lm.score(docs, model, counts, totals, folder)
+    return lm.fit_score(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, Scratch(spark, "lm"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
