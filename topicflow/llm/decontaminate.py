@@ -2,10 +2,12 @@
 
 Words are lower-cased (A-Z) runs of digits, a-z and non-ASCII characters.  A window
 is 13 consecutive words of an item, or the whole of a shorter item.  Document windows
-are looked up by hash, and every hit is verified word by word before it counts.
+are looked up by hash, and every hit is verified word by word, by 64-bit hashes of the words,
+before it counts.
 
 The set is broadcast in blocks of bounded size, one scan per block: one block up to
-BLOCK_CHARS of item text, more beyond.  Documents never shuffle.
+BLOCK_CHARS of item text, more beyond.  Of several blocks one is alive at a time: what a
+scan finds is written before the next block is collected.  Documents never shuffle.
 
 Null texts have no words; an item without words has no window; an item without an id
 counts as the item with the empty id; repeated rows are judged one by one.  Extra
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicflow.llm import words
-from topicflow.llm.common import ship, slices, texts
+from topicflow.llm.common import Scratch, ship, slices, texts
 
 WINDOW = 13
 BLOCK_CHARS = 8_000_000  # characters of item text in one broadcast block
@@ -46,6 +48,7 @@ class Grams:
         hashes, counts, rows = own.hashes(), own.counts, own.rows()
         self.ids = np.array(ids, object)
         self.by_length = {}
+        self.low: dict[int, tuple[np.ndarray, np.uint64]] = {}  # made by each worker
         for n in sorted({min(window, int(c)) for c in counts if c}):
             # Whole items if shorter than a window, else every window of them.
             at = np.flatnonzero(own.valid(n) & (counts[rows] >= window if n == window else counts[rows] == n))
@@ -56,17 +59,23 @@ class Grams:
             # The words themselves, to verify hits; and all items that have this window.
             self.by_length[n] = distinct, hashes[at[begin][:, None] + np.arange(n)], np.append(begin, len(keys)), rows[at]
 
+    def _likely(self, n: int) -> tuple[np.ndarray, np.uint64]:
+        """A table of the low hash bits; it keeps nearly all windows from the binary search."""
+        if n not in self.low:
+            distinct = self.by_length[n][0]
+            mask = np.uint64((1 << max(16, int(len(distinct) * 16).bit_length())) - 1)
+            table = np.zeros(int(mask) + 1, bool)
+            table[(distinct & mask).astype(np.int64)] = True
+            self.low[n] = table, mask
+        return self.low[n]
+
     def hits(self, hashes: np.ndarray, valid) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """For each length: window starts that hit, and for these the run of `items` rows."""
         for n, (distinct, sequences, begin, rows) in self.by_length.items():
             grams = words.gram_hashes(hashes, n)
             if not len(grams):
                 continue
-            # A bit table of the low hash bits keeps nearly all windows from the binary search.
-            bits = max(16, int(len(distinct) * 16).bit_length())
-            low = np.zeros(1 << bits, bool)
-            mask = np.uint64((1 << bits) - 1)
-            low[(distinct & mask).astype(np.int64)] = True
+            low, mask = self._likely(n)
             at = np.flatnonzero(low[(grams & mask).astype(np.int64)])
             at = at[valid(n)[at]]
             slot = np.minimum(np.searchsorted(distinct, grams[at]), len(distinct) - 1)
@@ -130,10 +139,11 @@ def _joined(a: dict, b: dict) -> dict:
 
 
 def find(docs: DataFrame, items: DataFrame, out: str = "found", text: str = "text", keep: list[str] | None = None,
-         window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
+         window: int = WINDOW, block_chars: int = BLOCK_CHARS, folder: Scratch | None = None) -> DataFrame:
     """Documents with a struct of their words, hit spans and found items.
 
-    `keep` names the columns to carry along (all).  `items` has item_id and text.
+    `keep` names the columns to carry along (all).  `items` has item_id and text.  `folder` takes the
+    written scans of several blocks; with one block nothing is written.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -143,10 +153,17 @@ def find(docs: DataFrame, items: DataFrame, out: str = "found", text: str = "tex
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-total // block_chars) or 1
     found = docs.select(*keep, F.col(text).alias("__text"))
+    if blocks > 1 and folder is None:
+        folder = Scratch(spark, "leaks")
     for block in range(blocks):
         part = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block).collect()
         grams = spark.sparkContext.broadcast(Grams([r.id for r in part], [r.text for r in part], window))
         found = _pass(found, grams, keep, out, block)
+        if block + 1 < blocks:
+            found = folder.save(f"block-{block}", found)
+            grams.destroy()
+            if block:
+                folder.drop(f"block-{block - 1}")
     return found.drop("__text")
 
 
