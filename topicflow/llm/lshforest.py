@@ -5,7 +5,8 @@ class, represented by its smallest doc_id.  Every class has a signature of TREES
 minima.  Tree t sorts the classes by the signature read from position t * DEPTH on; those
 that share the first DEPTH minima there form a region, and neighbours in its order, which
 share the longest prefixes, are candidates.  The depth adapts: for the rounds below a region of
-more than REGION classes is split by the next minima, as deep as the order goes.
+more than REGION classes is split by the next minima, as deep as the order goes, and one that
+even these do not split is dealt to pieces of about REGION by the hash of the id, so that no task takes a whole crowd.
 
 Round 1 pairs each class with the NEXT ones that are next to it in most trees.  Later rounds pair it with the
 next WINDOW ones, but only across components found so far, so a group of many copies costs
@@ -13,7 +14,7 @@ its size and not its square.  From round 3 on the order within a region is anoth
 time, which brings other neighbours together where a region has more than WINDOW classes;
 rounds go on until no link is new.  The classes of larger regions (as they were before any split)
 that then still hold several components are compared across components without any order or chance: two sets of a link share
-one of their rarest shingles, and all pairs that do are confirmed.  Candidates of the rounds that cannot be a link are dropped by their sizes, by the two lowest bits of
+one of their rarest shingles, and so many of these as their sizes demand; all pairs that do are confirmed.  Candidates of the rounds that cannot be a link are dropped by their sizes, by the two lowest bits of
 their minima (over BITS of 128 differ) and by whole signatures (agreement under FLOOR); a link of
 0.75 fails the first by chance 2.5 times in a hundred million, the second 5 times in ten million.  All others are confirmed on full sets.
 
@@ -22,7 +23,7 @@ Two documents of similarity 0.75 share a region in at least one tree with probab
 
 Texts without words, nulls among them, have the empty set and no link.  Rows without a
 doc_id have no link either and a null component.  Rows that share a doc_id count as one
-document.  Other columns are not read, or pass through `drop_copies`.
+document, of which `drop_copies` leaves one row.  Other columns are not read, or pass through `drop_copies`.
 """
 
 from __future__ import annotations
@@ -129,6 +130,32 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "id long, shingles binary, signature binary")
 
 
+def _keys(s: np.ndarray, t: int) -> np.ndarray:
+    """The regions of signatures (doubled, so that a prefix never ends) in tree t."""
+    key = np.full(len(s), words.U64(t))
+    for j in range(DEPTH):
+        key = words.mix(key * words.U64(0x9E3779B97F4A7C15) + s[:, t * DEPTH + j])
+    return key
+
+
+def _signed(batch: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(len(batch), -1).astype(np.uint64)
+
+
+def _sizes(classes: DataFrame) -> DataFrame:
+    """How many classes the regions of two and more have; counts combine in each task."""
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, len(batch), 4096):
+                s = _signed(batch.slice(lo, 4096))
+                for t in range(TREES):
+                    region, n = np.unique(_keys(s, t), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(region.view(np.int64)), pa.array(n)], ["region", "n"])
+
+    return classes.select("signature").mapInArrow(run, "region long, n long").groupBy("region").agg(F.sum("n").alias("size")).where("size > 1")
+
+
 def _forest(classes: DataFrame) -> DataFrame:
     """A row per class and tree: the region, and the next minima that sort and split it."""
 
@@ -137,15 +164,12 @@ def _forest(classes: DataFrame) -> DataFrame:
             ids, sizes = batch.column("id").to_numpy(), batch.column("n_shingles").to_numpy()
             for lo in range(0, len(ids), 4096):
                 some = batch.slice(lo, 4096)
-                s = np.frombuffer(b"".join(some.column("signature").to_pylist()), np.uint32).reshape(len(some), -1).astype(np.uint64)
+                s = _signed(some)
                 low, high = (np.packbits(((s >> words.U64(j)) & words.U64(1)).astype(np.uint8), axis=1).view(np.int64) for j in (0, 1))
                 own = [pa.array(x) for x in (ids[lo:lo + len(some)], sizes[lo:lo + len(some)], *low.T, *high.T)]
                 turned = np.concatenate([s, s], axis=1)
                 for t in range(TREES):
-                    at = t * DEPTH
-                    key = np.full(len(some), words.U64(t))
-                    for j in range(DEPTH):
-                        key = words.mix(key * words.U64(0x9E3779B97F4A7C15) + turned[:, at + j])
+                    at, key = t * DEPTH, _keys(turned, t)
                     next1 = (turned[:, at + DEPTH] << words.U64(32)) | turned[:, at + DEPTH + 1]
                     next2 = (turned[:, at + DEPTH + 2] << words.U64(32)) | turned[:, at + DEPTH + 3]
                     yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (key, next1, next2)] + own,
@@ -154,16 +178,17 @@ def _forest(classes: DataFrame) -> DataFrame:
     return classes.select("id", "n_shingles", "signature").mapInArrow(run, "region long, next1 long, next2 long, id long, n long" + "".join(f", {c} long" for c in _SKETCH))
 
 
-def _regions(rows: DataFrame, folder: Scratch, limit: int) -> tuple[DataFrame, DataFrame]:
-    """Rows of regions of two and more classes, whole, and with crowded regions split by their next minima."""
-    size = F.count(F.lit(1)).over(Window.partitionBy("region"))
-    whole = forest = folder.save("forest", rows.withColumn("size", size).where("size > 1"))
-    for turn, by in enumerate(("next1", "next2")):
-        if not forest.where(F.col("size") > limit).limit(1).count():
+def _regions(classes: DataFrame, folder: Scratch, limit: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of regions of two and more classes, whole, and with crowded regions split by their next minima, at last by
+    the hash of the id.  Sizes are counted apart and joined, so that no task holds a region to count it."""
+    whole = forest = folder.save("forest", _forest(classes).join(_sizes(classes), "region"))
+    for turn, by in enumerate((F.col("next1"), F.col("next2"), F.pmod(F.xxhash64("region", "id"), F.ceil(F.col("size") / limit)))):
+        crowded = forest.where(F.col("size") > limit)
+        if not crowded.limit(1).count():
             break
-        crowded = forest.where(F.col("size") > limit).withColumn("region", F.xxhash64("region", by))
-        crowded = crowded.withColumn("size", size).where("size > 1")
-        forest = folder.save(f"forest-{turn}", forest.where(F.col("size") <= limit).unionByName(crowded))
+        crowded = crowded.withColumn("region", F.xxhash64("region", by)).drop("size")
+        size = crowded.groupBy("region").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+        forest = folder.save(f"forest-{turn}", forest.where(F.col("size") <= limit).unionByName(crowded.join(size, "region")))
     return whole, forest
 
 
@@ -241,10 +266,15 @@ def _across(crowd: DataFrame, folder: Scratch, similarity: int) -> DataFrame:
     two = rows.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).alias("y")
     fits = F.col("x.component") < F.col("y.component")
     fits &= 100 * F.least("x.n", "y.n") >= similarity * F.greatest("x.n", "y.n")
-    # At the first shingle they share, what follows in both is all they can share besides.
-    fits &= (100 + similarity) * F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= similarity * (F.col("x.n") + F.col("y.n"))
     same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.salt") == F.col("y.salt"))
-    return one.join(two, same & fits).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    met = one.join(two, same & fits).groupBy(F.col("x.id").alias("x"), F.col("y.id").alias("y"), F.col("x.n").alias("m"), F.col("y.n").alias("n")).agg(
+        F.count(F.lit(1)).alias("common"), F.min("x.place").alias("p"), F.min("y.place").alias("q"))
+    # From the first shingle they share, what follows in both is all they can share.
+    may = (100 + similarity) * F.least(F.col("m") - F.col("p"), F.col("n") - F.col("q")) >= similarity * (F.col("m") + F.col("n"))
+    # What is not among the rare ones of both comes after those of one, of which ceil(similarity * size) - 1 are left.
+    left = F.floor((similarity * F.greatest("m", "n") + 99) / 100) - 1
+    may &= (100 + similarity) * (F.col("common") + left) >= similarity * (F.col("m") + F.col("n"))
+    return met.where(may).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def link(docs: DataFrame, folder: Scratch, similarity: int = SIMILARITY, n: int = SHINGLE, window: int = WINDOW,
@@ -256,7 +286,7 @@ def link(docs: DataFrame, folder: Scratch, similarity: int = SIMILARITY, n: int
     classes = folder.save("classes", classes)
     chosen = sketches.join(classes.withColumnRenamed("id", "doc_id"), ["d1", "d2", "doc_id"], "left_semi")
     chosen = folder.save("signed", chosen.dropDuplicates(["d1", "d2", "doc_id"]).select(F.col("doc_id").alias("id"), "n_shingles", "signature"))
-    whole, forest = _regions(_forest(chosen), folder, region)
+    whole, forest = _regions(chosen, folder, region)
     ids = whole.select("id").distinct()
     wanted = docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
     sets = folder.save("sets", _sets(wanted.groupBy("doc_id", F.xxhash64("text")).agg(F.first("text").alias("text")), n))
@@ -276,11 +306,11 @@ def link(docs: DataFrame, folder: Scratch, similarity: int = SIMILARITY, n: int
 
     turn, tried, links, found = 1, [], [], None
     while True:
-        same = Window.partitionBy("region")
         now = forest.withColumn("component", F.col("id")) if found is None else (
             forest.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")))
         if found is not None:
-            now = now.withColumn("low", F.min("component").over(same)).withColumn("high", F.max("component").over(same)).where("low < high")
+            mixed = now.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+            now = now.join(mixed.select("region"), "region", "left_semi")
         if turn == 1:
             # Of the next ones in all trees, at most one in each, those that are next in most of them.
             times = candidates(now, 1, "next1", "next2").groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
@@ -309,14 +339,21 @@ def link(docs: DataFrame, folder: Scratch, similarity: int = SIMILARITY, n: int
         last = folder.save("links-across", _confirmed(pairs, sets, similarity, 0.0))
         found = components(last.union(found.select(F.col("id").alias("a"), F.col("component").alias("b"))), folder, "found-across")
         folder.drop("prefixes", "pairs-across")
-    folder.drop("crowd", "sets", "forest", "forest-0", "forest-1", "signed")
+    folder.drop("crowd", "sets", "forest", "forest-0", "forest-1", "forest-2", "signed")
     members = sketches.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"], "left")
     return (members.join(found, "id", "left")
             .select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.coalesce("component", "id")).alias("component_id")))
 
 
 def drop_copies(docs: DataFrame, folder: Scratch, similarity: int = SIMILARITY) -> DataFrame:
-    """The documents that are the smallest of their component, one row each, and those without an id."""
+    """The documents that are the smallest of their component, one row each, and those without an id, all rows.
+
+    Of rows that share an id the one whose columns have the smallest hash stays."""
     found = link(docs.select("doc_id", "text"), folder, similarity)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.where("doc_id is null").unionByName(docs.join(kept, "doc_id", "left_semi"))
+    kept = folder.save("kept", found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies")))
+    done = docs.where("doc_id is null").unionByName(docs.join(kept.where("copies = 1"), "doc_id", "left_semi"))
+    if kept.where("copies > 1").limit(1).count():
+        whole = F.struct(*docs.columns)
+        rows = docs.join(kept.where("copies > 1"), "doc_id", "left_semi").select("doc_id", whole.alias("row"), F.xxhash64(F.to_json(whole)).alias("order"))
+        done = done.unionByName(rows.groupBy("doc_id").agg(F.min_by("row", "order").alias("row")).select("row.*"))
+    return done
