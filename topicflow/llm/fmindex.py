@@ -11,20 +11,25 @@ import numpy as np
 U64 = np.uint64
 
 
+_BLOCK = 9  # words of bits in a block, as a power of two: what precedes a word in its block fits 16 bits
+
+
 class Bits:
-    """A bit vector with the number of ones before any place."""
+    """A bit vector with the number of ones before any place: a whole number for each block, 16 bits for each word."""
 
     def __init__(self, bits: np.ndarray):
         padded = np.zeros(-(-(len(bits) + 1) // 64) * 64, np.uint8)
         padded[:len(bits)] = bits
         self.words = np.packbits(padded, bitorder="little").view("<u8")
         ones = np.bitwise_count(self.words).astype(np.int64)
-        self.before = np.cumsum(ones) - ones
+        before = np.cumsum(ones) - ones
+        self.blocks = before[::1 << _BLOCK]
+        self.before = (before - np.repeat(self.blocks, 1 << _BLOCK)[:len(before)]).astype(np.uint16)
 
     def rank(self, i: np.ndarray) -> np.ndarray:
         word = i >> 6
         below = (U64(1) << (i & 63).astype(U64)) - U64(1)
-        return self.before[word] + np.bitwise_count(self.words[word] & below)
+        return self.blocks[word >> _BLOCK] + self.before[word] + np.bitwise_count(self.words[word] & below)
 
 
 class FMIndex:
@@ -52,15 +57,15 @@ class FMIndex:
             rank[order] = np.concatenate([[0], np.cumsum(key[1:] != key[:-1])])
             ranks.append(rank)
             reach *= 2
-        # Common prefix of neighbours in the order, from the ranks of 2^k symbols.
-        self.common = np.full(n + 1, -1, np.int64)
+        # Common prefix of neighbours in the order, from the ranks of 2^k symbols; more than `threshold` counts as that.
+        self.common = np.full(n + 1, -1, np.min_scalar_type(-threshold - 1))
         a, b, same = order[:-1], order[1:], np.zeros(n - 1, np.int64)
         for k in range(len(ranks) - 1, -1, -1):
             x, y = a + same, b + same
             fits = (x < n) & (y < n)
             fits[fits] = ranks[k][x[fits]] == ranks[k][y[fits]]
             same += fits.astype(np.int64) << k
-        self.common[1:n] = same
+        self.common[1:n] = np.minimum(same, threshold)
         del ranks
         last = text[order - 1]  # of the first suffix: the end of the last sequence, also symbol 0
         counts = np.bincount(text, minlength=len(self.alphabet) + 1)
@@ -84,6 +89,11 @@ class FMIndex:
         self.group_low = np.minimum.reduceat(owner[order], breaks)
         self.breaks = np.append(breaks, n)
 
+    @property
+    def nbytes(self) -> int:
+        parts = [self.common, self.alphabet, self.base, self.breaks, self.group_low]
+        return sum(p.nbytes for p in parts) + sum(level.words.nbytes + level.before.nbytes + level.blocks.nbytes for _, level, _ in self.levels)
+
     @staticmethod
     def _down(level: Bits, zeros: int, bit: np.ndarray, at: np.ndarray) -> np.ndarray:
         ones = level.rank(at)
