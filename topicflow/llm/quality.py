@@ -7,7 +7,7 @@ curve, which makes it the probability of a good label.
 
 The fit takes a bounded sample of labelled rows: SAMPLE rows for the dictionaries, SAMPLE
 others for the curve, those with the smallest hashes of their ids, of at most
-SAMPLE_CHARS characters each.  Lines that occur in both classes enter no dictionary.
+SAMPLE_CHARS characters each; of texts that share an id the smallest.  Lines that occur in both classes enter no dictionary.
 Scoring reads every text whole.
 
 Null texts are empty; an empty text's score is the share of good labels.  Rows with a null
@@ -128,15 +128,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out("doc_id"))
              .groupBy("doc_id").agg(F.max("quality").alias("quality")))
     by = F.xxhash64("doc_id")
-    parts = []
-    for turn in (0, 1):
-        chosen = known.where(F.pmod(by, F.lit(2)) == turn)
-        if turn == 0:  # as many bad as good for the dictionaries
-            chosen = chosen.where("quality = 1").orderBy(by).limit(sample // 2).union(chosen.where("quality = 0").orderBy(by).limit(sample // 2))
-        else:
-            chosen = chosen.orderBy(by).limit(sample)
-        rows = docs.select("doc_id", "text").join(chosen, "doc_id").where(F.length("text") <= SAMPLE_CHARS)
-        parts.append(sorted(rows.select("doc_id", "quality", "text").orderBy(by, "text").limit(sample).collect()))
+    turn = F.pmod(by, F.lit(2))
+    # As many bad as good for the dictionaries.
+    chosen = [known.where(turn == 0).where(F.col("quality") == q).orderBy(by).limit(sample // 2) for q in (1, 0)]
+    chosen = chosen[0].union(chosen[1]).union(known.where(turn == 1).orderBy(by).limit(sample))
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").where(F.length("text") <= SAMPLE_CHARS)
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("text").alias("text")).withColumn("turn", turn).collect()
+    parts = [sorted((r for r in rows if r.turn == t), key=lambda r: r.doc_id) for t in (0, 1)]
     of = {q: [r.text for r in parts[0] if (r.quality == 1) == (q == 1)] for q in (0, 1)}
     both = set.intersection(*({line for t in of[q] for line in t.split("\n")} for q in (0, 1)))
     good, bad = (_dictionary(of[q], both) for q in (1, 0))
