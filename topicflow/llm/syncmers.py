@@ -13,19 +13,21 @@ of the whole; the empty text, as null, has none, and two such texts are alike.
 `with_edits` pairs each document with the next one in descending doc_id (null ids last, equal
 ids by a hash of their text).  Documents are dealt to buckets of neighbouring ids by
 a piecewise linear function of the id, and the first of each bucket is copied to the one
-before it, so that no window spans all rows.  Other columns are not read.
+before it, so that no window spans all rows.  Tasks get runs of buckets of about equal bytes.  Other
+columns are not read; without documents there are no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UNIT = 16
 K = 6
 S = 2
-BUCKET_ROWS = 4096
-MAX_BUCKETS = 16_384  # heads of buckets are broadcast: at most 16 bytes for each
+BUCKET_ROWS = 1024
+MAX_BUCKETS = 262_144  # the driver lists and broadcasts their heads: at most 32 bytes for each
+TASK_BYTES = 64 << 20  # of text, where that makes more tasks than spark.sql.shuffle.partitions
 _KNOTS = 128
 
 
@@ -86,6 +88,17 @@ def _bucket(ids: DataFrame) -> Column:
     return F.coalesce((at - 1) * each + F.least(F.floor(share * each), F.lit(each - 1)), F.lit(-1)).cast("long")
 
 
+def _tasks(spark: SparkSession, sizes: list[int]) -> tuple[int, list[int]]:
+    """How many tasks, and the task of each bucket: runs of buckets of about equal bytes."""
+    total = sum(sizes) or 1
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
+    part, before = [], 0
+    for size in sizes:
+        part.append((2 * before + size) * tasks // (2 * total))
+        before += size
+    return tasks, part
+
+
 def with_edits(docs: DataFrame) -> DataFrame:
     """doc_id, text, next (the next document's text), edited, and the anchors of the three.
 
@@ -94,17 +107,20 @@ def with_edits(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("bucket", _bucket(rows.select("doc_id")))
-    heads = rows.groupBy("bucket").agg(F.max("doc_id").alias("doc_id"))
-    listed = sorted((r.bucket, r.doc_id) for r in heads.collect())
+    heads = rows.groupBy("bucket").agg(F.max("doc_id").alias("doc_id"), F.sum(F.octet_length("text") + F.lit(64)).alias("bytes"))
+    listed = sorted((r.bucket, r.doc_id, r.bytes) for r in heads.collect())
+    tasks, part = _tasks(docs.sparkSession, [size for _, _, size in listed])
     # Each bucket's first document follows the last of the bucket above, the very first that of the lowest.
-    ghosts = [(doc_id, listed[(i + 1) % len(listed)][0]) for i, (_, doc_id) in enumerate(listed)]
-    ghosts = docs.sparkSession.createDataFrame(ghosts, "id long, above long")
-    own, copy = (F.struct(F.col(c).alias("bucket"), F.lit(g).alias("ghost")) for c, g in (("bucket", False), ("above", True)))
-    dealt = rows.join(F.broadcast(ghosts), rows["doc_id"].eqNullSafe(ghosts["id"]), "left").select(
+    above = [(i + 1) % len(listed) for i in range(len(listed))]
+    ghosts = docs.sparkSession.createDataFrame([(listed[i][1], listed[j][0], part[j]) for i, j in enumerate(above)], "id long, above long, above_task int")
+    where = docs.sparkSession.createDataFrame([(bucket, part[i]) for i, (bucket, _, _) in enumerate(listed)], "bucket long, task int")
+    own, copy = (F.struct(F.col(b).alias("bucket"), F.col(t).alias("task"), F.lit(g).alias("ghost"))
+                 for b, t, g in (("bucket", "task", False), ("above", "above_task", True)))
+    dealt = rows.join(F.broadcast(where), "bucket").join(F.broadcast(ghosts), rows["doc_id"].eqNullSafe(ghosts["id"]), "left").select(
         "doc_id", "text", F.explode(F.when(F.col("above").isNull(), F.array(own)).otherwise(F.array(own, copy))).alias("to"))
-    dealt = dealt.select("doc_id", "text", "to.bucket", "to.ghost").repartition(F.col("bucket"))
+    dealt = dealt.select("doc_id", "text", "to.bucket", "to.task", "to.ghost").repartitionById(tasks, "task")
     dealt = anchors(dealt, "text", "anchors")
-    order = Window.partitionBy("bucket").orderBy("ghost", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")
+    order = Window.partitionBy("task", "bucket").orderBy("ghost", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")
     rows = dealt.select("*", F.lead("text").over(order).alias("next"), F.lead("anchors").over(order).alias("next_anchors")).where("not ghost")
     half = F.floor(F.length("text") / 2).cast("int")
     kept = F.substring("text", F.lit(1), F.length("text") - half)
