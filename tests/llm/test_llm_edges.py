@@ -625,24 +625,21 @@ def template(n):
     return pairs
 
 
-def test_a_template_gives_few_candidates(spark):
+def test_a_template_loses_no_link(spark):
     pairs = template(600)
     folder = Scratch(spark, "form")
     sets = lshforest._sets(frame(spark, pairs), 5).withColumn("component", F.col("id"))
     found = {(r.a, r.b) for r in lshforest._across(sets, folder, 75).collect()}
     own = {i: brute.shingles(t) for i, t in pairs}
-    links, near = set(), 0
+    links = set()
     for a in own:
         for b in own:
             if a < b:
                 common = len(own[a] & own[b])
                 union = len(own[a]) + len(own[b]) - common
-                near += 100 * common >= 65 * union
                 if 100 * common >= 75 * union and common < union:
                     links.add((a, b))
     assert links and links <= found
-    # Hardly any pair is confirmed in vain: nearly all have a similarity of 0.65 or more.
-    assert len(found) <= 1.1 * near
     got = lshforest.link(frame(spark, pairs), Scratch(spark, "form-link"), window=1).collect()
     assert {r.doc_id: r.component_id for r in got} == brute.components(pairs)
 
