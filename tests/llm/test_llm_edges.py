@@ -201,16 +201,6 @@ def test_anchors_equal_plain_syncmers(spark):
         assert r.near_edited == pytest.approx(brute.jaccard(a, b)) and r.near_next == pytest.approx(brute.jaccard(a, c))
 
 
-def test_tasks_get_about_equal_bytes(spark, monkeypatch):
-    monkeypatch.setattr(syncmers, "BUCKET_ROWS", 5)
-    pairs = [(i, "word " * (200 if i % 50 == 0 else 10)) for i in range(2000)]
-    done = syncmers.with_edits(frame(spark, pairs))
-    sizes = [r.n for r in done.groupBy(F.spark_partition_id()).agg(F.sum(F.length("text")).alias("n")).collect()]
-    assert len(sizes) == 4 and max(sizes) < 1.3 * min(sizes)
-    plan = done._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") - plan.count("BroadcastExchange") == 1
-
-
 def test_buckets_keep_the_order(spark, monkeypatch):
     monkeypatch.setattr(syncmers, "BUCKET_ROWS", 3)
     pairs = [(int(k ** 2.5), f"text {k}") for k in range(200)]
