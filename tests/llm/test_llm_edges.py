@@ -334,6 +334,29 @@ def test_gradient_of_the_attention_model():
     assert np.allclose(p[:, :30], q[:, :30]) and np.allclose(p.sum(-1), 1)
 
 
+def test_gradient_equals_differences_of_the_loss():
+    r = np.random.RandomState(4)
+    weights = {n: w.astype(np.float64) for n, w in attention.initial(5).items()}
+    weights["out"], weights["near"] = r.randn(attention.WIDTH, 5) * 0.3, r.randn(attention.CONTEXT) * 0.2
+    embedding, skip = r.randn(7, attention.WIDTH), r.randn(7, 5)
+    x, y = r.randint(0, 7, (3, attention.CONTEXT)), r.randint(-1, 5, (3, attention.CONTEXT))
+    y[:, :attention.OVERLAP] = -1
+
+    def loss(w):
+        p = attention._softmax(attention.forward(w, embedding, skip, x)[0])
+        rows, places = np.nonzero(y >= 0)
+        return -np.log(p[rows, places, y[rows, places]]).sum()
+
+    whole = attention._gradient(weights, embedding, skip, x, y, 0)
+    for name, d in attention._gradient(weights, embedding, skip, x, y, attention.OVERLAP).items():
+        assert np.allclose(d, whole[name], atol=1e-8)
+        for at in [tuple(r.randint(0, n) for n in d.shape) for _ in range(4)]:
+            up, down = ({**weights, name: weights[name].copy()} for _ in range(2))
+            up[name][at] += 1e-5
+            down[name][at] -= 1e-5
+            assert d[at] == pytest.approx((loss(up) - loss(down)) / 2e-5, rel=1e-4, abs=1e-5)
+
+
 def test_windows_score_every_place_once():
     lengths = np.array([0, 1, 64, 65, 112, 113, 500])
     begin, scored = attention.windows(lengths)
@@ -389,6 +412,8 @@ def test_tables_give_the_forward_step():
     embedding, skip = r.randn(30, attention.WIDTH).astype(np.float32), r.randn(30, 6).astype(np.float32)
     x = r.randint(0, 30, (5, attention.CONTEXT))
     assert np.allclose(attention.Tables(weights, embedding, skip).logits(x), attention.forward(weights, embedding, skip, x)[0], atol=1e-3)
+    late = attention.Tables(weights, embedding, skip).logits(x, attention.OVERLAP)
+    assert np.allclose(late, attention.forward(weights, embedding, skip, x)[0][:, attention.OVERLAP:], atol=1e-3)
 
 
 def plain_scores(text, model, counts, totals):

@@ -13,6 +13,7 @@ import numpy as np
 WIDTH = 16
 CONTEXT = 64  # symbols in a window
 OVERLAP = 16  # symbols at the beginning of a window that an earlier one has scored
+AT_ONCE = 32  # windows in one numpy step, few enough for a processor's cache
 _RATE = 0.01
 
 
@@ -24,7 +25,7 @@ def initial(classes: int, seed: int = 7) -> dict[str, np.ndarray]:
 
 
 _DISTANCE = np.arange(CONTEXT)[:, None] - np.arange(CONTEXT)[None, :]
-_AHEAD = np.where(_DISTANCE < 0, np.float32(-1e9), np.float32(0))
+_BACK = np.maximum(_DISTANCE, 0)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -34,71 +35,92 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def forward(weights: dict, embedding: np.ndarray, skip: np.ndarray, symbols: np.ndarray) -> tuple:
-    """Class scores (logits) after every symbol of the windows (n, CONTEXT), and what the gradient needs."""
-    e = embedding[symbols]
-    q, k, v = e @ weights["q"], e @ weights["k"], e @ weights["v"]
-    scores = q @ k.transpose(0, 2, 1)
-    scores *= np.float32(WIDTH ** -0.5)
-    scores += weights["near"][np.maximum(_DISTANCE, 0)] + _AHEAD
-    a = _softmax(scores)
-    mixed = a @ v
+def _held(x: np.ndarray, most: int) -> np.ndarray:
+    return np.clip(x, -most, most, out=x)
+
+
+def _nearness(weights: dict) -> np.ndarray:
+    """What each distance multiplies the weight of a symbol by; 0 for symbols ahead."""
+    return np.where(_DISTANCE >= 0, np.exp(np.clip(weights["near"], -20, 20))[_BACK], 0)
+
+
+def _attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, nearness: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the symbols before (not yet divided by their sum), and the sums of their values, the last value being 1."""
+    a = _held(q @ k.transpose(0, 2, 1), 60)
+    np.exp(a, out=a)
+    a *= nearness[CONTEXT - q.shape[1]:]
+    return a, a @ v
+
+
+def forward(weights: dict, embedding: np.ndarray, skip: np.ndarray, symbols: np.ndarray, skipped: int = 0) -> tuple:
+    """Class scores (logits) after the symbols of the windows (n, CONTEXT), but for the first `skipped` of each, and what
+    the gradient needs.  Scores of attention are held within 60 and logits within 80, so that exponents need no greatest one."""
+    e = embedding.take(symbols, axis=0)
+    q, k = e[:, skipped:] @ (weights["q"] * WIDTH ** -0.5), e @ weights["k"]
+    v = np.ones((*e.shape[:2], WIDTH + 1), e.dtype)
+    np.matmul(e, weights["v"], out=v[:, :, :WIDTH])
+    a, sums = _attend(q, k, v, _nearness(weights).astype(e.dtype))
+    a /= sums[:, :, WIDTH:]
+    mixed = sums[:, :, :WIDTH] / sums[:, :, WIDTH:]
     logits = mixed @ weights["out"]
-    logits += skip[symbols]
-    return logits, (e, q, k, v, a, mixed)
+    logits += skip.take(symbols[:, skipped:], axis=0)
+    return _held(logits, 80), (e, q, k, v[:, :, :WIDTH], a, mixed)
 
 
 class Tables:
-    """The forward step for many windows of few symbols: embeddings are fixed, so what two symbols say to each
-    other, and what a symbol adds to the class scores, is tabulated once.
-
-    Exponents of attention scores lie up to 80 below the greatest of their symbol; what would be less than that counts as that.
-    """
+    """The forward step for many windows of few symbols: embeddings are fixed, so what a symbol asks, offers and
+    says is tabulated once."""
 
     def __init__(self, weights: dict, embedding: np.ndarray, skip: np.ndarray):
-        q, k = embedding @ weights["q"], embedding @ weights["k"]
-        scores = q @ k.T * np.float32(WIDTH ** -0.5)
-        scores -= scores.max(axis=1, keepdims=True)
-        self.pull = np.exp(np.maximum(scores, np.float32(-80))).astype(np.float32)
-        near = np.exp(weights["near"] - weights["near"].max())
-        self.near = np.where(_DISTANCE >= 0, near[np.maximum(_DISTANCE, 0)], 0).astype(np.float32)
-        self.adds = (embedding @ weights["v"] @ weights["out"]).astype(np.float32)
-        self.skip = skip
-
-    def logits(self, symbols: np.ndarray) -> np.ndarray:
-        """As `forward`."""
-        a = self.pull[symbols[:, :, None], symbols[:, None, :]]
-        a *= self.near
-        total = a.sum(axis=2, keepdims=True)
-        out = a @ self.adds[symbols]
-        out /= total
-        out += self.skip[symbols]
-        return out
+        self.q, self.k = embedding @ weights["q"] * np.float32(WIDTH ** -0.5), embedding @ weights["k"]
+        self.v = np.concatenate([embedding @ weights["v"], np.ones((len(embedding), 1), embedding.dtype)], axis=1)
+        self.nearness = _nearness(weights).astype(embedding.dtype)
+        self.out, self.skip = weights["out"], skip
 
-
-def train(weights: dict, embedding: np.ndarray, skip: np.ndarray, symbols: np.ndarray, targets: np.ndarray, batch: int = 32) -> dict:
+    def logits(self, symbols: np.ndarray, skipped: int = 0) -> np.ndarray:
+        """As `forward`."""
+        own = symbols[:, skipped:]
+        _, sums = _attend(self.q.take(own, axis=0), self.k.take(symbols, axis=0), self.v.take(symbols, axis=0), self.nearness)
+        logits = (sums[:, :, :WIDTH] / sums[:, :, WIDTH:]) @ self.out
+        logits += self.skip.take(own, axis=0)
+        return _held(logits, 80)
+
+
+def _gradient(weights: dict, embedding: np.ndarray, skip: np.ndarray, x: np.ndarray, y: np.ndarray, skipped: int) -> dict[str, np.ndarray]:
+    """Of the loss summed over the windows' targets; none of them is among the first `skipped`."""
+    g, (e, q, k, v, a, mixed) = forward(weights, embedding, skip, x, skipped)
+    y = y[:, skipped:]
+    np.exp(g, out=g)
+    known = (y >= 0).astype(g.dtype)
+    g *= (known / g.sum(axis=-1))[:, :, None]
+    flat = lambda z: z.reshape(-1, z.shape[-1])
+    flat(g)[np.arange(y.size), np.maximum(y, 0).ravel()] -= known.ravel()
+    dm = g @ weights["out"].T
+    ds = dm @ v.transpose(0, 2, 1)
+    ds -= np.einsum("bij,bij->bi", dm, mixed)[:, :, None]
+    ds *= a
+    # q is already scaled, and so is what it adds to k.
+    dq, dk, dv = ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dm
+    own, every = flat(e[:, skipped:]).T, flat(e).T
+    return {
+        "out": flat(mixed).T @ flat(g), "q": own @ flat(dq) * WIDTH ** -0.5, "k": every @ flat(dk), "v": every @ flat(dv),
+        "near": np.bincount(_BACK[skipped:].ravel(), ds.sum(axis=0).ravel(), CONTEXT),
+    }
+
+
+def train(weights: dict, embedding: np.ndarray, skip: np.ndarray, symbols: np.ndarray, targets: np.ndarray, batch: int = AT_ONCE) -> dict:
     """One pass of Adam over windows; targets are classes, -1 where there is none."""
     weights = {n: w.copy() for n, w in weights.items()}
     first = {n: np.zeros_like(w) for n, w in weights.items()}
     second = {n: np.zeros_like(w) for n, w in weights.items()}
+    whole = (targets[:, :OVERLAP] >= 0).any(axis=1)
     for step, lo in enumerate(range(0, len(symbols), batch), 1):
-        x, y = symbols[lo:lo + batch], targets[lo:lo + batch]
-        logits, (e, q, k, v, a, mixed) = forward(weights, embedding, skip, x)
-        known = y >= 0
-        g = _softmax(logits)
-        rows, places = np.nonzero(known)
-        g[rows, places, y[rows, places]] -= 1
-        g *= known[:, :, None] / np.float32(max(1, known.sum()))
-        dm = g @ weights["out"].T
-        da = dm @ v.transpose(0, 2, 1)
-        ds = a * (da - (a * da).sum(axis=-1, keepdims=True))
-        dq, dk, dv = ds @ k * WIDTH ** -0.5, ds.transpose(0, 2, 1) @ q * WIDTH ** -0.5, a.transpose(0, 2, 1) @ dm
-        flat = lambda z: z.reshape(-1, z.shape[-1])
-        gradient = {
-            "out": flat(mixed).T @ flat(g), "q": flat(e).T @ flat(dq), "k": flat(e).T @ flat(dk), "v": flat(e).T @ flat(dv),
-            "near": np.bincount(np.maximum(_DISTANCE, 0).ravel(), ds.sum(axis=0).ravel(), CONTEXT),
-        }
-        for n, d in gradient.items():
+        x, y, early = symbols[lo:lo + batch], targets[lo:lo + batch], whole[lo:lo + batch]
+        # Most windows have no target where an earlier one has scored: nothing is computed there.
+        parts = [_gradient(weights, embedding, skip, x[own], y[own], skipped) for own, skipped in ((~early, OVERLAP), (early, 0)) if own.any()]
+        share = 1 / max(1, int((y >= 0).sum()))
+        for n in weights:
+            d = sum(part[n] for part in parts) * share
             first[n] += 0.1 * (d - first[n])
             second[n] += 0.01 * (d * d - second[n])
             weights[n] -= (_RATE * (first[n] / (1 - 0.9 ** step)) / (np.sqrt(second[n] / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)

@@ -45,7 +45,6 @@ ROUNDS = 2
 GROUP_WORDS = 500_000  # about so many words of training text in a group that trains on its own
 _END = 0  # the hash that stands for the end of a text
 _GRID = np.linspace(0.05, 0.95, 19)
-_AT_ONCE = 32  # windows, few enough for a processor's cache
 
 
 def held_out(doc_id: str) -> Column:
@@ -156,20 +155,27 @@ class Model:
         stop = np.repeat(first[1:] - 1, _many(np.diff(first) - 1))
         padded = np.concatenate([x, np.zeros(attention.CONTEXT + 1, x.dtype)])
         tables = self.tables()
-        for lo in range(0, len(begin), _AT_ONCE):
-            at = begin[lo:lo + _AT_ONCE, None] + np.arange(attention.CONTEXT)
-            logits = tables.logits(padded[at])
-            logits -= logits.max(axis=2, keepdims=True)
-            wanted = np.take_along_axis(logits, self.of_class[padded[at + 1]][:, :, None], axis=2)[:, :, 0]
-            # The first half of the classes are those that begin words.
-            np.exp(logits, out=logits)
-            opening = logits[:, :, :CLASSES // 2].sum(axis=2)
-            total = np.log(opening + logits[:, :, CLASSES // 2:].sum(axis=2))
-            use = (np.arange(attention.CONTEXT) >= scored[lo:lo + _AT_ONCE, None]) & (at < stop[lo:lo + _AT_ONCE, None])
-            here = at[use]
-            to = x[here + 1]
-            chance[here] = (wanted - total)[use] + self.inner[x[here], to] + self.rest[ids[here + 1]]
-            opens[here] = (np.log(opening) - total)[use]
+        # The first half of the classes are those that begin words.
+        halves = np.repeat(np.eye(2, dtype=np.float32), CLASSES // 2, axis=0)
+        # A row's first window scores all its places, the others what no earlier one has scored.
+        for skipped in (0, attention.OVERLAP):
+            own = np.flatnonzero(scored == skipped)
+            for lo in range(0, len(own), attention.AT_ONCE):
+                start = begin[own[lo:lo + attention.AT_ONCE], None]
+                logits = tables.logits(padded[start + np.arange(attention.CONTEXT)], skipped)
+                at = start + np.arange(skipped, attention.CONTEXT)
+                use = np.flatnonzero(at < stop[own[lo:lo + attention.AT_ONCE], None])
+                here = at.ravel()[use]
+                wanted = logits.ravel().take(use * CLASSES + self.of_class[x[here + 1]])
+                np.exp(logits, out=logits)
+                sums = (logits @ halves).reshape(-1, 2)[use]
+                total = np.log(sums[:, 0] + sums[:, 1])
+                chance[here] = wanted - total
+                opens[here] = np.log(sums[:, 0]) - total
+        inside = np.ones(len(x), bool)
+        inside[first[1:] - 1] = False
+        here = np.flatnonzero(inside)
+        chance[here] += self.inner[x[here], x[here + 1]] + self.rest[ids[here + 1]]
         return chance, opens
 
     def tokens(self, part: pa.Array, encoder, end_id: int):
