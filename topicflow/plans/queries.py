@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import AbstractContextManager
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +24,7 @@ from topicflow.sources import adapter
 from topicflow.sources import lines as line_sources
 from topicflow.streaming import landing, minutes
 from topicflow.streaming import live as live_stream
-from topicflow.streaming.batches import run_available
+from topicflow.streaming.batches import run_available, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -318,12 +319,17 @@ def _feed(spark: SparkSession, start: Callable[[DataFrame, str, Column], DataStr
     try:
         for part, now in parts:
             part.write.mode("append").parquet(folder)
-            run_available(start(line_sources.file_stream(spark, folder, "parquet"), checkpoint, _at(now)))
+            run_available(start(line_sources.file_stream(spark, folder, "parquet"), checkpoint, _at(now)), spark)
     finally:
         files.delete(spark, folder)
         files.delete(spark, checkpoint)
 
 
+def _made_lines(spark: SparkSession, sf_dir: str) -> AbstractContextManager[DataFrame]:
+    """All lines, written once: filters on a line or its hour would make every line anew for each part of a feed."""
+    return staged(adapter.envelope_lines(spark, sf_dir), spark)
+
+
 def _arrive(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, str, Column], DataStreamWriter],
             flush: bool = False, late: bool = False) -> None:
     """Feed all lines to a query in two parts, the first wholly before the second.  The
@@ -334,17 +340,17 @@ def _arrive(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame, str, C
     which is too late, with a message of the year 2100, and two more such messages an
     hour later.
     """
-    lines = adapter.envelope_lines(spark, sf_dir)
-    middle, clock = _span(lines)
-    first = lines.where(F.col("landing_hour") <= middle).select("value")
-    parts = [(first, clock), (lines.where(F.col("landing_hour") > middle).select("value"), clock)]
-    if flush:
-        ahead = int((clock - timedelta(CLOCK_DAYS // 2)).timestamp() * 1000)
-        parts += [(_message(spark, ahead, "flush"), clock)] * 2
-    if late:
-        future = _message(spark, FUTURE_MS, "future")
-        parts += [(first.union(future), clock)] + [(future, clock + timedelta(hours=1))] * 2
-    _feed(spark, start, parts)
+    with _made_lines(spark, sf_dir) as lines:
+        middle, clock = _span(lines)
+        first = lines.where(F.col("landing_hour") <= middle).select("value")
+        parts = [(first, clock), (lines.where(F.col("landing_hour") > middle).select("value"), clock)]
+        if flush:
+            ahead = int((clock - timedelta(CLOCK_DAYS // 2)).timestamp() * 1000)
+            parts += [(_message(spark, ahead, "flush"), clock)] * 2
+        if late:
+            future = _message(spark, FUTURE_MS, "future")
+            parts += [(first.union(future), clock)] + [(future, clock + timedelta(hours=1))] * 2
+        _feed(spark, start, parts)
 
 
 def _minute_store(spark: SparkSession, sf_dir: str) -> Store:
@@ -393,18 +399,18 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City minutes of a feed that sends each of its halves twice, well inside the lateness: every message counts once."""
     out = run_dir(spark, "replayed")
-    lines = adapter.envelope_lines(spark, sf_dir)
-    middle, clock = _span(lines)
-    far = clock + timedelta(REPLAY_DAYS)
-    halves = [lines.where(F.col("landing_hour") <= middle).select("value"), lines.where(F.col("landing_hour") > middle).select("value")]
-    flushes = [_message(spark, int((far - timedelta(days=3 - i)).timestamp() * 1000), f"flush{i}") for i in range(3)]
 
     def start(feed: DataFrame, checkpoint: str, now: Column) -> DataStreamWriter:
         counts = minutes.minute_counts(parse.parse_messages(feed), f"{REPLAY_DAYS // 2} days", clock=now, once=True)
         return (counts.writeStream.outputMode("append").format("parquet")
                 .option("path", out).option("checkpointLocation", checkpoint))
 
-    _feed(spark, start, [(part, far) for part in (*[h for half in halves for h in (half, half)], *flushes)])
+    with _made_lines(spark, sf_dir) as lines:
+        middle, clock = _span(lines)
+        far = clock + timedelta(REPLAY_DAYS)
+        halves = [lines.where(F.col("landing_hour") <= middle).select("value"), lines.where(F.col("landing_hour") > middle).select("value")]
+        flushes = [_message(spark, int((far - timedelta(days=3 - i)).timestamp() * 1000), f"flush{i}") for i in range(3)]
+        _feed(spark, start, [(part, far) for part in (*[h for half in halves for h in (half, half)], *flushes)])
     return spark.read.parquet(out).where(~F.col("topic").startswith("flush"))
 
 
@@ -413,7 +419,7 @@ def _last_write_store(spark: SparkSession, sf_dir: str) -> Store:
     many rows share their key across batches."""
     key = (spark.sparkContext.applicationId, sf_dir, "last-write")
     if key not in _stores:
-        store, lines = Store(spark, run_dir(spark, "last-write")), adapter.envelope_lines(spark, sf_dir).select("value")
+        store = Store(spark, run_dir(spark, "last-write"))
         number = F.regexp_extract("value", '"id_str":"([0-9]+)"', 1).cast("long")
 
         def start(feed: DataFrame, checkpoint: str, now: Column) -> DataStreamWriter:
@@ -421,7 +427,9 @@ def _last_write_store(spark: SparkSession, sf_dir: str) -> Store:
             return live_stream.last_write_writer(messages, store, checkpoint, within_ms=None, now_ms=F.unix_millis(now))
 
         odd = number % 2 == 1
-        _feed(spark, start, [(lines.where(odd), NOW), (lines.where(~odd), NOW)])
+        with _made_lines(spark, sf_dir) as made:
+            lines = made.select("value")
+            _feed(spark, start, [(lines.where(odd), NOW), (lines.where(~odd), NOW)])
         _stores[key] = store
     return _stores[key]
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from topicflow.session import run_dir
+from topicflow.sinks import files
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -32,12 +35,47 @@ def kept(frame: DataFrame) -> Iterator[DataFrame]:
         frame.unpersist()
 
 
+@contextmanager
+def staged(frame: DataFrame, spark: SparkSession) -> Iterator[DataFrame]:
+    """Write a batch to the shared folder for several writes, and read it in the session of the tables.
+
+    A stateful operator has a metric for each of its partitions, which every task sends to the
+    driver, also the tasks of each later step that reads a kept batch: partitions squared, every time.
+    So only the one step that runs the operator pays that.  What follows is planned anew by size, which a
+    stateful stream's own session does not do.
+    """
+    path = run_dir(spark, "batch")
+    try:
+        frame.write.parquet(path)
+        yield spark.read.schema(frame.schema).parquet(path)
+    finally:
+        files.delete(spark, path)
+
+
 def each_batch(frame: DataFrame, write: BatchWriter, checkpoint: str, mode: str = "append") -> DataStreamWriter:
     return frame.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
 
 
-def run_available(writer: DataStreamWriter) -> StreamingQuery:
-    """Process everything there is, then stop."""
-    query = writer.trigger(availableNow=True).start()
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[int]:
+    """Queries that start inside get two state partitions for each core, if the session has more shuffle partitions.
+
+    Each is loaded and committed in every batch, however little there is in it, and all tell of themselves to the
+    driver (see `staged`).  A checkpoint keeps the number that its query was first started with.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = int(spark.conf.get(setting))
+    n = min(before, 2 * spark.sparkContext.defaultParallelism)
+    spark.conf.set(setting, n)
+    try:
+        yield n
+    finally:
+        spark.conf.set(setting, before)
+
+
+def run_available(writer: DataStreamWriter, spark: SparkSession | None = None) -> StreamingQuery:
+    """Process everything there is, then stop.  With a session, a new query has `state_partitions`."""
+    with state_partitions(spark) if spark is not None else nullcontext():
+        query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query

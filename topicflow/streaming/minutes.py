@@ -20,7 +20,7 @@ from topicflow.schema import TOP_K, top_name, trends_name
 from topicflow.session import together
 from topicflow.sinks import files
 from topicflow.sinks.store import Store
-from topicflow.streaming.batches import batch_label, each_batch, kept
+from topicflow.streaming.batches import batch_label, each_batch, staged
 
 LATENESS = "60 seconds"
 TICK = "60 seconds"
@@ -81,15 +81,14 @@ def minute_counts_all_levels(messages: DataFrame, lateness: str = LATENESS, zone
 
 
 def _write_levels(store: Store, city_counts: DataFrame, label: str, k: int, world_k: int | None) -> None:
-    """All six tables of some minutes, side by side.  `city_counts` is kept; coarser levels have no more rows than it."""
-    n = city_counts.count()
+    """All six tables of some minutes, side by side, from staged `city_counts`."""
     counts = {"city": city_counts}
     for level, finer in _COARSER.items():
         counts[level] = topics.coarser_counts(counts[finer], level, "minute")
     folder = {"hourslot": F.floor(F.col("minuteslot") / 100).cast("int"), "batch": F.lit(label)}
 
     def step(name: str, rows: DataFrame):
-        return lambda: store.replace(name, rows.withColumns(folder), n_rows=n)
+        return lambda: store.replace(name, rows.withColumns(folder))
 
     steps = []
     for level, rows in counts.items():
@@ -106,9 +105,10 @@ def minute_writer(
     """Minute trends and top lists of all levels, by event time.  `world_k` cuts the
     world trends to a top list as well; None keeps them whole."""
     def write(city: DataFrame, batch_id: int) -> None:
-        with kept(city):
-            if not city.isEmpty():
-                _write_levels(store, city, batch_label(city, batch_id), k, world_k)
+        label = batch_label(city, batch_id)
+        with staged(city, store.spark) as counts:
+            if not counts.isEmpty():
+                _write_levels(store, counts, label, k, world_k)
 
     return each_batch(minute_counts(messages, lateness, zone, clock, once), write, checkpoint)
 
@@ -136,7 +136,7 @@ def tick_writer(
             rows.write.mode("overwrite").parquet(f"{parts}/{minute}/{label}")
             spark = batch.sparkSession
             so_far = spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(f"{parts}/{minute}")
-            with kept(topics.coarser_counts(so_far, "city", "minute")) as city:
+            with staged(topics.coarser_counts(so_far, "city", "minute"), store.spark) as city:
                 _write_levels(store, city, f"{label.rsplit('-', 1)[0]}-{minute}", k, world_k)
             for old in files.children(spark, parts):
                 if int(old) < minute:
