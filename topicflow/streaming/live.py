@@ -13,7 +13,7 @@ from topicflow.operators import live
 from topicflow.schema import LEVELS, LIVE_KEY, live_locations_name, live_messages_name
 from topicflow.session import together
 from topicflow.sinks.store import Store
-from topicflow.streaming.batches import batch_label, each_batch, kept
+from topicflow.streaming.batches import batch_label, each_batch, kept, staged
 
 
 # How long a second's rows can still be replaced by a later batch.
@@ -49,7 +49,7 @@ def last_write_writer(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         label = batch_label(batch, batch_id)
-        with kept(batch.withColumn("minuteslot", slots.slot(F.col("secslot") * 1000, "minute", zone))) as rows:
+        with staged(batch.withColumn("minuteslot", slots.slot(F.col("secslot") * 1000, "minute", zone)), store.spark) as rows:
             together(batch.sparkSession, *[
                 lambda name=name_of(level), own=rows.where(F.col("kind") == kind): store.upsert(name, own, label=label)
                 for kind, name_of in (("location", live_locations_name), ("message", live_messages_name)) for level in levels])
