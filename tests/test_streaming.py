@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from topicflow.operators import live, parse, topics
 from topicflow.plans import queries, serve
 from topicflow.schema import top_name, trends_name
-from topicflow.session import run_dir
-from topicflow.sinks import publish
+from topicflow.session import run_dir, shared_dir
+from topicflow.sinks import files, publish
 from topicflow.sinks.store import Store
 from topicflow.sources import lines as sources
 from topicflow.streaming import landing, minutes
 from topicflow.streaming import live as live_stream
-from topicflow.streaming.batches import run_available
+from topicflow.streaming.batches import run_available, staged, state_partitions
 
 MINUTE = 60_000
 M0 = T0 // MINUTE * MINUTE
@@ -282,6 +282,53 @@ def test_the_last_write_is_that_of_the_largest_number(spark):
     assert {r.time_ms: r.topic for r in live.last_write_wins(rows, ["id"]).collect()} == {5: "b", 6: "e", 7: "g"}
 
 
+def test_state_partitions_follow_the_cores_and_the_session_keeps_its_own(spark, feed):
+    feed.put(*sample())
+    before, checkpoint = spark.conf.get("spark.sql.shuffle.partitions"), run_dir(spark, "checkpoint")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        run_available(minutes.minute_counts(feed.messages()).writeStream.format("parquet").option("path", run_dir(spark, "out"))
+                      .option("checkpointLocation", checkpoint), spark)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+        with state_partitions(spark) as n:
+            assert n == 2 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    folders = files.children(spark, f"{checkpoint}/state/0")
+    assert len([f for f in folders if f.isdigit()]) == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_tables_of_a_stateful_batch_are_written_from_files(spark, feed, store, monkeypatch):
+    seen, replace, upsert = [], Store.replace, Store.upsert
+    monkeypatch.setattr(Store, "replace", lambda self, name, rows, *a, **k: (seen.append(rows.inputFiles()), replace(self, name, rows, *a, **k)))
+    monkeypatch.setattr(Store, "upsert", lambda self, name, rows, *a, **k: (seen.append(rows.inputFiles()), upsert(self, name, rows, *a, **k)))
+    feed.put(*sample())
+    feed.put(flush())
+    feed.put(flush())
+    run_available(minutes.minute_writer(feed.messages(), store, run_dir(spark, "checkpoint"), world_k=None))
+    run_available(live_stream.last_write_writer(feed.messages(), store, run_dir(spark, "checkpoint"), within_ms=None, now_ms=F.lit(M0)))
+    assert len(seen) >= 12 and all(seen)
+    assert not [f for f in files.children(spark, shared_dir(spark)) if f.startswith("batch-")]
+
+
+def test_a_staged_frame_is_read_back_and_dropped(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "x long, y string")
+    with staged(rows, spark) as back:
+        assert back.schema == rows.schema and sorted(back.collect(), key=str) == sorted(rows.collect(), key=str)
+        folder = back.inputFiles()[0].rsplit("/", 1)[0]
+        assert files.exists(spark, folder)
+    assert not files.exists(spark, folder)
+
+
+def test_lines_of_a_feed_are_made_once(spark, tmp_path, monkeypatch):
+    made, lines = [], queries.adapter.envelope_lines
+    monkeypatch.setattr(queries.adapter, "envelope_lines", lambda *a: made.append(a) or lines(*a))
+    with queries._made_lines(spark, "/root/testdata/sf0.001") as found:
+        want = lines(spark, "/root/testdata/sf0.001")
+        assert "to_json" not in found._jdf.queryExecution().toString()
+        assert Counter(found.collect()) == Counter(want.collect()) and len(made) == 1
+
+
 def test_landing_by_event_hour(spark, feed):
     root, checkpoint = run_dir(spark, "landed"), run_dir(spark, "checkpoint")
     now = F.lit(M0 + 2 * 3_600_000)

@@ -72,7 +72,8 @@ def live_writer(
     clock = F.unix_millis(F.current_timestamp()) if now_ms is None else now_ms
     if within_ms is not None:
         messages = live.recent(messages, clock, within_ms)
-    stamped = messages.withColumn("_ingest_ms", clock)
+    # The batch is kept: without what no live row holds.
+    stamped = messages.select("t_id", "user_name", "country", "city", "time_ms", "text", "coords", "tags", clock.alias("_ingest_ms"))
     second = F.floor(F.col("_ingest_ms") / 1000).cast("bigint")
 
     def write(batch: DataFrame, batch_id: int) -> None:
