@@ -483,6 +483,12 @@ def _live_store(spark: SparkSession, sf_dir: str) -> Store:
     return _stores[key]
 
 
+def _fresh_live_store(spark: SparkSession, sf_dir: str) -> Store:
+    """The live tables written anew: a lookup by SQL goes by the real clock, and live rows stay visible for two minutes."""
+    _stores.pop((spark.sparkContext.applicationId, sf_dir, "live"), None)
+    return _live_store(spark, sf_dir)
+
+
 def _live_page(lookup: Callable[..., DataFrame], *place: str, **options) -> Query:
     """A lookup in the live tables, one minute after the messages came in."""
     return lambda spark, sf_dir: lookup(
@@ -739,7 +745,7 @@ def registry() -> dict[str, Query]:
             day_store, f"SELECT t.slot, n.count FROM timeslots('day') t, LATERAL topic_count('day', t.slot, '{COUNTRY}', '{CITY}') n"),
         "sql_shares": _in_sql(day_store, f"SELECT c.topic, c.count AS here, w.count AS everywhere FROM slot_topics('day', {day}, '{COUNTRY}') c "
                                          f"JOIN slot_topics('day', {day}) w ON c.topic = w.topic"),
-        "sql_live": _in_sql(_live_store, "SELECT * FROM live_messages({0}, {1}, '', '{2}')".format(*catalog.live_slots(NOW + serve.LIVE_DELAY), COUNTRY)),
+        "sql_live": _in_sql(_fresh_live_store, "SELECT * FROM live_messages({0}, {1}, '', '{2}')".format(*catalog.live_slots(NOW + serve.LIVE_DELAY), COUNTRY)),
         "live_compacted": live_compacted,
         "top_from_lists_day": _top_from_lists("world", "day", 5, 8),
         "top_from_lists_day_country": _top_from_lists("country", "day", 3, 3),
