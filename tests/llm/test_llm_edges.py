@@ -491,6 +491,62 @@ def test_scores_do_not_depend_on_the_words_that_workers_hold(spark, odd, monkeyp
         assert x[:2] == y[:2] and x[2:] == pytest.approx(y[2:])
 
 
+def test_texts_are_encoded_once(spark, monkeypatch):
+    docs, seen = frame(spark, [(i, f"text {i} of some") for i in range(60)]), {"_encoded": [], "_averaged": [], "_forward": []}
+    for name, read in seen.items():
+        monkeypatch.setattr(lm, name, lambda part, *a, f=getattr(lm, name), read=read: read.append(part.columns) or f(part, *a))
+    lm.fit_score(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN, Scratch(spark, "once")).collect()
+    assert len(seen["_encoded"]) == 1 and len(seen["_averaged"]) == lm.ROUNDS and len(seen["_forward"]) == 1
+    assert all("ids" in columns and "text" not in columns for columns in seen["_averaged"] + seen["_forward"])
+
+
+def test_ids_spell_the_words_they_are_of():
+    some = ["", "Two words", " \t\n", "\u00a0odd\u2003 spaces\u3000", "x", "\x00\x1f \x7f", "\u00c9T\u00c9 \U0001f600\U0001f600 " + "long" * 90, "end "] * 2
+    ranks = bytebpe.tokenizer_json(bytebpe.read_ranks(public.path("byte_bpe_50k.tiktoken")), public.PATTERN)
+    size = lm.HEAD_IDS + lm.TAIL
+    spelling = bytebpe.ByteTable(ranks)
+    end_id = len(spelling.length)
+    opens = np.append(spelling.bytes[spelling.begin] == 0x20, True)
+    symbol = np.where(opens, np.arange(end_id + 1) % (size // 2) * 2, np.arange(end_id + 1) % (size // 2) * 2 + 1)
+    model = lm._counted(np.ones((size, size)), np.ones(end_id + 1), symbol, opens, end_id)
+    model.spelling = spelling
+    own = words.split(texts(pa.array(some)), words.NOT_SPACE, lower=True)
+    ids, _, first = lm._sequences(texts(pa.array(some)), units.encoder(ranks, units.spaced_words), end_id)
+    model.head = np.sort(own.hashes()[:1])
+    model.unigram = np.array([-3.0])
+    rows, hashes, by_ids, by_word, by_ids_end = model.tokens(ids, first)
+    assert rows.tolist() == own.rows().tolist() and hashes.tolist() == own.hashes().tolist()
+    assert (by_word == np.where(hashes == model.head[0], -3.0, -np.inf)).all()
+    assert len(by_ids_end) == len(some) and np.isfinite(by_ids).all() and np.isfinite(by_ids_end).all()
+    for kind in ("<u2", "<u4"):
+        stored = pa.array([one.astype(kind).tobytes() for one in np.split(ids, first[1:-1])], pa.large_binary())
+        back, begin = lm._stored(stored.slice(2, 9), end_id if kind == "<u2" else 1 << 17)
+        assert back.tolist() == ids[first[2]:first[11]].tolist() and begin.tolist() == (first[2:12] - first[2]).tolist()
+
+
+def test_places_among_sorted_hashes():
+    r = np.random.RandomState(2)
+    for n in (0, 1, 2, 5000):
+        keys = np.unique(np.append(r.randint(0, 1 << 63, n).astype(np.uint64) * np.uint64(2), np.array([0, 2 ** 64 - 1], np.uint64)[:n]))
+        asked = np.concatenate([keys, r.randint(0, 1 << 63, 300).astype(np.uint64), np.array([0, 1, 2 ** 64 - 1], np.uint64)])
+        place = np.searchsorted(keys, asked)
+        known = np.append(keys, np.uint64(7))[place] == asked if n else np.zeros(len(asked), bool)
+        known &= place < len(keys)
+        assert words.Sorted(keys).find(asked).tolist() == np.where(known, place, len(keys)).tolist()
+
+
+def test_sums_for_each_weight_of_the_unigram():
+    r = np.random.RandomState(5)
+    rows = np.repeat([0, 2, 3], [1, 1000, 130])
+    by_ids, by_word = -r.gamma(3, 9, len(rows)), -r.gamma(3, 9, len(rows))
+    by_word[r.rand(len(rows)) < 0.2] = -np.inf
+    by_ids[5:200] = -400.0
+    got = lm._on_grid(by_ids, by_word, rows, 5)
+    for k, w in enumerate(lm._GRID):
+        plain = np.logaddexp(np.log(w) + by_word, np.log(1 - w) + by_ids)
+        assert got[:, k] == pytest.approx(np.bincount(rows, plain, 5))
+
+
 # -- quality ----------------------------------------------------------------------------------------
 
 def plain_quality(text, model):

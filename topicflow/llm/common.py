@@ -53,8 +53,8 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def save(self, name: str, rows: DataFrame) -> DataFrame:
-        rows.write.mode("overwrite").parquet(self.path(name))
+    def save(self, name: str, rows: DataFrame, codec: str = "snappy") -> DataFrame:
+        rows.write.mode("overwrite").parquet(self.path(name), compression=codec)
         return self.spark.read.schema(rows.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
@@ -75,16 +75,21 @@ def texts(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 
 
 def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
-    """Cut a `texts` column into runs of rows of about max_bytes: (first row, rows)."""
+    """Cut a `texts` column (or bytes with 64-bit offsets) into runs of rows of about max_bytes: (first row, rows)."""
     import numpy as np
 
-    n = len(column)
-    if not n:
-        return
-    offsets = np.frombuffer(column.buffers()[1], np.int64, n + 1, column.offset * 8)
-    row = 0
+    if len(column):
+        for row, stop in runs(np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8), max_bytes):
+            yield row, column.slice(row, stop - row)
+
+
+def runs(offsets, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about max_bytes, by where each row begins (one more at the end): first row, and the row after the last."""
+    import numpy as np
+
+    n, row = len(offsets) - 1, 0
     while row < n:
         stop = int(np.searchsorted(offsets, offsets[row] + max_bytes, side="right")) - 1
         stop = min(n, max(stop, row + 1))
-        yield row, column.slice(row, stop - row)
+        yield row, stop
         row = stop

@@ -14,6 +14,8 @@ a probability of whole words, which is mixed with the unigram of all counted wor
 tuned on training text.  Workers hold the counts of the HEAD_WORDS most frequent words, those of
 the others come by a join.
 
+Texts are encoded once: later passes read the written ids, which also spell the words.
+
 All counts cover every training document, and so do the attention weights and the weight of the
 unigram.  Each training document belongs to one of ROUNDS rounds and, by its hash, to a group of about
 GROUP_WORDS words: in a round each group trains on its own, in the order of hashes, then weights are averaged.  So equal
@@ -31,11 +33,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicflow.llm import attention, bytebpe, units, words
-from topicflow.llm.common import Scratch, ship, slices, texts
+from topicflow.llm.common import SLICE_BYTES, Scratch, runs, ship, slices, texts
 
 HEAD_WORDS = 100_000  # 16 bytes each on every worker; the counts of all others are joined
 HEAD_IDS = 1024
@@ -43,6 +46,8 @@ TAIL = 64
 CLASSES = 64
 ROUNDS = 2
 GROUP_WORDS = 500_000  # about so many words of training text in a group that trains on its own
+_STEP_BYTES = SLICE_BYTES // 2  # of ids that one step works on
+_FACTORS = 64  # 0.05 to this power is far above the smallest number
 _END = 0  # the hash that stands for the end of a text
 _GRID = np.linspace(0.05, 0.95, 19)
 
@@ -67,26 +72,18 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     """word (hash) and n, summed up in each task."""
 
     def run(batches):
-        keys, counts, waiting = np.empty(0, np.uint64), np.empty(0, np.int64), 0
-        parts: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merged():
-            all_keys, all_counts = (np.concatenate(x) for x in zip((keys, counts), *parts))
-            distinct, which = np.unique(all_keys, return_inverse=True)
-            return distinct, np.bincount(which, all_counts, len(distinct)).astype(np.int64)
-
+        parts, waiting = [(np.empty(0, np.uint64), np.empty(0, np.int64))], 0
         for batch in batches:
             for _, part in slices(texts(batch.column("text"))):
                 own = words.split(part, words.NOT_SPACE, lower=True)
-                distinct, n = np.unique(own.hashes(), return_counts=True)
-                parts += [(distinct, n), (np.array([_END], np.uint64), np.array([len(part)]))]
-                waiting += len(distinct)
+                parts += [np.unique(own.hashes(), return_counts=True), (np.array([_END], np.uint64), np.array([len(part)]))]
+                waiting += len(parts[-2][0])
                 if waiting > 1_000_000:
-                    (keys, counts), parts, waiting = merged(), [], 0
-                    if len(keys) > 2_000_000:
-                        yield _counts(keys, counts)
-                        keys, counts = keys[:0], counts[:0]
-        yield _counts(*merged()) if parts else _counts(keys, counts)
+                    parts, waiting = [_merged(parts)], 0
+                    if len(parts[0][0]) > 2_000_000:
+                        yield _counts(*parts[0])
+                        parts = [(parts[0][0][:0], parts[0][1][:0])]
+        yield _counts(*_merged(parts))
 
     return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -95,26 +92,71 @@ def _counts(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["word", "n"])
 
 
-def _id_pairs(docs: DataFrame, source, end_id: int) -> DataFrame:
-    """How often an id follows another in the texts, the end id before and after each."""
+def _encoded(docs: DataFrame, source, end_id: int) -> DataFrame:
+    """Of every row doc_id, key, held_out, the bytes of its text, and its `_sequences` as little-endian whole numbers."""
+    kind = _id_kind(end_id)
+    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), held_out("doc_id").alias("held_out"), "text")
 
     def run(batches):
         encoder = units.encoder(source.value, units.spaced_words)
-        pairs, counts = np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
-            for _, part in slices(texts(batch.column("text"))):
+            for row, part in slices(texts(batch.column("text"))):
                 ids, _, first = _sequences(part, encoder, end_id)
+                at = pa.py_buffer((first * kind.itemsize).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([
+                    *(batch.column(name).slice(row, len(part)) for name in ("doc_id", "key", "held_out")), pc.binary_length(part).cast(pa.int64()),
+                    pa.Array.from_buffers(pa.binary(), len(part), [None, at, pa.py_buffer(ids.astype(kind))]),
+                ], ["doc_id", "key", "held_out", "size", "ids"])
+
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, held_out boolean, size long, ids binary")
+
+
+def _id_kind(end_id: int) -> np.dtype:
+    return np.dtype("<u2" if end_id < 1 << 16 else "<u4")
+
+
+def _stored(part: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of rows of `_encoded` (64-bit offsets), and where each row begins."""
+    kind = _id_kind(end_id)
+    offsets = np.frombuffer(part.buffers()[1], np.int64, len(part) + 1, part.offset * 8)
+    first = (offsets - offsets[0]) // kind.itemsize
+    return np.frombuffer(part.buffers()[2], kind, int(first[-1]), int(offsets[0])).astype(np.int64), first
+
+
+def _id_slices(batch: pa.RecordBatch, end_id: int):
+    """Rows of `_encoded` in steps: (first row, ids, where each row begins)."""
+    for row, part in slices(batch.column("ids").cast(pa.large_binary()), _STEP_BYTES):
+        yield row, *_stored(part, end_id)
+
+
+def _id_pairs(rows: DataFrame, end_id: int) -> DataFrame:
+    """How often an id follows another in rows of `_encoded`."""
+
+    def run(batches):
+        parts, waiting = [], 0
+        for batch in batches:
+            for _, ids, first in _id_slices(batch, end_id):
                 inside = np.ones(len(ids) - 1, bool)
                 inside[first[1:-1] - 1] = False
-                new, n = np.unique((ids[:-1] << 20 | ids[1:])[inside], return_counts=True)
-                distinct, which = np.unique(np.concatenate([pairs, new]), return_inverse=True)
-                pairs, counts = distinct, np.bincount(which, np.concatenate([counts, n])).astype(np.int64)
-                if len(pairs) > 2_000_000:
-                    yield _counts(pairs, counts)
-                    pairs, counts = pairs[:0], counts[:0]
-        yield _counts(pairs, counts)
+                parts.append(np.unique((ids[:-1] << 20 | ids[1:])[inside], return_counts=True))
+                waiting += len(parts[-1][0])
+                if waiting > 2_000_000:
+                    distinct, counts = _merged(parts)
+                    parts, waiting = [(distinct, counts)], 0
+                    if len(distinct) > 2_000_000:
+                        yield _counts(distinct, counts)
+                        parts = []
+        if parts:
+            yield _counts(*_merged(parts))
+
+    return rows.select("ids").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
-    return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys with their counts, summed up."""
+    keys, counts = (np.concatenate(x) for x in zip(*parts))
+    distinct, which = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(which, counts, len(distinct)).astype(np.int64)
 
 
 def _sequences(part: pa.Array, encoder, end_id: int):
@@ -144,7 +186,9 @@ class Model:
     end_unigram: float
     mass: float = 1.0  # occurrences of all these words, the end among them
     weight: float = 0.5
+    spelling: bytebpe.ByteTable | None = None
     _tables: tuple | None = None
+    _place: words.Sorted | None = None
 
     def log_probabilities(self, ids: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural log P of the id after each place, and of a word's end there (rows as of `_sequences`;
@@ -178,22 +222,36 @@ class Model:
         chance[here] += self.inner[x[here], x[here + 1]] + self.rest[ids[here + 1]]
         return chance, opens
 
-    def tokens(self, part: pa.Array, encoder, end_id: int):
-        """For each row's words and its end, one after another: natural log P by ids and by the unigram; and the words."""
-        ids, (own, counts, sums), first = _sequences(part, encoder, end_id)
+    def tokens(self, ids: np.ndarray, first: np.ndarray):
+        """For each row's words and its end, one after another: their rows, hashes, natural log P by ids and by the unigram;
+        and log P by ids of the rows' ends (rows as of `_sequences`)."""
         chance, opens = self.log_probabilities(ids, first)
         total = np.concatenate([[0], np.cumsum(chance)])
-        rows = own.rows()
-        begin = sums[:-1] + rows * 2  # the place before each word's first id
-        by_ids = total[begin + counts] - total[begin] - opens[begin] + opens[begin + counts]
-        last = first[1:] - 2
-        by_ids_end = chance[last] - opens[last]
-        place = np.minimum(np.searchsorted(self.head, own.hashes()), max(0, len(self.head) - 1))
-        by_word = np.full(len(rows), -np.inf)
-        if len(self.head):
-            known = self.head[place] == own.hashes()
-            by_word[known] = self.unigram[place[known]]
-        return own, rows, by_ids, by_word, by_ids_end
+        end = np.zeros(len(ids), bool)
+        end[first[:-1]] = end[first[1:] - 1] = True
+        begin, hashes = self._words(ids, ~end)
+        rows = np.searchsorted(first, begin, side="right") - 1
+        # The place after each word's last id: the next word's first, or the row's end.
+        stop = np.append(begin[1:], 0)[:len(begin)]
+        last = np.flatnonzero(np.append(np.diff(rows) > 0, True)) if len(rows) else rows
+        stop[last] = first[rows[last] + 1] - 1
+        by_ids = total[stop - 1] - total[begin - 1] - opens[begin - 1] + opens[stop - 1]
+        by_ids_end = chance[first[1:] - 2] - opens[first[1:] - 2]
+        if self._place is None:
+            self._place = words.Sorted(self.head)
+        place = self._place.find(hashes)
+        by_word = np.append(self.unigram, -np.inf)[place]
+        return rows, hashes, by_ids, by_word, by_ids_end
+
+    def _words(self, ids: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where words begin, and their hashes: ids spell each word with the space before it, and no other."""
+        spelling, at = self.spelling, np.flatnonzero(inside)
+        own = ids[at]
+        data = np.concatenate([spelling.decode(own), np.zeros(8, np.uint8)])
+        begin = np.cumsum(spelling.length[own]) - spelling.length[own]
+        opening = np.flatnonzero(data[begin] == 0x20)
+        start = begin[opening]
+        return at[opening], words.span_hashes(data, start + 1, np.append(start[1:], len(data) - 8)[:len(start)])
 
     def tables(self) -> attention.Tables:
         """Made once in each worker: they are not sent with the model."""
@@ -202,14 +260,23 @@ class Model:
         return self._tables[1]
 
     def __getstate__(self):
-        return {**self.__dict__, "_tables": None}
+        return {**self.__dict__, "_tables": None, "_place": None}
 
 
 def _on_grid(by_ids: np.ndarray, by_word: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Of every row (of n) the sum of its words' log P, for each weight of the unigram."""
-    more = np.exp(np.minimum(by_word - by_ids, 700))
-    base = np.bincount(rows, by_ids, n)
-    return np.stack([base + np.bincount(rows, np.log(w * more + (1 - w)), n) for w in _GRID], axis=1)
+    """Of every row (of n) the sum of its words' log P, for each weight of the unigram; the rows are in order."""
+    more = np.minimum(by_word - by_ids, 700)
+    less = np.exp(-np.abs(more))
+    # The greater of both terms is taken out, so a factor is 0.05 to 1, and a product of some of them needs one logarithm.
+    word, rest = np.where(more > 0, 1, less), np.where(more > 0, less, 1)
+    place = np.arange(len(rows)) - np.searchsorted(rows, np.arange(n))[rows]
+    begin = np.flatnonzero(place % _FACTORS == 0)
+    out = np.repeat(np.bincount(rows, by_ids + np.maximum(more, 0), n)[:, None], len(_GRID), axis=1)
+    if len(begin):
+        word -= rest
+        for k, w in enumerate(_GRID):
+            out[:, k] += np.bincount(rows[begin], np.log(np.multiply.reduceat(w * word + rest, begin)), n)
+    return out
 
 
 def _many(lengths: np.ndarray) -> np.ndarray:
@@ -250,12 +317,11 @@ def _layout(ids: np.ndarray, n: np.ndarray, vocabulary: int, opens: np.ndarray,
     return symbol
 
 
-def _trained(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> tuple[Model, DataFrame, dict]:
-    """The model without the weight of the unigram."""
+def _trained(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> tuple[Model, DataFrame, dict, DataFrame]:
+    """The model without the weight of the unigram; the word counts, totals and `_encoded` rows of all documents."""
     spark = docs.sparkSession
     ship(spark)
-    training = docs.where(~held_out("doc_id"))
-    counts = folder.save("words", _word_counts(training))
+    counts = folder.save("words", _word_counts(docs.where(~held_out("doc_id"))))
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     head = counts.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).collect()
     ends = counts.where(F.col("word") == _END).first()
@@ -265,7 +331,9 @@ def _trained(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) ->
     end_id, vocabulary = len(table.length), len(table.length) + 1
     source = spark.sparkContext.broadcast(text)
     opens = np.append(table.bytes[table.begin] == 0x20, True)
-    pairs = folder.save("pairs", _id_pairs(training, source, end_id))
+    encoded = folder.save("ids", _encoded(docs, source, end_id), "zstd")
+    training = encoded.where(~F.col("held_out"))
+    pairs = folder.save("pairs", _id_pairs(training, end_id))
     after = F.col("word").bitwiseAND((1 << 20) - 1)
     # At most one row for each id.
     seen = pairs.groupBy(after.alias("id")).agg(F.sum("n").alias("n")).collect()
@@ -281,6 +349,7 @@ def _trained(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) ->
     for r in grid:
         m[r.x, r.y] = r.n
     model = _counted(m, np.bincount(ids, n, vocabulary), symbol, opens, end_id)
+    model.spelling = table
     in_head = [r for r in head if r.word != _END]
     mass = int(total or 0)
     keys = np.array([r.word for r in in_head], np.int64).view(np.uint64)
@@ -293,32 +362,36 @@ def _trained(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) ->
     groups = max(1, math.ceil(mass / GROUP_WORDS / ROUNDS))
     for turn in range(ROUNDS):
         part = training.where(F.pmod(F.shiftright(F.xxhash64("doc_id"), 32), F.lit(ROUNDS)) == turn)
-        model.weights = _averaged(part, groups, spark.sparkContext.broadcast(model), source, end_id) or model.weights
+        model.weights = _averaged(part, groups, spark.sparkContext.broadcast(model), end_id) or model.weights
     folder.drop("pairs")
-    return model, counts, totals
+    return model, counts, totals, encoded
 
 
 def fit(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> tuple[Model, DataFrame, dict]:
     """Learn from documents that are not held out: the model, the word counts, and totals N and V."""
-    model, counts, totals = _trained(docs, ranks_path, pattern, folder)
-    rows = folder.save("tuning", _forward(docs.where(~held_out("doc_id")), model, totals))
-    model.weight = float(_GRID[_best(rows, counts, model.mass)])
-    folder.drop("tuning")
+    model, counts, totals, encoded = _trained(docs.where(~held_out("doc_id")), ranks_path, pattern, folder)
+    rows = folder.save("tuning", _forward(encoded, model, totals))
+    folder.drop("ids")
+    rare = folder.save("rare", _rare(rows, counts))
+    model.weight = float(_GRID[_best(rows, rare, model.mass)])
+    folder.drop("tuning", "rare")
     return model, counts, totals
 
 
 def score(docs: DataFrame, model: Model, counts: DataFrame, totals: dict, folder: Scratch) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, in log10."""
     ship(docs.sparkSession)
-    rows = folder.save("scored", _forward(docs, model, totals))
-    return _finished(rows, counts, totals, model.mass, int(np.argmin(np.abs(_GRID - model.weight))))
+    rows = folder.save("scored", _forward(_encoded(docs, totals["source"], totals["end_id"]), model, totals))
+    return _finished(rows, _rare(rows, counts), totals, model.mass, int(np.argmin(np.abs(_GRID - model.weight))))
 
 
 def fit_score(docs: DataFrame, ranks_path: str, pattern: str, folder: Scratch) -> DataFrame:
-    """`fit`, then `score` of the same documents: the weight is tuned on what the one scoring pass gives."""
-    model, counts, totals = _trained(docs, ranks_path, pattern, folder)
-    rows = folder.save("scored", _forward(docs, model, totals))
-    return _finished(rows, counts, totals, model.mass, _best(rows, counts, model.mass))
+    """`fit`, then `score` of the same documents: encoded once, and the weight is tuned on what the one scoring pass gives."""
+    model, counts, totals, encoded = _trained(docs, ranks_path, pattern, folder)
+    rows = folder.save("scored", _forward(encoded, model, totals))
+    folder.drop("ids")
+    rare = folder.save("rare", _rare(rows, counts))
+    return _finished(rows, rare, totals, model.mass, _best(rows, rare, model.mass))
 
 
 def _counted(m: np.ndarray, count: np.ndarray, symbol: np.ndarray, opens: np.ndarray, end_id: int) -> Model:
@@ -347,7 +420,7 @@ def _counted(m: np.ndarray, count: np.ndarray, symbol: np.ndarray, opens: np.nda
                  embedding, attention.initial(CLASSES), np.empty(0, np.uint64), np.empty(0), -math.inf)
 
 
-def _averaged(docs: DataFrame, groups: int, model, source, end_id: int) -> dict | None:
+def _averaged(rows: DataFrame, groups: int, model, end_id: int) -> dict | None:
     """Train on groups of documents, each from the same weights; the mean, weighted by windows.
 
     A document's group and its place there follow from its hash, and the mean is a sum of whole
@@ -357,11 +430,11 @@ def _averaged(docs: DataFrame, groups: int, model, source, end_id: int) -> dict
 
     def train(table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("doc_id", "ascending")])
-        encoder = units.encoder(source.value, units.spaced_words)
         own = model.value
         weights, seen = own.weights, 0
-        for _, part in slices(texts(table.column("text"))):
-            ids, _, first = _sequences(part, encoder, end_id)
+        rows = table.column("ids").combine_chunks().cast(pa.large_binary())
+        for row, stop in runs(np.concatenate([[0], np.cumsum(table.column("size"))])):
+            ids, first = _stored(rows.slice(row, stop - row), end_id)
             x = own.symbol[ids]
             begin, scored = _windows(first)
             stop = np.repeat(first[1:] - 1, _many(np.diff(first) - 1))
@@ -374,8 +447,7 @@ def _averaged(docs: DataFrame, groups: int, model, source, end_id: int) -> dict
         flat = np.concatenate([w.ravel() for w in weights.values()]).astype(np.float64)
         return pa.table({"n": [seen], "sums": [(np.rint(flat * 2 ** 24).astype(np.int64) * seen).tolist()]}, schema=pa.schema([("n", pa.int64()), ("sums", pa.list_(pa.int64()))]))
 
-    key = F.xxhash64("doc_id", "text")
-    rows = docs.select(F.pmod(F.xxhash64(key), F.lit(groups)).alias("group"), key.alias("key"), "doc_id", "text")
+    rows = rows.select(F.pmod(F.xxhash64("key"), F.lit(groups)).alias("group"), "key", "doc_id", "size", "ids")
     done = rows.groupBy("group").applyInArrow(train, "n long, sums array<long>")
     whole = "decimal(38,0)"
     sums = done.select(F.col("n").cast(whole).alias("n"), F.posexplode("sums").alias("place", "value")).groupBy("place").agg(
@@ -392,23 +464,21 @@ def _averaged(docs: DataFrame, groups: int, model, source, end_id: int) -> dict
     return out
 
 
-def _forward(docs: DataFrame, model: Model, totals: dict) -> DataFrame:
-    """The scoring pass.  Of every row: counts, the sum of the base's logs, and for each weight of the unigram
+def _forward(encoded: DataFrame, model: Model, totals: dict) -> DataFrame:
+    """The scoring pass over `_encoded` rows.  Of every row: counts, the sum of the base's logs, and for each weight of the unigram
     the natural log P of its end and of its words that workers hold; `tune` is the same as if the row had not been
     counted, for rows that were.  `words` and `by_ids` are the other words, whose counts are to be joined."""
-    source, end_id = totals["source"], totals["end_id"]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    end_id = totals["end_id"]
+    shared = encoded.sparkSession.sparkContext.broadcast(model)
     known_end = int(totals["ends"] > 0)
     log_end = math.log10(totals["ends"] + 0.1) if known_end else 0.0
-    rows = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), held_out("doc_id").alias("held_out"), "text")
 
     def run(batches):
-        encoder = units.encoder(source.value, units.spaced_words)
         own_model = shared.value
         for batch in batches:
-            for row, part in slices(texts(batch.column("text"))):
-                own, rows, by_ids, by_word, by_ids_end = own_model.tokens(part, encoder, end_id)
-                n = len(part)
+            for row, ids, first in _id_slices(batch, end_id):
+                rows, hashes, by_ids, by_word, by_ids_end = own_model.tokens(ids, first)
+                n = len(first) - 1
                 head = np.isfinite(by_word)
                 seen = np.rint(np.exp(by_word[head]) * own_model.mass)
                 at_end, end = np.arange(n), np.full(n, own_model.end_unigram)
@@ -418,17 +488,17 @@ def _forward(docs: DataFrame, model: Model, totals: dict) -> DataFrame:
                     less = np.log(np.maximum(seen - 1, 0) / own_model.mass)
                 tune = _on_grid(by_ids[head], less, rows[head], n) + ended
                 at = pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows[~head], minlength=n))]), pa.int32())
-                rest = [pa.ListArray.from_arrays(at, pa.array(x[~head])) for x in (own.hashes().view(np.int64), by_ids)]
+                rest = [pa.ListArray.from_arrays(at, pa.array(x[~head])) for x in (hashes.view(np.int64), by_ids)]
                 grid = pa.array(np.arange(n + 1) * len(_GRID), pa.int32())
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(row, n), batch.column("key").slice(row, n), batch.column("held_out").slice(row, n), pa.array(own.counts + 1),
+                    *(batch.column(name).slice(row, n) for name in ("doc_id", "key", "held_out")), pa.array(np.bincount(rows, minlength=n) + 1),
                     pa.array(np.bincount(rows[head], minlength=n) + known_end), pa.array(np.bincount(rows[head], np.log10(seen + 0.1), n) + log_end),
                     *(pa.ListArray.from_arrays(grid, pa.array(x.ravel())) for x in (scores, tune)), *rest,
                 ], ["doc_id", "key", "held_out", "n_tokens", "known", "logs", "scores", "tune", "words", "by_ids"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, key long, held_out boolean, n_tokens long, known long, logs double, "
-                                "scores array<double>, tune array<double>, words array<long>, by_ids array<double>")
+    kind = encoded.schema["doc_id"].dataType.simpleString()
+    return encoded.mapInArrow(run, f"doc_id {kind}, key long, held_out boolean, n_tokens long, known long, logs double, "
+                                   "scores array<double>, tune array<double>, words array<long>, by_ids array<double>")
 
 
 def _mixed(by_ids: Column, n: Column, mass: float, weight: float) -> Column:
@@ -437,23 +507,25 @@ def _mixed(by_ids: Column, n: Column, mass: float, weight: float) -> Column:
     return F.when(n > 0, F.greatest(a, b) + F.log1p(F.exp(-F.abs(a - b)))).otherwise(b)
 
 
-def _rare(rows: DataFrame) -> DataFrame:
-    rest = rows.select("key", F.explode(F.arrays_zip("words", "by_ids")).alias("rest"))
-    return rest.select("key", F.col("rest.words").alias("word"), F.col("rest.by_ids").alias("by_ids"))
+def _rare(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """The words that workers do not hold, with their counts: key, held_out, by_ids and n, rows of a key together."""
+    rest = rows.select("key", "held_out", F.explode(F.arrays_zip("words", "by_ids")).alias("rest"))
+    rest = rest.select("key", "held_out", F.col("rest.words").alias("word"), F.col("rest.by_ids").alias("by_ids"))
+    return rest.join(counts, "word", "left").drop("word").repartition("key").sortWithinPartitions("key")
 
 
-def _best(rows: DataFrame, counts: DataFrame, mass: float) -> int:
+def _best(rows: DataFrame, rare: DataFrame, mass: float) -> int:
     """Which weight of the unigram makes the training rows likeliest."""
-    training = rows.where(~F.col("held_out"))
-    head = training.agg(*(F.sum(F.col("tune")[k]) for k in range(len(_GRID)))).first()
-    rest = _rare(training).join(counts, "word").agg(*(F.sum(_mixed(F.col("by_ids"), F.col("n") - 1, mass, float(w))) for w in _GRID)).first()
+    training = ~F.col("held_out")
+    head = rows.where(training).agg(*(F.sum(F.col("tune")[k]) for k in range(len(_GRID)))).first()
+    rest = rare.where(training).agg(*(F.sum(_mixed(F.col("by_ids"), F.col("n") - 1, mass, float(w))) for w in _GRID)).first()
     totals = [(x or 0.0) + (y or 0.0) for x, y in zip(head, rest)]
     return int(np.argmax(totals)) if any(totals) else len(_GRID) // 2
 
 
-def _finished(scored: DataFrame, counts: DataFrame, totals: dict, mass: float, best: int) -> DataFrame:
+def _finished(scored: DataFrame, rare: DataFrame, totals: dict, mass: float, best: int) -> DataFrame:
     base = math.log10(totals["tokens"] + 0.1 * (totals["distinct"] + 1))
-    rare = _rare(scored).join(counts, "word", "left").groupBy("key").agg(
+    rare = rare.groupBy("key").agg(
         F.count("n").alias("rare_known"), F.sum(F.log10(F.col("n") + 0.1)).alias("rare_logs"),
         F.sum(_mixed(F.col("by_ids"), F.col("n"), mass, float(_GRID[best]))).alias("rare_score"))
     # Rows that are repeated have been summed up together.

@@ -144,6 +144,27 @@ def range_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix((sums[end] - sums[start]) * _inverse[start] + (end - start).astype(U64))
 
 
+class Sorted:
+    """Where hashes stand among sorted ones.  They are evenly spread, so their first bits tell the place but for a few steps."""
+
+    def __init__(self, keys: np.ndarray):
+        self.n = len(keys)
+        bits = max(1, self.n.bit_length())
+        self.shift = U64(64 - bits)
+        self.begin = np.searchsorted(keys >> self.shift, np.arange(1 << bits, dtype=U64)).astype(np.int32)
+        self.keys = np.append(keys, U64(0xFFFFFFFFFFFFFFFF))
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The place of each; the number of keys for those not among them."""
+        at = self.begin[h >> self.shift]
+        live = np.flatnonzero(self.keys[at] < h)
+        while len(live):
+            at[live] += 1
+            live = live[self.keys[at[live]] < h[live]]
+        at[self.keys[at] != h] = self.n
+        return at
+
+
 def ragged(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Indices of several runs, one after another: start[i], start[i] + 1, ..."""
     total = int(length.sum())
