@@ -1,5 +1,7 @@
+import json
 import time
 from collections import Counter
+from datetime import datetime, timedelta
 
 import pytest
 from lines import T0, at, frame
@@ -249,6 +251,50 @@ def test_a_replayed_part_counts_once_if_asked(spark, feed, store, once):
     assert not once or found == {("t0",): 10 * times, ("t1",): 10 * times, ("t2",): 10 * times}
 
 
+def small_tables(spark, folder, n=60):
+    """Events of two days, in order of time, with the two tables of places."""
+    rows = [(i, datetime(2024, 1, 1) + timedelta(minutes=45 * i), 100 + i % 9, ("view", "click")[i % 2], f'{{"k": {i % 4}}}') for i in range(n)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, props string").coalesce(1).write.parquet(f"{folder}/events.parquet")
+    spark.createDataFrame([(i, f"N{i}", i % 2) for i in range(25)], "n_nationkey int, n_name string, n_regionkey int").coalesce(1).write.parquet(f"{folder}/nation.parquet")
+    spark.createDataFrame([(0, "A"), (1, "B")], "r_regionkey int, r_name string").coalesce(1).write.parquet(f"{folder}/region.parquet")
+    return str(folder)
+
+
+def test_a_replayed_feed_keeps_its_state_on_disk_and_the_session_its_own_store(spark, tmp_path, monkeypatch):
+    ran, run = [], queries.run_available
+    monkeypatch.setattr(queries, "run_available", lambda *a, **k: ran.append(run(*a, **k)))
+    provider, in_memory = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    untracked = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    tables, before = small_tables(spark, tmp_path), spark.conf.get(provider)
+    spark.conf.set(provider, in_memory)
+    try:
+        got = counted(queries.stream_replayed(spark, tables), "minuteslot", "country", "city", "topic")
+        assert spark.conf.get(provider) == in_memory and spark.conf.get(untracked, None) is None
+    finally:
+        spark.conf.set(provider, before)
+    want = counted(queries.registry()["trends_city_minute"](spark, tables), "minuteslot", "country", "city", "topic")
+    assert got == want and sum(got.values()) > 60
+    states = [json.loads(p.json)["stateOperators"] for query in ran for p in query.recentProgress]
+    assert len(ran) == 7 and all(states)
+    assert all("rocksdbCommitFlushLatency" in operator["customMetrics"] for batch in states for operator in batch)
+
+
+def test_the_parts_of_a_feed_lie_in_files_of_few_lines(spark, monkeypatch):
+    monkeypatch.setattr(queries, "FEED_ROWS", 10)
+    lines = spark.createDataFrame([(x,) for x in sample()], "value string").coalesce(1)
+    out, sizes = run_dir(spark, "out"), []
+
+    def start(feed, checkpoint, now):
+        def write(batch, batch_id):
+            sizes.append(sorted(r["count"] for r in batch.groupBy(F.input_file_name()).count().collect()))
+            batch.write.mode("append").parquet(out)
+        return feed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+    queries._feed(spark, start, [(lines, queries.NOW), (lines.limit(15), queries.NOW)])
+    assert sizes == [[10] * 4, [5, 10]]
+    assert Counter(r.value for r in spark.read.parquet(out).collect()) == Counter(sample()) + Counter(sample()[:15])
+
+
 def test_landing_counts_its_lines_and_refuses_too_many_malformed(spark, feed):
     told, root, checkpoint = [], run_dir(spark, "landed"), run_dir(spark, "checkpoint")
 

@@ -290,6 +290,8 @@ MINUTE_K = 3
 CLOCK_DAYS = 20
 REPLAY_DAYS = 100
 FUTURE_MS = 4_102_444_800_000  # the year 2100
+# Lines of a file of a feed.  Lines come sorted by time, so a part of them lies in few of the tasks that write it; a batch reads by files.
+FEED_ROWS = 100_000
 
 
 def _span(lines: DataFrame) -> tuple[int, datetime]:
@@ -313,13 +315,14 @@ def _at(clock: datetime) -> Column:
     return F.timestamp_micros(F.lit(int(clock.timestamp() * 1_000_000)))
 
 
-def _feed(spark: SparkSession, start: Callable[[DataFrame, str, Column], DataStreamWriter], parts: list[tuple[DataFrame, datetime]]) -> None:
+def _feed(spark: SparkSession, start: Callable[[DataFrame, str, Column], DataStreamWriter], parts: list[tuple[DataFrame, datetime]],
+          on_disk: bool = False) -> None:
     """Feed parts (lines, clock) to a query one after another; it starts again from its checkpoint for each."""
     folder, checkpoint = run_dir(spark, "stream"), run_dir(spark, "checkpoint")
     try:
         for part, now in parts:
-            part.write.mode("append").parquet(folder)
-            run_available(start(line_sources.file_stream(spark, folder, "parquet"), checkpoint, _at(now)), spark)
+            part.write.mode("append").option("maxRecordsPerFile", FEED_ROWS).parquet(folder)
+            run_available(start(line_sources.file_stream(spark, folder, "parquet"), checkpoint, _at(now)), spark, on_disk)
     finally:
         files.delete(spark, folder)
         files.delete(spark, checkpoint)
@@ -397,7 +400,8 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """City minutes of a feed that sends each of its halves twice, well inside the lateness: every message counts once."""
+    """City minutes of a feed that sends each of its halves twice, well inside the lateness: every message counts once.
+    Every id and every count is held until the end, so the state is on disk."""
     out = run_dir(spark, "replayed")
 
     def start(feed: DataFrame, checkpoint: str, now: Column) -> DataStreamWriter:
@@ -410,7 +414,7 @@ def stream_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
         far = clock + timedelta(REPLAY_DAYS)
         halves = [lines.where(F.col("landing_hour") <= middle).select("value"), lines.where(F.col("landing_hour") > middle).select("value")]
         flushes = [_message(spark, int((far - timedelta(days=3 - i)).timestamp() * 1000), f"flush{i}") for i in range(3)]
-        _feed(spark, start, [(part, far) for part in (*[h for half in halves for h in (half, half)], *flushes)])
+        _feed(spark, start, [(part, far) for part in (*[h for half in halves for h in (half, half)], *flushes)], on_disk=True)
     return spark.read.parquet(out).where(~F.col("topic").startswith("flush"))
 
 

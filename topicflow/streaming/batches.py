@@ -73,9 +73,38 @@ def state_partitions(spark: SparkSession) -> Iterator[int]:
         spark.conf.set(setting, before)
 
 
-def run_available(writer: DataStreamWriter, spark: SparkSession | None = None) -> StreamingQuery:
-    """Process everything there is, then stop.  With a session, a new query has `state_partitions`."""
-    with state_partitions(spark) if spark is not None else nullcontext():
+_ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
+# One bounded memory for all state partitions of an executor.  Counting the rows would cost a read before each write.
+_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_ROCKSDB}.boundedMemoryUsage": "true",
+    f"{_ROCKSDB}.trackTotalNumberOfRows": "false",
+}
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside keep their state in files beside a bounded memory, whatever the session's own store.
+
+    Spark's default store holds every row of state on the heap, twice while a batch changes it, and the state of
+    a query that ended until the next maintenance.  A checkpoint keeps the store that its query was first started with.
+    """
+    before = {setting: spark.conf.get(setting, None) for setting in _ON_DISK}
+    try:
+        for setting, value in _ON_DISK.items():
+            spark.conf.set(setting, value)
+        yield
+    finally:
+        for setting, value in before.items():
+            if value is None:
+                spark.conf.unset(setting)
+            else:
+                spark.conf.set(setting, value)
+
+
+def run_available(writer: DataStreamWriter, spark: SparkSession | None = None, on_disk: bool = False) -> StreamingQuery:
+    """Process everything there is, then stop.  With a session, a new query has `state_partitions`, and `on_disk` its state there."""
+    with state_partitions(spark) if spark is not None else nullcontext(), state_on_disk(spark) if on_disk else nullcontext():
         query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
     return query
